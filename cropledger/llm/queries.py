@@ -7,22 +7,56 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, packing
+from . import embeddings, flac, licenses, minhash, packing, pii, quality
 from .common import table
 
 
+def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).drop("ids")
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.sanitise(table(spark, sf_dir, "documents")))
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("places", "expressions")
+
+
+def op10_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flac.decode(flac.encode(table(spark, sf_dir, "documents"))).select(
+        "doc_id",
+        "n_bytes",
+        F.length("pcm").cast("long").alias("payload_bytes"),
+        F.sha2("pcm", 256).alias("payload_sha256"),
+        F.crc32(F.expr("substring(pcm, -64, 64)")).alias("tail_crc32"),
+        F.length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"),
+        "feature",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embeddings": op1_embeddings,
     "op2_packing": op2_packing,
+    "op4_pii": op4_pii,
     "op5_minhash": op5_minhash,
+    "op8_quality": op8_quality,
+    "op9_licenses": op9_licenses,
+    "op10_flac": op10_flac,
 }
 ORACLE_SQL: dict[str, str] = {}
