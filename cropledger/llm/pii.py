@@ -90,9 +90,10 @@ def _with_kind(kind: str) -> Column:
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text, and one array of spans per kind of KINDS). A null text is an empty one."""
+    """(doc_id, text, whole: a struct of docs' columns, and one array of spans per kind of KINDS). A null text is an empty one."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).select("doc_id", "text", *(spans_of(F.col("text"), k).alias(k) for k in KINDS))
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    return docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), whole.alias("whole")).select("doc_id", "text", "whole", *(spans_of(F.col("text"), k).alias(k) for k in KINDS))
 
 
 def disclosing_terms(found: DataFrame, contexts: int = CONTEXTS, share: float = SHARE, bits: float = BITS) -> DataFrame:
@@ -124,12 +125,12 @@ def disclosing_terms(found: DataFrame, contexts: int = CONTEXTS, share: float =
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, text, spans per kind, term_spans, all_spans and clean_text.
+    """One row per document: doc_id, text, whole (a struct of docs' columns), an array of spans per kind and of terms, all_spans, clean_text.
 
     all_spans lists every span as (start, end, kind), by kind, then start. clean_text has each span replaced by its
     kind's mask; where spans overlap, the one that starts first (then the longer) takes the whole stretch. Terms that
     disclose an entity are masked in the documents that hold the entity; other documents are left as they are, letter
-    for letter. Null texts are empty ones; repeated rows give repeated results; extra columns are not read.
+    for letter. Null texts are empty ones; repeated rows give repeated results; extra columns are only handed on in whole.
     """
     found = find(docs, id_col, text_col)
     pairs = materialise(disclosing_terms(found), "disclosing")

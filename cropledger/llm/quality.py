@@ -14,6 +14,8 @@ from .common import materialise, small_batches
 
 #: Share of the pooled covariance in each class's covariance, and of the pooled variances on its diagonal.
 POOLED, RIDGE = 0.1, 0.02
+#: Most ids of labelled rows that are broadcast (some 30 bytes each); more are joined by a shuffle.
+LABELS_BROADCAST = 500_000
 FEATURES = ("length", "upper", "symbols", "marks", "digits", "spaces", "breaks", "word_length", "variety", "repeated_lines", "plain_ends", "entropy", "sentences", "commonest", "short_words", "shouted")
 
 # Classes of bytes: 0 other, 1 lower, 2 upper, 3 digit, 4 space, 5 line break, 6 sentence mark, 7 symbol, 8 not ASCII.
@@ -134,6 +136,26 @@ def score(stats: DataFrame, model: dict) -> DataFrame:
     return stats.mapInArrow(run, f"{kinds}, score double")
 
 
+def accept(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
+    """docs without the rows that are scored below threshold, columns as they were.
+
+    The model is fitted on all labelled rows; each text is then scored where it is read, so no text is shuffled.
+    """
+    known = labels.select("doc_id", F.col("quality").alias("label")).where("label in (0, 1) and doc_id is not null")
+    ids = known.select("doc_id").distinct()
+    few = F.broadcast(ids) if ids.count() <= LABELS_BROADCAST else ids
+    model = fit(features(docs.join(few, "doc_id", "left_semi")).join(known, "doc_id").select("x", "label"))
+    names, at = docs.columns, docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.array([statistics(t or b"") for t in batch.column(at).cast(pa.binary()).to_pylist()], float).reshape(-1, len(FEATURES))
+            yield batch.filter(pa.array(score_array(model, x) >= threshold))
+
+    small_batches(docs.sparkSession)
+    return docs.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)).select(*(f"`{c}`" for c in names))
+
+
 def classify(docs: DataFrame, labels: DataFrame, held_out: int = 5, threshold: float = 0.3) -> DataFrame:
     """One row per row of docs: doc_id, held_out (crc32 of the id is a multiple of held_out), score, predicted.
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, flac, licenses, minhash, packing, pii, quality
+from . import chat, embeddings, flac, langid, licenses, minhash, mixing, packing, pii, quality
 from .common import table
 
 
@@ -21,6 +21,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).drop("ids")
 
 
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.link(*chat.calls_of(table(spark, sf_dir, "conversations")), chat.schema_table(spark))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.sanitise(table(spark, sf_dir, "documents")))
 
@@ -29,6 +33,14 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "source", "mix.*")
+
+
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -53,10 +65,13 @@ def op10_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embeddings": op1_embeddings,
     "op2_packing": op2_packing,
+    "op3_chat": op3_chat,
     "op4_pii": op4_pii,
     "op5_minhash": op5_minhash,
+    "op6_mixing": op6_mixing,
+    "op7_langid": op7_langid,
     "op8_quality": op8_quality,
     "op9_licenses": op9_licenses,
     "op10_flac": op10_flac,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op3_chat": chat.SQL}
