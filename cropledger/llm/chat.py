@@ -84,6 +84,8 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     white space, and arguments as parsed JSON with sorted keys; arguments that aren't JSON are null there. Null ids link with nothing.
     """
     key = ["conv_id", "call_id"]
+    calls = calls.select("conv_id", "turn", "call_id", "name", "arguments", "depends_on")
+    results = results.select("conv_id", "turn", "call_id", "content")
     checked = validate(calls, schemas)
     first = calls.where("conv_id is not null and call_id is not null").groupBy(key).agg(F.min("turn").alias("first_turn"))
     level = levels(calls.where("conv_id is not null and call_id is not null")).withColumn("depends", F.lit(True))

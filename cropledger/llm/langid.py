@@ -150,6 +150,8 @@ def fit(texts: list[tuple[str, str]]) -> dict:
 
 def label_texts(model: dict, texts: list[list[str]], known: dict[str, int], scores: list[np.ndarray]) -> list[np.ndarray]:
     """Marginals (words by languages) of each list of words. known and scores remember emissions of words."""
+    if not any(texts):
+        return [np.zeros((0, len(model["languages"])))] * len(texts)
     fresh = list({w for t in texts for w in t}.difference(known))
     if len(known) + len(fresh) > REMEMBERED:
         known.clear()
