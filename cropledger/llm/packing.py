@@ -14,33 +14,75 @@ from pyspark.sql import functions as F
 from .common import materialise, small_batches
 
 #: Pieces of text between white space whose ids a Python worker remembers; the store is emptied when full.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
+#: Words that are encoded in one call.
+TOGETHER = 256
 
+_MARKS = b".,;:!?%&#*$"
 _stores: dict[str, tuple] = {}
 
 
+def _parts(piece: bytes) -> tuple[bytes, bytes]:
+    """A piece as (stem, marks at its end), whose ids follow each other: the pre-tokenizer parts letters and marks.
+
+    Plain ASCII is put in lower case as the normaliser does; a piece that could hold a special token is left whole.
+    """
+    if b"<|" in piece:
+        return piece, b""
+    if piece.isascii():
+        piece = piece.lower()
+    stem = piece.rstrip(_MARKS)
+    return (stem, piece[len(stem) :]) if stem[-1:].isalnum() else (piece, b"")
+
+
 def _encoder(path: str):
     """A function from a list of texts to their ids as little-endian uint32 bytes.
 
-    The vocabulary's pre-tokenizer drops white space and no token spans it, so ids of a text are those of
-    its white-space pieces in turn; each distinct piece is encoded once and remembered.
+    The vocabulary's pre-tokenizer drops white space and no token spans it, so ids of a text are those of its
+    white-space pieces in turn; each distinct piece is encoded once and remembered. Words of letters alone are encoded
+    many at a time and told apart by their last tokens, which the vocabulary marks.
     """
     if path not in _stores:
         from tokenizers import Tokenizer
 
-        _stores[path] = (Tokenizer.from_file(path), {})
-    tokenizer, known = _stores[path]
+        tokenizer = Tokenizer.from_file(path)
+        last = np.array([(tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(tokenizer.get_vocab_size())])
+        _stores[path] = (tokenizer, last, {b"": b""})
+    tokenizer, last, known = _stores[path]
+
+    def one_by_one(words: list[str]) -> None:
+        for word, e in zip(words, tokenizer.encode_batch_fast(words, add_special_tokens=False)):
+            known[word.encode()] = np.array(e.ids, "<u4").tobytes()
+
+    def learn(fresh: set[bytes]) -> None:
+        parts = {p: _parts(p) for p in fresh}
+        need = [p.decode() for p in {x for pair in parts.values() for x in pair}.difference(known)]
+        words, rest = [p for p in need if p.isalpha()], [p for p in need if not p.isalpha()]
+        for i in range(0, len(words), TOGETHER):
+            some = words[i : i + TOGETHER]
+            ids = np.array(tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(last[ids]) + 1
+            if len(ends) != len(some):  # a letter whose small form is more than a letter
+                one_by_one(some)
+                continue
+            raw, at = ids.tobytes(), 0
+            for word, end in zip(some, (ends * 4).tolist()):
+                known[word.encode()] = raw[at:end]
+                at = end
+        for i in range(0, len(rest), 4096):
+            one_by_one(rest[i : i + 4096])
+        for p, (stem, marks) in parts.items():
+            known[p] = known[stem] + known[marks]
 
     def encode(texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
-        fresh = list({p for pieces in split for p in pieces}.difference(known))
-        if len(known) + len(fresh) > REMEMBERED:
+        every = set().union(*split)
+        fresh = every.difference(known)
+        if len(known) + 2 * len(fresh) > REMEMBERED:
             known.clear()
-            fresh = list({p for pieces in split for p in pieces})
-        for i in range(0, len(fresh), 4096):
-            part = fresh[i : i + 4096]
-            for piece, e in zip(part, tokenizer.encode_batch_fast([p.decode() for p in part], add_special_tokens=False)):
-                known[piece] = np.array(e.ids, "<u4").tobytes()
+            known[b""] = b""
+            fresh = every
+        learn(fresh)
         return [b"".join(map(known.__getitem__, pieces)) for pieces in split]
 
     return encode
