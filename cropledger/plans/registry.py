@@ -1,4 +1,357 @@
-"""Registered queries and their SQL."""
+"""Registered queries and the SQL that gives the same rows."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from cropledger.functions import text
+from cropledger.operators import quality
+from cropledger.operators import windows as W
+from cropledger.plans import panel, scores
+from cropledger.sources import tables
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def rounded(df: DataFrame, places: int = 4, exact: tuple = ("price_avg_weekly",)) -> DataFrame:
+    """Round doubles whose last digits depend on the order of additions; exact ones are left as they are."""
+    return df.select(*(F.round(c, places).alias(c) if kind == "double" and c not in exact else F.col(c) for c, kind in df.dtypes))
+
+
+REPORTS = """reports as (select p_brand as ingredient, p_type as ingredient_group, l_shipdate::date as report_date, l_extendedprice::decimal(18,2) as price,
+  l_quantity::decimal(18,2) as amount, l_returnflag as unit from lineitem join part on p_partkey = l_partkey)"""
+DOLLAR = """dollar as (select o_orderdate::date as ppi_date, (((sum(o_totalprice::decimal(18,2)) * 100)::bigint * 100 // count(o_totalprice)) / 10000.0)::decimal(18,4) as ppi from orders group by 1)"""
+MONTHLY = """monthly as (select ingredient, date_trunc('month', report_date)::date as ppi_date, (((sum(price) * 100)::bigint * 100 // count(price)) / 10000.0)::decimal(18,4) as ppi from reports group by 1, 2)"""
+_LAGS = ", ".join(f"lag(price_avg_weekly, {n}) over w as price_lag_{n}w" for n in (1, 2, 4, 8, 13, 26, 52))
+_MEANS = ", ".join(f"avg(price_avg_weekly) over (partition by ingredient order by week_start rows between {n} preceding and 1 preceding) as price_hist_avg_{n}w" for n in (4, 12, 26, 52))
+WEEKLY = f"""{REPORTS}, {DOLLAR}, {MONTHLY},
+weekly as (select ingredient, date_trunc('week', report_date)::date as week_start, sum(price)::double / count(price) as price_avg_weekly, min(price)::double as price_min_weekly,
+  max(price)::double as price_max_weekly, count(*) as n_reports_in_week from reports group by 1, 2),
+featured as (select *, {_LAGS}, {_MEANS}, stddev_pop(price_avg_weekly) over (partition by ingredient order by week_start rows between 12 preceding and 1 preceding) as price_hist_std_12w
+  from weekly window w as (partition by ingredient order by week_start)),
+di as (select date_trunc('week', ppi_date)::date as week_start, arg_max(ppi, ppi_date)::double as di_ppi from dollar group by 1),
+macro as (select ingredient, date_trunc('week', ppi_date)::date as week_start, sum(ppi)::double / count(ppi) as macro_ppi from monthly group by 1, 2)"""
+PANEL = f"""{WEEKLY},
+joined as (select f.ingredient, f.week_start, price_avg_weekly, di_ppi, macro_ppi, extract(week from f.week_start)::int as week_of_year
+  from featured f left join di using (week_start) left join macro m on m.ingredient = f.ingredient and m.week_start = f.week_start),
+panel as (select ingredient, week_start, price_avg_weekly, week_of_year, last_value(di_ppi ignore nulls) over w as di_ppi, last_value(macro_ppi ignore nulls) over w as macro_ppi
+  from joined window w as (partition by ingredient order by week_start rows between unbounded preceding and current row))"""
+
+
+def _forward(rows: str, key: str, date: str, value: str, spans: list[int], unit: str) -> tuple[str, str]:
+    word = {"d": "days", "mo": "months"}[unit]
+    over = lambda n: f"over (partition by {key} order by {date} range between current row and interval {n} {word} following)"
+    means = ", ".join(f"sum({value}) {over(n)}::double / nullif(count({value}) {over(n)}, 0) as {value}_fwd_{n}{unit}" for n in spans)
+    pct = ", ".join(f"case when {value} != 0 then ({value}_fwd_{n}{unit} - {value}::double) / {value}::double end as {value}_fwd_{n}{unit}_pct" for n in spans)
+    return f"fwd as (select *, {means} from {rows})", pct
+
+
+def _round_all(names: list[str], places: int = 4) -> str:
+    return ", ".join(f"round({n}, {places}) as {n}" for n in names)
+
+
+_EXACT = ["price_avg_weekly", "price_min_weekly", "price_max_weekly", *(f"price_lag_{n}w" for n in (1, 2, 4, 8, 13, 26, 52)), "di_ppi", "macro_ppi"]
+_F = [*(f"price_hist_avg_{n}w" for n in (4, 12, 26, 52)), "price_hist_std_12w"]
+
+
+@query(f"""with {WEEKLY} select f.ingredient, f.week_start, n_reports_in_week, {", ".join(_EXACT)}, {_round_all(_F, 6)}, extract(year from f.week_start)::int as year, extract(week from f.week_start)::int as week_of_year,
+  extract(month from f.week_start)::int as month, extract(quarter from f.week_start)::int as quarter
+  from featured f left join di using (week_start) left join macro m on m.ingredient = f.ingredient and m.week_start = f.week_start""")
+def m5_weekly_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(panel.weekly_training(spark, sf_dir), 6, tuple(_EXACT))
+
+
+_c, _p = _forward("dollar", "1", "ppi_date", "ppi", panel.DAYS, "d")
+_N = [f"ppi_fwd_{n}d" for n in panel.DAYS]
+
+
+@query(f"with {DOLLAR}, {_c}, p as (select *, {_p} from fwd) select 'DOLLAR' as series, ppi_date, ppi::double as ppi, {', '.join(_N + [f'{n}_pct' for n in _N])} from p")
+def m1_dollar_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return panel.dollar_mart(spark, sf_dir)
+
+
+_c, _p = _forward("monthly", "ingredient", "ppi_date", "ppi", panel.MONTHS, "mo")
+_N = [f"ppi_fwd_{n}mo" for n in panel.MONTHS]
+
+
+@query(f"with {REPORTS}, {MONTHLY}, {_c}, p as (select *, {_p} from fwd) select ingredient, ppi_date, ppi::double as ppi, {', '.join(_N + [f'{n}_pct' for n in _N])} from p")
+def m2_macro_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return panel.macro_mart(spark, sf_dir)
+
+
+_c, _p = _forward("daily", "ingredient, ingredient_group", "report_date", "price_avg", panel.DAYS, "d")
+_N = [f"price_avg_fwd_{n}d" for n in panel.DAYS]
+
+
+@query(f"""with {REPORTS}, daily as (select ingredient, ingredient_group, report_date, min(price)::double as price_min, max(price)::double as price_max,
+  (((sum(price) * 100)::bigint * 100 // count(price)) / 10000.0)::decimal(18,4) as price_avg from reports group by 1, 2, 3), {_c}, p as (select *, {_p} from fwd)
+  select ingredient, ingredient_group, report_date, price_min, price_max, price_avg::double as price_avg, {', '.join(_N + [f'{n}_pct' for n in _N])} from p""")
+def m3_market_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return panel.market_mart(spark, sf_dir)
+
+
+_c, _p = _forward("reports", "ingredient, unit", "report_date", "amount", [7, 30], "d")
+_N = ["amount_fwd_7d", "amount_fwd_30d"]
+
+
+@query(f"with {REPORTS}, {_c}, p as (select *, {_p} from fwd) select ingredient, unit, report_date, amount::double as amount, {', '.join(_N + [f'{n}_pct' for n in _N])} from p")
+def m4_production_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return panel.production_mart(spark, sf_dir)
+
+
+@query("""with t as (select p_partkey, ' ' || p_name || ',  new--crop.' as n, case when p_size % 5 = 0 then 'NA' when p_size % 5 = 1 then 'BUSHELS' when p_size % 5 = 2 then 'TONS' else upper(p_type) end as u,
+  case p_size % 4 when 0 then 'M' when 1 then '' when 2 then 'XQ' else 'BW' end as f from part)
+  select p_partkey, trim(regexp_replace(upper(regexp_replace(n, '[-–—,.]+', ' ', 'g')), '\\s+', ' ', 'g')) as name, case u when 'NA' then '' when 'BUSHELS' then 'BU' when 'TONS' then 'TON' else u end as unit,
+  case f when 'M' then 'monthly' when 'BW' then 'biweekly' when '' then 'unknown' else lower(f) end as frequency from t""")
+def f_text_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = F.col("p_size") % 5
+    raw = tables.parquet(spark, sf_dir, "part").select(
+        "p_partkey", F.concat(F.lit(" "), "p_name", F.lit(",  new--crop.")).alias("n"), F.when(size == 0, "NA").when(size == 1, "bushels").when(size == 2, "Tons").otherwise(F.col("p_type")).alias("u"),
+        F.element_at(F.array(F.lit("M"), F.lit(""), F.lit("XQ"), F.lit("BW")), F.col("p_size") % 4 + 1).alias("f"),
+    )
+    return raw.select("p_partkey", text.no_marks(F.col("n")).alias("name"), text.singular_unit(text.no_placeholder(text.collapse(F.col("u")))).alias("unit"), text.frequency(F.col("f")).alias("frequency"))
+
+
+@query("""select o_orderkey, round(o_totalprice, 2) as amount, case when o_orderkey % 3 = 2 then null else o_orderdate::date end as report_date, case when o_orderkey % 4 = 0 then null else o_orderpriority end as series from orders""")
+def f_numbers_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    o = tables.parquet(spark, sf_dir, "orders").select(
+        "o_orderkey", F.concat(F.lit(" "), F.format_number("o_totalprice", 2)).alias("amount"),
+        F.when(k % 3 == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).when(k % 3 == 1, F.date_format("o_orderdate", "MM/dd/yyyy")).otherwise("soon").alias("day"), F.when(k % 4 == 0, "No PPI available").otherwise(F.col("o_orderpriority")).alias("series"),
+    )
+    return o.select("o_orderkey", text.number(F.col("amount"), 2).alias("amount"), text.to_date(F.col("day")).alias("report_date"), text.no_series(F.col("series")).alias("series"))
+
+
+def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = tables.parquet(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_discount", F.date_format("l_shipdate", "yyyy-MM-dd").alias("day"))
+    return quality.flagged(
+        t,
+        {
+            "order_present": quality.not_null(F.col("l_orderkey")), "discount_not_zero": quality.holds(F.col("l_discount") != 0), "flag_numeric": quality.numeric(F.col("l_returnflag")),
+            "flag_upper": quality.no_lower_case(F.col("l_returnflag")), "day_format": quality.matches(F.col("day"), r"^\d{4}-\d{2}-\d{2}$"), "old_format": quality.matches(F.col("day"), r"^\d{1,2}/\d{1,2}/\d{4}$"),
+        },
+        {"line_unique": ["l_orderkey", "l_linenumber"]},
+    )
+
+
+_CHECKS = ["order_present", "discount_not_zero", "flag_numeric", "flag_upper", "day_format", "old_format", "line_unique"]
+
+
+@query("""with v as (select count(*) filter (l_orderkey is null) as order_present, count(*) filter (l_discount = 0) as discount_not_zero, count(*) as flag_numeric, 0::bigint as flag_upper, 0::bigint as day_format,
+  count(*) as old_format, (select sum(c)::bigint from (select count(*) c from lineitem group by l_orderkey, l_linenumber having count(*) > 1)) as line_unique from lineitem)
+  select 'lineitem' as table_name, check_name, violations, violations = 0 as passed from (unpivot v on columns(*) into name check_name value violations)""")
+def q_check_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.summary(_checked(spark, sf_dir), "lineitem", _CHECKS)
+
+
+@query("""with c as (select l_orderkey, l_linenumber, l_discount, count(*) over (partition by l_orderkey, l_linenumber) as n from lineitem)
+  select l_orderkey, l_linenumber, case when l_discount = 0 then 'discount_not_zero,' else '' end || 'flag_numeric,old_format' || case when n > 1 then ',line_unique' else '' end as reasons from c""")
+def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.split(_checked(spark, sf_dir))[1].select("l_orderkey", "l_linenumber", F.array_join("reasons", ",").alias("reasons"))
+
+
+@query("select l_suppkey, l_partkey, n::bigint as others from (select l_suppkey, l_partkey, sum(count(*)) over (partition by l_suppkey) - count(*) as n from lineitem group by 1, 2) where n > 0")
+def j6_ambiguous_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.ambiguous(tables.parquet(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey"), "l_suppkey", "l_partkey")
+
+
+@query("select p_brand, p_type, p_name, p_size, 10000 + row_number() over (order by p_brand, p_type, p_name, p_size) as id from (select distinct p_brand, p_type, p_name, p_size from part)")
+def g1_product_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ["p_brand", "p_type", "p_name", "p_size"]
+    return W.row_ids(tables.parquet(spark, sf_dir, "part").select(*names).dropDuplicates(names), names)
+
+
+@query("select event_type as series, ts::date as date, (props::json->>'k')::double as value from events where (props::json->>'k')::int % 10 != 0")
+def s_flatten_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.get_json_object("props", "$.k")
+    value = F.when(k.cast("int") % 10 == 0, ".").otherwise(k)
+    landed = tables.parquet(spark, sf_dir, "events").select("event_type", F.to_json(F.struct(F.array(F.struct(F.date_format("ts", "yyyy-MM-dd").alias("date"), value.alias("value"))).alias("observations"))).alias("body"))
+    return tables.observations(landed, "body", "event_type")
+
+
+@query("select o_orderpriority as series, unnest([1, 2, n_nationkey % 5 + 3])::int as ingredient_id, n_name || ' | ' || o_orderpriority as ingredient_names, o_orderkey from orders join nation on n_nationkey = o_orderkey % 25")
+def s_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = tables.parquet(spark, sf_dir, "orders").select(F.concat_ws("|", "o_orderpriority", (F.col("o_orderkey") % 25).cast("string")).alias("series"), "o_orderkey")
+    n = tables.parquet(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    kinds = tables.parquet(spark, sf_dir, "orders").select("o_orderpriority").distinct()
+    mapping = kinds.join(F.broadcast(n)).select(F.concat_ws("|", "o_orderpriority", F.col("n_nationkey").cast("string")).alias("series"), F.array(F.lit(1), F.lit(2), F.col("n_nationkey") % 5 + 3).alias("ids"), F.array("n_name", "o_orderpriority").alias("names"))
+    return tables.fan_out(o, mapping).select(F.split("series", r"\|")[0].alias("series"), "ingredient_id", "ingredient_names", "o_orderkey")
+
+
+@query(f"with {REPORTS} select ingredient, min(report_date) as first_day, max(report_date) as last_day, count(*) as n_rows, count(distinct ingredient_group) as n_groups from reports group by 1")
+def s_load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return panel.reports(spark, sf_dir).groupBy("ingredient").agg(F.min("report_date").alias("first_day"), F.max("report_date").alias("last_day"), F.count("*").alias("n_rows"), F.count_distinct("ingredient_group").alias("n_groups"))
+
+
+_TARGETS = f"{PANEL}, wide as (select *, " + ", ".join(f"lead(price_avg_weekly, {h}) over w as h{h}" for h in range(1, 14)) + " from panel window w as (partition by ingredient order by week_start)), targets as (" + " union all ".join(f"select ingredient, week_start, price_avg_weekly, {h} as horizon, h{h} as target from wide where h{h} is not null" for h in range(1, 14)) + ")"
+
+
+@query(f"with {_TARGETS} select ingredient, week_start, price_avg_weekly, horizon, target from targets")
+def w8_horizon_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scores.targets(scores.panel_of(spark, sf_dir))
+
+
+@query(f"""with {_TARGETS}, n as (select *, row_number() over (partition by ingredient, horizon order by week_start) - 1 as i, count(*) over (partition by ingredient, horizon) as n from targets),
+  f as (select *, (i - (n - 5 * (n // 6))) // (n // 6) as fold from n where n // 6 > 0 and i >= n - 5 * (n // 6)),
+  m as (select ingredient, horizon, fold, avg(abs(target - price_avg_weekly)) as mae, sqrt(avg((target - price_avg_weekly) ** 2)) as rmse, avg(abs(target - price_avg_weekly) / abs(target)) as mape from f group by all)
+  select ingredient, horizon, round(avg(mae), 4) as mae, round(avg(rmse), 4) as rmse, round(avg(mape), 4) as mape, count(*) as folds from m group by all""")
+def b2_naive_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(scores.naive_backtest(scores.panel_of(spark, sf_dir)))
+
+
+@query(f"""with {_TARGETS}, g as (select ingredient, week_start, avg(price_avg_weekly) over (partition by ingredient order by week_start rows between 3 preceding and current row) as guess from panel),
+  a as (select t.ingredient, horizon, avg((sign(guess - price_avg_weekly) = sign(target - price_avg_weekly))::int) as direction, avg(abs(target - guess)) as mae, avg(abs(target - price_avg_weekly)) as base
+  from targets t join g on g.ingredient = t.ingredient and g.week_start = t.week_start group by all) select ingredient, horizon, round(direction, 4) as direction, round(mae, 4) as mae, round(1 - mae / base, 4) as skill from a""")
+def b4_direction_and_skill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(scores.drift_backtest(scores.panel_of(spark, sf_dir)))
+
+
+_COST = f"""{PANEL}, base as (select *, 3.8e0 * (avg(di_ppi) over w / greatest(di_ppi, 50e0)) as diesel, 3.5e0 * (macro_ppi / greatest(avg(macro_ppi) over w, 1e0)) as gas from panel window w as (partition by ingredient)),
+  parts as (select *, (200e0 / 6.5e0 * diesel + 200e0 * 2.5e0) / 1000e0 as transport_cost, gas * 0.002e0 as energy_cost, price_avg_weekly * 0.0525e0 / 365e0 * 30e0 as carry_cost from base),
+  cost as (select *, price_avg_weekly + transport_cost + energy_cost + carry_cost as total_landed_cost from parts)"""
+
+
+@query(f"""with {_COST} select ingredient, week_start, price_avg_weekly, round(transport_cost, 6) as transport_cost, round(energy_cost, 6) as energy_cost, round(carry_cost, 6) as carry_cost,
+  round(total_landed_cost, 6) as total_landed_cost, round(total_landed_cost / 0.88e0, 6) as implied_sell_price, round(total_landed_cost / 0.88e0 - total_landed_cost, 6) as gross_margin_usd,
+  round((total_landed_cost / 0.88e0 - total_landed_cost) / (total_landed_cost / 0.88e0) * 100, 6) as gross_margin_pct from cost""")
+def c1_landed_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(scores.landed_cost(scores.panel_of(spark, sf_dir)).drop("di_ppi", "macro_ppi", "week_of_year", "diesel", "gas"), 6)
+
+
+_SHOCKS = ", ".join(f"('{d}', {s}::double)" for d, s in scores.SHOCKS)
+
+
+@query(f"""with {_COST}, s as (select * from (values {_SHOCKS}) v(driver, shock)), m as (select ingredient, week_start, driver, shock, total_landed_cost as t,
+  (case when driver = 'miles' then 200e0 * (1 + shock) else 200e0 end / 6.5e0 * case when driver = 'diesel' then diesel * (1 + shock) else diesel end + case when driver = 'miles' then 200e0 * (1 + shock) else 200e0 end * 2.5e0) / 1000e0
+  + case when driver = 'nat_gas' then gas * (1 + shock) else gas end * 0.002e0 + price_avg_weekly * case when driver = 'fed_funds' then greatest(0e0, 0.0525e0 + shock * 0.01e0) else 0.0525e0 end / 365e0 * 30e0 + price_avg_weekly as moved
+  from cost cross join s) select ingredient, week_start, driver, round(shock * 100)::int as shock_pct, round(moved - t, 4) + 0.0 as delta_tlc, round((moved / t - 1) * 100, 4) + 0.0 as delta_pct from m""")
+def c3_scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scores.scenarios(scores.landed_cost(scores.panel_of(spark, sf_dir)))
+
+
+def _roll(f: str, x: str, n: int, least: int) -> str:
+    w = f"over (partition by ingredient order by week_start rows between {n - 1} preceding and current row)"
+    return f"case when count({x}) {w} >= {least} then {f}({x}) {w} end"
+
+
+def _clip(x: str, lo: float, hi: float) -> str:
+    return f"case when {x} < {lo} then {lo} when {x} > {hi} then {hi} else {x} end"
+
+
+def _chg(x: str, n: int) -> str:
+    return f"{x} / nullif(lag({x}, {n}) over (partition by ingredient order by week_start), 0) - 1"
+
+
+def _score(x: str) -> str:
+    return _clip(f"(50 + 15 * ({_clip(f'(({x} - m_{x}) / greatest(s_{x}, 1e-6) + 0 * s_{x})', -3, 3)}))", 0, 100)
+
+
+_DIS = f"""{PANEL}, a as (select *, {_chg('price_avg_weekly', 1)} as c1, {_chg('price_avg_weekly', 4)} - ({_chg('price_avg_weekly', 26)}) as momentum,
+  coalesce({_chg('macro_ppi', 12)}, 0) - coalesce({_chg('price_avg_weekly', 12)}, 0) as gap from panel),
+  b as (select *, {_roll('median', 'macro_ppi', 52, 13)} as m_macro_ppi, {_roll('stddev_samp', 'macro_ppi', 52, 13)} as s_macro_ppi, {_roll('avg', 'gap', 52, 4)} as m_gap, {_roll('stddev_samp', 'gap', 52, 4)} as s_gap,
+  {_roll('avg', 'momentum', 52, 4)} as m_momentum, {_roll('stddev_samp', 'momentum', 52, 4)} as s_momentum, {_roll('stddev_samp', 'c1', 12, 4)} as v1, {_roll('stddev_samp', 'c1', 52, 12)} as v2 from a),
+  c as (select *, {_score('macro_ppi')} as s1, {_score('gap')} as s2, {_score('momentum')} as s3, {_clip(f"(({_clip('(v1 / greatest(v2, 1e-6) + 0 * v2)', 0, 5)}) / 3 * 100)", 0, 100)} as s4 from b)"""
+
+
+@query(f"""with {_DIS}, d as (select *, s1 * 0.3e0 + s2 * 0.3e0 + s3 * 0.2e0 + s4 * 0.2e0 as s from c) select ingredient, week_start, price_avg_weekly, round(s, 4) as disruption_score,
+  round(s1, 4) as score_supply_deviation, round(s2, 4) as score_price_gap, round(s3, 4) as score_price_momentum, round(s4, 4) as score_volatility_spike,
+  case when s >= 90 then 'EMERGENCY' when s >= 75 then 'HIGH' when s >= 60 then 'MODERATE' when s is not null then 'LOW' end as level from d""")
+def d5_disruption(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(scores.disruption(scores.panel_of(spark, sf_dir)))
+
+
+def _rank(x: str) -> str:
+    past = f"list({x}) filter ({x} is not null) over (partition by ingredient order by week_start rows between unbounded preceding and current row)"
+    n = f"coalesce(len({past}), 0)"
+    return f"case when {n} < 4 then 50e0 when {x} is null then null else 50e0 * (len(list_filter({past}, lambda v: v < {x})) + len(list_filter({past}, lambda v: v <= {x})) + 1) / {n} end"
+
+
+_RISK = f"""{PANEL}, a as (select *, {_chg('price_avg_weekly', 1)} as c1, coalesce({_chg('macro_ppi', 52)}, 0) as y, coalesce({_chg('price_avg_weekly', 26)}, 0) as mo from panel),
+  b as (select *, {_roll('avg', 'price_avg_weekly', 13, 4)} as a13, {_roll('avg', 'price_avg_weekly', 52, 12)} as a52, coalesce({_roll('stddev_samp', 'c1', 26, 4)}, 0) as vol from a),
+  c as (select *, round({_clip('(a13 / greatest(a52, 1e-6) + 0 * a52)', 0.5, 2.0)}, 9) as r1, round(y, 9) as r2, -di_ppi as r3, round(-mo * (1 - ({_clip('vol', 0, 0.1)}) / 0.1e0), 9) as r4 from b),
+  k as (select *, {_rank('r1')} as k1, {_rank('r2')} as k2, {_rank('r3')} as k3, {_rank('r4')} as k4 from c), d as (select *, k1 * 0.3e0 + k2 * 0.3e0 + k3 * 0.2e0 + k4 * 0.2e0 as s from k)"""
+
+
+@query(f"""with {_RISK} select ingredient, week_start, price_avg_weekly, round(s, 4) as composite_risk, round(k1, 4) as supply_risk, round(k2, 4) as cost_risk, round(k3, 4) as logistics_risk,
+  round(k4, 4) as demand_risk, case when s >= 80 then 'CRITICAL' when s >= 60 then 'HIGH' when s >= 40 then 'MODERATE' when s >= 20 then 'LOW' when s is not null then 'MINIMAL' end as level from d""")
+def r5_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(scores.risk(scores.panel_of(spark, sf_dir)))
+
+
+@query(f"""with {PANEL} select ingredient, max(week_start) as week_start, arg_max(price_avg_weekly, week_start) as price_avg_weekly,
+  array_to_string(list_slice(list((floor(price_avg_weekly * 100)::bigint)::varchar order by week_start), -12, -1), ',') as trend from panel group by 1""")
+def w18_latest_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = scores.latest(scores.panel_of(spark, sf_dir), 12, "price_avg_weekly")
+    return t.withColumn("trend", F.array_join(F.transform("trend", lambda x: F.floor(x * 100).cast("string")), ","))
+
+
+_GRID = f"""{PANEL}, ends as (select ingredient, min(week_start) as a, max(week_start) as b from panel group by 1), weeks as (select ingredient, unnest(generate_series(a, b, interval 7 days))::date as week_start from ends),
+  grid as (select w.ingredient, w.week_start, last_value(price_avg_weekly ignore nulls) over (partition by w.ingredient order by w.week_start rows between unbounded preceding and current row) as price,
+  row_number() over (partition by w.ingredient order by w.week_start) - 1 as i from weeks w left join panel p on p.ingredient = w.ingredient and p.week_start = w.week_start)"""
+_SEASON = f"""{_GRID}, t0 as (select *, count(*) over (partition by ingredient) as n, case when count(*) over w = 53 then (sum(price) over w - (first_value(price) over w + last_value(price) over w) / 2) / 52 end as inn
+  from grid window w as (partition by ingredient order by week_start rows between 26 preceding and 26 following)),
+  ln as (select ingredient, regr_slope(inn, i) filter (i between 26 and 76) as sa, regr_intercept(inn, i) filter (i between 26 and 76) as ia, regr_slope(inn, i) filter (i between n - 77 and n - 27) as sb,
+  regr_intercept(inn, i) filter (i between n - 77 and n - 27) as ib from t0 group by 1), t1 as (select t0.*, coalesce(inn, case when i < 26 then ia + sa * i else ib + sb * i end) as trend from t0 join ln using (ingredient)),
+  dv as (select ingredient, i % 52 as p, avg(price - trend) as dev from t1 group by 1, 2), sn as (select ingredient, p, dev - avg(dev) over (partition by ingredient) as seasonal from dv),
+  parts as (select t1.ingredient, week_start, price, case when n >= 104 then trend end as trend, case when n >= 104 then seasonal else 0 end as seasonal from t1 join sn on sn.ingredient = t1.ingredient and sn.p = t1.i % 52)"""
+
+
+@query(f"with {_SEASON} select ingredient, week_start, price, round(trend, 4) as trend, round(seasonal, 4) as seasonal from parts")
+def n2_seasonal_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(scores.seasonal(scores.weekly_grid(scores.panel_of(spark, sf_dir))), exact=("price",))
+
+
+_STATS = f"""{_SEASON}, stats as (select ingredient, extract(week from week_start)::int as week_of_year, quantile_cont(price, 0.25) as p25, quantile_cont(price, 0.5) as median, quantile_cont(price, 0.75) as p75, avg(price) as mean,
+  avg(seasonal) as seasonal_factor from parts where extract(week from week_start) <= 52 group by 1, 2)"""
+
+
+@query(f"with {_STATS} select ingredient, week_of_year, {_round_all(['p25', 'median', 'p75'], 6)}, {_round_all(['mean', 'seasonal_factor'])} from stats")
+def a6_seasonal_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(rounded(_stats(spark, sf_dir), 6, ("mean", "seasonal_factor")), 4, ("p25", "median", "p75"))
+
+
+def _stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scores.seasonal_stats(scores.seasonal(scores.weekly_grid(scores.panel_of(spark, sf_dir))))
+
+
+_CURVE = f"""{_STATS}, lastp as (select ingredient, arg_max(price_avg_weekly, week_start) as now, extract(week from max(week_start))::int as start from panel group by 1), mid as (select ingredient, avg(median) as mid from stats group by 1),
+  ahead as (select ingredient, now, mid, i::int as week_index, ((start - 2 + i) % 52 + 1)::int as week_of_year from lastp join mid using (ingredient) cross join generate_series(1, 52) g(i)),
+  curve as (select a.ingredient, week_index, a.week_of_year, coalesce(median, now) * now / mid as expected_price, coalesce(p25, now * 0.95) * now / mid as p25_price, coalesce(p75, now * 1.05) * now / mid as p75_price,
+  coalesce(seasonal_factor, 0) as seasonal_factor from ahead a left join stats s on s.ingredient = a.ingredient and s.week_of_year = a.week_of_year)"""
+
+
+@query(f"with {_CURVE} select ingredient, week_index, week_of_year, {_round_all(['expected_price', 'p25_price', 'p75_price', 'seasonal_factor'], 4)} from curve")
+def n3_price_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(scores.price_curve(_stats(spark, sf_dir), scores.panel_of(spark, sf_dir)), 4)
+
+
+@query()
+def n4_purchase_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(scores.schedule(scores.price_curve(_stats(spark, sf_dir), scores.panel_of(spark, sf_dir))), 4)
+
+
+@query()
+def a8_schedule_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(scores.schedule_totals(scores.schedule(scores.price_curve(_stats(spark, sf_dir), scores.panel_of(spark, sf_dir)))), 4)
+
+
+@query(f"""with {PANEL}, r as (select *, row_number() over (partition by ingredient order by week_start desc) as k from panel)
+  select ingredient, round(avg(price_avg_weekly), 4) as price_52, round(avg(di_ppi), 4) as di_52, count(*) as n_weeks from r where k <= 52 group by 1""")
+def a7_trailing_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = Window.partitionBy("ingredient").orderBy(F.col("week_start").desc())
+    t = scores.panel_of(spark, sf_dir).withColumn("k", F.row_number().over(back)).where("k <= 52")
+    return rounded(t.groupBy("ingredient").agg(F.avg("price_avg_weekly").alias("price_52"), F.avg("di_ppi").alias("di_52"), F.count("*").alias("n_weeks")))
