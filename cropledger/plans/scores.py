@@ -16,7 +16,11 @@ LEVELS = [(90, "EMERGENCY"), (75, "HIGH"), (60, "MODERATE")]
 RISKS = [(80, "CRITICAL"), (60, "HIGH"), (40, "MODERATE"), (20, "LOW")]
 SHOCKS = [("diesel", s) for s in (-0.2, -0.1, 0.1, 0.2)] + [("nat_gas", s) for s in (-0.2, -0.1, 0.1, 0.2)] + [("fed_funds", s) for s in (-0.5, -0.25, 0.25, 0.5)] + [("miles", s) for s in (-0.2, 0.2)]
 HORIZONS = 13
-BY = Window.partitionBy("ingredient").orderBy("week_start")
+
+
+def weeks():
+    """The rows of an ingredient in time order; made on demand, as a window needs a session."""
+    return Window.partitionBy("ingredient").orderBy("week_start")
 
 
 def transport(diesel: Column, miles: Column | float = COST["miles"]) -> Column:
@@ -30,7 +34,7 @@ def carry(price: Column, rate: Column | float = COST["rate"]) -> Column:
 
 def targets(panel: DataFrame) -> DataFrame:
     """Long form: the price h weeks ahead for each h of 1 to 13; rows without a target are left out."""
-    wide = panel.select("ingredient", "week_start", "price_avg_weekly", *(F.lead("price_avg_weekly", h).over(BY).alias(f"h{h}") for h in range(1, HORIZONS + 1)))
+    wide = panel.select("ingredient", "week_start", "price_avg_weekly", *(F.lead("price_avg_weekly", h).over(weeks()).alias(f"h{h}") for h in range(1, HORIZONS + 1)))
     long = wide.unpivot(["ingredient", "week_start", "price_avg_weekly"], [f"h{h}" for h in range(1, HORIZONS + 1)], "h", "target")
     return long.withColumn("horizon", F.substring("h", 2, 2).cast("int")).drop("h").where("target is not null")
 
@@ -48,7 +52,7 @@ def naive_backtest(panel: DataFrame) -> DataFrame:
 
 def drift_backtest(panel: DataFrame) -> DataFrame:
     """Direction hits and skill of the trailing four-week mean as a forecast, against the naive one."""
-    m = panel.withColumn("guess", F.avg("price_avg_weekly").over(BY.rowsBetween(-3, 0)))
+    m = panel.withColumn("guess", F.avg("price_avg_weekly").over(weeks().rowsBetween(-3, 0)))
     t = targets(panel).join(m.select("ingredient", "week_start", "guess"), ["ingredient", "week_start"])
     hit = (F.signum(F.col("guess") - F.col("price_avg_weekly")) == F.signum(F.col("target") - F.col("price_avg_weekly"))).cast("int")
     a = t.groupBy("ingredient", "horizon").agg(F.avg(hit).alias("direction"), F.avg(F.abs(F.col("target") - F.col("guess"))).alias("mae"), F.avg(F.abs(F.col("target") - F.col("price_avg_weekly"))).alias("base"))
@@ -90,13 +94,13 @@ def _z(x: str, centre: Column, spread: Column) -> Column:
 
 
 def disruption(panel: DataFrame) -> DataFrame:
-    t = panel.withColumns({"c1": W.change("price_avg_weekly", BY, 1), "c4": W.change("price_avg_weekly", BY, 4), "c12": W.change("price_avg_weekly", BY, 12), "c26": W.change("price_avg_weekly", BY, 26), "s12": W.change("macro_ppi", BY, 12)})
+    t = panel.withColumns({"c1": W.change("price_avg_weekly", weeks(), 1), "c4": W.change("price_avg_weekly", weeks(), 4), "c12": W.change("price_avg_weekly", weeks(), 12), "c26": W.change("price_avg_weekly", weeks(), 26), "s12": W.change("macro_ppi", weeks(), 12)})
     t = t.withColumns({"gap": F.coalesce("s12", F.lit(0.0)) - F.coalesce("c12", F.lit(0.0)), "momentum": F.col("c4") - F.col("c26")})
-    r = lambda c, n, least, f: W.rolling(F.col(c), BY, n, least, f)
+    r = lambda c, n, least, f: W.rolling(F.col(c), weeks(), n, least, f)
     ratio = clip(r("c1", 12, 4, F.stddev_samp) / F.greatest(r("c1", 52, 12, F.stddev_samp), F.lit(1e-6)), 0, 5)
     ratio = F.when(r("c1", 52, 12, F.stddev_samp).isNotNull(), ratio)
     t = t.withColumns({
-        "score_supply_deviation": _z("macro_ppi", W.rolling_median(F.col("macro_ppi"), BY, 52, 13), r("macro_ppi", 52, 13, F.stddev_samp)),
+        "score_supply_deviation": _z("macro_ppi", W.rolling_median(F.col("macro_ppi"), weeks(), 52, 13), r("macro_ppi", 52, 13, F.stddev_samp)),
         "score_price_gap": _z("gap", r("gap", 52, 4, F.avg), r("gap", 52, 4, F.stddev_samp)),
         "score_price_momentum": _z("momentum", r("momentum", 52, 4, F.avg), r("momentum", 52, 4, F.stddev_samp)),
         "score_volatility_spike": clip(ratio / 3 * 100, 0, 100),
@@ -107,18 +111,18 @@ def disruption(panel: DataFrame) -> DataFrame:
 
 
 def risk(panel: DataFrame, weights: tuple[float, ...] = (0.3, 0.3, 0.2, 0.2)) -> DataFrame:
-    r = lambda c, n, least, f: W.rolling(F.col(c), BY, n, least, f)
+    r = lambda c, n, least, f: W.rolling(F.col(c), weeks(), n, least, f)
     longer = r("price_avg_weekly", 52, 12, F.avg)
-    t = panel.withColumn("c1", W.change("price_avg_weekly", BY, 1))
+    t = panel.withColumn("c1", W.change("price_avg_weekly", weeks(), 1))
     vol = F.coalesce(r("c1", 26, 4, F.stddev_samp), F.lit(0.0))
     t = t.withColumns({
         "r1": F.when(longer.isNotNull(), F.round(clip(r("price_avg_weekly", 13, 4, F.avg) / F.greatest(longer, F.lit(1e-6)), 0.5, 2.0), 9)),
-        "r2": F.round(F.coalesce(W.change("macro_ppi", BY, 52), F.lit(0.0)), 9),
+        "r2": F.round(F.coalesce(W.change("macro_ppi", weeks(), 52), F.lit(0.0)), 9),
         "r3": -F.col("di_ppi"),
-        "r4": F.round(-F.coalesce(W.change("price_avg_weekly", BY, 26), F.lit(0.0)) * (1 - clip(vol, 0, 0.1) / 0.1), 9),
+        "r4": F.round(-F.coalesce(W.change("price_avg_weekly", weeks(), 26), F.lit(0.0)) * (1 - clip(vol, 0, 0.1) / 0.1), 9),
     })
     names = ["supply_risk", "cost_risk", "logistics_risk", "demand_risk"]
-    t = t.withColumns({n: W.expanding_rank(f"r{i}", BY) for i, n in enumerate(names, 1)})
+    t = t.withColumns({n: W.expanding_rank(f"r{i}", weeks()) for i, n in enumerate(names, 1)})
     whole = sum(weights)
     total = sum((F.col(n) * (w / whole) for n, w in zip(names[1:], weights[1:])), F.col(names[0]) * (weights[0] / whole))
     t = t.withColumn("composite_risk", clip(total, 0, 100)).withColumn("level", classify(F.col("composite_risk"), RISKS, "MINIMAL"))
@@ -127,23 +131,23 @@ def risk(panel: DataFrame, weights: tuple[float, ...] = (0.3, 0.3, 0.2, 0.2)) ->
 
 def latest(df: DataFrame, n: int, value: str) -> DataFrame:
     """(ingredient, week_start, value, trend): the last row of each ingredient and the last n values, oldest first."""
-    w = BY.rowsBetween(1 - n, 0)
+    w = weeks().rowsBetween(1 - n, 0)
     return df.withColumn("trend", F.collect_list(value).over(w)).groupBy("ingredient").agg(F.max_by(F.struct("week_start", value, "trend"), "week_start").alias("s")).select("ingredient", "s.*")
 
 
 def weekly_grid(panel: DataFrame) -> DataFrame:
     """A row for every week between the first and last of an ingredient, the price carried forward, numbered from 0."""
     ends = panel.groupBy("ingredient").agg(F.min("week_start").alias("a"), F.max("week_start").alias("b"))
-    weeks = ends.select("ingredient", F.explode(F.sequence("a", "b", F.expr("interval 7 days"))).alias("week_start"))
-    t = weeks.join(panel.select("ingredient", "week_start", "price_avg_weekly"), ["ingredient", "week_start"], "left")
-    return t.select("ingredient", "week_start", W.filled("price_avg_weekly", BY).alias("price"), (F.row_number().over(BY) - 1).alias("i"))
+    grid = ends.select("ingredient", F.explode(F.sequence("a", "b", F.expr("interval 7 days"))).alias("week_start"))
+    t = grid.join(panel.select("ingredient", "week_start", "price_avg_weekly"), ["ingredient", "week_start"], "left")
+    return t.select("ingredient", "week_start", W.filled("price_avg_weekly", weeks()).alias("price"), (F.row_number().over(weeks()) - 1).alias("i"))
 
 
 def seasonal(grid: DataFrame) -> DataFrame:
     """grid with trend and seasonal parts of period 52: a centred mean with half weights at its ends, lines fitted to the
     nearest 51 trend points beyond it, and mean deviations by position less their mean; 0 with fewer than 104 weeks."""
     key = Window.partitionBy("ingredient")
-    w = BY.rowsBetween(-26, 26)
+    w = weeks().rowsBetween(-26, 26)
     centred = (F.sum("price").over(w) - (F.first("price").over(w) + F.last("price").over(w)) / 2) / 52
     t = grid.withColumn("n", F.count("*").over(key)).withColumn("inner", F.when(F.count("price").over(w) == 53, centred))
     x, y = F.col("i").cast("double"), F.col("inner")
@@ -167,8 +171,8 @@ def price_curve(stats: DataFrame, panel: DataFrame) -> DataFrame:
     """52 weeks ahead from the week of the last price, medians scaled so that their mean is that price."""
     last = panel.groupBy("ingredient").agg(F.max_by("price_avg_weekly", "week_start").alias("now"), F.weekofyear(F.max("week_start")).alias("start"))
     mid = stats.groupBy("ingredient").agg(F.avg("median").alias("mid"))
-    weeks = last.join(mid, "ingredient").withColumn("week_index", F.explode(F.sequence(F.lit(1), F.lit(52)))).withColumn("week_of_year", F.pmod(F.col("start") - 2 + F.col("week_index"), F.lit(52)) + 1)
-    t = weeks.join(stats, ["ingredient", "week_of_year"], "left")
+    ahead_of = last.join(mid, "ingredient").withColumn("week_index", F.explode(F.sequence(F.lit(1), F.lit(52)))).withColumn("week_of_year", F.pmod(F.col("start") - 2 + F.col("week_index"), F.lit(52)) + 1)
+    t = ahead_of.join(stats, ["ingredient", "week_of_year"], "left")
     scale = F.when(F.col("mid") > 0, F.col("now") / F.col("mid")).otherwise(1.0)
     at = lambda c, k: F.coalesce(F.col(c), F.col("now") * k) * scale
     return t.select("ingredient", "week_index", "week_of_year", at("median", 1.0).alias("expected_price"), at("p25", 0.95).alias("p25_price"), at("p75", 1.05).alias("p75_price"), F.coalesce("seasonal_factor", F.lit(0.0)).alias("seasonal_factor"))
