@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cropledger.functions import text
 from cropledger.operators import quality
 from cropledger.operators import windows as W
-from cropledger.plans import panel, scores
+from cropledger.plans import forecast, panel, scores, staging
 from cropledger.sources import tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -355,3 +355,103 @@ def a7_trailing_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = Window.partitionBy("ingredient").orderBy(F.col("week_start").desc())
     t = scores.panel_of(spark, sf_dir).withColumn("k", F.row_number().over(back)).where("k <= 52")
     return rounded(t.groupBy("ingredient").agg(F.avg("price_avg_weekly").alias("price_52"), F.avg("di_ppi").alias("di_52"), F.count("*").alias("n_weeks")))
+
+
+@query("""select o_custkey::int as ingredient_id, round(o_totalprice, 2) as ppi, o_orderdate::date as ppi_date, 'monthly' as ppi_frequency from orders where o_orderkey % 7 > 1""")
+def g2_price_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = _raw_index(spark, sf_dir).select(F.col("o_custkey").cast("string").alias("ingredient_id"), "ppi", "date", text.frequency(F.lit("M")).alias("frequency"))
+    return staging.price_index(raw, "ingredient_id", "int")
+
+
+@query("""select o_orderpriority as fred_series_id, 'DOLLAR ' || o_orderstatus as name, round(o_totalprice, 2) as ppi, o_orderdate::date as ppi_date, 'daily' as ppi_frequency from orders where o_orderkey % 7 > 1""")
+def g3_dollar_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = _raw_index(spark, sf_dir).select(F.col("o_orderpriority").alias("fred_series_id"), F.concat(F.lit("DOLLAR "), "o_orderstatus").alias("name"), "ppi", "date", text.frequency(F.lit("D")).alias("frequency"))
+    return staging.price_index(raw, "fred_series_id", "string", "name")
+
+
+def _raw_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders as landed index rows: text, with the tokens for no value."""
+    k = F.col("o_orderkey") % 7
+    return tables.parquet(spark, sf_dir, "orders").withColumns({"ppi": F.when(k == 0, ".").when(k == 1, "").otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string")), "date": F.date_format("o_orderdate", "yyyy-MM-dd")})
+
+
+@query("""select l_suppkey::int as slug_id, case l_linenumber % 3 when 0 then 'SOYBEAN' when 1 then 'SUNFLOWER' else 'CORN' end as ams_ingredient_name, 'REPORT ' || l_returnflag as report_title, l_linestatus as ams_ingredient_group,
+  null::varchar as ams_ingredient_grade, 'PER BU' as price_unit, 'CASH' as sale_type, 'ELEVATOR' as delivery_point, 'FOB' as freight, 'TRUCK' as trans_mode, 'IA' as market_location_state,
+  case when l_linenumber = 2 then null else round(l_extendedprice, 2) end as price_min, round(l_extendedprice, 2) as price_max, null::double as price_avg, l_shipdate::date as report_date from lineitem""")
+def g4_market_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n, price = F.col("l_linenumber"), F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
+    raw = tables.parquet(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").cast("string").alias("slug_id"), F.when(n % 3 == 0, " Soybeans").when(n % 3 == 1, "sunflower seeds ").otherwise("Corn").alias("commodity"), F.concat(F.lit("Report "), F.lower("l_returnflag")).alias("report_title"),
+        F.lower("l_linestatus").alias("cat"), F.lit(None).cast("string").alias("grade"), F.lit("per bu").alias("price_unit"), F.lit("cash").alias("sale Type"), F.lit("Elevator").alias("delivery_point"), F.lit("fob").alias("freight"),
+        F.lit("Truck").alias("trans_mode"), F.lit("ia").alias("market_location_state"), F.when(n == 2, " ").otherwise(price).alias("price Min"), price.alias("price Max"), F.lit("").alias("avg_price"),
+        F.when(n % 2 == 0, F.date_format("l_shipdate", "MM/dd/yyyy")).otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("report_date"),
+    )
+    return staging.market_reports(raw)
+
+
+@query("""select p_brand as ingredient_name, p_type as unit_of_measure, case when p_partkey % 4 = 0 then null else (p_size * 1000 + p_partkey % 1000)::double end as amount, case when p_partkey % 3 = 0 then null else p_size::double end as cv_pct,
+  (1990 + p_size)::int as year, 'ANNUAL' as frequency, 'YEAR' as range, date '2020-01-01' + p_size as load_time, 'IA' as state, 'UNITED STATES' as country from part""")
+def g5_production(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, size = F.col("p_partkey"), F.col("p_size")
+    raw = tables.parquet(spark, sf_dir, "part").select(
+        F.col("p_brand").alias("CLASS_DESC"), F.col("p_type").alias("UNIT_DESC"), F.when(k % 4 == 0, " (D)").otherwise(F.format_number(size * 1000 + k % 1000, 0)).alias("VALUE"), F.when(k % 3 == 0, "(NA)").otherwise(size.cast("string")).alias("CV_%"),
+        (size + 1990).cast("string").alias("YEAR"), F.lit("ANNUAL").alias("FREQ_DESC"), F.lit("YEAR").alias("REFERENCE_PERIOD_DESC"), F.concat(F.date_add(F.lit("2020-01-01").cast("date"), size).cast("string"), F.lit(" 12:00:00")).alias("LOAD_TIME"),
+        F.lit("IA").alias("STATE_ALPHA"), F.lit("UNITED STATES").alias("COUNTRY_NAME"),
+    )
+    return staging.production(raw)
+
+
+@query("""select p_partkey::int as ingredient_id, p_type as ingredient_group, p_name as ingredient_description, p_brand as ingredient_name, 'BU' as unit_of_measure, case when p_size % 3 = 0 then null else 'PCU' || p_size end as fred_series_id from part""")
+def g6_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = tables.parquet(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("ingredient_id"), F.col("p_type").alias("ingredient_group"), F.col("p_name").alias("ingredient_description"), F.col("p_brand").alias("ingredient_name"), F.lit("BU").alias("unit_of_measure"),
+        F.when(F.col("p_size") % 3 == 0, "No PPI available").otherwise(F.concat(F.lit("PCU"), F.col("p_size").cast("string"))).alias("fred_series_id"),
+    )
+    return staging.mapping(raw)
+
+
+@query("""with raw as (select upper(p_type) as g, p_name as d, p_brand as n, 'TONS' as u from part union all select upper(p_type), '', p_brand, '' from part where p_size % 2 = 0),
+  c as (select distinct trim(regexp_replace(g, '[-–—,. ]+', ' ', 'g')) as ingredient_group, trim(regexp_replace(upper(d), '[-–—,. ]+', ' ', 'g')) as ingredient_description, trim(regexp_replace(upper(n), '[-–—,. #]+', ' ', 'g')) as ingredient_name,
+  case u when 'TONS' then 'TON' else u end as unit_of_measure from raw) select * from c where ingredient_group in ('ECONOMY', 'LARGE', 'PROMO')""")
+def u1_two_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = tables.parquet(spark, sf_dir, "part")
+    name = F.regexp_replace("p_brand", "#", "-")
+    crops = part.select(F.col("p_type").alias("GROUP_DESC"), F.col("p_name").alias("COMMODITY_DESC"), name.alias("CLASS_DESC"), F.lit(" tons ").alias("UNIT_DESC"))
+    animals = part.where("p_size % 2 = 0").select(name.alias("CLASS_DESC"), F.col("p_type").alias("GROUP_DESC"), F.lit("(NA)").alias("UNIT_DESC"), F.lit("Total").alias("COMMODITY_DESC"))
+    return staging.master([crops, animals], ["ECONOMY", "LARGE", "PROMO"])
+
+
+@query(f"""with {_COST}, l as (select *, row_number() over (partition by ingredient order by week_start desc) as k from cost),
+  u as (select ingredient, week_start, total_landed_cost as t, unnest(['commodity', 'transport', 'energy', 'carry']) as part, unnest([price_avg_weekly, transport_cost, energy_cost, carry_cost]) as usd from l where k = 1)
+  select ingredient, week_start, part, round(usd, 4) as usd, round(case when t > 0 then usd / t * 100 else 0 end, 4) as share_pct from u""")
+def c4_cost_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(scores.cost_shares(scores.landed_cost(scores.panel_of(spark, sf_dir))))
+
+
+def _forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forecast.forecast(panel.weekly_training(spark, sf_dir))
+
+
+@query()
+def b8_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(_forecast(spark, sf_dir))
+
+
+@query()
+def b6_forecast_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(forecast.errors(panel.weekly_training(spark, sf_dir)))
+
+
+@query()
+def b9_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(forecast.importance_summary(forecast.importance(panel.weekly_training(spark, sf_dir))), 6)
+
+
+@query()
+def c2_forecast_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(forecast.forecast_cost(_forecast(spark, sf_dir)))
+
+
+@query()
+def r6_quick_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forecast.quick_risk(scores.panel_of(spark, sf_dir), _forecast(spark, sf_dir))

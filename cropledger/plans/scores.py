@@ -72,6 +72,15 @@ def landed_cost(panel: DataFrame) -> DataFrame:
     return t.withColumn("gross_margin_pct", F.col("gross_margin_usd") / F.col("implied_sell_price") * 100)
 
 
+def cost_shares(cost: DataFrame) -> DataFrame:
+    """(ingredient, week_start, part, usd, share_pct): the parts of the last week's landed cost."""
+    parts = {"commodity": "price_avg_weekly", "transport": "transport_cost", "energy": "energy_cost", "carry": "carry_cost"}
+    last = cost.groupBy("ingredient").agg(F.max_by(F.struct("week_start", "total_landed_cost", *parts.values()), "week_start").alias("s")).select("ingredient", "s.*")
+    long = last.select("ingredient", "week_start", "total_landed_cost", *(F.col(c).alias(p) for p, c in parts.items())).unpivot(["ingredient", "week_start", "total_landed_cost"], list(parts), "part", "usd")
+    share = F.when(F.col("total_landed_cost") > 0, F.col("usd") / F.col("total_landed_cost") * 100).otherwise(0.0)
+    return long.select("ingredient", "week_start", "part", "usd", share.alias("share_pct"))
+
+
 def scenarios(cost: DataFrame) -> DataFrame:
     """Each row of landed_cost() under each of the fourteen shocks: change of the total, in money and percent."""
     spark = cost.sparkSession
