@@ -48,30 +48,63 @@ def validate(calls: DataFrame, schemas: DataFrame) -> DataFrame:
     return parsed.withColumn("violations", found).drop("parameters", "given", "value")
 
 
+def _followed(single: DataFrame) -> DataFrame:
+    """single with each call's need followed through other such calls, by pointer doubling; calls on or before a cycle left out.
+
+    A row (up, low, more) says that a level is max(low, level of up + more), and two such rows compose to another.
+    """
+    most = single.groupBy("conv_id").agg(F.count("*").alias("n")).agg(F.max("n")).collect()[0][0] or 0
+    ends = single.withColumn("open", F.lit(True))
+    for _ in range(most.bit_length()):  # no chain of single needs has more links than the conversation has such calls
+        over = ends.select("conv_id", F.col("call_id").alias("up"), F.col("up").alias("up_2"), F.col("low").alias("low_2"), F.col("more").alias("more_2"))
+        joined = ends.join(over, ["conv_id", "up"], "left")
+        ends = materialise(
+            joined.select(
+                "conv_id", "call_id", F.coalesce("up_2", "up").alias("up"), F.greatest("low", F.col("low_2") + F.col("more")).alias("low"),
+                (F.col("more") + F.coalesce("more_2", F.lit(0))).alias("more"), F.col("up_2").isNotNull().alias("open"),
+            ),
+            "followed",
+        )
+        if ends.where("open").isEmpty():
+            break
+    return ends.join(single.select("conv_id", F.col("call_id").alias("up")), ["conv_id", "up"], "left_anti").select("conv_id", "call_id", "up", "low", "more")
+
+
 def levels(calls: DataFrame) -> DataFrame:
-    """(conv_id, call_id, level) of calls that depend on others of their conversation: the longest chain of calls before it.
+    """(conv_id, call_id, level) of calls that depend on others of their conversation or are needed: the longest chain of calls before it.
 
-    Round by round, dependencies on calls that wait for nothing are met and set aside; a call's level is one more than
-    the round that meets its last. Calls on a cycle, or after one, are never met: their level is null.
+    A state row (call, up, low, more) says that the call's level is at least max(low, level of up + more); up is null
+    where all is known. In each round, calls with one open need are followed to the end of their chain in a number
+    of joins that is logarithmic in its length, and rows whose up is then settled or such a call are replaced. A chain of any
+    length takes one round; only calls with several open needs each may ask for more. Calls on a cycle, or
+    after one, never settle: their level is null.
     """
     known = calls.groupBy("conv_id", "call_id").agg(F.max("turn").alias("turn")).drop("turn")
-    needs = calls.select("conv_id", "call_id", F.explode("depends_on").alias("needs")).distinct()
-    waiting = materialise(needs.join(known.withColumnRenamed("call_id", "needs"), ["conv_id", "needs"], "left_semi"), "needs")
-    met, turn = [], 0
-    while not waiting.isEmpty():
-        blocked = waiting.select("conv_id", F.col("call_id").alias("needs")).distinct().withColumn("blocked", F.lit(True))
-        marked = materialise(waiting.join(blocked, ["conv_id", "needs"], "left"), "needs")
-        free = marked.where("blocked is null")
-        if free.isEmpty():
+    needs = calls.select("conv_id", "call_id", F.explode("depends_on").alias("up")).distinct()
+    needs = materialise(needs.join(known.withColumnRenamed("call_id", "up"), ["conv_id", "up"], "left_semi"), "needs")
+    nodes = needs.select("conv_id", "call_id").union(needs.select("conv_id", "up")).distinct()
+    zero = F.lit(0).cast("long")
+    state = needs.select("conv_id", "call_id", "up", zero.alias("low"), (zero + 1).alias("more"))
+    state = materialise(state.unionByName(nodes.select("conv_id", "call_id", F.lit(None).cast("string").alias("up"), zero.alias("low"), zero.alias("more"))), "levels")
+    while True:
+        node = materialise(state.groupBy("conv_id", "call_id").agg(F.count("up").alias("n"), F.max("up").alias("up"), F.max("low").alias("low"), F.max(F.when(F.col("up").isNotNull(), F.col("more"))).alias("more")), "level_nodes")
+        if node.where("n > 0").isEmpty():
+            break
+        ends = _followed(node.where("n = 1").drop("n"))
+        settled = node.where("n = 0").select("conv_id", "call_id", "up", "low", "more")
+        rest = state.join(ends.select("conv_id", "call_id"), ["conv_id", "call_id"], "left_anti")
+        onward = settled.unionByName(ends).select("conv_id", F.col("call_id").alias("up"), F.col("up").alias("up_2"), F.col("low").alias("low_2"), F.col("more").alias("more_2"))
+        joined = rest.unionByName(ends).join(onward, ["conv_id", "up"], "left")
+        hit = F.col("low_2").isNotNull()
+        replaced = joined.select(
+            "conv_id", "call_id", F.when(hit, F.col("up_2")).otherwise(F.col("up")).alias("up"), F.greatest("low", F.col("low_2") + F.col("more")).alias("low"), (F.col("more") + F.coalesce("more_2", F.lit(0))).alias("more"), hit.alias("hit"),
+        )
+        merged = replaced.groupBy("conv_id", "call_id", "up").agg(F.max("low").alias("low"), F.max("more").alias("more"), F.max("hit").alias("hit"))
+        merged = materialise(merged, "levels")
+        state = merged.drop("hit")
+        if merged.where("hit").isEmpty():
             break
-        met.append(free.select("conv_id", "call_id", F.lit(turn + 1).alias("level")))
-        waiting, turn = marked.where("blocked").select("conv_id", "needs", "call_id"), turn + 1
-    never = waiting.select("conv_id", "call_id", F.lit(None).cast("int").alias("level"))
-    every = never
-    for m in met:
-        every = every.union(m)
-    # max() skips nulls, so a call that still waits has to be told apart.
-    return every.groupBy("conv_id", "call_id").agg(F.when(F.max(F.col("level").isNull()), F.lit(None)).otherwise(F.max("level")).alias("level"))
+    return state.groupBy("conv_id", "call_id").agg(F.when(F.count("up") == 0, F.max("low")).cast("int").alias("level"))
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:

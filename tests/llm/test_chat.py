@@ -34,6 +34,30 @@ def test_links_levels_and_violations(spark):
     assert out["result", 3, 0].status == "orphan" and out["result", None, 1].status == "orphan"
 
 
+def test_levels_of_any_graph(spark):
+    import random
+
+    rng = random.Random(3)
+    calls, want = [], {}
+    for conv in range(25):
+        n = rng.choice([1, 5, 30])
+        names = [f"k{i}" for i in range(n)]
+        needs = {c: [] for c in names}
+        for i, c in enumerate(names):
+            needs[c] = rng.sample(names[:i], min(i, rng.choice([0, 1, 1, 1, 2, 3])))
+            if conv % 3 == 0 and rng.random() < 0.1:
+                needs[c].append(rng.choice(names))
+        level = {}
+        for _ in names:
+            level |= {c: max((level[d] + 1 for d in needs[c]), default=0) for c in names if all(d in level for d in needs[c])}
+        calls += [(conv, i, c, None, None, needs[c]) for i, c in enumerate(names)]
+        want |= {(conv, c): level.get(c) for c in names}
+    calls += [(99, i, f"c{i}", None, None, [f"c{i - 1}"]) for i in range(300)]
+    want |= {(99, f"c{i}"): i for i in range(300)}
+    got = {(r.conv_id, r.call_id): r.level for r in chat.levels(spark.createDataFrame([(*c, 0) for c in calls], CALLS)).collect()}
+    assert all(got.get(k, 0) == v for k, v in want.items())
+
+
 def test_empty(spark):
     assert rows(spark, []) == {}
 
