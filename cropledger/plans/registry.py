@@ -27,9 +27,14 @@ def query(sql: str | None = None):
     return add
 
 
-def rounded(df: DataFrame, places: int = 4, exact: tuple = ("price_avg_weekly",)) -> DataFrame:
+#: Added before rounding to four places where means of a few prices often end in a 5 at the fifth, which the order of
+#: additions would push up or down; the same in the SQL.
+TIE = 1.3e-7
+
+
+def rounded(df: DataFrame, places: int = 4, exact: tuple = ("price_avg_weekly",), tie: float = 0.0) -> DataFrame:
     """Round doubles whose last digits depend on the order of additions; exact ones are left as they are."""
-    return df.select(*(F.round(c, places).alias(c) if kind == "double" and c not in exact else F.col(c) for c, kind in df.dtypes))
+    return df.select(*(F.round(F.col(c) + tie, places).alias(c) if kind == "double" and c not in exact else F.col(c) for c, kind in df.dtypes))
 
 
 REPORTS = """reports as (select p_brand as ingredient, p_type as ingredient_group, l_shipdate::date as report_date, l_extendedprice::decimal(18,2) as price,
@@ -60,19 +65,19 @@ def _forward(rows: str, key: str, date: str, value: str, spans: list[int], unit:
     return f"fwd as (select *, {means} from {rows})", pct
 
 
-def _round_all(names: list[str], places: int = 4) -> str:
-    return ", ".join(f"round({n}, {places}) as {n}" for n in names)
+def _round_all(names: list[str], places: int = 4, tie: float = 0.0) -> str:
+    return ", ".join(f"round({n} + {tie}, {places}) as {n}" for n in names)
 
 
 _EXACT = ["price_avg_weekly", "price_min_weekly", "price_max_weekly", *(f"price_lag_{n}w" for n in (1, 2, 4, 8, 13, 26, 52)), "di_ppi", "macro_ppi"]
 _F = [*(f"price_hist_avg_{n}w" for n in (4, 12, 26, 52)), "price_hist_std_12w"]
 
 
-@query(f"""with {WEEKLY} select f.ingredient, f.week_start, n_reports_in_week, {", ".join(_EXACT)}, {_round_all(_F, 6)}, extract(year from f.week_start)::int as year, extract(week from f.week_start)::int as week_of_year,
+@query(f"""with {WEEKLY} select f.ingredient, f.week_start, n_reports_in_week, {", ".join(_EXACT)}, {_round_all(_F, 4, TIE)}, extract(year from f.week_start)::int as year, extract(week from f.week_start)::int as week_of_year,
   extract(month from f.week_start)::int as month, extract(quarter from f.week_start)::int as quarter
   from featured f left join di using (week_start) left join macro m on m.ingredient = f.ingredient and m.week_start = f.week_start""")
 def m5_weekly_training(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(panel.weekly_training(spark, sf_dir), 6, tuple(_EXACT))
+    return rounded(panel.weekly_training(spark, sf_dir), 4, tuple(_EXACT), TIE)
 
 
 _c, _p = _forward("dollar", "1", "ppi_date", "ppi", panel.DAYS, "d")
@@ -310,18 +315,20 @@ _SEASON = f"""{_GRID}, t0 as (select *, count(*) over (partition by ingredient)
   parts as (select t1.ingredient, week_start, price, case when n >= 104 then trend end as trend, case when n >= 104 then seasonal else 0 end as seasonal from t1 join sn on sn.ingredient = t1.ingredient and sn.p = t1.i % 52)"""
 
 
-@query(f"with {_SEASON} select ingredient, week_start, price, round(trend, 4) as trend, round(seasonal, 4) as seasonal from parts")
+@query(f"with {_SEASON} select ingredient, week_start, price, {_round_all(['trend', 'seasonal'], 4, TIE)} from parts")
 def n2_seasonal_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(scores.seasonal(scores.weekly_grid(scores.panel_of(spark, sf_dir))), exact=("price",))
+    return rounded(scores.seasonal(scores.weekly_grid(scores.panel_of(spark, sf_dir))), exact=("price",), tie=TIE)
 
 
 _STATS = f"""{_SEASON}, stats as (select ingredient, extract(week from week_start)::int as week_of_year, quantile_cont(price, 0.25) as p25, quantile_cont(price, 0.5) as median, quantile_cont(price, 0.75) as p75, avg(price) as mean,
   avg(seasonal) as seasonal_factor from parts where extract(week from week_start) <= 52 group by 1, 2)"""
 
 
-@query(f"with {_STATS} select ingredient, week_of_year, {_round_all(['p25', 'median', 'p75'], 6)}, {_round_all(['mean', 'seasonal_factor'])} from stats")
+# Quartiles between means of 8 or 16 prices often end in a 5 at the next place: 1e-8 takes such ties upward on both sides.
+@query(f"with {_STATS} select ingredient, week_of_year, {', '.join(f'round({c} + 1e-8, 6) as {c}' for c in ('p25', 'median', 'p75'))}, {_round_all(['mean', 'seasonal_factor'])} from stats")
 def a6_seasonal_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(rounded(_stats(spark, sf_dir), 6, ("mean", "seasonal_factor")), 4, ("p25", "median", "p75"))
+    quartiles = ("p25", "median", "p75")
+    return rounded(_stats(spark, sf_dir).withColumns({c: F.round(F.col(c) + 1e-8, 6) for c in quartiles}), 4, quartiles)
 
 
 def _stats(spark: SparkSession, sf_dir: str) -> DataFrame:
