@@ -71,11 +71,11 @@ def filled_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dollar_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     one = dollar_index(spark, sf_dir).withColumn("series", F.lit("DOLLAR"))
-    return W.forward_averages(one, ["series"], "ppi_date", "ppi", DAYS, "d").withColumn("ppi", F.col("ppi").cast("double"))
+    return W.forward_averages(one, ["series"], "ppi_date", "ppi", DAYS, "d", unique=True).withColumn("ppi", F.col("ppi").cast("double"))
 
 
 def macro_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return W.forward_averages(monthly_index(reports(spark, sf_dir)), ["ingredient"], "ppi_date", "ppi", MONTHS, "mo").withColumn("ppi", F.col("ppi").cast("double"))
+    return W.forward_averages(monthly_index(reports(spark, sf_dir)), ["ingredient"], "ppi_date", "ppi", MONTHS, "mo", unique=True).withColumn("ppi", F.col("ppi").cast("double"))
 
 
 def market_mart(spark: SparkSession, sf_dir: str, name: str | None = None) -> DataFrame:
@@ -83,7 +83,7 @@ def market_mart(spark: SparkSession, sf_dir: str, name: str | None = None) -> Da
     rep = reports(spark, sf_dir)
     rep = rep.where(F.col("ingredient").contains(name)) if name else rep
     daily = rep.groupBy("ingredient", "ingredient_group", "report_date").agg(F.min("price").cast("double").alias("price_min"), F.max("price").cast("double").alias("price_max"), exact_mean("price").alias("price_avg"))
-    out = W.forward_averages(daily, ["ingredient", "ingredient_group"], "report_date", "price_avg", DAYS, "d")
+    out = W.forward_averages(daily, ["ingredient", "ingredient_group"], "report_date", "price_avg", DAYS, "d", unique=True)
     return out.withColumn("price_avg", F.col("price_avg").cast("double"))
 
 
