@@ -14,7 +14,9 @@ def not_null(c: Column) -> Column:
 
 
 def numeric(c: Column) -> Column:
-    return c.isNotNull() & c.cast("string").try_cast("double").isNull()
+    """Text that is no number. Text without a digit is cast only where it may be infinity or NaN: failing casts are slow."""
+    t = c.cast("string")
+    return t.isNotNull() & F.when(t.rlike("[0-9]|(?i)inf|nan"), t.try_cast("double").isNull()).otherwise(True)
 
 
 def matches(c: Column, pattern: str) -> Column:
@@ -32,13 +34,15 @@ def holds(expr: Column) -> Column:
 def flagged(df: DataFrame, checks: dict[str, Column], unique: dict[str, list[str]] | None = None) -> DataFrame:
     """df with reasons, the names of the checks each row violates. Every copy of a repeated key violates uniqueness.
 
-    Copies are counted per key before the join, so a key with many rows is not a window's burden.
+    Copies are counted per key before the join, so a key with many rows is not a window's burden; only keys that occur
+    more than once are joined.
     """
     for name, keys in (unique or {}).items():
-        counts = df.groupBy(*(F.col(k).alias(f"_{name}_{k}") for k in keys)).agg(F.count("*").alias(f"_{name}"))
+        counts = df.groupBy(*(F.col(k).alias(f"_{name}_{k}") for k in keys)).agg(F.count("*").alias(f"_{name}")).where(F.col(f"_{name}") > 1)
         same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_{name}_{k}")) for k in keys))
-        df, checks = df.join(counts, same, "left").drop(*(f"_{name}_{k}" for k in keys)), {**checks, name: F.col(f"_{name}") > 1}
-    reasons = F.array_compact(F.array(*(F.when(c, F.lit(n)) for n, c in checks.items())))
+        df, checks = df.join(counts, same, "left").drop(*(f"_{name}_{k}" for k in keys)), {**checks, name: F.col(f"_{name}").isNotNull()}
+    none = F.array().cast("array<string>")
+    reasons = F.concat(none, *(F.when(c, F.array(F.lit(n))).otherwise(none) for n, c in checks.items()))  # stays in generated code
     return df.withColumn("reasons", reasons).drop(*(f"_{n}" for n in unique or {}))
 
 

@@ -4,19 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def forward_averages(df: DataFrame, key: list[str], date: str, value: str, spans: list[int], unit: str, unique: bool = False) -> DataFrame:
     """Add <value>_fwd_<n><unit> and its change _pct: means over the next n days ('d') or months ('mo'), today included.
 
     All rows of a date share a frame, so the mean is taken over one row per key and date (sums and counts of the
-    non-null values) and joined back; the window sees days, not rows, however many rows a hot key has. Sums are exact
-    for DECIMAL values. unique tells that df has one row per key and date already: it is then read and shuffled once.
+    non-null values) and joined back; the window sees days, not rows, however many rows a hot key has. unique tells that
+    df has one row per key and date already: it is then read and shuffled once. Sums of DECIMAL and whole values are
+    exact, so they are differences of running sums, which take one step per row whatever the span; those of doubles
+    would lose digits that way and are added up frame by frame.
     """
     word = {"d": "days", "mo": "months"}[unit]
     daily = df.withColumns({"_s": F.col(value), "_c": F.col(value).isNotNull().cast("long")}) if unique else df.groupBy(*key, date).agg(F.sum(value).alias("_s"), F.count(value).alias("_c"))
-    frame = f"over (partition by {', '.join(f'`{k}`' for k in key)} order by `{date}` range between current row and interval {{n}} {word} following)"
-    means = [F.expr(f"cast(sum(_s) {frame.format(n=n)} as double) / nullif(sum(_c) {frame.format(n=n)}, 0)").alias(f"{value}_fwd_{n}{unit}") for n in spans]
+    by = f"partition by {', '.join(f'`{k}`' for k in key)} order by `{date}`"
+    exact = not isinstance(df.schema[value].dataType, (T.DoubleType, T.FloatType))
+
+    def ahead(c: str, n: int) -> str:
+        if not exact:
+            return f"sum({c}) over ({by} range between current row and interval {n} {word} following)"
+        upto, before = f"range between unbounded preceding and interval {n} {word} following", "rows between unbounded preceding and 1 preceding"
+        return f"(coalesce(sum({c}) over ({by} {upto}), 0) - coalesce(sum({c}) over ({by} {before}), 0))"
+
+    means = [F.expr(f"cast({ahead('_s', n)} as double) / nullif({ahead('_c', n)}, 0)").alias(f"{value}_fwd_{n}{unit}") for n in spans]
     out = daily.select(*df.columns, *means) if unique else df.join(daily.select(*key, date, *means), [*key, date])
     v = F.col(value).cast("double")
     return out.withColumns({f"{value}_fwd_{n}{unit}_pct": F.when(v != 0, (F.col(f"{value}_fwd_{n}{unit}") - v) / v) for n in spans})

@@ -106,13 +106,15 @@ def disruption(panel: DataFrame) -> DataFrame:
     t = panel.withColumns({"c1": W.change("price_avg_weekly", weeks(), 1), "c4": W.change("price_avg_weekly", weeks(), 4), "c12": W.change("price_avg_weekly", weeks(), 12), "c26": W.change("price_avg_weekly", weeks(), 26), "s12": W.change("macro_ppi", weeks(), 12)})
     t = t.withColumns({"gap": F.coalesce("s12", F.lit(0.0)) - F.coalesce("c12", F.lit(0.0)), "momentum": F.col("c4") - F.col("c26")})
     r = lambda c, n, least, f: W.rolling(F.col(c), weeks(), n, least, f)
-    ratio = clip(r("c1", 12, 4, F.stddev_samp) / F.greatest(r("c1", 52, 12, F.stddev_samp), F.lit(1e-6)), 0, 5)
-    ratio = F.when(r("c1", 52, 12, F.stddev_samp).isNotNull(), ratio)
+    # Each window is a column of its own first: the scores use them several times.
     t = t.withColumns({
-        "score_supply_deviation": _z("macro_ppi", W.rolling_median(F.col("macro_ppi"), weeks(), 52, 13), r("macro_ppi", 52, 13, F.stddev_samp)),
-        "score_price_gap": _z("gap", r("gap", 52, 4, F.avg), r("gap", 52, 4, F.stddev_samp)),
-        "score_price_momentum": _z("momentum", r("momentum", 52, 4, F.avg), r("momentum", 52, 4, F.stddev_samp)),
-        "score_volatility_spike": clip(ratio / 3 * 100, 0, 100),
+        "m1": W.rolling_median(F.col("macro_ppi"), weeks(), 52, 13), "d1": r("macro_ppi", 52, 13, F.stddev_samp), "m2": r("gap", 52, 4, F.avg), "d2": r("gap", 52, 4, F.stddev_samp),
+        "m3": r("momentum", 52, 4, F.avg), "d3": r("momentum", 52, 4, F.stddev_samp), "v12": r("c1", 12, 4, F.stddev_samp), "v52": r("c1", 52, 12, F.stddev_samp),
+    })
+    ratio = F.when(F.col("v52").isNotNull(), clip(F.col("v12") / F.greatest(F.col("v52"), F.lit(1e-6)), 0, 5))
+    t = t.withColumns({
+        "score_supply_deviation": _z("macro_ppi", F.col("m1"), F.col("d1")), "score_price_gap": _z("gap", F.col("m2"), F.col("d2")),
+        "score_price_momentum": _z("momentum", F.col("m3"), F.col("d3")), "score_volatility_spike": clip(ratio / 3 * 100, 0, 100),
     })
     total = F.col("score_supply_deviation") * 0.3 + F.col("score_price_gap") * 0.3 + F.col("score_price_momentum") * 0.2 + F.col("score_volatility_spike") * 0.2
     t = t.withColumn("disruption_score", clip(total, 0, 100)).withColumn("level", classify(F.col("disruption_score"), LEVELS, "LOW"))
@@ -121,14 +123,16 @@ def disruption(panel: DataFrame) -> DataFrame:
 
 def risk(panel: DataFrame, weights: tuple[float, ...] = (0.3, 0.3, 0.2, 0.2)) -> DataFrame:
     r = lambda c, n, least, f: W.rolling(F.col(c), weeks(), n, least, f)
-    longer = r("price_avg_weekly", 52, 12, F.avg)
     t = panel.withColumn("c1", W.change("price_avg_weekly", weeks(), 1))
-    vol = F.coalesce(r("c1", 26, 4, F.stddev_samp), F.lit(0.0))
     t = t.withColumns({
-        "r1": F.when(longer.isNotNull(), F.round(clip(r("price_avg_weekly", 13, 4, F.avg) / F.greatest(longer, F.lit(1e-6)), 0.5, 2.0), 9)),
-        "r2": F.round(F.coalesce(W.change("macro_ppi", weeks(), 52), F.lit(0.0)), 9),
+        "longer": r("price_avg_weekly", 52, 12, F.avg), "shorter": r("price_avg_weekly", 13, 4, F.avg), "vol": F.coalesce(r("c1", 26, 4, F.stddev_samp), F.lit(0.0)),
+        "year": F.coalesce(W.change("macro_ppi", weeks(), 52), F.lit(0.0)), "half": F.coalesce(W.change("price_avg_weekly", weeks(), 26), F.lit(0.0)),
+    })
+    t = t.withColumns({
+        "r1": F.when(F.col("longer").isNotNull(), F.round(clip(F.col("shorter") / F.greatest(F.col("longer"), F.lit(1e-6)), 0.5, 2.0), 9)),
+        "r2": F.round("year", 9),
         "r3": -F.col("di_ppi"),
-        "r4": F.round(-F.coalesce(W.change("price_avg_weekly", weeks(), 26), F.lit(0.0)) * (1 - clip(vol, 0, 0.1) / 0.1), 9),
+        "r4": F.round(-F.col("half") * (1 - clip(F.col("vol"), 0, 0.1) / 0.1), 9),
     })
     names = ["supply_risk", "cost_risk", "logistics_risk", "demand_risk"]
     t = t.withColumns({n: W.expanding_rank(f"r{i}", weeks()) for i, n in enumerate(names, 1)})

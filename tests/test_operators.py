@@ -67,3 +67,24 @@ def test_delimited(spark, tmp_path):
     (tmp_path / "b.csv").write_text("value,name,more\n,q,5\n")
     rows = tables.delimited(spark, {str(tmp_path / "a.csv"): ["name", "value"], str(tmp_path / "b.csv"): ["value", "name", "more"]}).collect()
     assert sorted(tuple(r) for r in rows if r.more is None) == [('x "y"', "1", None), ("z", None, None)] and ("q", None, "5") in [tuple(r) for r in rows]
+
+
+def test_forward_averages_of_exact_and_inexact_values(spark):
+    """Running differences (decimals) and frames (doubles) give the means that a loop over all rows gives; nulls don't count."""
+    start = dt.date(2024, 1, 1)
+    rows = [(k, start + dt.timedelta(days=d), v) for k, d, v in [("a", 0, 1.25), ("a", 0, None), ("a", 3, 2.5), ("a", 7, 4.0), ("a", 8, None), ("a", 40, 8.0), ("b", 1, None), ("b", 2, 3.0)]]
+    want = {}
+    for k, d, _ in rows:
+        ahead = [v for k2, d2, v in rows if k2 == k and 0 <= (d2 - d).days <= 7 and v is not None]
+        want[k, d] = sum(ahead) / len(ahead) if ahead else None
+    base = spark.createDataFrame(rows, "k string, d date, v double")
+    for kind in ("double", "decimal(18,2)"):
+        got = W.forward_averages(base.withColumn("v", F.col("v").cast(kind)), ["k"], "d", "v", [7], "d").collect()
+        assert len(got) == len(rows)
+        assert all(r.v_fwd_7d == want[r.k, r.d] for r in got)
+
+
+def test_numeric_check(spark):
+    texts = ["1", " 2.5 ", "1e5", "R", "", "-Infinity", "NaN", "nancy", "1,000", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", quality.numeric(F.col("t")).alias("bad")).collect()
+    assert {r.t for r in rows if r.bad} == {"R", "", "nancy", "1,000"}
