@@ -38,6 +38,7 @@ UNKNOWN = 0.4
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _TOKEN = re.compile(r"[a-z0-9][a-z0-9.+-]*|[()]|\S")
+_LINE_END = re.compile(r"[\r\n]")
 _BINDS = {"or": 1, "and": 2, "with": 3}
 
 
@@ -60,7 +61,8 @@ def read_expression(text: str) -> tuple[list[str], float] | None:
         output.append((left, (1 + x) / 2) if op == "with" else (left + right, (max if op == "or" else min)(x, y)))
 
     operand = True
-    for token in _TOKEN.findall(text):
+    for found in _TOKEN.finditer(text):
+        token = found.group()
         if token == "(" and operand:
             waiting.append(token)
         elif token == ")" and not operand and "(" in waiting:
@@ -72,7 +74,7 @@ def read_expression(text: str) -> tuple[list[str], float] | None:
                 reduce()
             waiting.append(token)
             operand = True
-        elif operand and token not in _BINDS and token[0].isalnum():
+        elif operand and token not in _BINDS and token[0].isascii() and token[0].isalnum():
             label = label_of(token)
             output.append(([label], FREEDOM.get(label, UNKNOWN)))
             operand = False
@@ -114,8 +116,11 @@ def scan_text(raw: bytes) -> dict:
     expressions = []
     if b":" in raw:
         lowered = raw.translate(_LOWER).decode("latin-1")
-        for end, _ in tags.iter(lowered):
-            line = re.split(r"[\r\n]", lowered[end + 1 : end + 2001], maxsplit=1)[0]
+        tagged = [(end + 1 - len(tag), end + 1) for end, tag in tags.iter(lowered)]
+        # An expression ends with its line, or where the next tag stands: each character is read once, however long the line.
+        for (_, at), (stop, _) in zip(tagged, [*tagged[1:], (len(lowered), 0)]):
+            line_end = _LINE_END.search(lowered, at, stop)
+            line = lowered[at : line_end.start() if line_end else stop].encode("latin-1").decode("utf-8", "replace")
             if found := read_expression(line):
                 expressions.append((line.strip(), *found))
     return {"n_words": len(words), "places": places, "expressions": expressions}

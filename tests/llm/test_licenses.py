@@ -43,5 +43,12 @@ def test_expressions():
     assert licenses.read_expression("gpl-2.0 or mit and apache-2.0") == (["gpl", "mit", "apache"], 0.95)
     assert licenses.read_expression("(gpl-2.0 or mit) and cc-by-nc-4.0")[1] == 0.1
     assert licenses.read_expression("gpl-2.0-or-later with classpath-exception-2.0")[1] == 0.65
-    for bad in ("", "or mit", "(mit", "mit or", "and"):
+    for bad in ("", "or mit", "(mit", "mit or", "and", "été"):
         assert licenses.read_expression(bad) is None
+
+
+def test_long_expressions_are_read_whole():
+    long = b"SPDX-License-Identifier: " + b"(MIT) OR " * 400 + b"GPL-2.0-only"
+    assert licenses.scan_text(long)["expressions"][0][1:] == (["mit"] * 400 + ["gpl"], 1.0)
+    two = licenses.scan_text("SPDX-License-Identifier: MIT license-expression: (CC0-1.0) ünd\nGPL".encode())["expressions"]
+    assert [e[1] for e in two] == [["mit"], ["cc0"]] and two[1][0] == "(cc0-1.0) ünd"
