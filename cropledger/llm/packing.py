@@ -46,6 +46,8 @@ def _encoder(path: str):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
+        if tokenizer.get_vocab_size() > 1 << 16:
+            raise ValueError(f"{path}: ids are kept in 16 bits, the vocabulary has {tokenizer.get_vocab_size()}")
         last = np.array([(tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(tokenizer.get_vocab_size())])
         _stores[path] = (tokenizer, last, {b"": b""})
     tokenizer, last, known = _stores[path]
@@ -92,7 +94,7 @@ def tokenise(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_
     """First pass: (doc_id, part, local_start, n, ids): token ids with end_id appended, and the running token total inside the task.
 
     Written to the scratch folder, so that `part` and `local_start` are fixed data whatever is lost later.
-    A null text is an empty one and holds end_id alone. ids are little-endian uint16 when they fit, as here.
+    A null text is an empty one and holds end_id alone. ids are little-endian uint16; a vocabulary that is larger is refused.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
     end = np.array([end_id], "<u4").tobytes()
