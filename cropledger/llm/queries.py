@@ -1,4 +1,7 @@
-"""The registered queries of this subpackage: one opN_<name> for each operator, on its whole table."""
+"""The registered queries of this subpackage: one opN_<name> for each operator, on its whole table.
+
+op3_chat leaves out what chat.calls_of() does, as its SQL does; op3_turns has every turn.
+"""
 
 from __future__ import annotations
 
@@ -25,6 +28,10 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.link(*chat.calls_of(table(spark, sf_dir, "conversations")), chat.schema_table(spark))
 
 
+def op3_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.link_turns(table(spark, sf_dir, "conversations"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.sanitise(table(spark, sf_dir, "documents")))
 
@@ -66,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embeddings": op1_embeddings,
     "op2_packing": op2_packing,
     "op3_chat": op3_chat,
+    "op3_turns": op3_turns,
     "op4_pii": op4_pii,
     "op5_minhash": op5_minhash,
     "op6_mixing": op6_mixing,
@@ -74,4 +82,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_licenses": op9_licenses,
     "op10_flac": op10_flac,
 }
-ORACLE_SQL: dict[str, str] = {"op3_chat": chat.SQL}
+ORACLE_SQL: dict[str, str] = {"op3_chat": chat.SQL, "op3_turns": chat.TURNS_SQL}

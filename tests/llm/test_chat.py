@@ -74,3 +74,27 @@ def test_sql_on_the_table(spark):
     want = con.execute(f"select {', '.join(names)} from ({chat.SQL})").fetchall()
     got = [tuple(r) for r in queries.op3_chat(spark, sf).select(*names).collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_every_turn_has_a_row_with_its_whole_text(spark):
+    import duckdb
+
+    from cropledger.llm import queries
+
+    sf = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    con.execute(f"create view conversations as select * from '{sf}/conversations.parquet'")
+    names = ["conv_id", "turn", "kind", "call_id", "level", "status", "violations", "json"]
+    got = [tuple(r) for r in queries.op3_turns(spark, sf).select(*names).collect()]
+    assert sorted(got, key=str) == sorted(con.execute(f"select {', '.join(names)} from ({chat.TURNS_SQL})").fetchall(), key=str)
+    turns = con.execute("select conv_id, turn, role, text from conversations").fetchall()
+    rows = sorted((r[0], r[1], str(json.loads(r[7]).get("content", ((a := json.loads(r[7]).get("arguments")) or {}).get("query", (a or {}).get("text"))))) for r in got)
+    assert rows == sorted((c, t, str(x if r != "user" else x or "")) for c, t, r, x in turns) and len(rows) == 536
+
+
+def test_turns_of_any_role(spark):
+    turns = [(1, 0, "system", "be brief"), (1, 1, None, None), (1, 2, "user", "é\"x"), (1, 3, "assistant", "ok"), (1, 4, "tool", "42"), (None, None, "critic", "no")]
+    out = {r.turn: r for r in chat.link_turns(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")).collect()}
+    assert len(out) == 6 and [out[t].kind for t in (0, 1, 2, 3, 4, None)] == ["message", "message", "call", "result", "message", "message"]
+    assert out[1].json == '{"content":null,"role":null,"type":"message"}' and out[4].json == '{"content":"42","role":"tool","type":"message"}'
+    assert json.loads(out[2].json)["arguments"] == {"length": 3, "text": "é\"x", "turn": 2} and out[2].violations == "wrong type turn"
