@@ -21,6 +21,8 @@ BASE = {
 }
 #: A protected kind of the method's own.
 SECRET = r"(?i)\b(?:api[_-]?key|access[_-]?key|secret|password|passwd|token)\s{0,3}[=:]\s{0,3}[\"'][^\"'\s]{8,512}[\"']"
+#: A word, as the method around the spans counts it.
+WORD = r"[\p{L}\p{N}]+"
 #: What a span is replaced by.
 MASKS = {"email": "<EMAIL>", "ip": "<IP>", "card": "<CARD>", "phone": "<PHONE>", "secret": "<SECRET>", "term": "<TERM>"}
 KINDS = [*BASE, "secret"]
@@ -96,30 +98,51 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     return docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), whole.alias("whole")).select("doc_id", "text", "whole", *(spans_of(F.col("text"), k).alias(k) for k in KINDS))
 
 
+def _near(text: Column, start: Column, end: Column) -> Column:
+    """array<struct<at, term>>: the WINDOW words before start and after end in lower case, with their code points in text."""
+    reach = 60 * WINDOW  # code points that hold WINDOW words of ordinary length; longer ones are identifiers themselves
+
+    def walked(part: Column) -> tuple[Column, Column]:
+        return F.regexp_extract_all(F.lower(part), F.lit(WORD), F.lit(0)), F.transform(F.split(part, WORD, -1), F.length)
+
+    def total(lengths: Column) -> Column:
+        return F.aggregate(lengths, F.lit(0), lambda a, x: a + x)
+
+    words, gaps = walked(F.substring(text, F.greatest(start - reach, F.lit(0)) + 1, F.least(start, F.lit(reach))))
+    # The i-th of the last words ends where the gaps and words behind it begin.
+    last = F.slice(F.reverse(words), 1, WINDOW)
+    behind = F.slice(F.reverse(gaps), 1, WINDOW)
+    before = F.transform(last, lambda w, i: F.struct((start - total(F.slice(behind, 1, i + 1)) - total(F.transform(F.slice(last, 1, i + 1), F.length))).alias("at"), w.alias("term")))
+    words, gaps = walked(F.substring(text, end + 1, F.lit(reach)))
+    first = F.slice(words, 1, WINDOW)
+    ahead = F.slice(gaps, 1, WINDOW)
+    after = F.transform(first, lambda w, i: F.struct((end + total(F.slice(ahead, 1, i + 1)) + total(F.transform(F.slice(first, 1, i), F.length))).alias("at"), w.alias("term")))
+    return F.concat(F.reverse(before), after)
+
+
 def disclosing_terms(found: DataFrame, contexts: int = CONTEXTS, share: float = SHARE, bits: float = BITS) -> DataFrame:
     """(entity, term): terms that give an entity away. found: find()'s rows.
 
-    A use of a term is near an entity if at most WINDOW words lie between. Copies of one context count once. For a term
-    t near an entity e, share = near(t, e) / uses(t) estimates how surely t tells of e, and bits =
-    log2(share / (contexts(e) / documents)) what is learned from it. Uses are counted over all texts.
+    A use of a term is near an entity if at most WINDOW words lie between. Everything is counted over distinct texts, so
+    copies of a text change nothing, and a term must stand near the entity in several distinct contexts. For a term
+    t near an entity e, share = uses of t near e / uses of t estimates how surely t tells of e, and bits =
+    log2(share / (texts with e / texts)) what is learned from it. Terms of fewer than 3 characters are not examined.
     """
     entity = F.explode(F.concat(*map(_entities, KINDS)))
-    reach = 60 * WINDOW  # code points that hold WINDOW words of ordinary length; longer ones are identifiers themselves
-    held = found.where(F.greatest(*(F.size(k) for k in KINDS)) > 0).select("doc_id", "text", entity.alias("e"))
-    before = F.regexp_extract_all(F.lower(F.substring(F.col("text"), F.greatest(F.col("e.start") - reach, F.lit(0)) + 1, F.least(F.col("e.start"), F.lit(reach)))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
-    after = F.regexp_extract_all(F.lower(F.substring(F.col("text"), F.col("e.end") + 1, F.lit(reach))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
-    near = F.concat(F.slice(before, F.greatest(F.size(before) - WINDOW + 1, F.lit(1)), F.lit(WINDOW)), F.slice(after, 1, WINDOW))
-    windows = materialise(held.select(F.col("e.entity").alias("entity"), near.alias("near")).distinct(), "contexts")
-    terms = windows.select("entity", F.xxhash64("near").alias("context"), F.explode(F.array_distinct("near")).alias("term")).where(F.length("term") >= 3)
-    repeated = terms.groupBy("entity", "term").agg(F.count("*").alias("n")).where(F.col("n") >= contexts)
+    held = found.where(F.greatest(*(F.size(k) for k in KINDS)) > 0).select(F.sha2("text", 256).alias("copy"), "text", entity.alias("e"))
+    windows = materialise(held.select("copy", F.col("e.entity").alias("entity"), _near(F.col("text"), F.col("e.start"), F.col("e.end")).alias("near")).distinct(), "contexts")
+    terms = windows.select("entity", "copy", F.xxhash64(F.transform("near", lambda w: w["term"])).alias("context"), F.explode("near").alias("w"))
+    terms = terms.select("entity", F.col("w.term").alias("term"), "context", F.struct("copy", "w.at").alias("use")).where(F.length("term") >= 3)
+    repeated = terms.groupBy("entity", "term").agg(F.count_distinct("context").alias("n"), F.count_distinct("use").alias("near_uses")).where(F.col("n") >= contexts)
     repeated = materialise(repeated, "repeated_terms")
     if repeated.isEmpty():
         return repeated.select("entity", "term")
-    words = found.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))).alias("term"))
+    texts = found.select("text").distinct()
+    words = texts.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))).alias("term"))
     uses = words.groupBy("term").agg(F.count("*").alias("uses"))
-    per_entity = windows.groupBy("entity").agg(F.count("*").alias("of_entity"))
-    total = found.agg(F.count("*").alias("of_all"))
-    p = F.least(F.col("n") / F.col("uses"), F.lit(1.0))
+    per_entity = windows.groupBy("entity").agg(F.count_distinct("copy").alias("of_entity"))
+    total = found.select(F.sha2("text", 256).alias("copy")).distinct().agg(F.count("*").alias("of_all"))
+    p = F.least(F.col("near_uses") / F.col("uses"), F.lit(1.0))
     told = F.log2(p / (F.col("of_entity") / F.col("of_all")))
     return repeated.join(uses, "term").join(per_entity, "entity").join(F.broadcast(total)).where((p >= share) & (told >= bits)).select("entity", "term")
 
@@ -150,8 +173,7 @@ def _with_terms(found: DataFrame, pairs: DataFrame) -> DataFrame:
     entities = F.array_distinct(F.transform(F.concat(*map(_entities, KINDS)), lambda e: e["entity"]))
     held = kept.where(F.greatest(*(F.size(k) for k in KINDS)) > 0).select("row", F.explode(entities).alias("entity"))
     terms = held.join(pairs, "entity").groupBy("row").agg(F.collect_set("term").alias("terms"))
-    pattern = r"[\p{L}\p{N}]+"
-    words, gaps = F.regexp_extract_all("text", F.lit(pattern), F.lit(0)), F.transform(F.split("text", pattern, -1), F.length)
+    words, gaps = F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.transform(F.split("text", WORD, -1), F.length)
     # Word positions by a running sum, for documents with terms alone.
     walked = F.aggregate(
         F.zip_with(words, F.slice(gaps, 1, F.greatest(F.size(words), F.lit(1))), lambda w, g: F.struct(w.alias("w"), g.alias("g"))),

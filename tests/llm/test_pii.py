@@ -78,3 +78,23 @@ def test_terms_that_give_an_entity_away(spark):
 def test_copies_of_one_context_count_once(spark):
     df = spark.createDataFrame([(i, "Zebulon wrote from zeb@farm.org today", None, None) for i in range(5)], SCHEMA)
     assert {r.clean_text for r in pii.sanitise(df).collect()} == {"Zebulon wrote from <EMAIL> today"}
+
+
+def test_copies_do_not_hide_terms(spark):
+    told = ["Zebulon wrote from zeb@farm.org today", "Yes, Zebulon answers zeb@farm.org at once"]
+    other = [f"nothing else happened {i}" for i in range(40)]
+    for copies in (1, 5, 300):
+        docs = [(i, t, None, None) for i, t in enumerate(told * copies + other)]
+        texts = {r.clean_text for r in pii.sanitise(spark.createDataFrame(docs, SCHEMA)).collect()}
+        assert texts == {"<TERM> wrote from <EMAIL> today", "Yes, <TERM> answers <EMAIL> at once", *other}, copies
+
+
+def test_words_near_an_entity_have_their_places(spark):
+    texts = ["é, Ab cd  ef gh-ij x@y.zz; Kl 😀 mn op qr st", "x@y.zz", "a x@y.zz b"]
+    df = spark.createDataFrame([(i, t, None, None) for i, t in enumerate(texts)], SCHEMA)
+    at = lambda t: t.index("x@y.zz")
+    rows = pii.find(df).select("doc_id", pii._near(pii.F.col("text"), pii.F.col("email")[0]["start"], pii.F.col("email")[0]["end"]).alias("near")).collect()
+    for r in rows:
+        t = texts[r.doc_id]
+        words = [(m.start(), m[0].lower()) for m in re.finditer(r"[^\W_]+", t)]
+        assert [tuple(w) for w in r.near] == [w for w in words if w[0] < at(t)][-4:] + [w for w in words if w[0] >= at(t) + 6][:4]
