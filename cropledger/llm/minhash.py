@@ -19,11 +19,15 @@ TREES, SHALLOW, DEEP = 20, 4, 6
 REGION = 32
 #: Classes in a block of a crowded region, and the largest region that is compared in blocks before it is taken deeper.
 BLOCK, CROWD = 256, 4096
+#: Trees at depth DEEP in all for the classes of regions beyond CROWD: the fewest that miss a pair at 0.8 no more often than
+#: TREES at depth SHALLOW do, as (1 - 0.8 ** 6) ** 35 = 2.4e-5. Only these classes get the signatures of the further ones.
+CROWD_TREES = 35
 #: Most rows of a key table that is broadcast (about 100 bytes each); a larger one is joined by a shuffle.
 BROADCAST_ROWS = 300_000
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _MULTIPLIERS = (np.random.default_rng(20240607).integers(0, 2**31, TREES * DEEP, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
+_FURTHER = (np.random.default_rng(20251128).integers(0, 2**31, (CROWD_TREES - TREES) * DEEP, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
 _WORDS: dict[bytes, int] = {}
 _WORDS_KEPT = 400_000
 
@@ -53,11 +57,11 @@ def shingle_set(text: bytes | None, width: int) -> np.ndarray:
     return np.unique(out)
 
 
-def _signature(s: np.ndarray) -> bytes:
+def _signature(s: np.ndarray, multipliers: np.ndarray = _MULTIPLIERS) -> bytes:
     x = (s >> np.uint64(32)).astype(np.uint32)
-    low = np.empty(len(_MULTIPLIERS), np.uint32)
+    low = np.empty(len(multipliers), np.uint32)
     buf = np.empty_like(x)
-    for i, m in enumerate(_MULTIPLIERS):
+    for i, m in enumerate(multipliers):
         np.multiply(x, m, out=buf)
         low[i] = buf.min()
     return low.astype(">u4").tobytes()
@@ -152,12 +156,27 @@ def _crowded_links(rows: DataFrame, docs: DataFrame, classes: DataFrame, width:
     return dealt.groupBy("region", "i", "j").applyInPandas(run, "a binary, b binary")
 
 
+def _further_trees(crowd: DataFrame, docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
+    """(tree, path, cls, root) of the distinct (cls, root) rows of crowd in trees beyond TREES; path is DEEP hashes long."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sig = [_signature(np.asarray(x, np.int64).view(np.uint64), _FURTHER) for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sig, pa.binary())], names=["cls", "sig"])
+
+    signed = _sets_of(crowd.select("cls"), docs, classes, width).mapInArrow(run, "cls binary, sig binary")
+    number = F.explode(F.sequence(F.lit(0), F.lit(len(_FURTHER) // DEEP - 1)))
+    placed = crowd.join(signed, "cls").select("cls", "root", "sig", number.alias("n"))
+    return placed.select((F.col("n") + TREES).alias("tree"), F.substring("sig", F.col("n") * (4 * DEEP) + 1, F.lit(4 * DEEP)).alias("path"), "cls", "root")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (smallest doc_id linked, itself included), kept.
 
     Rows with equal shingle sets are one class. Signatures of classes are sorted in TREES orders; neighbours with
     a common prefix of SHALLOW or more are confirmed on full sets. Regions (equal prefixes) that still hold several
-    components are then compared whole: their pairs if they are small, else in blocks; regions beyond CROWD are taken deeper first.
+    components are then compared whole: their pairs if they are small, else in blocks. Regions beyond CROWD are
+    taken deeper first, and their classes are sorted in CROWD_TREES orders, so that a pair is missed no more often there.
     Null or wordless texts link with nothing; rows without doc_id take part, but never name a component unless no
     row of theirs has an id. Repeated rows are all returned. Extra columns are not read.
     """
@@ -180,6 +199,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80, id_col
     grouped = shared.join(first.withColumnRenamed("node", "cls"), "cls", "left").select("tree", "path", "cls", F.coalesce("root", "cls").alias("root"))
     mixed, more, crowded = grouped, [], []
     for depth in range(SHALLOW, DEEP + 1):
+        if depth == DEEP:
+            mixed = mixed.unionByName(_further_trees(crowd, docs, classes, width))
         region = F.concat(F.lpad(F.col("tree").cast("string"), 3, "0").cast("binary"), F.substring("path", 1, 4 * depth))
         keyed = mixed.withColumn("region", region)
         size = keyed.groupBy("region").agg(F.count("*").alias("size"), F.min("root").alias("lowest"), F.max("root").alias("highest")).where("lowest != highest")
@@ -192,8 +213,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80, id_col
         if not blocks.isEmpty():
             crowded.append(blocks)
         mixed = sized.where(F.col("size") > most).drop("size", "region")
-        if mixed.isEmpty():
-            break
+        if depth == SHALLOW:
+            crowd = materialise(mixed.select("cls", "root").distinct(), "crowd")
+            if crowd.isEmpty():
+                break
     pairs = more[0]
     for m in more[1:]:
         pairs = pairs.union(m)

@@ -44,3 +44,26 @@ def test_edge_rows(spark):
     rows = sorted((tuple(r) for r in out.collect()), key=str)
     assert rows == sorted([(1, 0, 1, True), (2, 0, 2, True), (3, 0, 3, True), (4, 1, 4, True), (5, 1, 4, False), (6, 1, 6, True), (7, 1, 6, False), (None, 1, 6, False), (8, 1, 8, True), (8, 1, 8, True), (9, 1, 9, True)], key=str)
     assert minhash.near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_crowds_are_as_sure_as_small_regions(spark, monkeypatch):
+    """Pairs at the threshold that share four hashes, but no six of the first 20 trees."""
+    monkeypatch.setattr(minhash, "REGION", 2)
+    monkeypatch.setattr(minhash, "CROWD", 4)
+    stock = " ".join(f"s{i}" for i in range(70))
+
+    def path(text):
+        sig = minhash._signature(minhash.shingle_set(text.encode(), 2))
+        return [sig[24 * t : 24 * t + 24] for t in range(minhash.TREES)]
+
+    texts, tried = [], 0
+    while len(texts) < 12:
+        tried += 1
+        tail = [f"t{tried}-{k}" for k in range(12)]
+        a, b = (" ".join([stock, *tail, *(f"{side}{tried}-{k}" for k in range(10))]) for side in "ab")
+        deep = max(next((d for d in range(6) if p[4 * d : 4 * d + 4] != q[4 * d : 4 * d + 4]), 6) for p, q in zip(path(a), path(b)))
+        if deep in (4, 5):
+            texts += [a, b]
+    docs = list(enumerate(texts + [" ".join([stock, *(f"o{i}-{k}" for k in range(22))]) for i in range(200)]))
+    df = spark.createDataFrame([(*d, None, None, None) for d in docs], SCHEMA)
+    assert found(minhash.near_duplicates(df, width=2)) == plain(docs, 2)
