@@ -19,8 +19,8 @@ BASE = {
     "card": r"[0-9](?:[\x20-]?[0-9]){15,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-#: A protected kind of the method's own.
-SECRET = r"(?i)\b(?:api[_-]?key|access[_-]?key|secret|password|passwd|token)\s{0,3}[=:]\s{0,3}[\"'][^\"'\s]{8,512}[\"']"
+#: A protected kind of the method's own. A value may have any length.
+SECRET = r"(?i)\b(?:api[_-]?key|access[_-]?key|secret|password|passwd|token)\s{0,3}[=:]\s{0,3}[\"'][^\"'\s]{8,}+[\"']"
 #: A word, as the method around the spans counts it.
 WORD = r"[\p{L}\p{N}]+"
 #: What a span is replaced by.

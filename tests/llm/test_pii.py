@@ -98,3 +98,13 @@ def test_words_near_an_entity_have_their_places(spark):
         t = texts[r.doc_id]
         words = [(m.start(), m[0].lower()) for m in re.finditer(r"[^\W_]+", t)]
         assert [tuple(w) for w in r.near] == [w for w in words if w[0] < at(t)][-4:] + [w for w in words if w[0] >= at(t) + 6][:4]
+
+
+def test_secrets_of_any_length(spark):
+    values = ["k" * 8, "j" * 512, "i" * 513, "aB3._-" * 2000, "z" * 200000]
+    docs = [(i, f"set token=\"{v}\" and api_key = '{v}' here", None, None) for i, v in enumerate(values)]
+    docs += [(9, "token='short' " + "token='" + "token=" * 20000, None, None)]
+    rows = {r.doc_id: r for r in pii.sanitise(spark.createDataFrame(docs, SCHEMA)).collect()}
+    for i, v in enumerate(values):
+        assert rows[i].clean_text == "set <SECRET> and <SECRET> here" and [s.value for s in rows[i].secret] == [f"token=\"{v}\"", f"api_key = '{v}'"]
+    assert rows[9].clean_text == docs[-1][1]
