@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Most bytes of an Arrow batch that holds more than one row.
+BATCH_BYTES = 32 << 20
+
+
 @functools.cache
 def _own_scratch() -> str:
     return "file://" + tempfile.mkdtemp(prefix="cropledger-")
@@ -39,8 +43,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Keep Arrow batches small: texts can be very long."""
+    """Keep Arrow batches small, in rows and in bytes: texts can be very long. The session keeps these limits, as plans run later."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

@@ -2,114 +2,136 @@
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialise, small_batches
 
-#: Pieces of text between white space whose ids a Python worker remembers; the store is emptied when full.
-REMEMBERED = 600_000
-#: Words that are encoded in one call.
-TOGETHER = 256
+#: Stems and marks whose ids a Python worker remembers, and the bytes of their names; the store is emptied when either is full.
+REMEMBERED, REMEMBERED_BYTES = 1_000_000, 64_000_000
+#: Bytes of text that are encoded together.
+TOGETHER = 4_000_000
 
-_MARKS = b".,;:!?%&#*$"
-_stores: dict[str, tuple] = {}
+#: Marks at the end of a piece, and the letters among which nothing composes or changes with its neighbours.
+_MARKS, _LETTERS = ".,;:!?%&#*$", "a-zß-öø-ÿ"
+_PLAIN = r"^[\x00-\x7FÀ-ÖØ-öø-ÿ]*$"
+_stores: dict[str, _Store] = {}
 
 
-def _parts(piece: bytes) -> tuple[bytes, bytes]:
-    """A piece as (stem, marks at its end), whose ids follow each other: the pre-tokenizer parts letters and marks.
+class _Store:
+    """Token ids of the stems and marks that a worker has met, kept as stretches of one array.
 
-    Plain ASCII is put in lower case as the normaliser does; a piece that could hold a special token is left whole.
+    The vocabulary's pre-tokenizer drops white space and parts letters from marks, and no token spans either, so ids of
+    a text are those of its white-space pieces in turn, and those of a piece the ids of its stem and of the marks at its
+    end. Pieces of a stretch of text are told apart by Arrow's dictionaries; each new stem goes to the tokenizer once.
     """
-    if b"<|" in piece:
-        return piece, b""
-    if piece.isascii():
-        piece = piece.lower()
-    stem = piece.rstrip(_MARKS)
-    return (stem, piece[len(stem) :]) if stem[-1:].isalnum() else (piece, b"")
 
-
-def _encoder(path: str):
-    """A function from a list of texts to their ids as little-endian uint32 bytes.
-
-    The vocabulary's pre-tokenizer drops white space and no token spans it, so ids of a text are those of its
-    white-space pieces in turn; each distinct piece is encoded once and remembered. Words of letters alone are encoded
-    many at a time and told apart by their last tokens, which the vocabulary marks.
-    """
-    if path not in _stores:
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        if tokenizer.get_vocab_size() > 1 << 16:
-            raise ValueError(f"{path}: ids are kept in 16 bits, the vocabulary has {tokenizer.get_vocab_size()}")
-        last = np.array([(tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(tokenizer.get_vocab_size())])
-        _stores[path] = (tokenizer, last, {b"": b""})
-    tokenizer, last, known = _stores[path]
-
-    def one_by_one(words: list[str]) -> None:
-        for word, e in zip(words, tokenizer.encode_batch_fast(words, add_special_tokens=False)):
-            known[word.encode()] = np.array(e.ids, "<u4").tobytes()
-
-    def learn(fresh: set[bytes]) -> None:
-        parts = {p: _parts(p) for p in fresh}
-        need = [p.decode() for p in {x for pair in parts.values() for x in pair}.difference(known)]
-        words, rest = [p for p in need if p.isalpha()], [p for p in need if not p.isalpha()]
-        for i in range(0, len(words), TOGETHER):
-            some = words[i : i + TOGETHER]
-            ids = np.array(tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
-            ends = np.flatnonzero(last[ids]) + 1
-            if len(ends) != len(some):  # a letter whose small form is more than a letter
-                one_by_one(some)
-                continue
-            raw, at = ids.tobytes(), 0
-            for word, end in zip(some, (ends * 4).tolist()):
-                known[word.encode()] = raw[at:end]
-                at = end
-        for i in range(0, len(rest), 4096):
-            one_by_one(rest[i : i + 4096])
-        for p, (stem, marks) in parts.items():
-            known[p] = known[stem] + known[marks]
-
-    def encode(texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        every = set().union(*split)
-        fresh = every.difference(known)
-        if len(known) + 2 * len(fresh) > REMEMBERED:
-            known.clear()
-            known[b""] = b""
-            fresh = every
-        learn(fresh)
-        return [b"".join(map(known.__getitem__, pieces)) for pieces in split]
-
-    return encode
+        self.tokenizer = Tokenizer.from_file(path)
+        if self.tokenizer.get_vocab_size() > 1 << 16:
+            raise ValueError(f"{path}: ids are kept in 16 bits, the vocabulary has {self.tokenizer.get_vocab_size()}")
+        # How the tokenizer spells each Latin letter for its model; a word of such letters needs no more than that.
+        normal, part = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        letters = [chr(c) for c in range(256) if re.fullmatch(f"[{_LETTERS}]", chr(c))]
+        self.spelt = {ord(c): "".join(x for x, _ in part.pre_tokenize_str(normal.normalize_str(c))) for c in letters}
+        self.word = re.compile(f"[{_LETTERS}]+")
+        self.clear()
+
+    def clear(self) -> None:
+        self.known, self.bytes = {b"": 0}, 0
+        self.flat, self.start, self.size = array("H"), array("q", [0]), array("q", [0])
+
+    def learn(self, fresh: list[bytes]) -> None:
+        model, others = self.tokenizer.model, []
+        for name in fresh:
+            if self.word.fullmatch(word := name.decode()):
+                self.add(name, [t.id for t in model.tokenize(word.translate(self.spelt))])
+            else:
+                others.append((name, word))
+        for i in range(0, len(others), 1024):
+            some = others[i : i + 1024]
+            for (name, _), e in zip(some, self.tokenizer.encode_batch_fast([w for _, w in some], add_special_tokens=False)):
+                self.add(name, e.ids)
+
+    def add(self, name: bytes, ids: list[int]) -> None:
+        self.known[name] = len(self.start)
+        self.start.append(len(self.flat))
+        self.size.append(len(ids))
+        self.flat.extend(ids)
+        self.bytes += len(name)
+
+    def numbers(self, distinct: pa.Array) -> np.ndarray:
+        """Places of the given names in the store; what it has not met is learned."""
+        names = distinct.cast(pa.binary()).to_pylist()
+        self.learn([x for x in names if x not in self.known])
+        return np.fromiter(map(self.known.__getitem__, names), np.int64, len(names))
+
+    def encode(self, texts: pa.Array, end_id: int) -> pa.BinaryArray:
+        """The ids of each text and end_id after them, as little-endian uint16."""
+        if len(self.known) > REMEMBERED or self.bytes > REMEMBERED_BYTES:
+            self.clear()
+        split = pc.ascii_split_whitespace(texts)
+        pieces = split.flatten().dictionary_encode()
+        names = pieces.dictionary
+        plain = pc.and_(pc.match_substring_regex(names, _PLAIN), pc.invert(pc.match_substring(names, "<|")))
+        lowered = pc.if_else(plain, pc.utf8_lower(names), names)
+        stems = pc.ascii_rtrim(lowered, characters=_MARKS)
+        parted = pc.and_(plain, pc.match_substring_regex(stems, f"[0-9{_LETTERS}]$"))
+        stems = pc.if_else(parted, stems, lowered).dictionary_encode()
+        stem_of = stems.indices.to_numpy()
+        tails = (pc.binary_length(lowered).to_numpy() - pc.binary_length(stems.dictionary).to_numpy()[stem_of]).tolist()
+        marks = pa.array([x[len(x) - n :] if n else b"" for x, n in zip(lowered.cast(pa.binary()).to_pylist(), tails)], pa.binary()).dictionary_encode()
+        both = np.stack((self.numbers(stems.dictionary)[stem_of], self.numbers(marks.dictionary)[marks.indices.to_numpy()]), 1).ravel()
+
+        # The ids of each distinct piece, and end_id behind them as one more, are then taken for every piece in turn.
+        size = np.frombuffer(self.size, np.int64)[both]
+        before = np.concatenate(([0], np.cumsum(size)))
+        own = np.frombuffer(self.flat, np.uint16)[np.repeat(np.frombuffer(self.start, np.int64)[both] - before[:-1], size) + np.arange(before[-1])]
+        offsets = np.append(before[::2], before[-1] + 1).astype(np.int32) * 2
+        distinct = pa.BinaryArray.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.append(own, np.uint16(end_id)).astype("<u2"))])
+        ends = split.offsets.to_numpy()[1:] - split.offsets[0].as_py()
+        every = distinct.take(pa.array(np.insert(pieces.indices.to_numpy(), ends, len(offsets) - 2)))
+        at = np.frombuffer(every.buffers()[1], np.int32)[np.append(0, ends + np.arange(1, len(ends) + 1))]
+        return pa.BinaryArray.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(at), every.buffers()[2]])
+
+
+def _stretches(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of rows with about TOGETHER bytes, one row at least."""
+    upto, at = np.cumsum(sizes), 0
+    while at < len(sizes):
+        end = max(at + 1, int(np.searchsorted(upto, upto[at] - sizes[at] + TOGETHER, side="right")))
+        yield at, end
+        at = end
 
 
 def tokenise(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2) -> DataFrame:
     """First pass: (doc_id, part, local_start, n, ids): token ids with end_id appended, and the running token total inside the task.
 
     Written to the scratch folder, so that `part` and `local_start` are fixed data whatever is lost later.
-    A null text is an empty one and holds end_id alone. ids are little-endian uint16; a vocabulary that is larger is refused.
+    A null text is an empty one and holds end_id alone; an empty table gives no rows; texts of any length are encoded whole,
+    TOGETHER bytes or one text at a time. ids are little-endian uint16; a vocabulary that is larger is refused.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, at = _encoder(tokenizer_path), TaskContext.get().partitionId(), 0
+        store, part, at = _stores.get(tokenizer_path) or _stores.setdefault(tokenizer_path, _Store(tokenizer_path)), TaskContext.get().partitionId(), 0
         for batch in batches:
-            texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            for i in range(0, len(texts), 100):
-                ids = [np.frombuffer(x + end, "<u4") for x in encode(texts[i : i + 100])]
-                n = np.array([len(x) for x in ids], np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, 100), pa.array(np.full(len(n), part, np.int32)), pa.array(at + np.cumsum(n) - n), pa.array(n), pa.array([x.astype("<u2").tobytes() for x in ids], pa.binary())],
-                    names=["doc_id", "part", "local_start", "n", "ids"],
-                )
+            texts = pc.fill_null(batch.column(1), "")
+            for a, b in _stretches(pc.binary_length(texts).to_numpy()):
+                ids = store.encode(texts.slice(a, b - a), end_id)
+                n = pc.binary_length(ids).to_numpy().astype(np.int64) // 2
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(np.full(len(n), part, np.int32)), pa.array(at + np.cumsum(n) - n), pa.array(n), ids], names=["doc_id", "part", "local_start", "n", "ids"])
                 at += int(n.sum())
 
     small_batches(docs.sparkSession)
