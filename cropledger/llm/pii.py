@@ -1,6 +1,7 @@
 """Personal data: exact spans of known kinds, and information-theoretic sanitisation of the terms around them.
 
-DataFrame functions only. Everything before the last join works on words near a span, so it is small beside the texts.
+DataFrame functions only. Spans are found once and written with their rows; texts without an entity are never shuffled, and
+of the others only those that hold a disclosing term.
 """
 
 from __future__ import annotations
@@ -32,6 +33,18 @@ WINDOW = 4
 #: Distinct contexts in which a term must stand near one entity, the least share of the term's uses in the corpus that
 #: stand near that entity, and the least information about the entity in bits.
 CONTEXTS, SHARE, BITS = 2, 0.5, 3.0
+#: Code points on either side of an entity in which its WINDOW words are looked for first; all the text serves where they are not enough.
+REACH = 240
+#: Most rows of a table of entities, terms or row keys that is broadcast (about 100 bytes each); larger ones are joined by a shuffle.
+BROADCAST_ROWS = 200_000
+#: No words but the first few of a text, and whether a text goes on behind them.
+_NO_WORD = r"[^\p{L}\p{N}]"
+_SOME_WORDS = rf"^(?:{_NO_WORD}*+{WORD}+){{0,{WINDOW}}}+"
+_ENOUGH_WORDS = rf"^(?:{_NO_WORD}*+{WORD}+){{{WINDOW}}}+{_NO_WORD}"
+
+
+def _small(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def _luhn(digits: Column) -> Column:
@@ -92,59 +105,67 @@ def _with_kind(kind: str) -> Column:
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text, whole: a struct of docs' columns, and one array of spans per kind of KINDS). A null text is an empty one."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    """(doc_id, text, copy: a hash of the text, whole: a struct of docs' columns, and one array of spans per kind of KINDS).
+
+    A null text is an empty one; repeated rows give repeated results; an empty table gives no rows; texts are searched whole.
+    """
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    return docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), whole.alias("whole")).select("doc_id", "text", "whole", *(spans_of(F.col("text"), k).alias(k) for k in KINDS))
+    return docs.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("text"), whole.alias("whole")).select("doc_id", "text", F.sha2("text", 256).alias("copy"), "whole", *(spans_of(F.col("text"), k).alias(k) for k in KINDS))
 
 
 def _near(text: Column, start: Column, end: Column) -> Column:
     """array<struct<at, term>>: the WINDOW words before start and after end in lower case, with their code points in text."""
-    reach = 60 * WINDOW  # code points that hold WINDOW words of ordinary length; longer ones are identifiers themselves
 
-    def walked(part: Column) -> tuple[Column, Column]:
-        return F.regexp_extract_all(F.lower(part), F.lit(WORD), F.lit(0)), F.transform(F.split(part, WORD, -1), F.length)
+    def walked(short: Column, whole: Column) -> tuple[Column, Column]:
+        part = F.regexp_extract(F.when(F.regexp_like(short, F.lit(_ENOUGH_WORDS)), short).otherwise(whole), _SOME_WORDS, 0)
+        return F.regexp_extract_all(part, F.lit(WORD), F.lit(0)), F.transform(F.split(part, WORD, -1), F.length)
 
     def total(lengths: Column) -> Column:
         return F.aggregate(lengths, F.lit(0), lambda a, x: a + x)
 
-    words, gaps = walked(F.substring(text, F.greatest(start - reach, F.lit(0)) + 1, F.least(start, F.lit(reach))))
-    # The i-th of the last words ends where the gaps and words behind it begin.
-    last = F.slice(F.reverse(words), 1, WINDOW)
-    behind = F.slice(F.reverse(gaps), 1, WINDOW)
-    before = F.transform(last, lambda w, i: F.struct((start - total(F.slice(behind, 1, i + 1)) - total(F.transform(F.slice(last, 1, i + 1), F.length))).alias("at"), w.alias("term")))
-    words, gaps = walked(F.substring(text, end + 1, F.lit(reach)))
-    first = F.slice(words, 1, WINDOW)
-    ahead = F.slice(gaps, 1, WINDOW)
-    after = F.transform(first, lambda w, i: F.struct((end + total(F.slice(ahead, 1, i + 1)) + total(F.transform(F.slice(first, 1, i), F.length))).alias("at"), w.alias("term")))
+    def passed(words: Column, gaps: Column, n: Column, more: Column | int) -> Column:
+        """Code points of the first n gaps and n + more words."""
+        return total(F.slice(gaps, 1, n)) + total(F.transform(F.slice(words, 1, n + more), F.length))
+
+    # Before the entity the text is read backwards.
+    back, back_gaps = walked(F.reverse(F.substring(text, F.greatest(start - REACH, F.lit(0)) + 1, F.least(start, F.lit(REACH)))), F.reverse(F.substring(text, F.lit(1), start)))
+    on, on_gaps = walked(F.substring(text, end + 1, F.lit(REACH)), F.substring(text, end + 1, F.length(text)))
+    before = F.transform(back, lambda w, i: F.struct((start - passed(back, back_gaps, i + 1, 0)).alias("at"), F.lower(F.reverse(w)).alias("term")))
+    after = F.transform(on, lambda w, i: F.struct((end + passed(on, on_gaps, i + 1, -1)).alias("at"), F.lower(w).alias("term")))
     return F.concat(F.reverse(before), after)
 
 
 def disclosing_terms(found: DataFrame, contexts: int = CONTEXTS, share: float = SHARE, bits: float = BITS) -> DataFrame:
     """(entity, term): terms that give an entity away. found: find()'s rows.
 
-    A use of a term is near an entity if at most WINDOW words lie between. Everything is counted over distinct texts, so
+    A use of a term is near an entity if it is one of the WINDOW words on either side. Everything is counted over distinct texts, so
     copies of a text change nothing, and a term must stand near the entity in several distinct contexts. For a term
     t near an entity e, share = uses of t near e / uses of t estimates how surely t tells of e, and bits =
-    log2(share / (texts with e / texts)) what is learned from it. Terms of fewer than 3 characters are not examined.
+    log2(share / (texts with e / texts)) what is learned from it. An entity in so many texts that no share could tell bits
+    of it has no such terms and is left out at once. Only terms that come into question are counted in all texts.
     """
     entity = F.explode(F.concat(*map(_entities, KINDS)))
-    held = found.where(F.greatest(*(F.size(k) for k in KINDS)) > 0).select(F.sha2("text", 256).alias("copy"), "text", entity.alias("e"))
+    held = found.where(F.greatest(*(F.size(k) for k in KINDS)) > 0).select("copy", "text", entity.alias("e"))
     windows = materialise(held.select("copy", F.col("e.entity").alias("entity"), _near(F.col("text"), F.col("e.start"), F.col("e.end")).alias("near")).distinct(), "contexts")
-    terms = windows.select("entity", "copy", F.xxhash64(F.transform("near", lambda w: w["term"])).alias("context"), F.explode("near").alias("w"))
-    terms = terms.select("entity", F.col("w.term").alias("term"), "context", F.struct("copy", "w.at").alias("use")).where(F.length("term") >= 3)
-    repeated = terms.groupBy("entity", "term").agg(F.count_distinct("context").alias("n"), F.count_distinct("use").alias("near_uses")).where(F.col("n") >= contexts)
+    texts = found.select("copy").distinct().count()
+    held_in = windows.select("copy", "entity").distinct().groupBy("entity").agg(F.count("*").alias("of_entity"))
+    told_of = _small(materialise(held_in.where(F.col("of_entity") * 2.0**bits <= texts), "entities"))
+    terms = windows.join(told_of, "entity").select("entity", "of_entity", "copy", F.xxhash64(F.transform("near", lambda w: w["term"])).alias("context"), F.explode("near").alias("w"))
+    terms = terms.select("entity", "of_entity", F.col("w.term").alias("term"), "context", F.struct("copy", "w.at").alias("use"))
+    repeated = terms.groupBy("entity", "term").agg(F.first("of_entity").alias("of_entity"), F.count_distinct("context").alias("n"), F.count_distinct("use").alias("near_uses")).where(F.col("n") >= contexts)
     repeated = materialise(repeated, "repeated_terms")
     if repeated.isEmpty():
         return repeated.select("entity", "term")
-    texts = found.select("text").distinct()
-    words = texts.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))).alias("term"))
-    uses = words.groupBy("term").agg(F.count("*").alias("uses"))
-    per_entity = windows.groupBy("entity").agg(F.count_distinct("copy").alias("of_entity"))
-    total = found.select(F.sha2("text", 256).alias("copy")).distinct().agg(F.count("*").alias("of_all"))
+    asked = _small(materialise(repeated.select("term").distinct(), "asked_terms"))
+    words = found.select("copy", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))).alias("term")).join(asked, "term")
+    # Copies of a text hold a term equally often as it does: each (text, term) counts once, at what one row of it has.
+    rows = found.groupBy("copy").agg(F.count("*").alias("rows"))
+    in_rows = words.groupBy("copy", "term").agg(F.count("*").alias("n"))
+    uses = in_rows.join(rows, "copy").groupBy("term").agg(F.sum(F.col("n") / F.col("rows")).alias("uses"))
     p = F.least(F.col("near_uses") / F.col("uses"), F.lit(1.0))
-    told = F.log2(p / (F.col("of_entity") / F.col("of_all")))
-    return repeated.join(uses, "term").join(per_entity, "entity").join(F.broadcast(total)).where((p >= share) & (told >= bits)).select("entity", "term")
+    told = F.log2(p / (F.col("of_entity") / F.lit(float(texts))))
+    return repeated.join(uses, "term").where((p >= share) & (told >= bits)).select("entity", "term")
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -153,31 +174,31 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     all_spans lists every span as (start, end, kind), by kind, then start. clean_text has each span replaced by its
     kind's mask; where spans overlap, the one that starts first (then the longer) takes the whole stretch. Terms that
     disclose an entity are masked in the documents that hold the entity; other documents are left as they are, letter
-    for letter. Null texts are empty ones; repeated rows give repeated results; extra columns are only handed on in whole.
+    for letter. Null texts are empty ones; repeated rows give repeated results; an empty table gives none; texts of any
+    length are read whole; extra columns, whatever their names, are only handed on in whole.
     """
-    found = find(docs, id_col, text_col)
+    found = materialise(find(docs, id_col, text_col).drop("text"), "spans").withColumn("text", F.coalesce(F.col(f"whole.`{text_col}`"), F.lit("")))
     pairs = materialise(disclosing_terms(found), "disclosing")
-    no_terms = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    if pairs.isEmpty():
-        rows = found.withColumn("term", no_terms)
-    else:
-        rows = _with_terms(found, pairs)
-    listed = F.concat(*map(_with_kind, [*KINDS, "term"]))
-    rows = rows.withColumn("all_spans", listed)
+    rows = found.withColumn("term", _no_spans()) if pairs.isEmpty() else _with_terms(found, pairs)
+    rows = rows.withColumn("all_spans", F.concat(*map(_with_kind, [*KINDS, "term"]))).drop("copy")
     return rows.withColumn("clean_text", _masked(F.col("text"), F.col("all_spans")))
 
 
+def _no_spans() -> Column:
+    return F.array().cast("array<struct<start:int,end:int,value:string>>")
+
+
 def _with_terms(found: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Add the spans of disclosing terms: a document's entities give its terms, its words are then matched with them."""
-    kept = found.withColumn("row", F.sha2(F.concat_ws("\x00", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("text")), 256))
-    entities = F.array_distinct(F.transform(F.concat(*map(_entities, KINDS)), lambda e: e["entity"]))
-    held = kept.where(F.greatest(*(F.size(k) for k in KINDS)) > 0).select("row", F.explode(entities).alias("entity"))
-    terms = held.join(pairs, "entity").groupBy("row").agg(F.collect_set("term").alias("terms"))
+    """Add the spans of disclosing terms: a text's entities give its terms, its words are then matched with them."""
+    kinds = F.concat(*map(_entities, KINDS))
+    any_entity = F.greatest(*(F.size(k) for k in KINDS)) > 0
+    held = found.where(any_entity).select("copy", F.explode(F.array_distinct(F.transform(kinds, lambda e: e["entity"]))).alias("entity"))
+    terms = _small(materialise(held.distinct().join(_small(pairs), "entity").groupBy("copy").agg(F.collect_set("term").alias("terms")), "terms_of_texts"))
     words, gaps = F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.transform(F.split("text", WORD, -1), F.length)
     # Word positions by a running sum, for documents with terms alone.
     walked = F.aggregate(
         F.zip_with(words, F.slice(gaps, 1, F.greatest(F.size(words), F.lit(1))), lambda w, g: F.struct(w.alias("w"), g.alias("g"))),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,value:string>>").alias("out")),
+        F.struct(F.lit(0).alias("at"), _no_spans().alias("out")),
         lambda acc, p: F.struct(
             (acc["at"] + F.coalesce(p["g"], F.lit(0)) + F.coalesce(F.length(p["w"]), F.lit(0))).alias("at"),
             F.when(
@@ -188,9 +209,9 @@ def _with_terms(found: DataFrame, pairs: DataFrame) -> DataFrame:
         lambda acc: acc["out"],
     )
     inside = lambda s: F.exists(F.concat(*(F.col(k) for k in KINDS)), lambda e: (s["start"] < e["end"]) & (e["start"] < s["end"]))
-    empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    joined = kept.join(terms, "row", "left")
-    return joined.withColumn("term", F.when(F.col("terms").isNotNull(), F.filter(walked, lambda s: ~inside(s))).otherwise(empty)).drop("row", "terms")
+    joined = found.where(any_entity).join(terms, "copy", "left")
+    joined = joined.withColumn("term", F.when(F.col("terms").isNotNull(), F.filter(walked, lambda s: ~inside(s))).otherwise(_no_spans())).drop("terms")
+    return joined.unionByName(found.where(~any_entity).withColumn("term", _no_spans()))
 
 
 def _masked(text: Column, spans: Column) -> Column:

@@ -1,4 +1,6 @@
 import hashlib
+import math
+import random
 import re
 
 from cropledger.llm import pii
@@ -108,3 +110,54 @@ def test_secrets_of_any_length(spark):
     for i, v in enumerate(values):
         assert rows[i].clean_text == "set <SECRET> and <SECRET> here" and [s.value for s in rows[i].secret] == [f"token=\"{v}\"", f"api_key = '{v}'"]
     assert rows[9].clean_text == docs[-1][1]
+
+
+def plain_terms(texts, contexts=2, share=0.5, bits=3.0):
+    """(entity, term) by loops over the distinct texts."""
+    texts = set(texts)
+    word = re.compile(r"[^\W_]+")
+    held, seen, near, uses = {}, {}, {}, {}
+    for t in texts:
+        words = [(m.start(), m[0].lower()) for m in word.finditer(t)]
+        for _, w in words:
+            uses[w] = uses.get(w, 0) + 1
+        for kind, spans in zip(PATTERNS, plain(t)):
+            for a, b in spans:
+                e = f"{kind}:{t[a:b].lower()}"
+                held.setdefault(e, set()).add(t)
+                before, after = [w for w in words if w[0] < a][-4:], [w for w in words if w[0] >= b][:4]
+                context = tuple(w for _, w in before + after)
+                for at, w in before + after:
+                    seen.setdefault((e, w), set()).add(context)
+                    near.setdefault((e, w), set()).add((t, at))
+    found = set()
+    for (e, w), c in seen.items():
+        p = min(1.0, len(near[e, w]) / uses[w])
+        if len(c) >= contexts and p >= share and math.log2(p / (len(held[e]) / len(texts))) >= bits:
+            found.add((e, w))
+    return found
+
+
+def test_terms_by_brute_force(spark):
+    rng = random.Random(3)
+    names, people, texts = ["Zebulon", "Ada", "ng", "Ö", "李", "x9"], [f"p{i}@farm.org" for i in range(6)], []
+    for i in range(260):
+        words = rng.choices(["corn", "soy", "rye", "oat", "hay"], k=rng.randint(0, 12))
+        if i % 4 == 0:
+            who = rng.randrange(6)
+            gap = rng.choice([" ", " - ", " " * 300, "," * 500])
+            words.insert(rng.randint(0, len(words)), f"{names[who]}{gap}{people[who]}{gap}{rng.choice(['wrote', names[who], 'w' * 400])}")
+        if i % 50 == 1:
+            words.append(names[i % 6])
+        texts.append(" ".join(words))
+    texts += texts[::3] * 4 + ["all to all@x.yz now"] * 3
+    df = spark.createDataFrame([(i, t, None, None) for i, t in enumerate(texts)], SCHEMA)
+    want = plain_terms(texts)
+    assert len(want) >= 6
+    assert {(r.entity, r.term) for r in pii.disclosing_terms(pii.find(df)).collect()} == want
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "a@b.cd x", 5, "q", "w", 7), (None, None, None, None, None, None)], "doc_id long, text string, copy int, `a.b` string, whole string, all_spans int")
+    rows = {r.doc_id: r for r in pii.sanitise(df).collect()}
+    assert rows[1].clean_text == "<EMAIL> x" and rows[1].whole["a.b"] == "q" and rows[1].whole.copy == 5 and rows[None].clean_text == ""
