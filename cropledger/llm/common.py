@@ -48,6 +48,29 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+#: Most rows of a table that join_named() broadcasts (some 100 bytes each).
+BROADCAST_ROWS = 300_000
+
+
+def join_named(rows: DataFrame, named: DataFrame, key: str) -> DataFrame:
+    """rows left-joined with named, which has one row per key; columns of rows, then those of named without key.
+
+    A small named is broadcast. Else the rows of keys that hold more than a BROADCAST_ROWS-th of all rows, of which there are
+    at most BROADCAST_ROWS, are joined by a broadcast of these keys' rows, and the rest by a shuffle. Rows with a null key join nothing.
+    Both tables are read several times, so they should be written ones.
+    """
+    more = [c for c in named.columns if c != key]
+    columns = [*rows.columns, *more]
+    if named.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(named), key, "left").select(*columns)
+    known, unknown = rows.where(F.col(key).isNotNull()), rows.where(F.col(key).isNull())
+    hot = known.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > known.count() / BROADCAST_ROWS).where("_n > 1000").select(key)
+    hot = F.broadcast(materialise(named.join(hot, key, "left_semi"), "hot_keys"))
+    parts = known.join(hot, key), known.join(hot.select(key), key, "left_anti").join(named, key, "left")
+    none = unknown.select("*", *(F.lit(None).cast(named.schema[c].dataType).alias(c) for c in more))
+    return parts[0].select(*columns).unionByName(parts[1].select(*columns)).unionByName(none)
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) of every node that occurs in edges; root is the smallest node of its component.
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, materialise, small_batches
+from .common import connected_components, join_named, materialise, small_batches
 
 #: Vectors in a tile, and the leading dimensions after which the bound is tried again.
 TILE = 1024
@@ -167,8 +167,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_col: str = "
     found = materialise(dealt.groupBy("label", "d", "tile_a", "part_a", "tile_b", "part_b").applyInPandas(run, "a string, b string, n long"), "vector_links")
     numbers = found.where("b is null").groupBy(F.col("a").alias("cls")).agg(F.sum("n").alias("others"))
     roots = connected_components(found.where("b is not null").select("a", "b")).withColumnRenamed("node", "cls")
-    labelled = classes.select("cls", "copies", "rep").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    lowest = labelled.groupBy("root").agg(F.min("rep").alias("component_id"))
-    known = labelled.join(lowest, "root").join(numbers, "cls", "left").select("cls", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
-    out = named.join(known, "cls", "left").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.when(F.col("cls").isNull(), F.col("vec_id")).otherwise(F.col("component_id")).alias("component_id"))
+    labelled = materialise(classes.select("cls", "copies", "rep").join(roots, "cls", "left").join(numbers, "cls", "left").withColumn("root", F.coalesce("root", "cls")), "labelled")
+    lowest = materialise(labelled.groupBy("root").agg(F.min("rep").alias("component_id")), "lowest")
+    known = join_named(labelled, lowest, "root").select("cls", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
+    out = join_named(named, materialise(known, "known"), "cls").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.when(F.col("cls").isNull(), F.col("vec_id")).otherwise(F.col("component_id")).alias("component_id"))
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import connected_components, materialise, small_batches
+from .common import BROADCAST_ROWS, connected_components, join_named, materialise, small_batches
 
 #: Trees (sorted orders), the prefix that makes two rows neighbours at all, and the deepest prefix of a crowded region.
 #: A pair of similarity 0.8 shares no prefix of 4 in 20 trees with probability (1 - 0.8 ** 4) ** 20 = 3e-5.
@@ -22,8 +22,6 @@ BLOCK, CROWD = 256, 4096
 #: Trees at depth DEEP in all for the classes of regions beyond CROWD: the fewest that miss a pair at 0.8 no more often than
 #: TREES at depth SHALLOW do, as (1 - 0.8 ** 6) ** 35 = 2.4e-5. Only these classes get the signatures of the further ones.
 CROWD_TREES = 35
-#: Most rows of a key table that is broadcast (about 100 bytes each); a larger one is joined by a shuffle.
-BROADCAST_ROWS = 300_000
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _MULTIPLIERS = (np.random.default_rng(20240607).integers(0, 2**31, TREES * DEEP, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -170,18 +168,16 @@ def _further_trees(crowd: DataFrame, docs: DataFrame, classes: DataFrame, width:
     return placed.select((F.col("n") + TREES).alias("tree"), F.substring("sig", F.col("n") * (4 * DEEP) + 1, F.lit(4 * DEEP)).alias("path"), "cls", "root")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id (smallest doc_id linked, itself included), kept.
+def _grouped(docs: DataFrame, width: int, threshold: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text_hash, n_shingles, cls) of every row, and (cls, rep) of every class; rep is the first (doc_id, text_hash) of the class's component.
 
     Rows with equal shingle sets are one class. Signatures of classes are sorted in TREES orders; neighbours with
     a common prefix of SHALLOW or more are confirmed on full sets. Regions (equal prefixes) that still hold several
     components are then compared whole: their pairs if they are small, else in blocks. Regions beyond CROWD are
     taken deeper first, and their classes are sorted in CROWD_TREES orders, so that a pair is missed no more often there.
-    Null or wordless texts link with nothing; rows without doc_id take part, but never name a component unless no
-    row of theirs has an id. Repeated rows are all returned. Extra columns are not read.
     """
     small_batches(docs.sparkSession)
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
+    docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.xxhash64(F.col(f"`{text_col}`")).alias("text_hash"), F.col(f"`{text_col}`").alias("text"))
     rows = materialise(_sketches(docs, width), "sketches")
     classes = materialise(
         rows.where("cls is not null").groupBy("cls").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("rep"), F.max("sig").alias("sig")), "classes"
@@ -226,8 +222,39 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80, id_col
     for m in added:
         links = links.union(m)
     roots = connected_components(links) if added else first
-    labelled = classes.join(roots.withColumnRenamed("node", "cls"), "cls", "left").select("cls", F.coalesce("root", "cls").alias("root"), "rep")
-    lowest = labelled.groupBy("root").agg(F.min("rep.doc_id").alias("component_id"))
-    named = labelled.join(lowest, "root").select("cls", "component_id")
-    out = rows.join(named, "cls", "left").select("doc_id", "n_shingles", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    labelled = materialise(classes.join(roots.withColumnRenamed("node", "cls"), "cls", "left").select("cls", F.coalesce("root", "cls").alias("root"), "rep"), "classes_of_roots")
+    first_of = materialise(labelled.groupBy("root").agg(F.min("rep").alias("first")), "roots")
+    return rows.select("doc_id", "text_hash", "n_shingles", "cls"), materialise(join_named(labelled.select("cls", "root"), first_of, "root").select("cls", F.col("first").alias("rep")), "named_classes")
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id (smallest doc_id linked, itself included), kept. See _grouped().
+
+    Null or wordless texts link with nothing; rows without doc_id take part, but never name a component unless no
+    row of theirs has an id. Repeated rows are all returned and texts read whole; an empty table gives no rows. Extra columns
+    are not read, whatever their names.
+    """
+    rows, named = _grouped(docs, width, threshold, id_col, text_col)
+    out = join_named(rows, named, "cls").select("doc_id", "n_shingles", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("rep.doc_id")).alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def one_of_each(docs: DataFrame, width: int = 5, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one row of each group of near-duplicates, columns as they were: that of the smallest doc_id, and of the smallest text hash under it.
+
+    Rows are told apart by id and text, so an id with several texts loses none that is unlike all others. Of rows that repeat both,
+    one stays, whichever; rows without id go last in their group. Null or wordless texts link with nothing and all stay. An empty
+    table gives none. Columns may have any names.
+    """
+    rows, named = _grouped(docs, width, threshold, id_col, text_col)
+    keyed = join_named(rows.where("cls is not null"), named, "cls")
+    first = F.col("doc_id").eqNullSafe(F.col("rep.doc_id")) & (F.col("text_hash") == F.col("rep.text_hash"))
+    marked = keyed.groupBy(F.col("doc_id").alias("k1"), F.col("text_hash").alias("k2")).agg(F.first(first).alias("first"), F.count("*").alias("n"))
+    marked = materialise(marked.where("not first or n > 1"), "dropped")
+    same = F.col("id").eqNullSafe(F.col("k1")) & (F.col("hash") == F.col("k2"))
+    whole = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("hash"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    part = whole.join(F.broadcast(marked) if marked.count() <= BROADCAST_ROWS else marked, same, "left")
+    out = part.where("first is null").select("row")
+    if not marked.where("first").isEmpty():
+        out = out.unionByName(materialise(part.where("first"), "repeated").dropDuplicates(["id", "hash"]).select("row"))
+    return out.select(*(F.col("row")[c].alias(c) for c in docs.columns))

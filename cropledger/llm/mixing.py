@@ -60,22 +60,23 @@ def weights(sources: DataFrame, repetition: float | None = 2.0, entropy: float |
     return sources.join(F.broadcast(found)).select("source", "tokens", (F.pow(F.col("tokens") / F.col("all"), F.col("exponent")) / F.col("norm")).alias("weight"), "exponent", F.col("whole").alias("budget"))
 
 
-def mix(docs: DataFrame, repetition: float | None = 2.0, entropy: float | None = None, budget: int | None = None, seed: int = 0, source_col: str = "source", text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """docs' rows as often as their source's weight asks for, with a struct column mix (epoch, block, slot, n_tokens, weight, exponent).
+def mix(docs: DataFrame, repetition: float | None = 2.0, entropy: float | None = None, budget: int | None = None, seed: int = 0, source_col: str = "source", text_col: str = "text", id_col: str = "doc_id", info: str | None = "mix") -> DataFrame:
+    """docs' rows as often as their source's weight asks for, with a struct column `info` (epoch, block, slot, n_tokens, weight, exponent).
 
     Tokens are words between white space, one at least. A source's budget is its weight times the budget. Whole epochs
     are taken first; the rest is a permutation of the source's blocks, cut where it is used up: inside the block at the
     cut, documents follow in a hashed order while they fit. Rows that are alike in id and text are taken together, so a
     source is short of its budget by less than one document with its repeats. slot orders the result: rows with slot up to x hold a
-    share x of each source's budget, block by block. A null source is a source; a null text is an empty one. Nothing is dropped
-    when no budget is given.
+    share x of each source's budget, block by block. A null source is a source; a null text is an empty one, and texts are read
+    whole. Nothing is dropped when no budget is given. An empty table gives no rows. docs' columns may have any names; a column of
+    docs that is named as `info` takes its place, and with info = None there is no such column.
     """
     columns = docs.columns
     rows = docs.select(
         F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"),
-        F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("null")).alias("source"),
-        F.greatest(F.lit(1), F.coalesce(F.regexp_count(F.col(text_col), F.lit(r"\S+")), F.lit(0))).cast("long").alias("n_tokens"),
-        F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("key"),
+        F.coalesce(F.concat(F.lit("="), F.col(f"`{source_col}`").cast("string")), F.lit("null")).alias("source"),
+        F.greatest(F.lit(1), F.coalesce(F.regexp_count(F.col(f"`{text_col}`"), F.lit(r"\S+")), F.lit(0))).cast("long").alias("n_tokens"),
+        F.xxhash64(F.lit(seed), F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("key"),
     )
     slim = materialise(rows.select("source", "n_tokens", "key"), "mix_keys")
     sources = materialise(slim.groupBy("source").agg(F.sum("n_tokens").alias("tokens")), "mix_sources")
@@ -101,4 +102,6 @@ def mix(docs: DataFrame, repetition: float | None = 2.0, entropy: float | None =
     taken = placed.join(_small(chosen.withColumn("chosen", F.lit(True))), ["source", "key"], "left")
     keep = (F.col("end") <= F.col("own")) | (F.coalesce("chosen", F.lit(False)) & (F.col("epoch") == F.col("cut_epoch")) & (F.col("end") - F.col("size") < F.col("own")))
     slot = (F.col("end") - F.col("size")) / F.col("own")
-    return taken.where(keep).select(*(F.col("row")[c].alias(c) for c in columns), F.struct("epoch", "block", slot.alias("slot"), "n_tokens", "weight", "exponent").alias("mix"))
+    own_columns = [F.col("row")[c].alias(c) for c in columns]
+    told = [] if info is None or info in columns else [F.struct("epoch", "block", slot.alias("slot"), "n_tokens", "weight", "exponent").alias(info)]
+    return taken.where(keep).select(*own_columns, *told)

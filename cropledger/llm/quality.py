@@ -139,13 +139,15 @@ def score(stats: DataFrame, model: dict) -> DataFrame:
 def accept(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """docs without the rows that are scored below threshold, columns as they were.
 
-    The model is fitted on all labelled rows; each text is then scored where it is read, so no text is shuffled.
+    The model is fitted on all labelled rows; each text is then scored where it is read, so no text is shuffled. A null text is
+    an empty one; repeated rows go or stay together; without labels of both kinds all texts get one score, the prior; an empty
+    table gives no rows. Texts are read whole, columns may have any names.
     """
     known = labels.select("doc_id", F.col("quality").alias("label")).where("label in (0, 1) and doc_id is not null")
     ids = known.select("doc_id").distinct()
     few = F.broadcast(ids) if ids.count() <= LABELS_BROADCAST else ids
     model = fit(features(docs.join(few, "doc_id", "left_semi")).join(known, "doc_id").select("x", "label"))
-    names, at = docs.columns, docs.columns.index("text")
+    at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,7 +155,8 @@ def accept(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFr
             yield batch.filter(pa.array(score_array(model, x) >= threshold))
 
     small_batches(docs.sparkSession)
-    return docs.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)).select(*(f"`{c}`" for c in names))
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))  # mapInArrow reads no names with dots
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 def classify(docs: DataFrame, labels: DataFrame, held_out: int = 5, threshold: float = 0.3) -> DataFrame:
