@@ -1,6 +1,8 @@
 """A training corpus from raw documents: quality, near-duplicates, personal data, source mixture, packing.
 
-Each stage takes (spark, docs, sf_dir). All but the last return the columns of documents. Null texts count as empty.
+Each stage takes (spark, docs, sf_dir). All but the last return the columns of documents, and further ones that docs has,
+whatever their names. Null texts count as empty, texts of any length are read whole, rows without doc_id take part, repeated
+rows are each a row (drop_near_copies() leaves one of them), and an empty table goes through all stages as one.
 """
 
 from __future__ import annotations
@@ -12,9 +14,6 @@ from pyspark.sql import functions as F
 from cropledger.llm import minhash, mixing, packing, pii, quality
 from cropledger.llm.common import materialise, table
 
-#: Most ids of dropped copies that are broadcast (some 30 bytes each); more are joined by a shuffle.
-DROPPED_BROADCAST = 500_000
-
 
 def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
@@ -24,25 +23,22 @@ def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity 0.8): the one with the smallest doc_id.
 
-    Rows without doc_id stay, and so do repeated rows of a doc_id that stays.
+    Rows are told apart by id and text; texts without words all stay. See minhash.one_of_each().
     """
-    found = minhash.near_duplicates(docs, width=5)
-    dropped = materialise(found.where("not kept and doc_id is not null").select("doc_id").distinct(), "dropped")
-    dropped = F.broadcast(dropped) if dropped.count() <= DROPPED_BROADCAST else dropped
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    return minhash.one_of_each(docs, width=5)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with personal data, secrets and disclosing terms masked; n_chars follows the text. Others are as they were."""
+    """Documents with personal data, secrets and disclosing terms masked; n_chars, where there is one, follows the text. Others are as they were."""
     rows = pii.sanitise(docs)
     changed = F.size("all_spans") > 0
     new = {"text": F.when(changed, F.col("clean_text")).otherwise(F.col("whole.text")), "n_chars": F.when(changed, F.length("clean_text").cast("long")).otherwise(F.col("whole.n_chars"))}
-    return rows.select(*(new.get(c, F.col(f"whole.`{c}`")).alias(c) for c in docs.columns))
+    return rows.select(*(new.get(c, F.col("whole")[c]).alias(c) for c in docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document once, and documents of small sources up to twice, by temperature weights."""
-    return mixing.mix(docs, repetition=2.0).drop("mix")
+    return mixing.mix(docs, repetition=2.0, info=None)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
