@@ -66,6 +66,8 @@ def op10_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("media").cast("long").alias("media_bytes"),
         F.sha2("media", 256).alias("media_sha256"),
         "feature",
+        F.size("blocks").cast("long").alias("n_blocks"),
+        F.array_join(F.transform("blocks", lambda b: F.concat_ws(":", b["sample_offset"].cast("string"), b["byte_offset"].cast("string"))), ",").alias("block_offsets"),
     )
 
 
