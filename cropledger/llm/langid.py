@@ -11,14 +11,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import materialise, small_batches
 
-#: Documents that the model is fitted on, chosen by a hash of their ids, and the code points taken from each, at a place
-#: chosen by the same hash. These bound what the driver holds, whatever the input.
-SAMPLE, STRETCH = 3000, 900
+#: Labelled documents that the model is fitted on in all, the fewest of a language (all of them where it has fewer), and
+#: the same for the runs of RUN words into which their whole texts are cut; both are drawn by hashes, language by language.
+#: These bound what the driver holds: RUNS + LEAST_RUNS * languages runs of words, whatever the input.
+SAMPLE, LEAST, RUNS, LEAST_RUNS = 3000, 100, 20_000, 1000
 #: Hashed features, longest n-gram, rounds of training, words of a training sequence and of its one-language stretches.
 SLOTS, LONGEST, ROUNDS, SEQUENCE, RUN = 1 << 16, 4, 45, 96, 24
 #: Words whose scores a Python worker remembers, and words that are labelled side by side.
@@ -98,7 +99,7 @@ def _forward_backward(e: np.ndarray, start: np.ndarray, size: np.ndarray, trans:
 
 
 def fit(texts: list[tuple[str, str]]) -> dict:
-    """Fit on (text, language) stretches by full-batch gradients with Adagrad steps.
+    """Fit on (text, language) pairs by full-batch gradients with Adagrad steps.
 
     Training sequences switch language every RUN words, so that transitions are learned from code-switched text.
     """
@@ -211,18 +212,39 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {id_type}, lang_pred string, score double, n_words long, switches long")
 
 
+def _drawn(rows: DataFrame, number: int, least: int, key: Column) -> DataFrame:
+    """About max(number / languages, least) rows of each lang, chosen by a hash of key; all rows of a lang that has fewer."""
+    counts = rows.groupBy("lang").agg(F.count("*").alias("_n")).collect()  # a row per language
+    each = max(number / max(1, len(counts)), least)
+    rates = rows.sparkSession.createDataFrame([(r.lang, int(2**31 * min(1.0, each / r["_n"]))) for r in counts], "lang string, _rate long")
+    return rows.join(F.broadcast(rates), "lang").where(F.pmod(key, F.lit(2**31)) < F.col("_rate")).drop("_rate")
+
+
+def training_runs(labelled: DataFrame) -> DataFrame:
+    """(lang, text): runs of RUN words of labelled (doc_id, text, lang), about RUNS in all and LEAST_RUNS of a language at least."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, text, lang in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                words = words_of(text)
+                runs = [" ".join(words[i : i + RUN]) for i in range(0, len(words), RUN)]
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(runs), pa.string()), pa.array(runs, pa.string()), pa.array([key] * len(runs), pa.int64()), pa.array(range(len(runs)), pa.int64())], names=["lang", "text", "key", "at"])
+
+    chosen = _drawn(labelled, SAMPLE, LEAST, F.xxhash64("doc_id", F.lit(0))).select(F.xxhash64("doc_id", "text").alias("key"), "text", "lang")
+    runs = materialise(chosen.mapInArrow(cut, "lang string, text string, key long, at long"), "training_runs")
+    return _drawn(runs, RUNS, LEAST_RUNS, F.xxhash64("key", "at")).select("lang", "text")
+
+
 def identify(docs: DataFrame, held_out: int = 3) -> DataFrame:
     """One row per document: doc_id, held_out (crc32 of the id leaves 1 by held_out), lang_pred, score and more.
 
-    Learns from a hashed sample of about SAMPLE documents with a language that are not held out. Rows without doc_id
-    are not learned from and not held out; repeated rows are labelled alike; extra columns are not read.
+    Learns from a sample of runs of words of labelled documents that are not held out, see training_runs(); a language
+    with a single labelled document is learned too. Rows without doc_id are not learned from and not held out; repeated rows
+    are labelled alike; null and wordless texts are und; texts of any length are labelled whole; an empty table gives no
+    rows, and one without labelled documents und for all. Extra columns are not read, whatever their names.
     """
+    small_batches(docs.sparkSession)
     out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % held_out == 1, F.lit(False))
-    labelled = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~out)
-    n = labelled.count()
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
-    chosen = labelled.where(draw < max(1, int(1_000_000 * min(1.0, SAMPLE / max(1, n)))))
-    place = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(F.length("text") - STRETCH, F.lit(1)).cast("long")).cast("int") + 1
-    sample = chosen.select(F.substring(F.col("text"), place, F.lit(STRETCH)).alias("text"), "lang").limit(2 * SAMPLE).collect()
-    model = fit([(r.text, r.lang) for r in sample])
-    return predict(docs, model).select("doc_id", out.alias("held_out"), "lang_pred", "score", "n_words", "switches")
+    labelled = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~out).select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
+    sample = training_runs(labelled).orderBy("lang", "text").collect()  # in one order, so that equal tables give equal models
+    return predict(docs, fit([(r.text, r.lang) for r in sample])).select("doc_id", out.alias("held_out"), "lang_pred", "score", "n_words", "switches")

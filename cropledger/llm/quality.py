@@ -53,7 +53,7 @@ def statistics(raw: bytes) -> list[float]:
         float(np.log((len(seen) + 2) / (k + 2)) / np.log(k + 10)),
         odds(len(lines) - len(set(lines)), len(lines), 0.01, 4.0),
         odds(sum(not (65 <= w[-1] <= 90 or 97 <= w[-1] <= 122 or w[-1] >= 128 or w[-1] in b".,") for w in words), k, 0.005),
-        float(-(p * np.log(p)).sum()) if n > 40 else 2.9,
+        float((-n * (p * np.log(p)).sum() + 40 * 2.9) / (n + 40)),
         odds(sum(w[-1] == 46 for w in words), k, 0.1),
         odds(max(seen.values(), default=0), k, 0.05, 8.0),
         odds(sum(len(w) <= 3 for w in words), k, 0.4),
@@ -118,7 +118,9 @@ def score_array(model: dict, x: np.ndarray) -> np.ndarray:
         return np.full(len(x), model["prior"])
     log = []
     for mean, factor in zip(model["mean"], model["factor"]):
-        z = np.linalg.solve(factor, (x - mean).T)
+        z = (x - mean).T
+        for i, row in enumerate(factor):  # forward substitution
+            z[i] = (z[i] - row[:i] @ z[:i]) / row[i]
         log.append(-0.5 * (z * z).sum(0) - np.log(np.diag(factor)).sum())
     return 1 / (1 + np.exp(-np.clip(log[1] - log[0] + model["log_prior"], -60, 60)))
 
@@ -163,7 +165,9 @@ def classify(docs: DataFrame, labels: DataFrame, held_out: int = 5, threshold: f
     """One row per row of docs: doc_id, held_out (crc32 of the id is a multiple of held_out), score, predicted.
 
     Learns quality from all labelled rows that are not held out; a doc_id with several labels counts once for each,
-    labels that are null or not 0/1 and rows without doc_id are not learned from (held_out is then false).
+    labels that are null or not 0/1 and rows without doc_id are not learned from (held_out is then false). A null text is
+    an empty one, texts are read whole, repeated rows are scored alike, an empty table gives no rows, and without labels of
+    both kinds all scores are the prior. Extra columns are not read, whatever their names.
     """
     stats = features(docs)
     out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % held_out == 0, F.lit(False))

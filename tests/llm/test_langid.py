@@ -47,3 +47,23 @@ def test_edge_rows(spark):
     assert len(out) == 8 and [r.lang_pred for r in sorted(out, key=lambda r: r.doc_id or 99)][:3] == ["und"] * 3
     assert langid.identify(df.limit(0)).collect() == []
     assert {r.lang_pred for r in langid.identify(df.where("lang is null")).collect()} == {"und"}
+
+
+def test_rare_languages_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE", 200)
+    monkeypatch.setattr(langid, "RUNS", 400)
+    en, xx = "the house of the winter and the harvest in a small town".split(), "qvox zuntu qvarre zelto quxim zoq velqu zanti".split()
+    rows = [(i, " ".join(en[(i + j) % len(en)] for j in range(9)), "en") for i in range(3000)] + [(5000 + i, " ".join(xx[(i + j) % len(xx)] for j in range(9)), "xx") for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    runs = langid.training_runs(df).groupBy("lang").count().collect()
+    assert {r.lang: 12 <= r["count"] <= 600 for r in runs} == {"en": True, "xx": True}
+    out = langid.identify(df).collect()
+    assert all(r.lang_pred == ("en" if r.doc_id < 5000 else "xx") for r in out)
+
+
+def test_late_words_of_long_texts_are_learned(spark):
+    early, late = "der winter und die ernte " * 400, "qvox zuntu qvarre zelto " * 400
+    df = spark.createDataFrame([(i, early + late if k == "de" else "the house of the town " * 300, k) for i in range(30) for k in (["de", "en"][i % 2],)], "doc_id long, text string, lang string")
+    assert any("qvox" in r.text for r in langid.training_runs(df).collect())
+    extra = df.where("false").union(spark.createDataFrame([(900, "qvox zelto zuntu", None)], df.schema))
+    assert [r.lang_pred for r in langid.identify(df.union(extra)).where("doc_id = 900").collect()] == ["de"]
