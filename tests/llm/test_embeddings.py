@@ -63,3 +63,27 @@ def test_edge_rows(spark):
     assert embeddings.near_duplicates(df.limit(0)).collect() == []
     twice = embeddings.near_duplicates(df.where("vec_id = 1").unionAll(df.where("vec_id = 1")).unionAll(spark.createDataFrame([(None, v, 1, "c", 1)], schema)))
     assert sorted(map(str, map(tuple, twice.collect()))) == ["(1, 2, 1, True)", "(1, 2, 1, True)", "(None, 2, 1, False)"]
+
+
+def test_one_label_of_many_tiles_and_high_dimensions(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "TILE", 8)
+    monkeypatch.setattr(embeddings, "BROADCAST_ROWS", 0)
+    rng = np.random.default_rng(6)
+    centre = rng.normal(size=(40, 200))
+    rows = [(i, [float(x) for x in np.float32(centre[i % 40] + rng.normal(size=200) * 0.27)], 7) for i in range(700)]
+    rows += [(5000 + i, [float(x) for x in rng.normal(size=3)], 7) for i in range(60)] + [(6000, None, 7), (6001, rows[0][1], None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = found(embeddings.near_duplicates(df))
+    assert got == plain([(i, v and [float(np.float32(x)) for x in v], k) for i, v, k in rows])
+    assert max(n for n, _ in got.values()) > 3
+
+
+def test_hot_keys_are_joined_apart(spark, monkeypatch):
+    from cropledger.llm import common
+
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 3)
+    rows = spark.createDataFrame([(i, "hot" if i % 3 == 0 else f"k{i % 50}" if i % 3 == 1 else None) for i in range(6000)], "i int, k string")
+    named = spark.createDataFrame([("hot", 1)] + [(f"k{j}", 2) for j in range(0, 50, 2)], "k string, v int")
+    want = {(r.i, r.k, r.v) for r in rows.join(named, "k", "left").select("i", "k", "v").collect()}
+    got = common.join_named(rows, named, "k")
+    assert got.columns == ["i", "k", "v"] and sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
