@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import join_named, materialise
 
 #: Patterns of the base kinds, in the order in which their spans are listed. Possessive quantifiers and
 #: the look-behinds leave the leftmost non-overlapping matches as they are, but keep time linear and the stack flat.
@@ -157,12 +157,13 @@ def disclosing_terms(found: DataFrame, contexts: int = CONTEXTS, share: float =
     repeated = materialise(repeated, "repeated_terms")
     if repeated.isEmpty():
         return repeated.select("entity", "term")
-    asked = _small(materialise(repeated.select("term").distinct(), "asked_terms"))
-    words = found.select("copy", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))).alias("term")).join(asked, "term")
-    # Copies of a text hold a term equally often as it does: each (text, term) counts once, at what one row of it has.
-    rows = found.groupBy("copy").agg(F.count("*").alias("rows"))
-    in_rows = words.groupBy("copy", "term").agg(F.count("*").alias("n"))
-    uses = in_rows.join(rows, "copy").groupBy("term").agg(F.sum(F.col("n") / F.col("rows")).alias("uses"))
+    # Copies of a text hold a term equally often as it does, so each of n copies counts an n-th; tasks add up before the shuffle.
+    copies = materialise(found.groupBy("copy").agg(F.count("*").alias("n")).where("n > 1"), "copies")
+    texts_of = join_named(found.select("copy", "text"), copies, "copy").select("text", (1 / F.coalesce("n", F.lit(1))).alias("part"))
+    words = texts_of.select("part", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))).alias("term"))
+    asked = materialise(repeated.select("term").distinct(), "asked_terms")
+    words = words.join(F.broadcast(asked), "term", "left_semi") if asked.count() <= BROADCAST_ROWS else words
+    uses = words.groupBy("term").agg(F.round(F.sum("part")).alias("uses"))
     p = F.least(F.col("near_uses") / F.col("uses"), F.lit(1.0))
     told = F.log2(p / (F.col("of_entity") / F.lit(float(texts))))
     return repeated.join(uses, "term").where((p >= share) & (told >= bits)).select("entity", "term")
