@@ -52,9 +52,9 @@ def split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def summary(df: DataFrame, table: str, names: list[str]) -> DataFrame:
-    """(table_name, check_name, violations, passed) for each check."""
-    counts = df.agg(*(F.count_if(F.array_contains("reasons", n)).alias(n) for n in names))
-    return counts.unpivot([], names, "check_name", "violations").select(F.lit(table).alias("table_name"), "check_name", "violations", (F.col("violations") == 0).alias("passed"))
+    """(table_name, check_name, violations, passed, all_passed) for each check; all_passed is the table's."""
+    counts = df.agg(*(F.count_if(F.array_contains("reasons", n)).alias(n) for n in names)).withColumn("all_passed", F.lit(0) == sum((F.col(n) for n in names), F.lit(0)))
+    return counts.unpivot(["all_passed"], names, "check_name", "violations").select(F.lit(table).alias("table_name"), "check_name", "violations", (F.col("violations") == 0).alias("passed"), "all_passed")
 
 
 def ambiguous(df: DataFrame, name: str, ident: str) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cropledger.sources.tables import written
+
 
 def forward_averages(df: DataFrame, key: list[str], date: str, value: str, spans: list[int], unit: str, unique: bool = False) -> DataFrame:
     """Add <value>_fwd_<n><unit> and its change _pct: means over the next n days ('d') or months ('mo'), today included.
@@ -74,15 +76,11 @@ def row_ids(df: DataFrame, order: list[str], first: int = 10001) -> DataFrame:
     """Add id: row numbers of a total order, from first on, without a one-task window.
 
     Rows are sorted by ranges; each partition's rows are numbered inside it and moved by the sizes of those before,
-    a table of one row per partition. The sorted rows are checkpointed where the session names a checkpoint folder,
-    so that partition numbers are the same in both passes.
+    a table of one row per partition. The sorted rows are written to the scratch folder, so numbers are the same in both
+    passes whatever is lost.
     """
-    spark = df.sparkSession
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id())
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named and not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(named)
-    ranged = ranged.checkpoint() if spark.sparkContext._jsc.sc().getCheckpointDir().isDefined() else ranged.persist()
+    ranged = written(ranged, "row_ids")
     sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
     before = sizes.select("_part", "_first", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
     return ranged.join(F.broadcast(before), "_part").withColumn("id", F.col("_at") - F.col("_first") + F.col("_before") + first).drop("_part", "_at", "_first", "_before")

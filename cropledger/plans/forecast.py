@@ -1,8 +1,9 @@
 """Forecasts of the weekly price 1 to 13 weeks ahead, their bands, errors and feature importance, for all ingredients at once.
 
 One boosted-tree model with absolute loss is fitted on the pooled panel, with the horizon as a feature. It predicts the
-relative change of the price, so ingredients of any price level share it. Weeks are split by time: the first 70% are
-fitted, the next 15% give the bands, the last 15% the errors; no row of a later part is seen by an earlier one.
+relative change of the price, so ingredients of any price level share it. A feature that looks back fewer weeks than the
+horizon is blanked at that horizon. Weeks are split by time: the first 70% are fitted, the next 15% give the bands, the last
+15% the errors; no row of a later part is seen by an earlier one.
 """
 
 from __future__ import annotations
@@ -11,10 +12,12 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cropledger.functions.text import classify
 from cropledger.operators import windows as W
 from cropledger.plans import scores
+from cropledger.sources.tables import written
 
 LAGS, MEANS = (1, 2, 4, 8, 13, 26, 52), (4, 12, 26, 52)
 LEVELS = [*(f"price_lag_{n}w" for n in LAGS), *(f"price_hist_avg_{n}w" for n in MEANS), "price_hist_std_12w"]
@@ -46,6 +49,18 @@ def lag_safe(names: list[str], horizon: int) -> list[str]:
     return [c for c in names if not (c.endswith("w") and c.rsplit("_", 1)[1][:-1].isdigit() and int(c.rsplit("_", 1)[1][:-1]) < horizon)]
 
 
+def numeric_columns(df: DataFrame, drop: tuple[str, ...] = ()) -> list[str]:
+    """Names of the numeric columns of df by its schema, without those of drop."""
+    return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType) and f.name not in drop]
+
+
+def safe_at_horizon(t: DataFrame) -> DataFrame:
+    """t with every feature that lag_safe() drops at a row's horizon blanked: 1, the ratio that tells nothing."""
+    safe = {h: lag_safe(LEVELS, h) for h in range(1, scores.HORIZONS + 1)}
+    until = {c: max((h for h, names in safe.items() if c in names), default=0) for c in LEVELS}
+    return t.withColumns({c: F.when(F.col("horizon") <= n, F.col(c)).otherwise(1.0) for c, n in until.items()})
+
+
 def rows(feat: DataFrame, weekly: DataFrame) -> DataFrame:
     """A row per ingredient, week and horizon with a target, and its part: fit, bands or test by the rank of its week.
 
@@ -59,11 +74,14 @@ def rows(feat: DataFrame, weekly: DataFrame) -> DataFrame:
     part = F.when(ahead <= 0.70 * share, "fit").when((F.col("i") > 0.70 * share) & (ahead <= 0.85 * share), "bands").when(F.col("i") > 0.85 * share, "test")
     t = t.withColumns({"part": part, "change": F.col("target") / F.col("price_avg_weekly") - 1, "horizon": F.col("horizon").cast("double")})
     fitted = t.where("part = 'fit'").groupBy("horizon").agg(F.count("*").alias("_n")).where(F.col("_n") >= LEAST).select("horizon")
-    return t.where("part is not null").join(F.broadcast(fitted), "horizon").drop("i", "n")  # at most thirteen rows
+    return safe_at_horizon(t.where("part is not null").join(F.broadcast(fitted), "horizon").drop("i", "n"))  # at most thirteen rows
 
 
 def fit(t: DataFrame):
     """The fitted model. Every pass over the rows is a distributed job; the driver holds the trees alone."""
+    found = numeric_columns(t, ("price_avg_weekly", "target", "change"))
+    if set(found) != set(FEATURES):
+        raise ValueError(f"features by schema are {found}")
     train = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(t.where("part = 'fit'")).select("features", "change")
     return GBTRegressor(featuresCol="features", labelCol="change", predictionCol="moved", lossType="absolute", **TREES).fit(train)
 
@@ -87,21 +105,25 @@ def with_bands(p: DataFrame, b: DataFrame) -> DataFrame:
     return out.withColumns({"p10": F.least("p50", F.greatest(at("lo"), F.lit(0.0))), "p90": F.greatest("p50", at("hi"))}).drop("lo", "hi")
 
 
-def forecast(weekly: DataFrame) -> DataFrame:
-    """(ingredient, forecast_date, horizon_weeks, target_week_start, p10, p50, p90) from the last week of each ingredient."""
-    feat = features(weekly)
-    t = rows(feat, weekly).persist()
+def forecast(weekly: DataFrame, day: str | None = None) -> DataFrame:
+    """(ingredient, forecast_date, horizon_weeks, target_week_start, p10, p50, p90) from the last week of each ingredient.
+
+    With day, a date as text, weeks after it are neither fitted nor forecast from.
+    """
+    weekly = scores.as_of(weekly, day)
+    feat = written(features(weekly), "features")
+    t = written(rows(feat, weekly), "forecast_rows")
     model = fit(t)
     last = feat.groupBy("ingredient").agg(F.max_by(F.struct(*(c for c in feat.columns if c != "ingredient")), "week_start").alias("s")).select("ingredient", "s.*")
     ahead = last.withColumn("horizon", F.explode(F.transform(F.sequence(F.lit(1), F.lit(scores.HORIZONS)), lambda h: h.cast("double"))))
-    out = with_bands(predict(model, ahead), bands(model, t))
+    out = with_bands(predict(model, safe_at_horizon(ahead)), bands(model, t))
     weeks = F.col("horizon").cast("int")
     return out.select("ingredient", F.col("week_start").alias("forecast_date"), weeks.alias("horizon_weeks"), F.date_add("week_start", weeks * 7).alias("target_week_start"), "p10", "p50", "p90")
 
 
 def errors(weekly: DataFrame) -> DataFrame:
     """By horizon on the last weeks: errors, share of right directions, skill against the last price, share inside the band."""
-    t = rows(features(weekly), weekly).persist()
+    t = written(rows(written(features(weekly), "features"), weekly), "forecast_rows")
     model = fit(t)
     p = with_bands(predict(model, t.where("part = 'test'")), bands(model, t))
     e, price, y = F.col("p50") - F.col("target"), F.col("price_avg_weekly"), F.col("target")
@@ -123,7 +145,7 @@ def importance(weekly: DataFrame, top: int = 12) -> DataFrame:
 
     Values move by half the length of the group, a fixed permutation, so runs agree.
     """
-    t = rows(features(weekly), weekly).persist()
+    t = written(rows(written(features(weekly), "features"), weekly), "forecast_rows")
     model = fit(t)
     names = [c for c in FEATURES if c != "horizon"]
     held = t.where("part = 'test'").select("ingredient", "horizon", "week_start", "price_avg_weekly", "target", *names)

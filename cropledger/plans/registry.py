@@ -27,27 +27,28 @@ def query(sql: str | None = None):
     return add
 
 
-#: Added before rounding to four places where means of a few prices often end in a 5 at the fifth, which the order of
-#: additions would push up or down; the same in the SQL.
-TIE = 1.3e-7
+def rounded(df: DataFrame, places: int = 4, exact: tuple = ("price_avg_weekly",)) -> DataFrame:
+    """Round doubles whose last digits depend on the order of additions; exact ones are left as they are."""
+    return df.select(*(F.round(F.col(c), places).alias(c) if kind == "double" and c not in exact else F.col(c) for c, kind in df.dtypes))
 
 
-def rounded(df: DataFrame, places: int = 4, exact: tuple = ("price_avg_weekly",), tie: float = 0.0) -> DataFrame:
-    """Round doubles whose last digits depend on the order of additions; exact ones are left as they are."""
-    return df.select(*(F.round(F.col(c) + tie, places).alias(c) if kind == "double" and c not in exact else F.col(c) for c, kind in df.dtypes))
+def _mean(c: str) -> str:
+    """The mean of amounts with two places, rounded half up at six."""
+    return f"((((sum({c}) * 100)::hugeint * 20000 + count({c})) // (2 * count({c}))) / 1e6)::decimal(28,6)"
 
 
 REPORTS = """reports as (select p_brand as ingredient, p_type as ingredient_group, l_shipdate::date as report_date, l_extendedprice::decimal(18,2) as price,
   l_quantity::decimal(18,2) as amount, l_returnflag as unit from lineitem join part on p_partkey = l_partkey)"""
-DOLLAR = """dollar as (select o_orderdate::date as ppi_date, (((sum(o_totalprice::decimal(18,2)) * 100)::bigint * 100 // count(o_totalprice)) / 10000.0)::decimal(18,4) as ppi from orders group by 1)"""
-MONTHLY = """monthly as (select ingredient, date_trunc('month', report_date)::date as ppi_date, (((sum(price) * 100)::bigint * 100 // count(price)) / 10000.0)::decimal(18,4) as ppi from reports group by 1, 2)"""
+DOLLAR = f"""dollar as (select o_orderdate::date as ppi_date, {_mean('o_totalprice::decimal(18,2)')} as ppi from orders group by 1)"""
+MONTHLY = f"""monthly as (select ingredient, date_trunc('month', report_date)::date as ppi_date, {_mean('price')} as ppi from reports group by 1, 2)"""
 _LAGS = ", ".join(f"lag(price_avg_weekly, {n}) over w as price_lag_{n}w" for n in (1, 2, 4, 8, 13, 26, 52))
-_MEANS = ", ".join(f"avg(price_avg_weekly) over (partition by ingredient order by week_start rows between {n} preceding and 1 preceding) as price_hist_avg_{n}w" for n in (4, 12, 26, 52))
+_OVER = "over (partition by ingredient order by week_start rows between {n} preceding and 1 preceding)"
+_MEANS = ", ".join(f"(sum(p) {_OVER})::double / nullif(count(p) {_OVER}, 0) as price_hist_avg_{{n}}w".format(n=n) for n in (4, 12, 26, 52))
 WEEKLY = f"""{REPORTS}, {DOLLAR}, {MONTHLY},
-weekly as (select ingredient, date_trunc('week', report_date)::date as week_start, sum(price)::double / count(price) as price_avg_weekly, min(price)::double as price_min_weekly,
+weekly as (select ingredient, date_trunc('week', report_date)::date as week_start, {_mean('price')} as p, p::double as price_avg_weekly, min(price)::double as price_min_weekly,
   max(price)::double as price_max_weekly, count(*) as n_reports_in_week from reports group by 1, 2),
-featured as (select *, {_LAGS}, {_MEANS}, stddev_pop(price_avg_weekly) over (partition by ingredient order by week_start rows between 12 preceding and 1 preceding) as price_hist_std_12w
-  from weekly window w as (partition by ingredient order by week_start)),
+featured as (select *, {_LAGS}, {_MEANS}, sqrt((count(p) over s * sum((p * 1000000)::hugeint * (p * 1000000)::hugeint) over s - sum((p * 1000000)::bigint) over s * sum((p * 1000000)::bigint) over s)::double) / nullif(count(p) over s, 0) / 1e6 as price_hist_std_12w
+  from weekly window s as (partition by ingredient order by week_start rows between 12 preceding and 1 preceding), w as (partition by ingredient order by week_start)),
 di as (select date_trunc('week', ppi_date)::date as week_start, arg_max(ppi, ppi_date)::double as di_ppi from dollar group by 1),
 macro as (select ingredient, date_trunc('week', ppi_date)::date as week_start, sum(ppi)::double / count(ppi) as macro_ppi from monthly group by 1, 2)"""
 PANEL = f"""{WEEKLY},
@@ -65,19 +66,19 @@ def _forward(rows: str, key: str, date: str, value: str, spans: list[int], unit:
     return f"fwd as (select *, {means} from {rows})", pct
 
 
-def _round_all(names: list[str], places: int = 4, tie: float = 0.0) -> str:
-    return ", ".join(f"round({n} + {tie}, {places}) as {n}" for n in names)
+def _round_all(names: list[str], places: int = 4) -> str:
+    return ", ".join(f"round({n}, {places}) as {n}" for n in names)
 
 
-_EXACT = ["price_avg_weekly", "price_min_weekly", "price_max_weekly", *(f"price_lag_{n}w" for n in (1, 2, 4, 8, 13, 26, 52)), "di_ppi", "macro_ppi"]
-_F = [*(f"price_hist_avg_{n}w" for n in (4, 12, 26, 52)), "price_hist_std_12w"]
+_EXACT = ["price_avg_weekly", "price_min_weekly", "price_max_weekly", *(f"price_lag_{n}w" for n in (1, 2, 4, 8, 13, 26, 52)), *(f"price_hist_avg_{n}w" for n in (4, 12, 26, 52)), "di_ppi", "macro_ppi"]
+_F = ["price_hist_std_12w"]
 
 
-@query(f"""with {WEEKLY} select f.ingredient, f.week_start, n_reports_in_week, {", ".join(_EXACT)}, {_round_all(_F, 4, TIE)}, extract(year from f.week_start)::int as year, extract(week from f.week_start)::int as week_of_year,
+@query(f"""with {WEEKLY} select f.ingredient, f.week_start, n_reports_in_week, {", ".join(_EXACT)}, {_round_all(_F)}, extract(year from f.week_start)::int as year, extract(week from f.week_start)::int as week_of_year,
   extract(month from f.week_start)::int as month, extract(quarter from f.week_start)::int as quarter
   from featured f left join di using (week_start) left join macro m on m.ingredient = f.ingredient and m.week_start = f.week_start""")
 def m5_weekly_training(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(panel.weekly_training(spark, sf_dir), 4, tuple(_EXACT), TIE)
+    return rounded(panel.weekly_training(spark, sf_dir), 4, tuple(_EXACT))
 
 
 _c, _p = _forward("dollar", "1", "ppi_date", "ppi", panel.DAYS, "d")
@@ -103,7 +104,7 @@ _N = [f"price_avg_fwd_{n}d" for n in panel.DAYS]
 
 
 @query(f"""with {REPORTS}, daily as (select ingredient, ingredient_group, report_date, min(price)::double as price_min, max(price)::double as price_max,
-  (((sum(price) * 100)::bigint * 100 // count(price)) / 10000.0)::decimal(18,4) as price_avg from reports group by 1, 2, 3), {_c}, p as (select *, {_p} from fwd)
+  {_mean('price')} as price_avg from reports group by 1, 2, 3), {_c}, p as (select *, {_p} from fwd)
   select ingredient, ingredient_group, report_date, price_min, price_max, price_avg::double as price_avg, {', '.join(_N + [f'{n}_pct' for n in _N])} from p""")
 def m3_market_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return panel.market_mart(spark, sf_dir)
@@ -156,9 +157,11 @@ def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
 _CHECKS = ["order_present", "discount_not_zero", "flag_numeric", "flag_upper", "day_format", "old_format", "line_unique"]
 
 
-@query("""with v as (select count(*) filter (l_orderkey is null) as order_present, count(*) filter (l_discount = 0) as discount_not_zero, count(*) as flag_numeric, 0::bigint as flag_upper, 0::bigint as day_format,
-  count(*) as old_format, (select sum(c)::bigint from (select count(*) c from lineitem group by l_orderkey, l_linenumber having count(*) > 1)) as line_unique from lineitem)
-  select 'lineitem' as table_name, check_name, violations, violations = 0 as passed from (unpivot v on columns(*) into name check_name value violations)""")
+@query("""with f as (select *, strftime(l_shipdate, '%Y-%m-%d') as day from lineitem), v as (select count(*) filter (l_orderkey is null) as order_present, count(*) filter (not (l_discount <> 0)) as discount_not_zero,
+  count(*) filter (l_returnflag is not null and try_cast(l_returnflag as double) is null) as flag_numeric, count(*) filter (l_returnflag <> upper(l_returnflag)) as flag_upper,
+  count(*) filter (not coalesce(regexp_matches(day, '^\\d{4}-\\d{2}-\\d{2}$'), false)) as day_format, count(*) filter (not coalesce(regexp_matches(day, '^\\d{1,2}/\\d{1,2}/\\d{4}$'), false)) as old_format,
+  (select coalesce(sum(c), 0)::bigint from (select count(*) c from lineitem group by l_orderkey, l_linenumber having count(*) > 1)) as line_unique from f)
+  select 'lineitem' as table_name, check_name, violations, violations = 0 as passed, bool_and(violations = 0) over () as all_passed from (unpivot v on columns(*) into name check_name value violations)""")
 def q_check_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.summary(_checked(spark, sf_dir), "lineitem", _CHECKS)
 
@@ -174,10 +177,27 @@ def j6_ambiguous_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.ambiguous(tables.parquet(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey"), "l_suppkey", "l_partkey")
 
 
-@query("select p_brand, p_type, p_name, p_size, 10000 + row_number() over (order by p_brand, p_type, p_name, p_size) as id from (select distinct p_brand, p_type, p_name, p_size from part)")
+_LAYOUTS = """raw as (select upper(p_type) as g, p_name as d, p_brand as n, case p_size % 5 when 0 then 'TONS' when 1 then '(NA)' when 2 then 'FURLONGS' when 3 then 'Bushels' else 'ACRES' end as u from part
+    union all select upper(p_type), case when p_size % 4 = 0 then 'Total' else p_name end, case when p_size % 6 = 0 then null else p_brand end, ' tons ' from part where p_size % 2 = 0),
+  marked as (select trim(regexp_replace(upper(g), '[-–—,. ]+', ' ', 'g')) as g, trim(regexp_replace(upper(d), '[-–—,. ]+', ' ', 'g')) as d, trim(regexp_replace(upper(coalesce(n, '')), '[-–—,. #]+', ' ', 'g')) as n, upper(trim(u)) as u from raw),
+  named as (select distinct g as ingredient_group, d as ingredient_description, n as ingredient_name, case u when 'TONS' then 'TON' when 'BUSHELS' then 'BU' else u end as unit_of_measure
+    from marked where g <> '' and d not in ('', 'TOTAL', '(NA)') and u in ('TONS', 'BUSHELS', 'ACRES'))"""
+_UNITS = ["TON", "BU", "ACRES", ""]
+
+
+def _layouts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """part as two raw production tables whose columns differ in order, with texts and units that are not to be kept."""
+    part = tables.parquet(spark, sf_dir, "part")
+    name, k = F.regexp_replace("p_brand", "#", "-"), F.col("p_size")
+    unit = F.when(k % 5 == 0, " tons").when(k % 5 == 1, "(NA)").when(k % 5 == 2, "Furlongs").when(k % 5 == 3, "Bushels").otherwise("acres")
+    crops = part.select(F.col("p_type").alias("GROUP_DESC"), F.col("p_name").alias("COMMODITY_DESC"), name.alias("CLASS_DESC"), unit.alias("UNIT_DESC"))
+    animals = part.where(k % 2 == 0).select(F.when(k % 6 != 0, name).alias("CLASS_DESC"), F.col("p_type").alias("GROUP_DESC"), F.lit(" tons ").alias("UNIT_DESC"), F.when(k % 4 == 0, "Total").otherwise(F.col("p_name")).alias("COMMODITY_DESC"))
+    return [crops, animals]
+
+
+@query(f"""with {_LAYOUTS} select *, 10000 + row_number() over (order by ingredient_group, ingredient_description, ingredient_name, unit_of_measure) as ingredient_id from named""")
 def g1_product_master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = ["p_brand", "p_type", "p_name", "p_size"]
-    return W.row_ids(tables.parquet(spark, sf_dir, "part").select(*names).dropDuplicates(names), names)
+    return staging.product_master(_layouts(spark, sf_dir), _UNITS)
 
 
 @query("select event_type as series, ts::date as date, (props::json->>'k')::double as value from events where (props::json->>'k')::int % 10 != 0")
@@ -307,7 +327,7 @@ def w18_latest_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 _GRID = f"""{PANEL}, ends as (select ingredient, min(week_start) as a, max(week_start) as b from panel group by 1), weeks as (select ingredient, unnest(generate_series(a, b, interval 7 days))::date as week_start from ends),
   grid as (select w.ingredient, w.week_start, last_value(price_avg_weekly ignore nulls) over (partition by w.ingredient order by w.week_start rows between unbounded preceding and current row) as price,
   row_number() over (partition by w.ingredient order by w.week_start) - 1 as i from weeks w left join panel p on p.ingredient = w.ingredient and p.week_start = w.week_start)"""
-_SEASON = f"""{_GRID}, t0 as (select *, count(*) over (partition by ingredient) as n, case when count(*) over w = 53 then (sum(price) over w - (first_value(price) over w + last_value(price) over w) / 2) / 52 end as inn
+_SEASON = f"""{_GRID}, t0 as (select *, count(*) over (partition by ingredient) as n, case when count(*) over w = 53 then (2 * sum(price::decimal(28,6)) over w - first_value(price::decimal(28,6)) over w - last_value(price::decimal(28,6)) over w)::double / 104 end as inn
   from grid window w as (partition by ingredient order by week_start rows between 26 preceding and 26 following)),
   ln as (select ingredient, regr_slope(inn, i) filter (i between 26 and 76) as sa, regr_intercept(inn, i) filter (i between 26 and 76) as ia, regr_slope(inn, i) filter (i between n - 77 and n - 27) as sb,
   regr_intercept(inn, i) filter (i between n - 77 and n - 27) as ib from t0 group by 1), t1 as (select t0.*, coalesce(inn, case when i < 26 then ia + sa * i else ib + sb * i end) as trend from t0 join ln using (ingredient)),
@@ -315,26 +335,33 @@ _SEASON = f"""{_GRID}, t0 as (select *, count(*) over (partition by ingredient)
   parts as (select t1.ingredient, week_start, price, case when n >= 104 then trend end as trend, case when n >= 104 then seasonal else 0 end as seasonal from t1 join sn on sn.ingredient = t1.ingredient and sn.p = t1.i % 52)"""
 
 
-@query(f"with {_SEASON} select ingredient, week_start, price, {_round_all(['trend', 'seasonal'], 4, TIE)} from parts")
+@query(f"with {_SEASON} select ingredient, week_start, price, {_round_all(['trend', 'seasonal'])} from parts")
 def n2_seasonal_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(scores.seasonal(scores.weekly_grid(scores.panel_of(spark, sf_dir))), exact=("price",), tie=TIE)
+    return rounded(scores.seasonal(scores.weekly_grid(scores.panel_of(spark, sf_dir))), exact=("price",))
 
 
 _STATS = f"""{_SEASON}, stats as (select ingredient, extract(week from week_start)::int as week_of_year, quantile_cont(price, 0.25) as p25, quantile_cont(price, 0.5) as median, quantile_cont(price, 0.75) as p75, avg(price) as mean,
   avg(seasonal) as seasonal_factor from parts where extract(week from week_start) <= 52 group by 1, 2)"""
 
 
-# Quartiles between means of 8 or 16 prices often end in a 5 at the next place: 1e-8 takes such ties upward on both sides.
-@query(f"with {_STATS} select ingredient, week_of_year, {', '.join(f'round({c} + 1e-8, 6) as {c}' for c in ('p25', 'median', 'p75'))}, {_round_all(['mean', 'seasonal_factor'])} from stats")
+# Quartiles of prices with six places have eight at most.
+@query(f"with {_STATS} select ingredient, week_of_year, {_round_all(['p25', 'median', 'p75'], 8)}, {_round_all(['mean', 'seasonal_factor'])} from stats")
 def a6_seasonal_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     quartiles = ("p25", "median", "p75")
-    return rounded(_stats(spark, sf_dir).withColumns({c: F.round(F.col(c) + 1e-8, 6) for c in quartiles}), 4, quartiles)
+    return rounded(_stats(spark, sf_dir).withColumns({c: F.round(c, 8) for c in quartiles}), 4, quartiles)
 
 
 def _stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.seasonal_stats(scores.seasonal(scores.weekly_grid(scores.panel_of(spark, sf_dir))))
 
 
+def _curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The price curve from one panel, written as it is used several times."""
+    p = scores.panel_of(spark, sf_dir)
+    parts = tables.written(scores.seasonal(tables.written(scores.weekly_grid(p), "weekly_grid")), "seasonal_parts")
+    return tables.written(scores.price_curve(scores.seasonal_stats(parts), p), "price_curve")
+
+
 _CURVE = f"""{_STATS}, lastp as (select ingredient, arg_max(price_avg_weekly, week_start) as now, extract(week from max(week_start))::int as start from panel group by 1), mid as (select ingredient, avg(median) as mid from stats group by 1),
   ahead as (select ingredient, now, mid, i::int as week_index, ((start - 2 + i) % 52 + 1)::int as week_of_year from lastp join mid using (ingredient) cross join generate_series(1, 52) g(i)),
   curve as (select a.ingredient, week_index, a.week_of_year, coalesce(median, now) * now / mid as expected_price, coalesce(p25, now * 0.95) * now / mid as p25_price, coalesce(p75, now * 1.05) * now / mid as p75_price,
@@ -343,17 +370,31 @@ _CURVE = f"""{_STATS}, lastp as (select ingredient, arg_max(price_avg_weekly, we
 
 @query(f"with {_CURVE} select ingredient, week_index, week_of_year, {_round_all(['expected_price', 'p25_price', 'p75_price', 'seasonal_factor'], 4)} from curve")
 def n3_price_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(scores.price_curve(_stats(spark, sf_dir), scores.panel_of(spark, sf_dir)), 4)
+    return rounded(_curve(spark, sf_dir), 4)
 
 
-@query()
+# The greedy of scores.schedule() as a recursion over each ingredient's weeks by rising price.
+_SCHEDULE = _CURVE.replace("with ", "", 1) + """, ranked as (select *, row_number() over (partition by ingredient order by expected_price, week_index) as k from curve),
+  bought(ingredient, k, slack, room, week_index, add) as (
+    select ingredient, 0::bigint, list_transform(generate_series(1, 52), lambda x: 1e6::double * least(x / 52 * 1.2::double, 1) - 5e3::double * x), 1e6::double - 52 * 5e3::double, 0, 0::double from (select distinct ingredient from curve)
+    union all select b.ingredient, r.k, list_transform(b.slack, lambda x, i: case when i >= r.week_index then x - greatest(0, least(95e3::double, list_min(b.slack[r.week_index:]), b.room)) else x end),
+      b.room - greatest(0, least(95e3::double, list_min(b.slack[r.week_index:]), b.room)), r.week_index, greatest(0, least(95e3::double, list_min(b.slack[r.week_index:]), b.room))
+    from bought b join ranked r on r.ingredient = b.ingredient and r.k = b.k + 1),
+  planned as (select c.*, 5e3::double + add as q from curve c join bought b on b.ingredient = c.ingredient and b.week_index = c.week_index),
+  schedule as (select *, q * expected_price as cost, sum(q) over w as q_so_far, sum(q * expected_price) over w as cost_so_far from planned window w as (partition by ingredient order by week_index))"""
+
+
+@query(f"""with recursive {_SCHEDULE} select ingredient, week_index, week_of_year, {_round_all(['expected_price', 'p25_price', 'p75_price', 'seasonal_factor'])}, round(q, 4) as recommended_purchase, round(cost) as total_cost,
+  round(q_so_far, 4) as cumulative_purchase, round(cost_so_far) as cumulative_cost, expected_price < p25_price and q < 90000 as opportunistic_flag from schedule""")
 def n4_purchase_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(scores.schedule(scores.price_curve(_stats(spark, sf_dir), scores.panel_of(spark, sf_dir))), 4)
+    costs = ("total_cost", "cumulative_cost")
+    return rounded(rounded(scores.schedule(_curve(spark, sf_dir)), 4, costs), 0, ("expected_price", "p25_price", "p75_price", "seasonal_factor", "recommended_purchase", "cumulative_purchase"))
 
 
-@query()
+@query(f"""with recursive {_SCHEDULE} select ingredient, round(sum(cost)) as optimised_cost, round(avg(expected_price) * 1e6) as flat_cost, arg_min(week_of_year, expected_price) as trough_week, arg_max(week_of_year, expected_price) as peak_week,
+  round((1 - sum(cost) / (avg(expected_price) * 1e6)) * 100, 4) as saving_pct from schedule group by 1""")
 def a8_schedule_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(scores.schedule_totals(scores.schedule(scores.price_curve(_stats(spark, sf_dir), scores.panel_of(spark, sf_dir)))), 4)
+    return rounded(rounded(scores.schedule_totals(tables.written(scores.schedule(_curve(spark, sf_dir)), "schedule")), 4, ("optimised_cost", "flat_cost")), 0, ("saving_pct",))
 
 
 @query(f"""with {PANEL}, r as (select *, row_number() over (partition by ingredient order by week_start desc) as k from panel)
@@ -417,15 +458,9 @@ def g6_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.mapping(raw)
 
 
-@query("""with raw as (select upper(p_type) as g, p_name as d, p_brand as n, 'TONS' as u from part union all select upper(p_type), '', p_brand, '' from part where p_size % 2 = 0),
-  c as (select distinct trim(regexp_replace(g, '[-–—,. ]+', ' ', 'g')) as ingredient_group, trim(regexp_replace(upper(d), '[-–—,. ]+', ' ', 'g')) as ingredient_description, trim(regexp_replace(upper(n), '[-–—,. #]+', ' ', 'g')) as ingredient_name,
-  case u when 'TONS' then 'TON' else u end as unit_of_measure from raw) select * from c where ingredient_group in ('ECONOMY', 'LARGE', 'PROMO')""")
+@query(f"with {_LAYOUTS} select * from named")
 def u1_two_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = tables.parquet(spark, sf_dir, "part")
-    name = F.regexp_replace("p_brand", "#", "-")
-    crops = part.select(F.col("p_type").alias("GROUP_DESC"), F.col("p_name").alias("COMMODITY_DESC"), name.alias("CLASS_DESC"), F.lit(" tons ").alias("UNIT_DESC"))
-    animals = part.where("p_size % 2 = 0").select(name.alias("CLASS_DESC"), F.col("p_type").alias("GROUP_DESC"), F.lit("(NA)").alias("UNIT_DESC"), F.lit("Total").alias("COMMODITY_DESC"))
-    return staging.master([crops, animals], ["ECONOMY", "LARGE", "PROMO"])
+    return staging.master(_layouts(spark, sf_dir), _UNITS)
 
 
 @query(f"""with {_COST}, l as (select *, row_number() over (partition by ingredient order by week_start desc) as k from cost),
@@ -462,3 +497,152 @@ def c2_forecast_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def r6_quick_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast.quick_risk(scores.panel_of(spark, sf_dir), _forecast(spark, sf_dir))
+
+
+_DAY = "1997-06-30"
+
+
+@query(f"""with {PANEL}, cut as (select * from panel where week_start <= date '{_DAY}') select ingredient, max(week_start) as week_start, arg_max(price_avg_weekly, week_start) as price_avg_weekly,
+  array_to_string(list_slice(list((floor(price_avg_weekly * 100)::bigint)::varchar order by week_start), -12, -1), ',') as trend from cut group by 1""")
+def p7_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = scores.latest(scores.panel_of(spark, sf_dir), 12, "price_avg_weekly", _DAY)
+    return t.withColumn("trend", F.array_join(F.transform("trend", lambda x: F.floor(x * 100).cast("string")), ","))
+
+
+# A mapping made of part: two ids for each brand, each of one unit; some brands are in none.
+_MAPPING = """mapping as (select 10000 + 10 * substr(p_brand, 7)::int + k as ingredient_id, 'GROUP ' || k as ingredient_group, lower(p_brand) as ingredient_description, p_brand as ingredient_name, ['A', 'N', 'R'][k] as unit_of_measure,
+    case when k = 1 then 'PCU' || substr(p_brand, 7) end as fred_series_id from (select distinct p_brand from part where substr(p_brand, 8) <> '4') cross join (values (1), (2)) v(k))"""
+
+
+def _mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    code = F.substring("p_brand", 7, 2)
+    brands = tables.parquet(spark, sf_dir, "part").select("p_brand").distinct().where(F.substring("p_brand", 8, 1) != "4").withColumn("k", F.explode(F.array(F.lit(1), F.lit(2))))
+    return brands.select(
+        (10000 + 10 * code.cast("int") + F.col("k")).alias("ingredient_id"), F.concat(F.lit("GROUP "), F.col("k").cast("string")).alias("ingredient_group"), F.lower("p_brand").alias("ingredient_description"), F.col("p_brand").alias("ingredient_name"),
+        F.element_at(F.array(F.lit("A"), F.lit("N"), F.lit("R")), F.col("k")).alias("unit_of_measure"), F.when(F.col("k") == 1, F.concat(F.lit("PCU"), code)).alias("fred_series_id"),
+    )
+
+
+_c, _p = _forward("joined", "ingredient_id", "load_time", "amount", panel.DAYS, "d")
+_N = [f"amount_fwd_{n}d" for n in panel.DAYS]
+
+
+@query(f"""with {REPORTS}, {_MAPPING}, joined as (select {", ".join("m." + c for c in panel.MAPPED)}, amount, report_date as load_time, extract(year from report_date)::int as year from reports r join mapping m on r.ingredient = m.ingredient_name and r.unit = m.unit_of_measure), {_c},
+  p as (select *, {_p} from fwd) select {", ".join(panel.MAPPED)}, year, load_time, amount::double as amount, {', '.join(_N + [f'{n}_pct' for n in _N])} from p""")
+def m4_mapped_production(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = panel.reports(spark, sf_dir).select(F.col("ingredient").alias("ingredient_name"), F.col("unit").alias("unit_of_measure"), "amount", F.col("report_date").alias("load_time"), F.year("report_date").alias("year"))
+    return panel.mapped_production(_mapping(spark, sf_dir), rows)
+
+
+_c, _p = _forward("daily", "ingredient_id", "report_date", "price_avg", panel.DAYS, "d")
+_N = [f"price_avg_fwd_{n}d" for n in panel.DAYS]
+
+
+@query(f"""with {REPORTS}, {_MAPPING}, market as (select 'REPORT ' || unit as report_title, ingredient as ams_ingredient_name, 'PER BU' as price_unit, case when amount > 25 then 'CASH' else 'FORWARD' end as sale_type, report_date, price from reports),
+  daily as (select {", ".join("m." + c for c in panel.MAPPED)}, report_title, ams_ingredient_name, price_unit, sale_type, report_date, min(price)::double as price_min, max(price)::double as price_max, {_mean('price')} as price_avg
+    from market join mapping m on ams_ingredient_name = m.ingredient_name group by all), {_c}, p as (select *, {_p} from fwd)
+  select {", ".join(panel.MAPPED + panel.REPORTED)}, price_min, price_max, price_avg::double as price_avg, {', '.join(_N + [f'{n}_pct' for n in _N])} from p""")
+def m3_mapped_market(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = panel.reports(spark, sf_dir).select(
+        F.concat(F.lit("REPORT "), "unit").alias("report_title"), F.col("ingredient").alias("ams_ingredient_name"), F.lit("PER BU").alias("price_unit"), F.when(F.col("amount") > 25, "CASH").otherwise("FORWARD").alias("sale_type"), "report_date",
+        F.col("price").alias("price_avg"), F.col("price").cast("double").alias("price_min"), F.col("price").cast("double").alias("price_max"),
+    )
+    return panel.mapped_market(_mapping(spark, sf_dir), rows)
+
+
+@query("""select substr(p_brand, 7)::int * 10 + 10001 as ingredient_id, p_partkey, round(p_retailprice, 2) as ppi from part where p_brand = 'Brand#23'""")
+def j5_index_of_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = tables.parquet(spark, sf_dir, "part").select((F.substring("p_brand", 7, 2).cast("int") * 10 + 10001).alias("ingredient_id"), "p_partkey", F.round("p_retailprice", 2).alias("ppi"))
+    return panel.index_of_name(index, _mapping(spark, sf_dir), "Brand#23")
+
+
+_c, _p = _forward("monthly", "ingredient", "ppi_date", "ppi", panel.MONTHS, "mo")
+_N = [f"ppi_fwd_{n}mo" for n in panel.MONTHS]
+
+
+@query(f"with {REPORTS}, {MONTHLY}, {_c}, p as (select *, {_p} from fwd) select ingredient, ppi_date, ppi::double as ppi, {', '.join(_N + [f'{n}_pct' for n in _N])} from p where ingredient = 'Brand#23'")
+def p4_macro_of_one_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return panel.macro_mart(spark, sf_dir, "Brand#23")
+
+
+_c, _p = _forward("named", "ingredient, unit", "report_date", "amount", [7, 30], "d")
+_N = ["amount_fwd_7d", "amount_fwd_30d"]
+
+
+@query(f"with {REPORTS}, named as (select * from reports where contains(ingredient, 'd#2')), {_c}, p as (select *, {_p} from fwd) select ingredient, unit, report_date, amount::double as amount, {', '.join(_N + [f'{n}_pct' for n in _N])} from p")
+def p5_production_by_part_of_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return panel.production_mart(spark, sf_dir, "d#2")
+
+
+_ALERT = ", ".join(f"('{level}', '{colour}', '{action}')" for level, (colour, action) in scores.ALERTS.items())
+
+
+@query(f"""with {_DIS}, d as (select *, s1 * 0.3e0 + s2 * 0.3e0 + s3 * 0.2e0 + s4 * 0.2e0 as s from c where week_start <= date '{_DAY}'), e as (select ingredient, max(week_start) as week_start, arg_max(s, week_start) as s, count(s) as n,
+    list_sum(list_slice(list(s order by week_start), -12, -1)) as t from (select *, row_number() over (partition by ingredient order by week_start desc) as back from d) where back <= 12 group by 1),
+  f as (select *, case when s >= 90 then 'EMERGENCY' when s >= 75 then 'HIGH' when s >= 60 then 'MODERATE' when s is not null then 'LOW' end as level from e)
+  select ingredient, week_start, round(s, 4) as disruption_score, level, colour, action, n as n_trend, round(t, 4) as sum_trend from f left join (values {_ALERT}) v(name, colour, action) on name = level""")
+def d5_current_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = scores.current_alert(scores.disruption(scores.panel_of(spark, sf_dir)), _DAY)
+    total = F.when(F.size("trend") > 0, F.aggregate("trend", F.lit(0.0), lambda a, x: a + x))
+    return rounded(t.select("ingredient", "week_start", "disruption_score", "alert.*", F.size("trend").cast("long").alias("n_trend"), total.alias("sum_trend")))
+
+
+@query(f"""with {_RISK}, l as (select *, row_number() over (partition by ingredient order by week_start desc) as back from k), u as (select ingredient, week_start, unnest(['supply_risk', 'cost_risk', 'logistics_risk', 'demand_risk']) as dimension,
+  unnest([k1, k2, k3, k4]) as score, unnest([0.3e0, 0.3e0, 0.2e0, 0.2e0]) as weight from l where back = 1) select ingredient, week_start, dimension, round(score, 4) as score, round(weight, 4) as weight from u""")
+def r5_radar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(scores.radar(scores.risk(scores.panel_of(spark, sf_dir))))
+
+
+@query(f"""with {_COST}, l as (select *, row_number() over (partition by ingredient order by week_start desc) as k from cost), n as (select * from l where k = 1), d as (select ingredient, total_landed_cost as t, unnest(['base', 'diesel +20%', 'nat_gas +20%', 'miles +20%']) as label,
+    unnest([0, (200e0 / 6.5e0 * diesel * 1.2 - 200e0 / 6.5e0 * diesel) / 1000e0, gas * 0.2 * 0.002e0, 0.2 * transport_cost]) as more from n)
+  select ingredient, label, round(t + round(more, 4), 6) as usd from d""")
+def c4_shock_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(scores.shock_rows(scores.landed_cost(scores.panel_of(spark, sf_dir))), 6)
+
+
+@query("""select o_orderkey::varchar as key, case when o_orderkey % 5 = 0 then null else o_orderpriority || ', "' || o_orderstatus || '"' end as name, case when o_orderkey % 2 = 0 then strftime(o_orderdate, '%m/%d/%Y') end as day,
+  case when o_orderkey % 3 = 0 then null else o_orderstatus end as value from orders""")
+def s_delimited_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders written as delimited files of two layouts, quotes and null tokens among them, and read back by name."""
+    k = F.col("o_orderkey")
+    named = F.when(k % 5 == 0, ".").otherwise(F.concat("o_orderpriority", F.lit(', "'), "o_orderstatus", F.lit('"')))
+    o = tables.parquet(spark, sf_dir, "orders").select(k.cast("string").alias("key"), named.alias("name"), F.when(k % 3 == 0, F.when(k % 2 == 0, "").otherwise(" . ")).otherwise(F.col("o_orderstatus")).alias("value"), F.date_format("o_orderdate", "MM/dd/yyyy").alias("day"), (k % 2).alias("half"))
+    path = tables.scratch_path(spark, "delimited")
+    tables.write_csv(o.where("half = 0").select("key", "name", "day", "value"), f"{path}/even")
+    tables.write_csv(o.where("half = 1").select("value", "name", "key"), f"{path}/odd")
+    return tables.delimited(spark, {f"{path}/e*/*.csv": ["key", "name", "day", "value"], f"{path}/odd/*.csv": ["value", "name", "key"]}).select("key", "name", "day", "value")
+
+
+@query("""select l_orderkey, l_orderkey % 2 = 0 as truncated, l_returnflag as flag, l_linenumber::varchar as line from lineitem where l_orderkey % 10 <> 3""")
+def s_report_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem as landed report documents, one per order, and the rows of their detail sections."""
+    line = tables.parquet(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct(F.col("l_returnflag").alias("flag"), F.col("l_linenumber").cast("string").alias("line"), F.col("l_orderkey").cast("string").alias("order"))).alias("results"))
+    n = F.size("results").cast("long")
+    section = F.struct(F.when(F.col("l_orderkey") % 10 == 3, "Report Header").otherwise("Report Detail").alias("reportSection"), F.struct((n + F.when(F.col("l_orderkey") % 2 == 0, 1).otherwise(0)).alias("totalRows"), n.alias("returnedRows")).alias("stats"), "results")
+    landed = line.select(F.to_json(F.array(section)).alias("body"))
+    return tables.report_details(landed, "body", ["flag", "line", "order"]).select(F.col("order").cast("long").alias("l_orderkey"), "truncated", "flag", "line")
+
+
+@query("select p_brand, p_partkey, p_size, 1 as n_files from part where p_brand in ('Brand#11', 'Brand#23')")
+def s_parquet_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """part written with a folder per brand, its rows in order, and two brands read back; n_files is the number of files of a brand."""
+    path = tables.scratch_path(spark, "sink")
+    tables.write_parquet(tables.parquet(spark, sf_dir, "part").select("p_brand", "p_partkey", "p_size"), path, "p_brand", ("p_partkey",))
+    back = spark.read.parquet(path).where(F.col("p_brand").isin("Brand#11", "Brand#23")).withColumn("file", F.input_file_name())
+    files = back.groupBy("p_brand").agg(F.count_distinct("file").cast("int").alias("n_files"))
+    return back.join(F.broadcast(files), "p_brand").select("p_brand", "p_partkey", "p_size", "n_files")  # two rows
+
+
+@query("select c_mktsegment as key, count(*) as n, min(c_custkey) as first_key, max(c_custkey) as last_key from customer group by 1")
+def s_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A summary of customer per segment written as a JSON document each and read back."""
+    path = tables.scratch_path(spark, "snapshots")
+    t = tables.parquet(spark, sf_dir, "customer").groupBy(F.col("c_mktsegment").alias("key")).agg(F.count("*").alias("n"), F.min("c_custkey").alias("first_key"), F.max("c_custkey").alias("last_key"))
+    tables.write_snapshots(t, path, "key")
+    read = spark.read.text(path).select(F.from_json("value", "key string, n long, first_key long, last_key long").alias("d"))
+    return read.select("d.*")
+
+
+@query("select p_type as commodity, min(l_shipdate::date) as first_day, max(l_shipdate::date) as last_day, count(*) as n_rows from lineitem join part on p_partkey = l_partkey group by 1")
+def s_report_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return panel.reports(spark, sf_dir).groupBy(F.col("ingredient_group").alias("commodity")).agg(F.min("report_date").alias("first_day"), F.max("report_date").alias("last_day"), F.count("*").alias("n_rows"))

@@ -81,6 +81,15 @@ def cost_shares(cost: DataFrame) -> DataFrame:
     return long.select("ingredient", "week_start", "part", "usd", share.alias("share_pct"))
 
 
+def shock_rows(cost: DataFrame, shock_pct: int = 20) -> DataFrame:
+    """(ingredient, label, usd): the last week's landed cost, and under each driver's shock of shock_pct, where it has one."""
+    last = cost.groupBy("ingredient").agg(F.max("week_start").alias("week_start"))
+    now = cost.join(last, ["ingredient", "week_start"], "left_semi")
+    moved = scenarios(now).where(F.col("shock_pct") == shock_pct).join(now.select("ingredient", "total_landed_cost"), "ingredient")
+    base = now.select("ingredient", F.lit("base").alias("label"), F.col("total_landed_cost").alias("usd"))
+    return base.unionByName(moved.select("ingredient", F.concat("driver", F.lit(f" +{shock_pct}%")).alias("label"), (F.col("total_landed_cost") + F.col("delta_tlc")).alias("usd")))
+
+
 def scenarios(cost: DataFrame) -> DataFrame:
     """Each row of landed_cost() under each of the fourteen shocks: change of the total, in money and percent."""
     spark = cost.sparkSession
@@ -121,7 +130,11 @@ def disruption(panel: DataFrame) -> DataFrame:
     return t.select("ingredient", "week_start", "price_avg_weekly", "disruption_score", "score_supply_deviation", "score_price_gap", "score_price_momentum", "score_volatility_spike", "level")
 
 
-def risk(panel: DataFrame, weights: tuple[float, ...] = (0.3, 0.3, 0.2, 0.2)) -> DataFrame:
+def risk(panel: DataFrame, weights: tuple[float, ...] = (0.3, 0.3, 0.2, 0.2), places: int = 9) -> DataFrame:
+    """The four risks as percentile ranks of what they are read from, and their weighted mean; weights are divided by their sum.
+
+    Ratios that agree to `places` places are ties in a rank: without that, ranks would depend on the order of additions.
+    """
     r = lambda c, n, least, f: W.rolling(F.col(c), weeks(), n, least, f)
     t = panel.withColumn("c1", W.change("price_avg_weekly", weeks(), 1))
     t = t.withColumns({
@@ -129,10 +142,10 @@ def risk(panel: DataFrame, weights: tuple[float, ...] = (0.3, 0.3, 0.2, 0.2)) ->
         "year": F.coalesce(W.change("macro_ppi", weeks(), 52), F.lit(0.0)), "half": F.coalesce(W.change("price_avg_weekly", weeks(), 26), F.lit(0.0)),
     })
     t = t.withColumns({
-        "r1": F.when(F.col("longer").isNotNull(), F.round(clip(F.col("shorter") / F.greatest(F.col("longer"), F.lit(1e-6)), 0.5, 2.0), 9)),
-        "r2": F.round("year", 9),
+        "r1": F.when(F.col("longer").isNotNull(), F.round(clip(F.col("shorter") / F.greatest(F.col("longer"), F.lit(1e-6)), 0.5, 2.0), places)),
+        "r2": F.round("year", places),
         "r3": -F.col("di_ppi"),
-        "r4": F.round(-F.col("half") * (1 - clip(F.col("vol"), 0, 0.1) / 0.1), 9),
+        "r4": F.round(-F.col("half") * (1 - clip(F.col("vol"), 0, 0.1) / 0.1), places),
     })
     names = ["supply_risk", "cost_risk", "logistics_risk", "demand_risk"]
     t = t.withColumns({n: W.expanding_rank(f"r{i}", weeks()) for i, n in enumerate(names, 1)})
@@ -142,10 +155,41 @@ def risk(panel: DataFrame, weights: tuple[float, ...] = (0.3, 0.3, 0.2, 0.2)) ->
     return t.select("ingredient", "week_start", "price_avg_weekly", "composite_risk", *names, "level")
 
 
-def latest(df: DataFrame, n: int, value: str) -> DataFrame:
-    """(ingredient, week_start, value, trend): the last row of each ingredient and the last n values, oldest first."""
+def as_of(df: DataFrame, day: str | None) -> DataFrame:
+    """Rows of weeks that start at or before day, a date as text; all rows without one."""
+    return df if day is None else df.where(F.col("week_start") <= F.lit(day).cast("date"))
+
+
+def latest(df: DataFrame, n: int, value: str, day: str | None = None) -> DataFrame:
+    """(ingredient, week_start, value, trend): the last row of each ingredient, at or before day if one is given, and its last n values, oldest first."""
     w = weeks().rowsBetween(1 - n, 0)
-    return df.withColumn("trend", F.collect_list(value).over(w)).groupBy("ingredient").agg(F.max_by(F.struct("week_start", value, "trend"), "week_start").alias("s")).select("ingredient", "s.*")
+    return as_of(df, day).withColumn("trend", F.collect_list(value).over(w)).groupBy("ingredient").agg(F.max_by(F.struct("week_start", value, "trend"), "week_start").alias("s")).select("ingredient", "s.*")
+
+
+#: Colour and action of each level of disruption.
+ALERTS = {
+    "EMERGENCY": ("#d32f2f", "Emergency sourcing action required"), "HIGH": ("#f57c00", "Procurement review recommended"),
+    "MODERATE": ("#fbc02d", "Monitor closely — informational alert"), "LOW": ("#388e3c", "No action required"),
+}
+DISRUPTIONS = ["score_supply_deviation", "score_price_gap", "score_price_momentum", "score_volatility_spike"]
+RISK_WEIGHTS = {"supply_risk": 0.3, "cost_risk": 0.3, "logistics_risk": 0.2, "demand_risk": 0.2}
+
+
+def current_alert(scored: DataFrame, day: str | None = None) -> DataFrame:
+    """The last row of disruption() of each ingredient, at or before day, with its level, colour and action, components, and the last 12 scores."""
+    w = weeks().rowsBetween(-11, 0)
+    t = as_of(scored, day).withColumn("trend", F.collect_list("disruption_score").over(w))
+    last = t.groupBy("ingredient").agg(F.max_by(F.struct("week_start", "disruption_score", *DISRUPTIONS, "level", "trend"), "week_start").alias("s")).select("ingredient", "s.*")
+    alert = F.create_map(*(F.lit(x) for level, (colour, action) in ALERTS.items() for x in (level, f"{colour}|{action}")))
+    told = F.split(alert[F.col("level")], r"\|")
+    return last.withColumn("alert", F.struct("level", told[0].alias("colour"), told[1].alias("action"))).drop("level")
+
+
+def radar(scored: DataFrame, weights: dict[str, float] = RISK_WEIGHTS, day: str | None = None) -> DataFrame:
+    """(ingredient, week_start, dimension, score, weight): the dimensions of the last row of risk() at or before day."""
+    last = as_of(scored, day).groupBy("ingredient").agg(F.max_by(F.struct("week_start", *weights), "week_start").alias("s")).select("ingredient", "s.*")
+    share = F.create_map(*(F.lit(x) for k, v in weights.items() for x in (k, v / sum(weights.values()))))
+    return last.unpivot(["ingredient", "week_start"], list(weights), "dimension", "score").withColumn("weight", share[F.col("dimension")])
 
 
 def weekly_grid(panel: DataFrame) -> DataFrame:
@@ -161,7 +205,9 @@ def seasonal(grid: DataFrame) -> DataFrame:
     nearest 51 trend points beyond it, and mean deviations by position less their mean; 0 with fewer than 104 weeks."""
     key = Window.partitionBy("ingredient")
     w = weeks().rowsBetween(-26, 26)
-    centred = (F.sum("price").over(w) - (F.first("price").over(w) + F.last("price").over(w)) / 2) / 52
+    # Prices have six places at most, so sums of decimals are exact and their order does not show.
+    p = F.col("price").cast("decimal(28,6)")
+    centred = (F.sum(p).over(w) * 2 - F.first(p).over(w) - F.last(p).over(w)).cast("double") / 104
     t = grid.withColumn("n", F.count("*").over(key)).withColumn("inner", F.when(F.count("price").over(w) == 53, centred))
     x, y = F.col("i").cast("double"), F.col("inner")
     head, tail = (F.col("i") >= 26) & (F.col("i") <= 76), (F.col("i") <= F.col("n") - 27) & (F.col("i") >= F.col("n") - 77)

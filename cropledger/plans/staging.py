@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cropledger.functions import text
+from cropledger.operators import windows as W
 
 #: Columns of a raw market report that are kept in upper case, and the names they get.
 MARKET_TEXT = {
@@ -47,12 +48,23 @@ def mapping(raw: DataFrame) -> DataFrame:
     return raw.select(F.col("ingredient_id").try_cast("int").alias("ingredient_id"), "ingredient_group", "ingredient_description", "ingredient_name", "unit_of_measure", text.no_series(F.col("fred_series_id")).alias("fred_series_id"))
 
 
-def master(parts: list[DataFrame], allowed: list[str]) -> DataFrame:
-    """Distinct (group, description, name, unit) of raw production tables of different layouts, cleaned, for allowed groups with a name."""
+def master(parts: list[DataFrame], units: list[str]) -> DataFrame:
+    """Distinct (group, description, name, unit) of raw production tables of different layouts, cleaned.
+
+    A null is an empty text. Rows without a group, description or unit, and of units that are not among units, go; an
+    empty name stays.
+    """
     names = {"GROUP_DESC": "ingredient_group", "COMMODITY_DESC": "ingredient_description", "CLASS_DESC": "ingredient_name", "UNIT_DESC": "unit_of_measure"}
     every = parts[0]
     for other in parts[1:]:
         every = every.unionByName(other, allowMissingColumns=True)
-    clean = every.select(*(text.no_placeholder(text.no_marks(F.col(c)) if c != "UNIT_DESC" else text.collapse(F.col(c))).alias(to) for c, to in names.items()))
+    clean = every.select(*(F.coalesce(text.no_placeholder(text.no_marks(F.col(c)) if c != "UNIT_DESC" else text.collapse(F.col(c))), F.lit("")).alias(to) for c, to in names.items()))
     clean = clean.withColumn("unit_of_measure", text.singular_unit(F.col("unit_of_measure")))
-    return clean.where(F.col("ingredient_group").isin(allowed) & (F.col("ingredient_name") != "")).dropDuplicates(list(names.values()))
+    whole = (F.col("ingredient_group") != "") & (F.col("ingredient_description") != "") & F.col("unit_of_measure").isin([u for u in units if u])
+    return clean.where(whole).dropDuplicates(list(names.values()))
+
+
+def product_master(parts: list[DataFrame], units: list[str]) -> DataFrame:
+    """master() with ingredient_id, from 10001 on in the order of group, description, name and unit."""
+    order = ["ingredient_group", "ingredient_description", "ingredient_name", "unit_of_measure"]
+    return W.row_ids(master(parts, units), order).withColumnRenamed("id", "ingredient_id")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import tempfile
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,16 +52,51 @@ def fan_out(series: DataFrame, mapping: DataFrame) -> DataFrame:
     return series.join(small, "series")
 
 
-def write_parquet(df: DataFrame, path: str, key: str | None = None) -> None:
-    """Overwrite path, one folder per key so that readers of one ingredient skip the others."""
-    out = df.write.mode("overwrite")
+def scratch_dir(spark: SparkSession) -> str:
+    """The shared folder that spark.checkpoint.dir names; only a local master may do without it."""
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    if base:
+        return base.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    return _own_scratch()
+
+
+@functools.cache
+def _own_scratch() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="cropledger-")
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """df written to the scratch folder and read back: computed once, however often it is used, and safe from lost executors."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def write_parquet(df: DataFrame, path: str, key: str | None = None, order: tuple[str, ...] = ()) -> None:
+    """Overwrite path, one folder per key so that readers of one ingredient skip the others; rows of a file follow order."""
+    if key and order:
+        df = df.repartition(key)
+    out = (df.sortWithinPartitions(*([key] if key else []), *order) if order else df).write.mode("overwrite")
     (out.partitionBy(key) if key else out).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Overwrite path by delimited files with a header; quotes inside a value are doubled."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def snapshots(df: DataFrame, key: str) -> DataFrame:
     """(key, document): one JSON text per row."""
-    return df.select(key, F.to_json(F.struct(*df.columns)).alias("document"))
+    return df.select(key, F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("document"))
+
+
+def write_snapshots(df: DataFrame, path: str, key: str) -> None:
+    """Overwrite path by one JSON document per line, in a folder per key."""
+    snapshots(df, key).write.mode("overwrite").partitionBy(key).text(path)

@@ -67,3 +67,22 @@ def test_lag_safe():
 def test_staging_of_unreadable_text(spark):
     raw = spark.createDataFrame([("x", "1,5a", "13/40/2024", "no ppi AVAILABLE"), (None, None, None, None)], "ingredient_id string, ppi string, date string, fred_series_id string").withColumn("frequency", F.lit("M"))
     assert [tuple(r) for r in staging.price_index(raw, "ingredient_id", "int").collect()] == [(None, None, None, "M")]
+
+
+def test_unsafe_lags_are_blank_and_features_follow_the_schema(spark, rows):
+    for h in (1, 2, 5, 13):
+        safe = set(forecast.lag_safe(forecast.LEVELS, h))
+        one = rows.where(F.col("horizon") == h).select(*(F.max(F.abs(F.col(c) - 1)).alias(c) for c in forecast.LEVELS)).collect()[0]
+        assert {c for c in forecast.LEVELS if one[c]} == safe
+    assert set(forecast.numeric_columns(rows, ("price_avg_weekly", "target", "change"))) == set(forecast.FEATURES)
+    df = spark.createDataFrame([(1, 2.0, "x", dt.date(2024, 1, 1))], "a int, b double, c string, d date")
+    assert forecast.numeric_columns(df, ("a",)) == ["b"]
+
+
+def test_forecast_as_of_a_day_sees_nothing_later(spark):
+    weekly = panel.weekly_training(spark, SF)
+    day = "1999-06-30"
+    cut = forecast.forecast(weekly, day).orderBy("ingredient", "horizon_weeks").collect()
+    late = weekly.withColumn("price_avg_weekly", F.when(F.col("week_start") > F.lit(day).cast("date"), 1.0).otherwise(F.col("price_avg_weekly")))
+    assert cut and all(r.forecast_date <= dt.date(1999, 6, 30) for r in cut)
+    assert cut == forecast.forecast(late, day).orderBy("ingredient", "horizon_weeks").collect()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cropledger.functions import text
 from cropledger.operators import quality
 from cropledger.operators import windows as W
-from cropledger.plans import scores
+from cropledger.plans import scores, staging
 from cropledger.sources import tables
 
 
@@ -88,3 +88,56 @@ def test_numeric_check(spark):
     texts = ["1", " 2.5 ", "1e5", "R", "", "-Infinity", "NaN", "nancy", "1,000", None]
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", quality.numeric(F.col("t")).alias("bad")).collect()
     assert {r.t for r in rows if r.bad} == {"R", "", "nancy", "1,000"}
+
+
+def test_exact_means_neither_cut_nor_overflow(spark):
+    from cropledger.plans import panel
+
+    df = spark.createDataFrame([("a", "0.01"), ("a", "0.02"), ("a", "0.02")] + [("b", "9999999999999.99")] * 200, "k string, v string").select("k", F.col("v").cast("decimal(18,2)").alias("v"))
+    got = {r.k: str(r.m) for r in df.groupBy("k").agg(panel.exact_mean("v").alias("m")).collect()}
+    assert got == {"a": "0.016667", "b": "9999999999999.990000"}
+
+
+def test_master_keeps_allowed_units_and_empty_names(spark):
+    rows = [("Crops", "Corn", "Corn, Grain", " bushels "), ("CROPS", "Total", "X", "TONS"), ("CROPS", "Corn", None, "TONS"), ("CROPS", "Corn", "(NA)", "TONS"), ("(NA)", "Corn", "Y", "TONS"), ("CROPS", "Corn", "Z", "FURLONG"), ("CROPS", None, "Z", "TONS"), ("CROPS", "Corn", "Z", None)]
+    df = spark.createDataFrame(rows, "GROUP_DESC string, COMMODITY_DESC string, CLASS_DESC string, UNIT_DESC string")
+    got = staging.product_master([df, df.select("UNIT_DESC", "CLASS_DESC", "COMMODITY_DESC", "GROUP_DESC")], ["TON", "BU", ""]).collect()
+    assert sorted((r.ingredient_id, r.ingredient_name, r.unit_of_measure) for r in got) == [(10001, "", "TON"), (10002, "CORN GRAIN", "BU")]
+    assert staging.product_master([df.limit(0)], ["TON"]).collect() == []
+
+
+def test_sinks(spark, tmp_path):
+    df = spark.createDataFrame([("b", 2, 'x "y", z'), ("a", 9, None), ("b", 1, "."), ("a", 3, "q")], "k string, n int, v string").repartition(3)
+    tables.write_parquet(df, f"{tmp_path}/p", "k", ("n",))
+    files = sorted((tmp_path / "p").glob("k=b/*.parquet"))
+    assert len(files) == 1 and [r.n for r in spark.read.parquet(str(files[0])).collect()] == [1, 2]
+    tables.write_csv(df, f"{tmp_path}/c")
+    back = tables.delimited(spark, {f"{tmp_path}/c/*.csv": ["k", "n", "v"]}).collect()
+    assert {tuple(r) for r in back} == {("b", "2", 'x "y", z'), ("a", "9", None), ("b", "1", None), ("a", "3", "q")}
+    tables.write_snapshots(df.where("n in (2, 9)"), f"{tmp_path}/s", "k")
+    assert {r.value for r in spark.read.text(f"{tmp_path}/s").collect()} == {'{"k":"b","n":2,"v":"x \\"y\\", z"}', '{"k":"a","n":9,"v":null}'}
+
+
+def test_alerts(spark):
+    rows = [("a", dt.date(2024, 1, 1) + dt.timedelta(weeks=i), s) for i, s in enumerate([20.0, 65.0, 95.0])] + [("b", dt.date(2024, 1, 1), None)]
+    df = spark.createDataFrame(rows, "ingredient string, week_start date, disruption_score double").withColumns({c: F.lit(1.0) for c in scores.DISRUPTIONS})
+    df = df.withColumn("level", text.classify(F.col("disruption_score"), scores.LEVELS, "LOW"))
+    now = {r.ingredient: r for r in scores.current_alert(df).collect()}
+    assert now["a"].alert.level == "EMERGENCY" and now["a"].alert.colour == "#d32f2f" and now["a"].trend == [20.0, 65.0, 95.0] and now["b"].alert.action is None
+    then = {r.ingredient: r for r in scores.current_alert(df, "2024-01-10").collect()}["a"]
+    assert then.alert.level == "MODERATE" and then.week_start == dt.date(2024, 1, 8)
+
+
+def test_schedule_is_optimal(spark):
+    """Against every plan on a grid, which holds the best one as all limits lie on it."""
+    import itertools
+
+    for seed, prices in enumerate([[5.0, 3.0, 4.0, 1.0], [1.0, 2.0, 3.0, 4.0], [2.0, 2.0, 1.0, 9.0]]):
+        curve = spark.createDataFrame([("a", i + 1, i + 1, p, 0.0, 9.0, 0.0) for i, p in enumerate(prices)], "ingredient string, week_index int, week_of_year int, expected_price double, p25_price double, p75_price double, seasonal_factor double")
+        got = [r.recommended_purchase for r in scores.schedule(curve, volume=20.0, least=0.1, most=0.5, ahead=0.2).orderBy("week_index").collect()]
+        best = min(
+            (sum(q * p for q, p in zip(plan, prices)), plan)
+            for plan in itertools.product(range(2, 11), repeat=4)
+            if sum(plan) == 20 and all(sum(plan[: k + 1]) <= 20 * min((k + 1) / 4 * 1.2, 1) for k in range(4))
+        )
+        assert abs(sum(q * p for q, p in zip(got, prices)) - best[0]) < 1e-9, seed
