@@ -114,7 +114,9 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
 
     calls: conv_id, turn, call_id, name, arguments (JSON text), depends_on (array of call ids, or null); results: conv_id, turn,
     call_id, content. Results join calls by (conv_id, call_id); if several calls share an id, the first by turn
-    holds it and the others are `repeated`. A call is linked, unanswered, or cyclic; a result linked or orphan.
+    holds it (a null turn is first) and the others are `repeated`. Of calls that share turn and id, the one with the least hash of name
+    and arguments holds it; calls alike in these too share its status. Empty tables give no rows of their kind; texts of any
+    length are taken whole; repeated rows are all returned; further columns are not read. A call is linked, unanswered, or cyclic; a result linked or orphan.
     A result's level is its call's, so (conv_id, level, turn, kind) is a topological order. json has sorted keys, no
     white space, and arguments as parsed JSON with sorted keys; arguments that aren't JSON are null there. Null ids link with nothing.
     """
@@ -122,13 +124,14 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     calls = calls.select("conv_id", "turn", "call_id", "name", "arguments", "depends_on")
     results = results.select("conv_id", "turn", "call_id", "content")
     checked = validate(calls, schemas)
-    first = calls.where("conv_id is not null and call_id is not null").groupBy(key).agg(F.min("turn").alias("first_turn"))
+    place = F.struct("turn", F.xxhash64("name", "arguments").alias("hash"))
+    first = calls.where("conv_id is not null and call_id is not null").groupBy(key).agg(F.min(place).alias("first_turn"))
     level = levels(calls.where("conv_id is not null and call_id is not null")).withColumn("depends", F.lit(True))
     answered = results.groupBy(key).agg(F.count("*").alias("answers"))
     known = first.join(answered, key, "left").join(level, key, "left").select(*key, "first_turn", "answers", F.when(F.col("depends"), F.col("level")).otherwise(0).alias("level"))
     known = materialise(known, "call_keys")
     status = (
-        F.when(F.col("first_turn").isNotNull() & (F.col("turn") > F.col("first_turn")), "repeated").when(F.col("first_turn").isNotNull() & F.col("level").isNull(), "cyclic")
+        F.when(F.col("first_turn").isNotNull() & (place > F.col("first_turn")), "repeated").when(F.col("first_turn").isNotNull() & F.col("level").isNull(), "cyclic")
         .when(F.col("answers") > 0, "linked").otherwise("unanswered")
     )
     body = F.to_json(F.struct(F.try_parse_json("arguments").alias("arguments"), F.col("call_id").alias("id"), "name", F.lit("call").alias("type")), {"ignoreNullFields": "false"})

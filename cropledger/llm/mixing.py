@@ -25,20 +25,22 @@ def weights(sources: DataFrame, repetition: float | None = 2.0, entropy: float |
     weight = share ** exponent / sum of these. The exponent is bisected in [0, 1]: with entropy (a share of the largest
     possible) it is the largest at which the weights still have that entropy, else the smallest at which no source is
     repeated more than `repetition` times. Without a token budget the budget is what lets every source appear whole
-    at least once. The only array is one number per source.
+    at least once. The only array is one entry per different size of a source, of which there are at most sqrt(2 * tokens).
     """
-    total = sources.agg(F.sum("tokens").alias("all"), F.collect_list(F.col("tokens").cast("double")).alias("sizes"))
-    shares = F.transform("sizes", lambda t: t / F.col("all"))
+    sizes = sources.groupBy("tokens").agg(F.count("*").alias("n"))
+    total = sizes.agg(F.sum(F.col("tokens") * F.col("n")).alias("all"), F.sort_array(F.collect_list(F.struct(F.col("tokens").cast("double").alias("t"), F.col("n").cast("double").alias("n")))).alias("sizes"))
+    counted = F.transform("sizes", lambda s: F.struct((s["t"] / F.col("all")).alias("p"), s["n"].alias("n")))
 
-    def over(values: Column, f) -> Column:
-        return F.aggregate(values, F.lit(0.0), lambda a, p: a + f(p))
+    def over(f) -> Column:
+        """The sum of f(share) over all sources."""
+        return F.aggregate("counted", F.lit(0.0), lambda a, s: a + s["n"] * f(s["p"]))
 
     def meets(x: Column) -> Column:
         """Whether the exponent can be lower (repetition) or higher (entropy)."""
-        norm = over(F.col("shares"), lambda p: F.pow(p, x))
+        norm = over(lambda p: F.pow(p, x))
         if entropy is not None:
-            h = -over(F.col("shares"), lambda p: F.pow(p, x) / norm * F.log(F.pow(p, x) / norm))
-            return h < F.log(F.size("shares").cast("double")) * entropy
+            h = -over(lambda p: F.pow(p, x) / norm * F.log(F.pow(p, x) / norm))
+            return h < F.log(over(lambda p: F.lit(1.0))) * entropy
         # A source is repeated weight * budget / tokens times.
         most = F.array_max(F.transform("shares", lambda p: F.pow(p, x - 1)))
         least = F.array_min(F.transform("shares", lambda p: F.pow(p, x - 1)))
@@ -53,10 +55,11 @@ def weights(sources: DataFrame, repetition: float | None = 2.0, entropy: float |
 
     bisected = F.aggregate(F.sequence(F.lit(1), F.lit(HALVINGS)), state, halve)
     exponent = bisected["lo"] if entropy is not None else bisected["hi"]
-    found = total.select("all", shares.alias("shares")).select("all", "shares", exponent.alias("exponent"))
-    found = found.withColumn("norm", F.aggregate("shares", F.lit(0.0), lambda a, p: a + F.pow(p, F.col("exponent"))))
+    found = total.select("all", counted.alias("counted")).withColumn("shares", F.transform("counted", lambda s: s["p"]))
+    found = found.withColumn("exponent", exponent)
+    found = found.withColumn("norm", over(lambda p: F.pow(p, F.col("exponent"))))
     whole = F.ceil(F.array_max(F.transform("shares", lambda p: p * F.col("all") / (F.pow(p, F.col("exponent")) / F.col("norm"))))).cast("long") if budget is None else F.lit(budget).cast("long")
-    found = found.withColumn("whole", whole)
+    found = found.withColumn("whole", whole).drop("counted", "shares")
     return sources.join(F.broadcast(found)).select("source", "tokens", (F.pow(F.col("tokens") / F.col("all"), F.col("exponent")) / F.col("norm")).alias("weight"), "exponent", F.col("whole").alias("budget"))
 
 

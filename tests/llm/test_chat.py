@@ -98,3 +98,16 @@ def test_turns_of_any_role(spark):
     assert len(out) == 6 and [out[t].kind for t in (0, 1, 2, 3, 4, None)] == ["message", "message", "call", "result", "message", "message"]
     assert out[1].json == '{"content":null,"role":null,"type":"message"}' and out[4].json == '{"content":"42","role":"tool","type":"message"}'
     assert json.loads(out[2].json)["arguments"] == {"length": 3, "text": "é\"x", "turn": 2} and out[2].violations == "wrong type turn"
+
+
+def test_ties_and_nulls(spark):
+    calls = spark.createDataFrame(
+        [(1, 3, "a", "search", '{"query":"x","turn":1}', None, 0), (1, 3, "a", "search", '{"query":"y","turn":1}', None, 0), (1, 3, "a", "search", '{"query":"y","turn":1}', None, 0), (1, None, "b", "search", None, None, 0), (1, 1, "b", "search", "{}", None, 0), (None, 1, "b", None, None, None, 0)],
+        "conv_id long, turn long, call_id string, name string, arguments string, depends_on array<string>, level int",
+    )
+    results = spark.createDataFrame([(1, 4, "a", None), (None, None, None, "z")], "conv_id long, turn long, call_id string, content string")
+    out = chat.link(calls, results, chat.schema_table(spark)).collect()
+    status = lambda **k: sorted(r.status for r in out if r.kind == "call" and all(r[c] == v for c, v in k.items()))
+    assert len(out) == 8 and status(call_id="a") in (["linked", "repeated", "repeated"], ["linked", "linked", "repeated"])
+    assert status(call_id="b", conv_id=1, turn=None) == ["unanswered"] and status(call_id="b", conv_id=1, turn=1) == ["repeated"] and status(conv_id=None) == ["unanswered"]
+    assert chat.link(calls.limit(0), results.limit(0), chat.schema_table(spark)).collect() == []
