@@ -391,7 +391,7 @@ def n4_purchase_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(rounded(scores.schedule(_curve(spark, sf_dir)), 4, costs), 0, ("expected_price", "p25_price", "p75_price", "seasonal_factor", "recommended_purchase", "cumulative_purchase"))
 
 
-@query(f"""with recursive {_SCHEDULE} select ingredient, round(sum(cost)) as optimised_cost, round(avg(expected_price) * 1e6) as flat_cost, arg_min(week_of_year, expected_price) as trough_week, arg_max(week_of_year, expected_price) as peak_week,
+@query(f"""with recursive {_SCHEDULE} select ingredient, round(sum(cost)) as optimised_cost, round(avg(expected_price) * 1e6) as flat_cost, list(week_of_year order by expected_price, week_index)[1] as trough_week, list(week_of_year order by expected_price desc, week_index)[1] as peak_week,
   round((1 - sum(cost) / (avg(expected_price) * 1e6)) * 100, 4) as saving_pct from schedule group by 1""")
 def a8_schedule_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(rounded(scores.schedule_totals(tables.written(scores.schedule(_curve(spark, sf_dir)), "schedule")), 4, ("optimised_cost", "flat_cost")), 0, ("saving_pct",))

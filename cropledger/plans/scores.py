@@ -269,7 +269,8 @@ def schedule(curve: DataFrame, volume: float = 1_000_000.0, least: float = 0.005
 
 
 def schedule_totals(t: DataFrame, volume: float = 1_000_000.0) -> DataFrame:
-    a = t.groupBy("ingredient").agg(F.sum("total_cost").alias("optimised_cost"), (F.avg("expected_price") * volume).alias("flat_cost"), F.min_by("week_of_year", "expected_price").alias("trough_week"), F.max_by("week_of_year", "expected_price").alias("peak_week"))
+    """Costs of the schedule and of even purchases, the saving, and the cheapest and dearest weeks, the first of those that tie."""
+    a = t.groupBy("ingredient").agg(F.sum("total_cost").alias("optimised_cost"), (F.avg("expected_price") * volume).alias("flat_cost"), F.min_by("week_of_year", F.struct("expected_price", "week_index")).alias("trough_week"), F.max_by("week_of_year", F.struct("expected_price", -F.col("week_index"))).alias("peak_week"))
     return a.withColumn("saving_pct", (1 - F.col("optimised_cost") / F.col("flat_cost")) * 100)
 
 
