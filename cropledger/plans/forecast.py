@@ -1,16 +1,20 @@
 """Forecasts of the weekly price 1 to 13 weeks ahead, their bands, errors and feature importance, for all ingredients at once.
 
-One boosted-tree model with absolute loss is fitted on the pooled panel, with the horizon as a feature. It predicts the
+A boosted-tree model with absolute loss is fitted on the pooled panel, with the horizon as a feature. It predicts the
 relative change of the price, so ingredients of any price level share it. A feature that looks back fewer weeks than the
-horizon is blanked at that horizon. Weeks are split by time: the first 70% are fitted, the next 15% give the bands, the last
-15% the errors; no row of a later part is seen by an earlier one.
+horizon is blanked at that horizon. Weeks are split by time: the first 85% are fitted, the last 15% give the errors. The
+first 85% are cut in six stretches; each of five expanding folds is fitted on the targets before a stretch and predicts from
+the weeks in it. These out-of-fold errors give the bands. No model predicts from a week that is not past all it was fitted on.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
+
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +28,8 @@ LEVELS = [*(f"price_lag_{n}w" for n in LAGS), *(f"price_hist_avg_{n}w" for n in
 FEATURES = [*LEVELS, "di_change", "macro_change", "week_of_year", "horizon"]
 #: Fewest fitted rows for a horizon; a horizon with fewer is left out.
 LEAST = 60
+#: Share of an ingredient's weeks that is fitted, and the expanding folds in it.
+FITTED, FOLDS = 0.85, 5
 #: Levels of quick_risk().
 QUICK = [(66, "HIGH"), (33, "MODERATE")]
 TREES = {"maxIter": 20, "maxDepth": 4, "stepSize": 0.2, "maxBins": 32, "subsamplingRate": 1.0, "seed": 7}
@@ -61,41 +67,83 @@ def safe_at_horizon(t: DataFrame) -> DataFrame:
     return t.withColumns({c: F.when(F.col("horizon") <= n, F.col(c)).otherwise(1.0) for c, n in until.items()})
 
 
+class Trained(NamedTuple):
+    """A fitted model with the written tables that its forecasts, bands and errors are made of."""
+
+    model: GBTRegressionModel
+    features: DataFrame
+    rows: DataFrame
+    out_of_fold: DataFrame
+
+
 def rows(feat: DataFrame, weekly: DataFrame) -> DataFrame:
-    """A row per ingredient, week and horizon with a target, and its part: fit, bands or test by the rank of its week.
+    """A row per ingredient, week and horizon with a target, with `since` and `fold` by the ranks of its weeks.
 
-    Ranks are of the target's week within an ingredient, so a fitted target is never later than the bands' first week.
+    since is the first fold that may be fitted on the row (FOLDS + 1: the final model alone; null: none) and follows the
+    target's week; fold is the one that predicts the row out of fold (0: none) and follows its own week. Rows of the last
+    weeks have fold -1 and are for errors. Ranks are within an ingredient.
     """
     t = scores.targets(weekly.select("ingredient", "week_start", "price_avg_weekly")).drop("price_avg_weekly").join(feat, ["ingredient", "week_start"])
     ends = feat.groupBy("ingredient").agg(F.count("*").alias("n"))
     at = feat.select("ingredient", "week_start", F.row_number().over(scores.weeks()).alias("i"))
     t = t.join(at, ["ingredient", "week_start"]).join(ends, "ingredient")
-    ahead, share = F.col("i") + F.col("horizon"), F.col("n").cast("double")
-    part = F.when(ahead <= 0.70 * share, "fit").when((F.col("i") > 0.70 * share) & (ahead <= 0.85 * share), "bands").when(F.col("i") > 0.85 * share, "test")
-    t = t.withColumns({"part": part, "change": F.col("target") / F.col("price_avg_weekly") - 1, "horizon": F.col("horizon").cast("double")})
-    fitted = t.where("part = 'fit'").groupBy("horizon").agg(F.count("*").alias("_n")).where(F.col("_n") >= LEAST).select("horizon")
-    return safe_at_horizon(t.where("part is not null").join(F.broadcast(fitted), "horizon").drop("i", "n"))  # at most thirteen rows
-
-
-def fit(t: DataFrame):
-    """The fitted model. Every pass over the rows is a distributed job; the driver holds the trees alone."""
-    found = numeric_columns(t, ("price_avg_weekly", "target", "change"))
+    stretch = F.col("n") * FITTED / (FOLDS + 1)
+    since = F.ceil((F.col("i") + F.col("horizon")) / stretch).cast("int")
+    inside = since <= FOLDS + 1
+    fold = F.when(inside, F.ceil(F.col("i") / stretch).cast("int") - 1).when(F.col("i") > F.col("n") * FITTED, -1)
+    t = t.withColumns({"since": F.when(inside, since), "fold": fold, "change": F.col("target") / F.col("price_avg_weekly") - 1, "horizon": F.col("horizon").cast("double")})
+    fitted = t.where("since is not null").groupBy("horizon").agg(F.count("*").alias("_n")).where(F.col("_n") >= LEAST).select("horizon")
+    return safe_at_horizon(t.where("fold is not null").join(F.broadcast(fitted), "horizon").drop("i", "n"))  # at most thirteen rows
+
+
+def fit(t: DataFrame, fold: int = FOLDS + 1) -> GBTRegressionModel:
+    """The model of a fold, or the final one. Every pass over the rows is a distributed job; the driver holds the trees alone."""
+    found = numeric_columns(t, ("price_avg_weekly", "target", "change", "since", "fold"))
     if set(found) != set(FEATURES):
         raise ValueError(f"features by schema are {found}")
-    train = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(t.where("part = 'fit'")).select("features", "change")
+    train = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(t.where(F.col("since") <= fold)).select("features", "change")
     return GBTRegressor(featuresCol="features", labelCol="change", predictionCol="moved", lossType="absolute", **TREES).fit(train)
 
 
+def train(weekly: DataFrame, day: str | None = None) -> Trained:
+    """Fit the final model and those of the folds, side by side: their jobs are short and each leaves cores idle.
+
+    With day, a date as text, weeks after it are not seen. A fold without rows to fit, of a short panel, is left out.
+    """
+    weekly = scores.as_of(weekly, day)
+    feat = written(features(weekly), "features")
+    t = written(rows(feat, weekly), "forecast_rows")
+    first = t.agg(F.min("since")).first()[0]
+    folds = list(range(first or FOLDS + 1, FOLDS + 2))
+    with ThreadPoolExecutor(len(folds)) as pool:
+        models = dict(zip(folds, pool.map(lambda k: fit(t, k), folds)))
+    kept = ["ingredient", "week_start", "horizon", "fold", "price_avg_weekly", "target", "change", "moved", "p50"]
+    out = predict(models[FOLDS + 1], t.where("false")).select(kept)
+    for k in folds[:-1]:
+        out = out.unionAll(predict(models[k], t.where(F.col("fold") == k)).select(kept))
+    return Trained(models[FOLDS + 1], feat, t, written(out, "out_of_fold"))
+
+
+def save(trained: Trained, path: str) -> None:
+    """Overwrite the folder path with all that load() needs."""
+    trained.model.write().overwrite().save(f"{path}/model")
+    for name in ("features", "rows", "out_of_fold"):
+        getattr(trained, name).write.mode("overwrite").parquet(f"{path}/{name}")
+
+
+def load(spark: SparkSession, path: str) -> Trained:
+    return Trained(GBTRegressionModel.load(f"{path}/model"), *(spark.read.parquet(f"{path}/{name}") for name in ("features", "rows", "out_of_fold")))
+
+
 def predict(model, t: DataFrame) -> DataFrame:
     """t with p50, the predicted price."""
     out = model.transform(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(t))
     return out.withColumn("p50", F.col("price_avg_weekly") * (1 + F.col("moved"))).drop("features")
 
 
-def bands(model, t: DataFrame) -> DataFrame:
-    """(horizon, lo, hi): the 10th and 90th percentile of the relative errors on rows that were not fitted."""
-    errors = predict(model, t.where("part = 'bands'")).withColumn("e", F.col("change") - F.col("moved"))
-    q = errors.groupBy("horizon").agg(F.percentile_approx("e", [0.1, 0.9], 10_000).alias("q"))
+def bands(out_of_fold: DataFrame) -> DataFrame:
+    """(horizon, lo, hi): the 10th and 90th percentile of the relative errors out of fold."""
+    q = out_of_fold.groupBy("horizon").agg(F.percentile_approx(F.col("change") - F.col("moved"), [0.1, 0.9], 10_000).alias("q"))
     return q.select("horizon", F.col("q")[0].alias("lo"), F.col("q")[1].alias("hi"))
 
 
@@ -105,57 +153,58 @@ def with_bands(p: DataFrame, b: DataFrame) -> DataFrame:
     return out.withColumns({"p10": F.least("p50", F.greatest(at("lo"), F.lit(0.0))), "p90": F.greatest("p50", at("hi"))}).drop("lo", "hi")
 
 
-def forecast(weekly: DataFrame, day: str | None = None) -> DataFrame:
-    """(ingredient, forecast_date, horizon_weeks, target_week_start, p10, p50, p90) from the last week of each ingredient.
-
-    With day, a date as text, weeks after it are neither fitted nor forecast from.
-    """
-    weekly = scores.as_of(weekly, day)
-    feat = written(features(weekly), "features")
-    t = written(rows(feat, weekly), "forecast_rows")
-    model = fit(t)
+def forecast(trained: Trained) -> DataFrame:
+    """(ingredient, forecast_date, horizon_weeks, target_week_start, p10, p50, p90) from the last week of each ingredient."""
+    feat = trained.features
     last = feat.groupBy("ingredient").agg(F.max_by(F.struct(*(c for c in feat.columns if c != "ingredient")), "week_start").alias("s")).select("ingredient", "s.*")
     ahead = last.withColumn("horizon", F.explode(F.transform(F.sequence(F.lit(1), F.lit(scores.HORIZONS)), lambda h: h.cast("double"))))
-    out = with_bands(predict(model, safe_at_horizon(ahead)), bands(model, t))
+    out = with_bands(predict(trained.model, safe_at_horizon(ahead)), bands(trained.out_of_fold))
     weeks = F.col("horizon").cast("int")
     return out.select("ingredient", F.col("week_start").alias("forecast_date"), weeks.alias("horizon_weeks"), F.date_add("week_start", weeks * 7).alias("target_week_start"), "p10", "p50", "p90")
 
 
-def errors(weekly: DataFrame) -> DataFrame:
-    """By horizon on the last weeks: errors, share of right directions, skill against the last price, share inside the band."""
-    t = written(rows(written(features(weekly), "features"), weekly), "forecast_rows")
-    model = fit(t)
-    p = with_bands(predict(model, t.where("part = 'test'")), bands(model, t))
+def _measures(p: DataFrame, *by, **more) -> DataFrame:
+    """Errors, share of right directions and skill against the last price of predictions p, by `by`; more are further aggregates."""
     e, price, y = F.col("p50") - F.col("target"), F.col("price_avg_weekly"), F.col("target")
-    a = p.groupBy(F.col("horizon").cast("int").alias("horizon")).agg(
+    a = p.groupBy(F.col("horizon").cast("int").alias("horizon"), *by).agg(
         F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(F.try_divide(e, y))).alias("mape"), F.avg(F.abs(price - y)).alias("naive_mae"),
-        F.avg((F.signum(F.col("p50") - price) == F.signum(y - price)).cast("int")).alias("direction"), F.avg(((y >= F.col("p10")) & (y <= F.col("p90"))).cast("int")).alias("coverage"), F.count("*").alias("n_rows"),
+        F.avg((F.signum(F.col("p50") - price) == F.signum(y - price)).cast("int")).alias("direction"), F.count("*").alias("n_rows"), *(c.alias(n) for n, c in more.items()),
     )
     return a.withColumn("skill", F.when(F.col("naive_mae") > 0, 1 - F.col("mae") / F.col("naive_mae")))
 
 
+def errors(trained: Trained) -> DataFrame:
+    """By horizon, on the last weeks: errors, share of right directions, skill against the last price, share inside the band."""
+    p = with_bands(predict(trained.model, trained.rows.where("fold = -1")), bands(trained.out_of_fold))
+    inside = (F.col("target") >= F.col("p10")) & (F.col("target") <= F.col("p90"))
+    return _measures(p, coverage=F.avg(inside.cast("int")))
+
+
+def fold_errors(trained: Trained) -> DataFrame:
+    """By horizon and fold, out of fold: errors, share of right directions, skill against the last price."""
+    return _measures(trained.out_of_fold, "fold")
+
+
 def run_summary(by_horizon: DataFrame) -> DataFrame:
     """One row: mean error and skill over the fitted horizons."""
     return by_horizon.agg(F.avg("mae").alias("mean_mae"), F.avg("skill").alias("mean_skill"), F.count("*").alias("horizons"))
 
 
-def importance(weekly: DataFrame, top: int = 12) -> DataFrame:
+def importance(trained: Trained, top: int = 12) -> DataFrame:
     """(horizon, feature, rise, rank): how much the mean error grows when a feature's values change places among the weeks
     of an ingredient; the top features of each horizon. A group is one ingredient's test weeks at one horizon.
 
     Values move by half the length of the group, a fixed permutation, so runs agree.
     """
-    t = written(rows(written(features(weekly), "features"), weekly), "forecast_rows")
-    model = fit(t)
     names = [c for c in FEATURES if c != "horizon"]
-    held = t.where("part = 'test'").select("ingredient", "horizon", "week_start", "price_avg_weekly", "target", *names)
+    held = trained.rows.where("fold = -1").select("ingredient", "horizon", "week_start", "price_avg_weekly", "target", *names)
     w = Window.partitionBy("ingredient", "horizon")
     n, i = F.count("*").over(w), F.row_number().over(w.orderBy("week_start")) - 1
     moved = held.withColumns({"_n": n, "_i": i, "_all": F.collect_list(F.struct("week_start", *names)).over(w)}).withColumn("_all", F.sort_array("_all"))
     moved = moved.withColumn("_other", F.element_at("_all", (F.pmod(F.col("_i") + F.expr("_n div 2"), F.col("_n")) + 1).cast("int"))).drop("_all", "_n", "_i")
     trial = moved.withColumn("feature", F.explode(F.array(F.lit(""), *(F.lit(c) for c in names))))
     trial = trial.withColumns({c: F.when(F.col("feature") == c, F.col(f"_other.{c}")).otherwise(F.col(c)) for c in names})
-    e = predict(model, trial).groupBy("horizon", "feature").agg(F.avg(F.abs(F.col("p50") - F.col("target"))).alias("mae"))
+    e = predict(trained.model, trial).groupBy("horizon", "feature").agg(F.avg(F.abs(F.col("p50") - F.col("target"))).alias("mae"))
     base = e.where("feature = ''").select("horizon", F.col("mae").alias("base"))
     rise = e.where("feature != ''").join(F.broadcast(base), "horizon").select(F.col("horizon").cast("int").alias("horizon"), "feature", (F.col("mae") - F.col("base")).alias("rise"))
     rank = F.row_number().over(Window.partitionBy("horizon").orderBy(F.col("rise").desc(), "feature"))

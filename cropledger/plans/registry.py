@@ -470,8 +470,19 @@ def c4_cost_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(scores.cost_shares(scores.landed_cost(scores.panel_of(spark, sf_dir))))
 
 
+#: Models by application and folder, so that the queries over forecasts fit them once; tables are taken not to change while an application runs.
+_TRAINED: dict[tuple[str, str], forecast.Trained] = {}
+
+
+def _trained(spark: SparkSession, sf_dir: str) -> forecast.Trained:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TRAINED:
+        _TRAINED[key] = forecast.train(panel.weekly_training(spark, sf_dir))
+    return _TRAINED[key]
+
+
 def _forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return forecast.forecast(panel.weekly_training(spark, sf_dir))
+    return forecast.forecast(_trained(spark, sf_dir))
 
 
 @query()
@@ -481,12 +492,17 @@ def b8_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def b6_forecast_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(forecast.errors(panel.weekly_training(spark, sf_dir)))
+    return rounded(forecast.errors(_trained(spark, sf_dir)))
+
+
+@query()
+def b6_fold_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(forecast.fold_errors(_trained(spark, sf_dir)))
 
 
 @query()
 def b9_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(forecast.importance_summary(forecast.importance(panel.weekly_training(spark, sf_dir))), 6)
+    return rounded(forecast.importance_summary(forecast.importance(_trained(spark, sf_dir))), 6)
 
 
 @query()

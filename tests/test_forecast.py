@@ -1,6 +1,7 @@
 """The forecast on the given tables: no look-ahead, ordered bands, coverage, skill, and the tables built on it."""
 
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,20 +12,32 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="module")
-def rows(spark):
-    weekly = panel.weekly_training(spark, SF)
-    return forecast.rows(forecast.features(weekly), weekly).persist()
-
+def trained(spark):
+    return registry._trained(spark, SF)
 
-def test_parts_do_not_overlap_in_time(rows):
-    ends = rows.groupBy("ingredient", "part").agg(F.min("week_start").alias("a"), F.max(F.expr("date_add(week_start, 7)")).alias("b")).collect()
-    at = {(r.ingredient, r.part): r for r in ends}
-    for (who, part), r in at.items():
-        later = {"fit": ("bands", "test"), "bands": ("test",), "test": ()}[part]
-        assert all(r.b <= at[who, p].a for p in later if (who, p) in at)
 
-
-def test_errors(spark):
+@pytest.fixture(scope="module")
+def rows(trained):
+    return trained.rows
+
+
+def test_no_model_predicts_from_a_week_it_was_fitted_on(rows):
+    got = rows.select("ingredient", "week_start", "horizon", "since", "fold").collect()
+    until, first = {}, {}
+    for r in got:
+        target = r.week_start + dt.timedelta(weeks=int(r.horizon))
+        for k in range(r.since or 99, forecast.FOLDS + 2):
+            until[r.ingredient, k] = max(until.get((r.ingredient, k), target), target)
+        k = forecast.FOLDS + 1 if r.fold == -1 else r.fold
+        first[r.ingredient, k] = min(first.get((r.ingredient, k), r.week_start), r.week_start)
+    shared = until.keys() & first.keys()
+    assert {k for _, k in shared} == set(range(1, forecast.FOLDS + 2))
+    assert all(until[key] < first[key] for key in shared)
+    held = sum(r.fold == -1 for r in got if r.horizon == 1) / sum(1 for r in got if r.horizon == 1)
+    assert 0.1 < held < 0.2 and not any(r.since and r.fold == -1 for r in got)
+
+
+def test_errors(spark, trained):
     found = registry.QUERIES["b6_forecast_errors"](spark, SF).collect()
     assert {r.horizon for r in found} <= set(range(1, 14)) and found
     inside = sum(r.coverage * r.n_rows for r in found) / sum(r.n_rows for r in found)
@@ -34,6 +47,26 @@ def test_errors(spark):
     assert one.horizons == len(found) and one.mean_mae > 0
 
 
+def test_every_row_of_a_fold_is_predicted_once_and_measured(spark, trained):
+    out = trained.out_of_fold.collect()
+    assert len(out) == len({(r.ingredient, r.week_start, r.horizon) for r in out}) == trained.rows.where("fold > 0").count()
+    by = {(r.horizon, r.fold): r for r in registry.QUERIES["b6_fold_errors"](spark, SF).collect()}
+    assert {k for _, k in by} == set(range(1, forecast.FOLDS + 1))
+    for (h, k), r in by.items():
+        own = [x for x in out if x.horizon == h and x.fold == k]
+        assert r.n_rows == len(own) and r.mae == pytest.approx(sum(abs(x.p50 - x.target) for x in own) / len(own), abs=1e-3)
+    moved = sorted(x.change - x.moved for x in out if x.horizon == 4)
+    band = {r.horizon: r for r in forecast.bands(trained.out_of_fold).collect()}[4]
+    assert band.lo == moved[math.ceil(0.1 * len(moved)) - 1] and band.hi == moved[math.ceil(0.9 * len(moved)) - 1]
+
+
+def test_saved_models_forecast_alike(spark, trained, tmp_path):
+    forecast.save(trained, str(tmp_path / "m"))
+    again = forecast.forecast(forecast.load(spark, str(tmp_path / "m")))
+    order = ["ingredient", "horizon_weeks"]
+    assert again.orderBy(order).collect() == forecast.forecast(trained).orderBy(order).collect()
+
+
 def test_forecast_and_what_follows(spark):
     f = registry.QUERIES["b8_forecast"](spark, SF).persist()
     got = f.collect()
@@ -74,7 +107,7 @@ def test_unsafe_lags_are_blank_and_features_follow_the_schema(spark, rows):
         safe = set(forecast.lag_safe(forecast.LEVELS, h))
         one = rows.where(F.col("horizon") == h).select(*(F.max(F.abs(F.col(c) - 1)).alias(c) for c in forecast.LEVELS)).collect()[0]
         assert {c for c in forecast.LEVELS if one[c]} == safe
-    assert set(forecast.numeric_columns(rows, ("price_avg_weekly", "target", "change"))) == set(forecast.FEATURES)
+    assert set(forecast.numeric_columns(rows, ("price_avg_weekly", "target", "change", "since", "fold"))) == set(forecast.FEATURES)
     df = spark.createDataFrame([(1, 2.0, "x", dt.date(2024, 1, 1))], "a int, b double, c string, d date")
     assert forecast.numeric_columns(df, ("a",)) == ["b"]
 
@@ -82,7 +115,7 @@ def test_unsafe_lags_are_blank_and_features_follow_the_schema(spark, rows):
 def test_forecast_as_of_a_day_sees_nothing_later(spark):
     weekly = panel.weekly_training(spark, SF)
     day = "1999-06-30"
-    cut = forecast.forecast(weekly, day).orderBy("ingredient", "horizon_weeks").collect()
+    cut = forecast.forecast(forecast.train(weekly, day)).orderBy("ingredient", "horizon_weeks").collect()
     late = weekly.withColumn("price_avg_weekly", F.when(F.col("week_start") > F.lit(day).cast("date"), 1.0).otherwise(F.col("price_avg_weekly")))
     assert cut and all(r.forecast_date <= dt.date(1999, 6, 30) for r in cut)
-    assert cut == forecast.forecast(late, day).orderBy("ingredient", "horizon_weeks").collect()
+    assert cut == forecast.forecast(forecast.train(late, day)).orderBy("ingredient", "horizon_weeks").collect()
