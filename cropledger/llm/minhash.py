@@ -7,6 +7,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -113,13 +115,59 @@ def _confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int,
     return both.where(_linked(threshold)).select("a", "b")
 
 
+def _in_order(forest: DataFrame) -> DataFrame:
+    """(tree, path, cls, before, after) of the rows of forest that have a neighbour: the row next to it in the order of
+    (tree, path, cls) with the same tree and a common prefix of SHALLOW.
+
+    Ranges of that order are dealt to tasks, so a region of any size spreads over as many as it needs. Only the first and the
+    last row of each task miss a neighbour; they are put side by side in a table of two rows a task at most.
+    """
+    ranged = forest.repartitionByRange("tree", "path", "cls").sortWithinPartitions("tree", "path", "cls")
+    names = ["tree", "path", "cls", "before", "after", "part", "first", "last"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held, known, first = TaskContext.get().partitionId(), None, None, True
+
+        def told(t: pa.RecordBatch, before: pa.Array, after: pa.Array, last: bool) -> pa.RecordBatch:
+            at_first = np.zeros(len(t), bool)
+            at_first[0] = first
+            ends = pa.array(at_first), pa.array(np.full(len(t), last))
+            keep = pc.or_(pc.or_(before.is_valid(), after.is_valid()), pc.or_(*ends))
+            return pa.RecordBatch.from_arrays([*t.columns, before, after, pa.array(np.full(len(t), part, np.int32)), *ends], names=names).filter(keep)
+
+        for batch in batches:
+            if not len(batch):
+                continue
+            t = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            tree, cls = t.column(0).to_numpy(), t.column(2)
+            path = np.frombuffer(b"".join(t.column(1).to_pylist()), np.uint8).reshape(len(t), -1)[:, : 4 * SHALLOW]
+            unlike, at = (tree[1:] != tree[:-1]) | (path[1:] != path[:-1]).any(axis=1), np.arange(len(t))
+            before = pa.concat_arrays([pa.array([known], cls.type), cls.take(pa.array(at[:-1], mask=unlike))])
+            if len(t) > 1:
+                yield told(t.slice(0, len(t) - 1), before[:-1], cls.take(pa.array(at[1:], mask=unlike)), False)
+                first = False
+            held, known = t.slice(len(t) - 1), before[-1].as_py()
+        if held is not None:
+            kind = held.column(2).type
+            yield told(held, pa.array([known], kind), pa.array([None], kind), True)
+
+    kept = materialise(ranged.mapInArrow(run, "tree int, path binary, cls binary, before binary, after binary, part int, first boolean, last boolean"), "forest")
+    order = Window.orderBy("part", "tree", "path", "cls")
+    place = F.struct("tree", F.substring("path", 1, 4 * SHALLOW))
+    ends = kept.where("first or last").withColumn("place", place)
+    ends = ends.withColumns({"p": F.lag("place").over(order), "pc": F.lag("cls").over(order), "n": F.lead("place").over(order), "nc": F.lead("cls").over(order)})
+    mended = {"before": F.when(F.col("first"), F.when(F.col("p") == F.col("place"), F.col("pc"))).otherwise(F.col("before")), "after": F.when(F.col("last"), F.when(F.col("n") == F.col("place"), F.col("nc"))).otherwise(F.col("after"))}
+    ends = materialise(ends.withColumns(mended).where("before is not null or after is not null").select(*names[:5]), "forest_ends")
+    return kept.where("not first and not last").select(*names[:5]).unionByName(ends)
+
+
 def _crowded_links(rows: DataFrame, docs: DataFrame, classes: DataFrame, width: int, threshold: int) -> DataFrame:
-    """Spanning links of regions that stay crowded: rows (region, cls, root), compared exactly block by block.
+    """Spanning links of regions that stay crowded: rows (region, cls, root, size), compared exactly block by block.
 
     Every class goes to as many cells as its region has blocks; a cell holds two blocks at most and gives a
     spanning forest of its links, not the links. All classes are compared, so no link between groups is lost.
     """
-    counted = rows.withColumn("blocks", F.ceil(F.count("*").over(Window.partitionBy("region")) / BLOCK).cast("int"))
+    counted = rows.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
     own = counted.withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
     sets = _sets_of(rows.select("cls").distinct(), docs, classes, width)
     dealt = own.join(sets, "cls").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("region", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cls", "root", "items")
@@ -184,9 +232,7 @@ def _grouped(docs: DataFrame, width: int, threshold: int, id_col: str, text_col:
     )
     tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
     forest = classes.select("cls", "sig", tree.alias("tree")).select("tree", F.substring("sig", F.col("tree") * (4 * DEEP) + 1, F.lit(4 * DEEP)).alias("path"), "cls")
-    order = Window.partitionBy("tree", "prefix").orderBy("path", "cls")
-    placed = forest.withColumn("prefix", F.substring("path", 1, 4 * SHALLOW)).withColumn("before", F.lag("cls").over(order)).withColumn("after", F.lead("cls").over(order))
-    shared = materialise(placed.where("before is not null or after is not null").select("tree", "path", "cls", "before"), "forest")
+    shared = _in_order(forest)
     near = materialise(shared.where("before is not null").select(F.least("before", "cls").alias("a"), F.greatest("before", "cls").alias("b")).distinct(), "neighbours")
     links = materialise(_confirm(near, docs, classes, width, threshold), "links")
     first = connected_components(links)
@@ -200,12 +246,13 @@ def _grouped(docs: DataFrame, width: int, threshold: int, id_col: str, text_col:
         region = F.concat(F.lpad(F.col("tree").cast("string"), 3, "0").cast("binary"), F.substring("path", 1, 4 * depth))
         keyed = mixed.withColumn("region", region)
         size = keyed.groupBy("region").agg(F.count("*").alias("size"), F.min("root").alias("lowest"), F.max("root").alias("highest")).where("lowest != highest")
-        sized = materialise(keyed.join(size.select("region", "size"), "region"), "regions")
+        size = materialise(size.select("region", "size"), "region_sizes")
+        sized = materialise(join_named(keyed, size, "region").where("size is not null"), "regions")
         few = sized.where(F.col("size") <= REGION)
         left, right = few.select("region", F.col("cls").alias("a"), F.col("root").alias("ra")), few.select("region", F.col("cls").alias("b"), F.col("root").alias("rb"))
         more.append(left.join(right, "region").where("a < b and ra != rb").select("a", "b"))
         most = CROWD if depth < DEEP else 2**62
-        blocks = sized.where((F.col("size") > REGION) & (F.col("size") <= most)).select("region", "cls", "root")
+        blocks = sized.where((F.col("size") > REGION) & (F.col("size") <= most)).select("region", "cls", "root", "size")
         if not blocks.isEmpty():
             crowded.append(blocks)
         mixed = sized.where(F.col("size") > most).drop("size", "region")

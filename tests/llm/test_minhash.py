@@ -67,3 +67,26 @@ def test_crowds_are_as_sure_as_small_regions(spark, monkeypatch):
     docs = list(enumerate(texts + [" ".join([stock, *(f"o{i}-{k}" for k in range(22))]) for i in range(200)]))
     df = spark.createDataFrame([(*d, None, None, None) for d in docs], SCHEMA)
     assert found(minhash.near_duplicates(df, width=2)) == plain(docs, 2)
+
+
+def test_neighbours_across_tasks(spark):
+    """One region holds most rows and spreads over tasks; neighbours are those of one sorted list."""
+    rng = random.Random(11)
+    hot = bytes(16)
+    rows = {(rng.randrange(2), (hot if rng.random() < 0.7 else rng.randbytes(2) * 8) + bytes([rng.randrange(3)]) * 8, rng.randbytes(4)) for _ in range(3000)}
+    rows |= {(5, bytes([9]) * 24, b"alone"), (6, bytes([9]) * 24, b"x"), (6, bytes([9]) * 24, b"y")}
+    line, want = sorted(rows), set()
+    for before, at, after in zip([None, *line], line, [*line[1:], None]):
+        near = [x[2] if x and (x[0], x[1][:16]) == (at[0], at[1][:16]) else None for x in (before, after)]
+        if any(near):
+            want.add((*at, *near))
+    forest = spark.createDataFrame(sorted(rows), "tree int, path binary, cls binary")
+    was = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        for many in ("false", "true"):
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", many)
+            got = [(r.tree, *(None if x is None else bytes(x) for x in (r.path, r.cls, r.before, r.after))) for r in minhash._in_order(forest).collect()]
+            assert len(got) == len(want) and set(got) == want
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", was)
+    assert minhash._in_order(forest.limit(0)).collect() == []
