@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embeddings, flac, langid, licenses, minhash, mixing, nearest, packing, pii, quality, ranked
+from . import chat, divergence, embeddings, flac, langid, licenses, minhash, mixing, nearest, packing, pii, quality, ranked
 from .common import table
 
 
@@ -75,6 +75,10 @@ def op11_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -92,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_licenses": op9_licenses,
     "op10_flac": op10_flac,
     "op11_ranked": op11_ranked,
+    "op12_divergence": op12_divergence,
     "op13_nearest": op13_nearest,
 }
-ORACLE_SQL: dict[str, str] = {"op3_chat": chat.SQL, "op3_turns": chat.TURNS_SQL, "op11_ranked": ranked.SQL}
+ORACLE_SQL: dict[str, str] = {"op3_chat": chat.SQL, "op3_turns": chat.TURNS_SQL, "op11_ranked": ranked.SQL, "op12_divergence": divergence.SQL}
