@@ -1,17 +1,22 @@
 """Forecasts of the weekly price 1 to 13 weeks ahead, their bands, errors and feature importance, for all ingredients at once.
 
-A boosted-tree model with absolute loss is fitted on the pooled panel, with the horizon as a feature. It predicts the
-relative change of the price, so ingredients of any price level share it. A feature that looks back fewer weeks than the
-horizon is blanked at that horizon. Weeks are split by time: the first 85% are fitted, the last 15% give the errors. The
-first 85% are cut in six stretches; each of five expanding folds is fitted on the targets before a stretch and predicts from
-the weeks in it. These out-of-fold errors give the bands. No model predicts from a week that is not past all it was fitted on.
+Each horizon has a model of its own, fitted on the pooled panel: boosted one-split trees over binned features, of which a horizon takes
+those that look back at least as far as it looks ahead. They predict the relative change of the price, so ingredients of any price
+level share them. Such a model needs no more of its rows than how often two bins meet and the sum of changes in each bin, so one pass over
+the rows gives these counts for every horizon and fold, and each fit reads the counts alone. Weeks are split by time: the first 85%
+are fitted, the last 15% give the errors. The first 85% are cut in six stretches; each of five expanding folds is fitted on
+the targets before a stretch and predicts from the weeks in it. These out-of-fold errors give the bands. No model predicts from a week
+that is not past all it was fitted on, and bins are cut by the first stretch.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
 from typing import NamedTuple
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -19,17 +24,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cropledger.functions.text import classify
+from cropledger.operators import selection
 from cropledger.operators import windows as W
 from cropledger.plans import scores
 from cropledger.sources.tables import written
 
 LAGS, MEANS = (1, 2, 4, 8, 13, 26, 52), (4, 12, 26, 52)
 LEVELS = [*(f"price_lag_{n}w" for n in LAGS), *(f"price_hist_avg_{n}w" for n in MEANS), "price_hist_std_12w"]
-FEATURES = [*LEVELS, "di_change", "macro_change", "week_of_year", "horizon"]
+FEATURES = [*LEVELS, "di_change", "macro_change", "week_of_year"]
 #: Fewest fitted rows for a horizon; a horizon with fewer is left out.
 LEAST = 60
 #: Share of an ingredient's weeks that is fitted, and the expanding folds in it.
 FITTED, FOLDS = 0.85, 5
+#: Bins of a feature; rounds of boosting, the share of each step that is taken, rows by which leaves are shrunk, and the fewest in a leaf.
+BINS = 16
+ROUNDS, RATE, SHRINK, LEAF = 150, 0.1, 20.0, 10
+#: Changes are added up as whole millionths, of 100% at most, so that sums do not depend on their order.
+UNIT = 1_000_000
+#: Permutations that importance() averages.
+REPEATS = 5
 #: Levels of quick_risk().
 QUICK = [(66, "HIGH"), (33, "MODERATE")]
 TREES = {"maxIter": 20, "maxDepth": 4, "stepSize": 0.2, "maxBins": 32, "subsamplingRate": 1.0, "seed": 7}
@@ -68,9 +81,13 @@ def safe_at_horizon(t: DataFrame) -> DataFrame:
 
 
 class Trained(NamedTuple):
-    """A fitted model with the written tables that its forecasts, bands and errors are made of."""
+    """Fitted models with the written tables that their forecasts, bands and errors are made of.
 
-    model: GBTRegressionModel
+    models: horizon, fold (FOLDS + 1 is the final one), base, values (for each feature its bins' parts); edges: the upper ends of each feature's bins.
+    """
+
+    models: DataFrame
+    edges: dict[str, list[float]]
     features: DataFrame
     rows: DataFrame
     out_of_fold: DataFrame
@@ -91,60 +108,173 @@ def rows(feat: DataFrame, weekly: DataFrame) -> DataFrame:
     since = F.ceil((F.col("i") + F.col("horizon")) / stretch).cast("int")
     inside = since <= FOLDS + 1
     fold = F.when(inside, F.ceil(F.col("i") / stretch).cast("int") - 1).when(F.col("i") > F.col("n") * FITTED, -1)
-    t = t.withColumns({"since": F.when(inside, since), "fold": fold, "change": F.col("target") / F.col("price_avg_weekly") - 1, "horizon": F.col("horizon").cast("double")})
+    t = t.withColumns({"since": F.when(inside, since), "fold": fold, "change": F.col("target") / F.col("price_avg_weekly") - 1})
     fitted = t.where("since is not null").groupBy("horizon").agg(F.count("*").alias("_n")).where(F.col("_n") >= LEAST).select("horizon")
-    return safe_at_horizon(t.where("fold is not null").join(F.broadcast(fitted), "horizon").drop("i", "n"))  # at most thirteen rows
+    return t.where("fold is not null").join(F.broadcast(fitted), "horizon").drop("i", "n")  # at most thirteen rows
 
 
-def fit(t: DataFrame, fold: int = FOLDS + 1) -> GBTRegressionModel:
-    """The model of a fold, or the final one. Every pass over the rows is a distributed job; the driver holds the trees alone."""
-    found = numeric_columns(t, ("price_avg_weekly", "target", "change", "since", "fold"))
-    if set(found) != set(FEATURES):
-        raise ValueError(f"features by schema are {found}")
-    train = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(t.where(F.col("since") <= fold)).select("features", "change")
-    return GBTRegressor(featuresCol="features", labelCol="change", predictionCol="moved", lossType="absolute", **TREES).fit(train)
+def bin_edges(feat: DataFrame, names: list[str]) -> dict[str, list[float]]:
+    """The BINS - 1 exact percentiles between the bins of each feature, over the first stretch of each ingredient's weeks."""
+    key = Window.partitionBy("ingredient")
+    early = feat.withColumns({"i": F.row_number().over(key.orderBy("week_start")), "n": F.count("*").over(key)}).where(F.col("i") <= F.col("n") * FITTED / (FOLDS + 1))
+    long = early.select(*(F.col(c).cast("double").alias(c) for c in names)).unpivot([], names, "feature", "value")
+    found = {r.feature: sorted(set(r.q)) for r in selection.percentiles(long, ["feature"], "value", [i / BINS for i in range(1, BINS)]).collect()}  # a row a feature
+    return {c: found.get(c, []) for c in names}
+
+
+def binned(t: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
+    """t with code, the number of each feature's bin: how many of its edges lie below the value."""
+    at = lambda c, e: F.size(F.filter(F.array(*map(F.lit, e)), lambda x: x < F.col(c))) if e else F.lit(0)
+    return t.withColumn("code", F.array(*(at(c, e) for c, e in edges.items())))
+
+
+def bin_statistics(t: DataFrame, n_features: int) -> DataFrame:
+    """(horizon, since, slot, value) over the rows that may be fitted: whole numbers, for all horizons and folds in one pass.
+
+    Slot a * n + b, for bins a and b of all n bins, has how many rows are in both; slot -1 - a the sum of changes in a. A task adds up what it
+    reads in arrays of fixed size.
+    """
+    n, pairs = n_features * BINS, [(f, g) for f in range(n_features) for g in range(f, n_features)]
+    groups = (scores.HORIZONS + 1) * (FOLDS + 2)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met, moved = np.zeros((len(pairs), groups * BINS * BINS), np.int64), np.zeros((n_features, groups * BINS), np.int64)
+        for batch in batches:
+            group = batch.column(0).to_numpy().astype(np.int64) * (FOLDS + 2) + batch.column(1).to_numpy()
+            code, y = batch.column(2).flatten().to_numpy().reshape(-1, n_features).astype(np.int64), batch.column(3).to_numpy()
+            for i, (f, g) in enumerate(pairs):
+                met[i] += np.bincount((group * BINS + code[:, f]) * BINS + code[:, g], minlength=met.shape[1])
+            for f in range(n_features):
+                moved[f] += np.bincount(group * BINS + code[:, f], weights=y, minlength=moved.shape[1]).astype(np.int64)  # whole, far below 2 ** 53
+        for i, (f, g) in enumerate(pairs):
+            at = np.flatnonzero(met[i])
+            group, a, b = at // (BINS * BINS), at // BINS % BINS, at % BINS
+            yield told(group, (f * BINS + a) * n + g * BINS + b, met[i][at])
+        for f in range(n_features):
+            at = np.flatnonzero(moved[f])
+            yield told(at // BINS, -1 - (f * BINS + at % BINS), moved[f][at])
+
+    def told(group: np.ndarray, slot: np.ndarray, value: np.ndarray) -> pa.RecordBatch:
+        columns = (group // (FOLDS + 2)).astype(np.int32), (group % (FOLDS + 2)).astype(np.int32), slot.astype(np.int32), value
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["horizon", "since", "slot", "value"])
+
+    y = F.round(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("change"))) * UNIT).cast("long")
+    found = t.where("since is not null").select("horizon", "since", "code", y.alias("y")).mapInArrow(run, "horizon int, since int, slot int, value long")
+    return found.groupBy("horizon", "since", "slot").agg(F.sum("value").alias("value"))
+
+
+def boost(met: np.ndarray, moved: np.ndarray, usable: np.ndarray) -> tuple[float, np.ndarray]:
+    """(base, parts by feature and bin) of least-squares boosting with one-split trees.
+
+    met[a, b]: rows in bins a and b; moved[a]: sum of changes in bin a. A step's effect on the residual sum of bin a is the step's
+    parts times the rows that a shares with their bins, so no row is read again.
+    """
+    size = np.diag(met).reshape(-1, BINS)
+    n = size[0].sum()
+    base = moved[:BINS].sum() / n
+    rest, parts = (moved - base * np.diag(met)).reshape(-1, BINS), np.zeros(size.shape)
+    left_n = np.cumsum(size, 1)[:, :-1]
+    fine = (left_n >= LEAF) & (n - left_n >= LEAF) & usable[:, None]
+    for _ in range(ROUNDS if fine.any() else 0):
+        left = np.cumsum(rest, 1)[:, :-1]
+        right = rest.sum(1)[:, None] - left
+        gain = np.where(fine, left**2 / (left_n + SHRINK) + right**2 / (n - left_n + SHRINK), -1.0)
+        f, at = np.unravel_index(np.argmax(gain), gain.shape)
+        step = np.where(np.arange(BINS) <= at, left[f, at] / (left_n[f, at] + SHRINK), right[f, at] / (n - left_n[f, at] + SHRINK)) * RATE
+        parts[f] += step
+        rest -= (met[:, f * BINS : (f + 1) * BINS] @ step).reshape(-1, BINS)
+    return base, parts
+
+
+def fit(t: DataFrame, names: list[str]) -> DataFrame:
+    """(horizon, fold, base, values): a model for each horizon and fold of binned() rows with LEAST rows at least, one horizon a task.
+
+    A horizon's statistics are as many numbers whatever the rows; folds add up those of the rows that they may see.
+    """
+    n = len(names) * BINS
+
+    def models(pdf: pd.DataFrame) -> pd.DataFrame:
+        horizon = int(pdf["horizon"].iloc[0])
+        usable = np.isin(names, lag_safe(names, horizon))
+        met, moved, found = np.zeros((n, n)), np.zeros(n), []
+        for fold in range(1, FOLDS + 2):
+            slot, value = (pdf.loc[pdf["since"] == fold, c].to_numpy() for c in ("slot", "value"))
+            pair = slot >= 0
+            met[slot[pair] // n, slot[pair] % n] += value[pair]
+            moved[-1 - slot[~pair]] += value[~pair]
+            if np.diag(met)[:BINS].sum() >= LEAST:
+                base, parts = boost(np.triu(met) + np.triu(met, 1).T, moved, usable)
+                found.append((horizon, fold, base / UNIT, (parts / UNIT).tolist()))
+        return pd.DataFrame(found, columns=["horizon", "fold", "base", "values"])
+
+    return bin_statistics(t, len(names)).groupBy("horizon").applyInPandas(models, "horizon int, fold int, base double, values array<array<double>>")
 
 
-def train(weekly: DataFrame, day: str | None = None) -> Trained:
-    """Fit the final model and those of the folds, side by side: their jobs are short and each leaves cores idle.
+def train(weekly: DataFrame, day: str | None = None, feat: DataFrame | None = None) -> Trained:
+    """Fit the models of all horizons and folds. feat: features() of weekly or a table like it; its numeric columns are the features.
 
-    With day, a date as text, weeks after it are not seen. A fold without rows to fit, of a short panel, is left out.
+    With day, a date as text, weeks after it are not seen. A fold with too few rows to fit, of a short panel, is left out.
     """
     weekly = scores.as_of(weekly, day)
-    feat = written(features(weekly), "features")
-    t = written(rows(feat, weekly), "forecast_rows")
-    first = t.agg(F.min("since")).first()[0]
-    folds = list(range(first or FOLDS + 1, FOLDS + 2))
-    with ThreadPoolExecutor(len(folds)) as pool:
-        models = dict(zip(folds, pool.map(lambda k: fit(t, k), folds)))
-    kept = ["ingredient", "week_start", "horizon", "fold", "price_avg_weekly", "target", "change", "moved", "p50"]
-    out = predict(models[FOLDS + 1], t.where("false")).select(kept)
-    for k in folds[:-1]:
-        out = out.unionAll(predict(models[k], t.where(F.col("fold") == k)).select(kept))
-    return Trained(models[FOLDS + 1], feat, t, written(out, "out_of_fold"))
+    feat = written(features(weekly) if feat is None else scores.as_of(feat, day), "features")
+    names = numeric_columns(feat, ("price_avg_weekly",))
+    edges = bin_edges(feat, names)
+    t = written(binned(rows(feat, weekly), edges), "forecast_rows")
+    models = written(fit(t, names), "forecast_models")
+    kept = ["ingredient", "week_start", "horizon", "fold", "price_avg_weekly", "target", "change", "moved", "p50", "parts"]
+    out = predict(models, t.where("fold > 0"), F.col("fold")).select(kept)
+    return Trained(models, edges, feat, t, written(out, "out_of_fold"))
+
+
+_TABLES = ("models", "features", "rows", "out_of_fold")
 
 
 def save(trained: Trained, path: str) -> None:
     """Overwrite the folder path with all that load() needs."""
-    trained.model.write().overwrite().save(f"{path}/model")
-    for name in ("features", "rows", "out_of_fold"):
+    spark = trained.models.sparkSession
+    spark.createDataFrame(list(trained.edges.items()), "feature string, edges array<double>").coalesce(1).write.mode("overwrite").parquet(f"{path}/edges")
+    for name in _TABLES:
         getattr(trained, name).write.mode("overwrite").parquet(f"{path}/{name}")
 
 
 def load(spark: SparkSession, path: str) -> Trained:
-    return Trained(GBTRegressionModel.load(f"{path}/model"), *(spark.read.parquet(f"{path}/{name}") for name in ("features", "rows", "out_of_fold")))
+    edges = {r.feature: list(r.edges) for r in spark.read.parquet(f"{path}/edges").collect()}
+    models, *others = (spark.read.parquet(f"{path}/{name}") for name in _TABLES)
+    names = numeric_columns(others[0], ("price_avg_weekly",))
+    return Trained(models, {c: edges[c] for c in names}, *others)
+
+
+def predict(models: DataFrame, t: DataFrame, fold) -> DataFrame:
+    """binned() rows with parts (of each feature), moved and p50, the predicted price, by the model of their horizon and fold."""
+    m = models.withColumnRenamed("fold", "_fold")  # at most 78 rows
+    out = t.withColumn("_fold", fold).join(F.broadcast(m), ["horizon", "_fold"])
+    out = out.withColumn("parts", F.zip_with("values", "code", lambda v, c: F.get(v, c)))
+    out = out.withColumn("moved", F.aggregate("parts", F.col("base"), lambda a, x: a + x))
+    return out.withColumn("p50", F.col("price_avg_weekly") * (1 + F.col("moved"))).drop("_fold", "base", "values")
+
+
+def pooled_fit(t: DataFrame, names: list[str]) -> GBTRegressionModel:
+    """One model of deeper trees with absolute loss for all horizons, to compare with: the horizon is a feature, unsafe lags are blanked."""
+    blank = safe_at_horizon(t.where("since is not null")).withColumn("horizon", F.col("horizon").cast("double"))
+    train = VectorAssembler(inputCols=[*names, "horizon"], outputCol="features").transform(blank).select("features", "change")
+    return GBTRegressor(featuresCol="features", labelCol="change", predictionCol="moved", lossType="absolute", **TREES).fit(train)
 
 
-def predict(model, t: DataFrame) -> DataFrame:
-    """t with p50, the predicted price."""
-    out = model.transform(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(t))
-    return out.withColumn("p50", F.col("price_avg_weekly") * (1 + F.col("moved"))).drop("features")
+def compared_with_pooled(trained: Trained) -> DataFrame:
+    """(horizon, n_rows, mae, pooled_mae, naive_mae) on the last weeks."""
+    names = list(trained.edges)
+    own = predict(trained.models, trained.rows.where("fold = -1"), F.lit(FOLDS + 1)).withColumn("own", F.col("p50"))
+    blank = safe_at_horizon(own).withColumn("h", F.col("horizon").cast("double")).drop("moved")
+    both = pooled_fit(trained.rows, names).transform(VectorAssembler(inputCols=[*names, "h"], outputCol="features").transform(blank))
+    off = lambda p: F.avg(F.abs(p - F.col("target")))
+    price = F.col("price_avg_weekly")
+    return both.groupBy("horizon").agg(F.count("*").alias("n_rows"), off(F.col("own")).alias("mae"), off(price * (1 + F.col("moved"))).alias("pooled_mae"), off(price).alias("naive_mae"))
 
 
 def bands(out_of_fold: DataFrame) -> DataFrame:
-    """(horizon, lo, hi): the 10th and 90th percentile of the relative errors out of fold."""
-    q = out_of_fold.groupBy("horizon").agg(F.percentile_approx(F.col("change") - F.col("moved"), [0.1, 0.9], 10_000).alias("q"))
-    return q.select("horizon", F.col("q")[0].alias("lo"), F.col("q")[1].alias("hi"))
+    """(horizon, lo, hi): the exact 10th and 90th percentile of the relative errors out of fold."""
+    off = out_of_fold.select("horizon", (F.col("change") - F.col("moved")).alias("off"))
+    return selection.percentiles(off, ["horizon"], "off", [0.1, 0.9]).select("horizon", F.col("q")[0].alias("lo"), F.col("q")[1].alias("hi"))
 
 
 def with_bands(p: DataFrame, b: DataFrame) -> DataFrame:
@@ -157,16 +287,16 @@ def forecast(trained: Trained) -> DataFrame:
     """(ingredient, forecast_date, horizon_weeks, target_week_start, p10, p50, p90) from the last week of each ingredient."""
     feat = trained.features
     last = feat.groupBy("ingredient").agg(F.max_by(F.struct(*(c for c in feat.columns if c != "ingredient")), "week_start").alias("s")).select("ingredient", "s.*")
-    ahead = last.withColumn("horizon", F.explode(F.transform(F.sequence(F.lit(1), F.lit(scores.HORIZONS)), lambda h: h.cast("double"))))
-    out = with_bands(predict(trained.model, safe_at_horizon(ahead)), bands(trained.out_of_fold))
-    weeks = F.col("horizon").cast("int")
+    ahead = binned(last, trained.edges).withColumn("horizon", F.explode(F.sequence(F.lit(1), F.lit(scores.HORIZONS))))
+    out = with_bands(predict(trained.models, ahead, F.lit(FOLDS + 1)), bands(trained.out_of_fold))
+    weeks = F.col("horizon")
     return out.select("ingredient", F.col("week_start").alias("forecast_date"), weeks.alias("horizon_weeks"), F.date_add("week_start", weeks * 7).alias("target_week_start"), "p10", "p50", "p90")
 
 
 def _measures(p: DataFrame, *by, **more) -> DataFrame:
     """Errors, share of right directions and skill against the last price of predictions p, by `by`; more are further aggregates."""
     e, price, y = F.col("p50") - F.col("target"), F.col("price_avg_weekly"), F.col("target")
-    a = p.groupBy(F.col("horizon").cast("int").alias("horizon"), *by).agg(
+    a = p.groupBy("horizon", *by).agg(
         F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(F.try_divide(e, y))).alias("mape"), F.avg(F.abs(price - y)).alias("naive_mae"),
         F.avg((F.signum(F.col("p50") - price) == F.signum(y - price)).cast("int")).alias("direction"), F.count("*").alias("n_rows"), *(c.alias(n) for n, c in more.items()),
     )
@@ -175,7 +305,7 @@ def _measures(p: DataFrame, *by, **more) -> DataFrame:
 
 def errors(trained: Trained) -> DataFrame:
     """By horizon, on the last weeks: errors, share of right directions, skill against the last price, share inside the band."""
-    p = with_bands(predict(trained.model, trained.rows.where("fold = -1")), bands(trained.out_of_fold))
+    p = with_bands(predict(trained.models, trained.rows.where("fold = -1"), F.lit(FOLDS + 1)), bands(trained.out_of_fold))
     inside = (F.col("target") >= F.col("p10")) & (F.col("target") <= F.col("p90"))
     return _measures(p, coverage=F.avg(inside.cast("int")))
 
@@ -190,23 +320,24 @@ def run_summary(by_horizon: DataFrame) -> DataFrame:
     return by_horizon.agg(F.avg("mae").alias("mean_mae"), F.avg("skill").alias("mean_skill"), F.count("*").alias("horizons"))
 
 
-def importance(trained: Trained, top: int = 12) -> DataFrame:
-    """(horizon, feature, rise, rank): how much the mean error grows when a feature's values change places among the weeks
-    of an ingredient; the top features of each horizon. A group is one ingredient's test weeks at one horizon.
+def importance(trained: Trained, top: int = 12, repeats: int = REPEATS, seed: int = 7) -> DataFrame:
+    """(horizon, feature, rise, spread, rank): how much the mean error out of fold grows when a feature's values change places among the
+    weeks of an ingredient inside a fold: mean and deviation over random permutations; the top features of each horizon.
 
-    Values move by half the length of the group, a fixed permutation, so runs agree.
+    A permutation puts the weeks of an ingredient, horizon and fold in hashed order, and a week takes its value from the week that has its place
+    there. A model is a sum of parts by feature, so one row with both weeks' parts tells of every feature.
     """
-    names = [c for c in FEATURES if c != "horizon"]
-    held = trained.rows.where("fold = -1").select("ingredient", "horizon", "week_start", "price_avg_weekly", "target", *names)
-    w = Window.partitionBy("ingredient", "horizon")
-    n, i = F.count("*").over(w), F.row_number().over(w.orderBy("week_start")) - 1
-    moved = held.withColumns({"_n": n, "_i": i, "_all": F.collect_list(F.struct("week_start", *names)).over(w)}).withColumn("_all", F.sort_array("_all"))
-    moved = moved.withColumn("_other", F.element_at("_all", (F.pmod(F.col("_i") + F.expr("_n div 2"), F.col("_n")) + 1).cast("int"))).drop("_all", "_n", "_i")
-    trial = moved.withColumn("feature", F.explode(F.array(F.lit(""), *(F.lit(c) for c in names))))
-    trial = trial.withColumns({c: F.when(F.col("feature") == c, F.col(f"_other.{c}")).otherwise(F.col(c)) for c in names})
-    e = predict(trained.model, trial).groupBy("horizon", "feature").agg(F.avg(F.abs(F.col("p50") - F.col("target"))).alias("mae"))
-    base = e.where("feature = ''").select("horizon", F.col("mae").alias("base"))
-    rise = e.where("feature != ''").join(F.broadcast(base), "horizon").select(F.col("horizon").cast("int").alias("horizon"), "feature", (F.col("mae") - F.col("base")).alias("rise"))
+    group = ["ingredient", "horizon", "fold", "repeat"]
+    out = trained.out_of_fold.withColumn("repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
+    w = Window.partitionBy(*group)
+    out = out.withColumns({"place": F.row_number().over(w.orderBy("week_start")), "hashed": F.row_number().over(w.orderBy(F.xxhash64(F.lit(seed), *group, "week_start"), "week_start"))})
+    other = out.select(*group, F.col("hashed").alias("place"), F.col("parts").alias("other"))
+    both = out.join(other, [*group, "place"])
+    names = list(trained.edges)
+    price, p, y = F.col("price_avg_weekly"), F.col("p50"), F.col("target")
+    rises = (F.avg(F.abs(p + price * (F.col("other")[k] - F.col("parts")[k]) - y) - F.abs(p - y)).alias(c) for k, c in enumerate(names))
+    each = both.groupBy("horizon", "repeat").agg(*rises).unpivot(["horizon", "repeat"], names, "feature", "rise")
+    rise = each.groupBy("horizon", "feature").agg(F.avg("rise").alias("rise"), F.stddev_samp("rise").alias("spread"))
     rank = F.row_number().over(Window.partitionBy("horizon").orderBy(F.col("rise").desc(), "feature"))
     return rise.withColumn("rank", rank).where(F.col("rank") <= top)
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cropledger.functions import text
-from cropledger.operators import quality
+from cropledger.operators import quality, selection
 from cropledger.operators import windows as W
 from cropledger.plans import forecast, panel, scores, staging
 from cropledger.sources import tables
@@ -470,15 +470,8 @@ def c4_cost_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(scores.cost_shares(scores.landed_cost(scores.panel_of(spark, sf_dir))))
 
 
-#: Models by application and folder, so that the queries over forecasts fit them once; tables are taken not to change while an application runs.
-_TRAINED: dict[tuple[str, str], forecast.Trained] = {}
-
-
 def _trained(spark: SparkSession, sf_dir: str) -> forecast.Trained:
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _TRAINED:
-        _TRAINED[key] = forecast.train(panel.weekly_training(spark, sf_dir))
-    return _TRAINED[key]
+    return forecast.train(panel.weekly_training(spark, sf_dir))
 
 
 def _forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -500,6 +493,20 @@ def b6_fold_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(forecast.fold_errors(_trained(spark, sf_dir)))
 
 
+@query()
+def b6_compared_with_pooled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(forecast.compared_with_pooled(_trained(spark, sf_dir)))
+
+
+@query(f"""with {_TARGETS} select horizon, count(*) as n_rows, round(quantile_cont(target / price_avg_weekly - 1, 0.1), 8) as lo, round(quantile_cont(target / price_avg_weekly - 1, 0.9), 8) as hi from targets group by 1""")
+def b7_naive_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact percentiles of the relative errors of the last price, by horizon."""
+    off = scores.targets(scores.panel_of(spark, sf_dir)).select("horizon", (F.col("target") / F.col("price_avg_weekly") - 1).alias("off"))
+    off = tables.written(off, "naive_errors")
+    q = selection.percentiles(off, ["horizon"], "off", [0.1, 0.9])
+    return off.groupBy("horizon").agg(F.count("*").alias("n_rows")).join(q, "horizon").select("horizon", "n_rows", F.round(F.col("q")[0], 8).alias("lo"), F.round(F.col("q")[1], 8).alias("hi"))
+
+
 @query()
 def b9_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(forecast.importance_summary(forecast.importance(_trained(spark, sf_dir))), 6)

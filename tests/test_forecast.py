@@ -1,8 +1,8 @@
 """The forecast on the given tables: no look-ahead, ordered bands, coverage, skill, and the tables built on it."""
 
 import datetime as dt
-import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,9 +55,10 @@ def test_every_row_of_a_fold_is_predicted_once_and_measured(spark, trained):
     for (h, k), r in by.items():
         own = [x for x in out if x.horizon == h and x.fold == k]
         assert r.n_rows == len(own) and r.mae == pytest.approx(sum(abs(x.p50 - x.target) for x in own) / len(own), abs=1e-3)
-    moved = sorted(x.change - x.moved for x in out if x.horizon == 4)
-    band = {r.horizon: r for r in forecast.bands(trained.out_of_fold).collect()}[4]
-    assert band.lo == moved[math.ceil(0.1 * len(moved)) - 1] and band.hi == moved[math.ceil(0.9 * len(moved)) - 1]
+    band = {r.horizon: r for r in forecast.bands(trained.out_of_fold).collect()}
+    for h in band:
+        lo, hi = np.percentile([x.change - x.moved for x in out if x.horizon == h], [10, 90])
+        assert band[h].lo == pytest.approx(lo, abs=1e-12) and band[h].hi == pytest.approx(hi, abs=1e-12)
 
 
 def test_saved_models_forecast_alike(spark, trained, tmp_path):
@@ -88,10 +89,78 @@ def test_quick_risk_by_hand(spark):
 
 def test_importance(spark):
     found = registry.QUERIES["b9_importance"](spark, SF).collect()
-    assert {r.feature for r in found} <= set(forecast.FEATURES) - {"horizon"} and found
+    assert {r.feature for r in found} <= set(forecast.FEATURES) and found
     assert max(r.mean_rise for r in found) > 0
 
 
+def test_noise_has_no_importance_and_repeats_agree(spark):
+    weekly = panel.weekly_training(spark, SF)
+    feat = forecast.features(weekly).withColumn("noise", F.pmod(F.xxhash64("ingredient", "week_start"), F.lit(1000)).cast("double"))
+    trained = forecast.train(weekly, feat=feat)
+    assert list(trained.edges) == [*forecast.FEATURES, "noise"]
+    found = forecast.importance(trained, top=99).collect()
+    assert len(found) == 13 * len(trained.edges)
+    assert sorted(found) == sorted(forecast.importance(trained, top=99).collect())
+    noise = [r for r in found if r.feature == "noise"]
+    assert sum(abs(r.rise) <= 3 * r.spread + 1e-9 for r in noise) >= 11
+    best = {h: max(r.rise for r in found if r.horizon == h) for h in range(1, 14)}
+    assert all(r.rise < 0.3 * best[r.horizon] for r in noise)
+
+
+def plain_boost(code, y, usable):
+    """Boosting with one-split trees that reads the rows at every step."""
+    base = y.mean()
+    parts, rest = np.zeros((code.shape[1], forecast.BINS)), y - base
+    for _ in range(forecast.ROUNDS):
+        best = None
+        for f in np.flatnonzero(usable):
+            for at in range(forecast.BINS - 1):
+                left = code[:, f] <= at
+                n = left.sum()
+                if min(n, len(y) - n) < forecast.LEAF:
+                    continue
+                a, b = rest[left].sum() / (n + forecast.SHRINK), rest[~left].sum() / (len(y) - n + forecast.SHRINK)
+                gain = a * rest[left].sum() + b * rest[~left].sum()
+                if best is None or gain > best[0] + 1e-12:
+                    best = gain, f, at, a, b
+        _, f, at, a, b = best
+        step = np.where(np.arange(forecast.BINS) <= at, a, b) * forecast.RATE
+        parts[f] += step
+        rest = rest - step[code[:, f]]
+    return base, parts
+
+
+def test_boosting_from_statistics_is_boosting_over_rows(monkeypatch):
+    monkeypatch.setattr(forecast, "ROUNDS", 25)
+    rng = np.random.default_rng(6)
+    code = rng.integers(0, forecast.BINS, (400, 3))
+    y = 0.3 * (code[:, 0] > 5) - 0.2 * (code[:, 2] > 11) + rng.normal(size=400) * 0.1
+    hot = np.zeros((400, 3 * forecast.BINS))
+    for f in range(3):
+        hot[np.arange(400), f * forecast.BINS + code[:, f]] = 1
+    usable = np.array([True, False, True])
+    base, parts = forecast.boost(hot.T @ hot, hot.T @ y, usable)
+    want_base, want = plain_boost(code, y, usable)
+    assert base == pytest.approx(want_base) and np.allclose(parts, want, atol=1e-9) and not parts[1].any()
+
+
+def test_each_horizon_has_its_own_features_and_folds(spark, trained):
+    names = list(trained.edges)
+    models = trained.models.collect()
+    assert {r.horizon for r in models} == set(range(1, 14)) and {r.fold for r in models} <= set(range(1, forecast.FOLDS + 2))
+    for r in models:
+        used = {c for c, v in zip(names, r["values"]) if any(v)}
+        assert used and used <= set(forecast.lag_safe(names, r.horizon))
+    small = forecast.train(panel.weekly_training(spark, SF).where("ingredient = 'Brand#11' and week_start < '1995-06-30'"))
+    counts = {r.horizon: r.n for r in small.rows.where("since is not null").groupBy("horizon").agg(F.count("*").alias("n")).collect()}
+    assert all(n >= forecast.LEAST for n in counts.values()) and {r.horizon for r in small.models.collect()} == set(counts)
+
+
+def test_compared_with_the_pooled_model(spark):
+    found = registry.QUERIES["b6_compared_with_pooled"](spark, "/root/testdata/sf0.01").collect()
+    assert len(found) == 13 and sum(r.mae for r in found) < sum(r.naive_mae for r in found)
+
+
 def test_lag_safe():
     names = ["price_lag_1w", "price_lag_4w", "price_hist_avg_26w", "di_change"]
     assert forecast.lag_safe(names, 4) == ["price_lag_4w", "price_hist_avg_26w", "di_change"] and forecast.lag_safe(names, 1) == names
@@ -103,11 +172,11 @@ def test_staging_of_unreadable_text(spark):
 
 
 def test_unsafe_lags_are_blank_and_features_follow_the_schema(spark, rows):
+    blank = forecast.safe_at_horizon(rows)
     for h in (1, 2, 5, 13):
         safe = set(forecast.lag_safe(forecast.LEVELS, h))
-        one = rows.where(F.col("horizon") == h).select(*(F.max(F.abs(F.col(c) - 1)).alias(c) for c in forecast.LEVELS)).collect()[0]
+        one = blank.where(F.col("horizon") == h).select(*(F.max(F.abs(F.col(c) - 1)).alias(c) for c in forecast.LEVELS)).collect()[0]
         assert {c for c in forecast.LEVELS if one[c]} == safe
-    assert set(forecast.numeric_columns(rows, ("price_avg_weekly", "target", "change", "since", "fold"))) == set(forecast.FEATURES)
     df = spark.createDataFrame([(1, 2.0, "x", dt.date(2024, 1, 1))], "a int, b double, c string, d date")
     assert forecast.numeric_columns(df, ("a",)) == ["b"]
 

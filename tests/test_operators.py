@@ -2,11 +2,12 @@
 
 import datetime as dt
 
+import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cropledger.functions import text
-from cropledger.operators import quality
+from cropledger.operators import quality, selection
 from cropledger.operators import windows as W
 from cropledger.plans import scores, staging
 from cropledger.sources import tables
@@ -141,3 +142,14 @@ def test_schedule_is_optimal(spark):
             if sum(plan) == 20 and all(sum(plan[: k + 1]) <= 20 * min((k + 1) / 4 * 1.2, 1) for k in range(4))
         )
         assert abs(sum(q * p for q, p in zip(got, prices)) - best[0]) < 1e-9, seed
+
+
+def test_percentiles(spark):
+    rng = np.random.default_rng(9)
+    values = {"a": rng.normal(size=301).tolist(), "b": [1.0] * 5000 + [2.0] * 3, "c": [4.0], "d": [None, 7.0, None, 9.0], "e": [None]}
+    df = spark.createDataFrame([(k, v) for k, vs in values.items() for v in vs], "k string, v double")
+    got = {r.k: r.q for r in selection.percentiles(df, ["k"], "v", [0.0, 0.1, 0.5, 0.93, 1.0]).collect()}
+    assert set(got) == set("abcd")
+    for k, q in got.items():
+        assert np.allclose(q, np.percentile([v for v in values[k] if v is not None], [0, 10, 50, 93, 100]), atol=1e-12)
+    assert selection.percentiles(df.limit(0), ["k"], "v", [0.5]).collect() == []
