@@ -230,8 +230,11 @@ def encode_streams(payloads: list[bytes]) -> list[bytes]:
     return out
 
 
-def _frames_of(raw: bytes) -> tuple[int, bytes, list[tuple[int, int, int]]]:
-    """Total samples, md5 and the (offset, header size, samples) of each frame of a stream, found by sync code, CRC-8 and number."""
+def _frames_of(raw: bytes, sure: bool = False) -> tuple[int, bytes, list[tuple[int, int, int]]]:
+    """Total samples, md5 and the (offset, header size, samples) of each frame of a stream, found by sync code, CRC-8 and number.
+
+    The bytes of a frame may look like the header of the next one. With sure, a header counts only where the CRC-16 of the frame before it closes.
+    """
     if raw[:4] != b"fLaC":
         raise ValueError("not a FLAC stream")
     at, last, total, md5 = 4, False, 0, b""
@@ -249,7 +252,7 @@ def _frames_of(raw: bytes) -> tuple[int, bytes, list[tuple[int, int, int]]]:
         if at < 0 or at + 8 > len(raw):
             raise ValueError("a frame is missing")
         number, end = _read_number(raw, at + 4)
-        if number == len(frames) and end + 2 < len(raw) and _crc8(raw[at : end + 2]) == raw[end + 2]:
+        if number == len(frames) and end + 2 < len(raw) and _crc8(raw[at : end + 2]) == raw[end + 2] and not (sure and frames and not _closes(raw, frames[-1][0], at)):
             size = int.from_bytes(raw[end : end + 2], "big") + 1
             frames.append((at, end + 3 - at, size))
             samples += size
@@ -259,9 +262,24 @@ def _frames_of(raw: bytes) -> tuple[int, bytes, list[tuple[int, int, int]]]:
     return total, md5, frames
 
 
+def _closes(raw: bytes, start: int, end: int) -> bool:
+    """Whether raw[start:end] ends with its own CRC-16."""
+    own = np.frombuffer(raw, np.uint8)[start : end - 2]
+    return end - 2 > start and int(_crc16(own, np.zeros(1, np.int64), np.array([len(own)]))[0]) == int.from_bytes(raw[end - 2 : end], "big")
+
+
 def decode_streams(streams: list[bytes]) -> list[tuple[bytes, list[tuple[int, int, int]]]]:
-    """(payload, [(sample offset, samples, byte offset of the frame)]) of each stream; a wrong checksum or digest raises."""
-    parsed = [_frames_of(s) for s in streams]
+    """(payload, [(sample offset, samples, byte offset of the frame)]) of each stream; a wrong checksum or digest raises.
+
+    Frames are looked for by their headers first. If what is found so fails a check, the streams are walked again frame by frame.
+    """
+    try:
+        return _decoded(streams, [_frames_of(s) for s in streams])
+    except ValueError:
+        return _decoded(streams, [_frames_of(s, sure=True) for s in streams])
+
+
+def _decoded(streams: list[bytes], parsed: list[tuple[int, bytes, list[tuple[int, int, int]]]]) -> list[tuple[bytes, list[tuple[int, int, int]]]]:
     ends = [[*(f[0] for f in fs[1:]), len(s)] for s, (_, _, fs) in zip(streams, parsed)]
     most = max(1, BATCH_BYTES // 2 // BLOCK)
     parts = [(d, i) for d, (_, _, fs) in enumerate(parsed) for i in range(0, len(fs), most)]
@@ -469,8 +487,8 @@ def decode(media: DataFrame) -> DataFrame:
 
     A block can be read alone: its frame starts at its byte offset and its samples are pcm from its sample offset.
     Streams are 8-bit mono of 8 kHz with frames of a fixed blocking, as encode() writes them: constant, plain, fixed and linear-predictor
-    subframes, any partition order, no escapes. Others, and a stream with a wrong frame checksum or digest, fail the job rather than give
-    wrong samples. A null medium gives null pcm, blocks and feature. An empty table gives no rows.
+    subframes, any partition order, no escapes. Whatever encode() writes is read, even if the bytes of a frame look like the next one's header.
+    Other streams, and one with a wrong frame checksum or digest, fail the job rather than give wrong samples. A null medium gives null pcm, blocks and feature. An empty table gives no rows.
     """
     names = media.columns
     block = pa.struct([("sample_offset", pa.int64()), ("n_samples", pa.int64()), ("byte_offset", pa.int64())])

@@ -148,3 +148,23 @@ def test_null_and_repeated_rows(spark):
     assert flac.decode(flac.encode(df.limit(0))).collect() == []
     none = spark.createDataFrame([(1, None, 5), (2, flac.encode_streams([b"y" * 64])[0], 6)], "doc_id long, media binary, extra int")
     assert {(r.doc_id, r.pcm and bytes(r.pcm), r.extra) for r in flac.decode(none).collect()} == {(1, None, 5), (2, b"y" * 64, 6)}
+
+
+def test_a_frame_that_holds_the_next_header():
+    """Random bytes are stored plain, so the first frame can hold the very bytes of the second one's header."""
+    rng = np.random.default_rng(3)
+    noise = bytearray(rng.integers(0, 256, 3 * flac.BLOCK, np.uint8).tobytes())
+    stream = flac.encode_streams([bytes(noise)])[0]
+    blocks = flac.decode_streams([stream])[0][1]
+    for number in (1, 2):
+        header = stream[blocks[number][2] :][:16]
+        noise[100 * number : 100 * number + 16] = bytes(b ^ 128 for b in header)
+    stream = flac.encode_streams([bytes(noise)])[0]
+    assert stream.count(header[:8]) == 2 and flac._frames_of(stream) != flac._frames_of(stream, sure=True)
+    for streams in ([stream], [flac.encode_streams([b"x" * 64])[0], stream]):
+        assert flac.decode_streams(streams)[-1][0] == bytes(noise)
+    for at in (blocks[1][2] - 1, blocks[1][2] + 40, len(stream) - 2):
+        damaged = bytearray(stream)
+        damaged[at] ^= 1
+        with pytest.raises(ValueError):
+            flac.decode_streams([bytes(damaged)])
