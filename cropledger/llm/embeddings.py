@@ -177,7 +177,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_col: str = "
     one, two = (spans.select("label", "d", *(F.col(c).alias(f"{c}_{side}") for c in ("tile", *box))) for side in "ab")
     gaps = [F.greatest(F.lit(0.0), F.col(f"lo{k}_b") - F.col(f"hi{k}_a"), F.col(f"lo{k}_a") - F.col(f"hi{k}_b")) for k in range(BOXES)]
     near = sum((g * g for g in gaps), F.lit(0.0)) <= reach * reach
-    cells = one.repartition("label", "d", "tile_a").join(_small(two), ["label", "d"]).where("tile_a <= tile_b").where(near).select("label", "d", "tile_a", "tile_b")
+    # Tiles are put in the squares of side reach that they cover along two axes. What is within reach of a tile lies in these or the ones around them.
+    squares = lambda side, more: [F.explode(F.sequence(F.floor(F.col(f"lo{k}_{side}") / reach) - more, F.floor(F.col(f"hi{k}_{side}") / reach) + more)).alias(f"at{k}") for k in (0, 1)]
+    dealt_a, dealt_b = (t.select("*", squares(side, more)[0]).select("*", squares(side, more)[1]) for t, side, more in ((one, "a", 1), (two, "b", 0)))
+    cells = dealt_a.join(dealt_b, ["label", "d", "at0", "at1"]).where("tile_a <= tile_b").where(near).select("label", "d", "tile_a", "tile_b").distinct()
     cells = materialise(cells, "cells")
     sides = cells.select("*", F.col("tile_a").alias("tile"), F.lit(0).alias("side")).unionByName(cells.where("tile_a != tile_b").select("*", F.col("tile_b").alias("tile"), F.lit(1).alias("side")))
     dealt = tiled.join(sides, ["label", "d", "tile"]).select("label", "d", "tile_a", "tile_b", "side", "cls", "copies", "v")
