@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from .common import materialise
 
-#: Words in a block, and the most blocks of one source: blocks grow beyond that, so no window holds more rows.
+#: Words in a block, and the most blocks of one source, which one window puts in order: blocks grow beyond that.
 BLOCK_TOKENS, MOST_BLOCKS = 200_000, 4096
 #: Halvings of the exponent's interval.
 HALVINGS = 50
+#: The block at a source's cut is filled in 2 ** RANGE_BITS parts.
+RANGE_BITS = 10
 #: Most rows of a table that is broadcast (some 50 bytes each); larger ones are joined by a shuffle.
 BROADCAST_ROWS = 200_000
 
@@ -63,13 +65,22 @@ def weights(sources: DataFrame, repetition: float | None = 2.0, entropy: float |
     return sources.join(F.broadcast(found)).select("source", "tokens", (F.pow(F.col("tokens") / F.col("all"), F.col("exponent")) / F.col("norm")).alias("weight"), "exponent", F.col("whole").alias("budget"))
 
 
+def free_name(columns: list[str], name: str = "mix") -> str:
+    """name, with as many underscores before it as make it unlike all columns, whatever their case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def mix(docs: DataFrame, repetition: float | None = 2.0, entropy: float | None = None, budget: int | None = None, seed: int = 0, source_col: str = "source", text_col: str = "text", id_col: str = "doc_id", info: str | None = "mix") -> DataFrame:
     """docs' rows as often as their source's weight asks for, with a struct column `info` (epoch, block, slot, n_tokens, weight, exponent).
 
     Tokens are words between white space, one at least. A source's budget is its weight times the budget. Whole epochs
     are taken first; the rest is a permutation of the source's blocks, cut where it is used up: inside the block at the
     cut, documents follow in a hashed order while they fit. Rows that are alike in id and text are taken together, so a
-    source is short of its budget by less than one document with its repeats. slot orders the result: rows with slot up to x hold a
+    source is short of its budget by less than one document with its repeats. Budgets are whole words, rounded up where no row may be lost, so a source
+    may be repeated up to one word beyond its limit. slot orders the result: rows with slot up to x hold a
     share x of each source's budget, block by block. A null source is a source; a null text is an empty one, and texts are read
     whole. Nothing is dropped when no budget is given. An empty table gives no rows. docs' columns may have any names; a column of
     docs that is named as `info` takes its place, and with info = None there is no such column.
@@ -98,8 +109,13 @@ def mix(docs: DataFrame, repetition: float | None = 2.0, entropy: float | None =
     laid = materialise(laid.withColumn("end", F.sum("size").over(order) + F.col("epoch") * F.col("tokens")).select("source", "block", "epoch", "size", "end", "own"), "mix_order")
     at_cut = laid.where((F.col("end") > F.col("own")) & (F.col("end") - F.col("size") < F.col("own")))
     inside = slim.join(plan, "source").withColumn("block", block).select("source", "block", "key", "n_tokens").groupBy("source", "block", "key").agg(F.sum("n_tokens").alias("n"))
-    fill = Window.partitionBy("source").orderBy(F.xxhash64(F.lit(seed + 1), "key"), "key")
-    cut = inside.join(_small(at_cut), ["source", "block"]).withColumn("used", F.col("end") - F.col("size") + F.sum("n").over(fill))
+    # The hashed order of the cut block is cut again, into RANGES of hashes: no window holds the block, however large it is.
+    cut = inside.join(_small(at_cut), ["source", "block"]).withColumn("hash", F.xxhash64(F.lit(seed + 1), "key"))
+    cut = cut.withColumn("range", F.shiftright("hash", 64 - RANGE_BITS))
+    ranges = cut.groupBy("source", "range").agg(F.sum("n").alias("own_n"))
+    before = ranges.withColumn("before", F.sum("own_n").over(Window.partitionBy("source").orderBy("range")) - F.col("own_n")).drop("own_n")
+    fill = Window.partitionBy("source", "range").orderBy("hash", "key")
+    cut = cut.join(_small(materialise(before, "mix_ranges")), ["source", "range"]).withColumn("used", F.col("end") - F.col("size") + F.col("before") + F.sum("n").over(fill))
     chosen = materialise(cut.where("used <= own").select("source", "key", F.col("epoch").alias("cut_epoch")), "mix_cut")
     placed = rows.join(plan, "source").withColumn("block", block).withColumn("epoch", epoch).join(_small(laid.drop("own")), ["source", "block", "epoch"])
     taken = placed.join(_small(chosen.withColumn("chosen", F.lit(True))), ["source", "key"], "left")
