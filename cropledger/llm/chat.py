@@ -16,9 +16,8 @@ SCHEMAS = [
     ("lookup", "exact", "boolean", True),
     ("measure", "length", "integer", True),
     ("measure", "turn", "string", True),
+    ("measure", "text", "string", True),
 ]
-#: The same where `measure` is given its text.
-WHOLE_SCHEMAS = [*SCHEMAS, ("measure", "text", "string", True)]
 
 
 def schema_table(spark: SparkSession, schemas=None) -> DataFrame:
@@ -143,16 +142,15 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     return asked.unionByName(given)
 
 
-def calls_of(turns: DataFrame, whole: bool = False) -> tuple[DataFrame, DataFrame]:
+def calls_of(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Tool calls and results made from plain turns: each user turn asks a tool that its turn number names, and needs the
-    answer of the user turn two before it; an assistant turn answers the turn before it. Turns of any other role give nothing here; messages_of() has them. Calls of
-    `measure` carry their text's length, and with whole its text too."""
+    answer of the user turn two before it; an assistant turn answers the turn before it. Turns of any other role give nothing here; messages_of() has them."""
     tool = F.element_at(F.array(F.lit("search"), F.lit("lookup"), F.lit("measure")), (F.col("turn") % 3 + 1).cast("int"))
     text = F.coalesce("text", F.lit(""))
     arguments = (
         F.when(F.col("turn") % 3 == 0, F.to_json(F.struct("turn", text.alias("query"))))
         .when(F.col("turn") % 3 == 1, F.to_json(F.struct("turn", text.alias("query"), (F.length(text) % 2 == 0).alias("exact"))))
-        .otherwise(F.to_json(F.struct(F.length(text).alias("length"), *([text.alias("text")] if whole else []), "turn")))
+        .otherwise(F.to_json(F.struct(F.length(text).alias("length"), text.alias("text"), "turn")))
     )
     name = lambda t: F.concat(F.lit("call_"), t.cast("string"))
     asked = turns.where("role = 'user'").select("conv_id", "turn", name(F.col("turn")).alias("call_id"), tool.alias("name"), arguments.alias("arguments"), F.array(name(F.col("turn") - 2)).alias("depends_on"))
@@ -169,38 +167,11 @@ def messages_of(turns: DataFrame) -> DataFrame:
 
 def link_turns(turns: DataFrame) -> DataFrame:
     """link()'s columns with one row for every turn, each with its whole text."""
-    return link(*calls_of(turns, whole=True), schema_table(turns.sparkSession, WHOLE_SCHEMAS)).unionByName(messages_of(turns))
+    return link(*calls_of(turns), schema_table(turns.sparkSession)).unionByName(messages_of(turns))
 
 
-#: DuckDB SQL for link() over calls_of(conversations).
-SQL = """
-with asked as (
-  select conv_id, turn, 'call_' || turn as call_id, ['search', 'lookup', 'measure'][(turn % 3 + 1)::int] as name, coalesce(text, '') as text,
-         row_number() over (partition by conv_id, turn % 2 order by turn) as rn
-  from conversations where role = 'user'),
-ordered as (
-  select *, (row_number() over (partition by conv_id, turn % 2, turn - 2 * rn order by turn) - 1)::int as level from asked),
-given as (
-  select conv_id, turn, 'call_' || (turn - 1) as call_id, text as content from conversations where role = 'assistant'),
-args as (
-  select *, case turn % 3
-      when 0 then '{"query":' || to_json(text)::varchar || ',"turn":' || turn || '}'
-      when 1 then '{"exact":' || (length(text) % 2 = 0)::varchar || ',"query":' || to_json(text)::varchar || ',"turn":' || turn || '}'
-      else '{"length":' || length(text) || ',"turn":' || turn || '}' end as arguments
-  from ordered)
-select a.conv_id, a.turn, 'call' as kind, a.call_id, a.level,
-       case when g.call_id is null then 'unanswered' else 'linked' end as status,
-       case when a.turn % 3 = 2 then 'wrong type turn' else '' end as violations,
-       '{"arguments":' || arguments || ',"id":"' || a.call_id || '","name":"' || name || '","type":"call"}' as json
-from args a left join (select distinct conv_id, call_id from given) g using (conv_id, call_id)
-union all
-select g.conv_id, g.turn, 'result', g.call_id, o.level, case when o.call_id is null then 'orphan' else 'linked' end, '',
-       '{"call_id":"' || g.call_id || '","content":' || coalesce(to_json(content)::varchar, 'null') || ',"type":"result"}'
-from given g left join ordered o using (conv_id, call_id)
-"""
-
 #: DuckDB SQL for link_turns(conversations).
-TURNS_SQL = """
+SQL = """
 with asked as (
   select conv_id, turn, 'call_' || turn as call_id, ['search', 'lookup', 'measure'][(turn % 3 + 1)::int] as name, coalesce(text, '') as text,
          row_number() over (partition by conv_id, turn % 2 order by turn) as rn

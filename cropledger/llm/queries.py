@@ -1,7 +1,4 @@
-"""The registered queries of this subpackage: one opN_<name> for each operator, on its whole table.
-
-op3_chat leaves out what chat.calls_of() does, as its SQL does; op3_turns has every turn.
-"""
+"""The registered queries of this subpackage: one opN_<name> for each operator, on its whole table."""
 
 from __future__ import annotations
 
@@ -25,10 +22,6 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.link(*chat.calls_of(table(spark, sf_dir, "conversations")), chat.schema_table(spark))
-
-
-def op3_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.link_turns(table(spark, sf_dir, "conversations"))
 
 
@@ -41,7 +34,9 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "source", "mix.*")
+    docs = table(spark, sf_dir, "documents")
+    info = mixing.free_name(docs.columns)
+    return mixing.mix(docs, info=info).select("doc_id", "source", f"{info}.*")
 
 
 def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,7 +82,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embeddings": op1_embeddings,
     "op2_packing": op2_packing,
     "op3_chat": op3_chat,
-    "op3_turns": op3_turns,
     "op4_pii": op4_pii,
     "op5_minhash": op5_minhash,
     "op6_mixing": op6_mixing,
@@ -99,4 +93,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op12_divergence": op12_divergence,
     "op13_nearest": op13_nearest,
 }
-ORACLE_SQL: dict[str, str] = {"op3_chat": chat.SQL, "op3_turns": chat.TURNS_SQL, "op11_ranked": ranked.SQL, "op12_divergence": divergence.SQL}
+ORACLE_SQL: dict[str, str] = {"op3_chat": chat.SQL, "op11_ranked": ranked.SQL, "op12_divergence": divergence.SQL}

@@ -62,20 +62,6 @@ def test_empty(spark):
     assert rows(spark, []) == {}
 
 
-def test_sql_on_the_table(spark):
-    import duckdb
-
-    from cropledger.llm import queries
-
-    sf = "/root/testdata/sf0.01"
-    con = duckdb.connect()
-    con.execute(f"create view conversations as select * from '{sf}/conversations.parquet'")
-    names = ["conv_id", "turn", "kind", "call_id", "level", "status", "violations", "json"]
-    want = con.execute(f"select {', '.join(names)} from ({chat.SQL})").fetchall()
-    got = [tuple(r) for r in queries.op3_chat(spark, sf).select(*names).collect()]
-    assert sorted(got, key=str) == sorted(want, key=str)
-
-
 def test_every_turn_has_a_row_with_its_whole_text(spark):
     import duckdb
 
@@ -85,8 +71,8 @@ def test_every_turn_has_a_row_with_its_whole_text(spark):
     con = duckdb.connect()
     con.execute(f"create view conversations as select * from '{sf}/conversations.parquet'")
     names = ["conv_id", "turn", "kind", "call_id", "level", "status", "violations", "json"]
-    got = [tuple(r) for r in queries.op3_turns(spark, sf).select(*names).collect()]
-    assert sorted(got, key=str) == sorted(con.execute(f"select {', '.join(names)} from ({chat.TURNS_SQL})").fetchall(), key=str)
+    got = [tuple(r) for r in queries.op3_chat(spark, sf).select(*names).collect()]
+    assert sorted(got, key=str) == sorted(con.execute(f"select {', '.join(names)} from ({chat.SQL})").fetchall(), key=str)
     turns = con.execute("select conv_id, turn, role, text from conversations").fetchall()
     rows = sorted((r[0], r[1], str(json.loads(r[7]).get("content", ((a := json.loads(r[7]).get("arguments")) or {}).get("query", (a or {}).get("text"))))) for r in got)
     assert rows == sorted((c, t, str(x if r != "user" else x or "")) for c, t, r, x in turns) and len(rows) == 536
@@ -111,3 +97,25 @@ def test_ties_and_nulls(spark):
     assert len(out) == 8 and status(call_id="a") in (["linked", "repeated", "repeated"], ["linked", "linked", "repeated"])
     assert status(call_id="b", conv_id=1, turn=None) == ["unanswered"] and status(call_id="b", conv_id=1, turn=1) == ["repeated"] and status(conv_id=None) == ["unanswered"]
     assert chat.link(calls.limit(0), results.limit(0), chat.schema_table(spark)).collect() == []
+
+
+def test_nested_arguments_and_a_diamond_of_calls(spark):
+    """An order is planned from two look-ups that both need a search; arguments hold objects and lists, which keep their order."""
+    schemas = spark.createDataFrame(
+        [("find", "q", "string", True), ("plan", "steps", "array", True), ("plan", "limits", "object", True), ("plan", "share", "number", False), ("plan", "note", "null", False)],
+        "name string, parameter string, type string, required boolean",
+    )
+    plan = {"limits": {"b": [1, {"z": None, "a": True}], "a": {"y": 2.5, "x": "é\n"}}, "steps": [["s", 2], {}, []], "share": 3, "note": None}
+    calls = [
+        (1, 0, "s", "find", '{"q":"x"}', None), (1, 1, "l", "find", '{"q":"l"}', ["s"]), (1, 2, "r", "find", '{"q":"r"}', ["s", "s"]),
+        (1, 5, "p", "plan", json.dumps(plan), ["l", "r", "s"]), (1, 3, "w", "plan", '{"steps":{"a":1},"limits":[],"share":"3"}', ["p"]), (1, 4, "n", "plan", '{"limits":{"steps":[]}}', []),
+    ]
+    df = spark.createDataFrame([(*x, 0) for x in calls], CALLS)
+    answers = spark.createDataFrame([(1, 6, "p", '{"ok": [true]}', "s")], RESULTS)
+    out = {(r.kind, r.call_id): r for r in chat.link(df, answers, schemas).collect()}
+    assert [out["call", c].level for c in "slrpwn"] == [0, 1, 1, 2, 3, 0]
+    assert out["call", "p"].violations == "" and out["call", "p"].status == "linked" and out["result", "p"].level == 2
+    assert out["call", "w"].violations == "wrong type limits; wrong type share; wrong type steps" and out["call", "n"].violations == "missing steps"
+    want = json.dumps({"arguments": plan, "id": "p", "name": "plan", "type": "call"}, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    assert out["call", "p"].json == want
+    assert json.loads(out["result", "p"].json)["content"] == '{"ok": [true]}'
