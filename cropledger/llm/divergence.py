@@ -16,7 +16,7 @@ from .common import BROADCAST_ROWS, materialise, small_batches
 #: Fewest documents of a language that a kept term is in, and terms that are ranked for a group.
 LEAST_DOCUMENTS, TOP = 10, 10
 #: Entries that a task counts before it hands them on, and rows that it holds in skybands.
-COUNTED, HELD = 500_000, 200_000
+COUNTED, HELD = 1_000_000, 200_000
 #: Terms in a slice and sources in a block: a cell compares two blocks on a slice.
 SLICE, BLOCK = 4096, 64
 #: Groups that a group's first skybands are dealt to and merged in.
@@ -40,11 +40,9 @@ def term_counts(docs: DataFrame, lang_col: str = "lang", source_col: str = "sour
         def told() -> Iterator[pa.RecordBatch]:
             for (lang, source), (n, df) in sums.items():
                 terms = list(n)
-                for i in range(0, len(terms) + 1, 50_000):
-                    some = terms[i : i + 50_000]
-                    first = [None] if i == 0 else []  # the group itself
-                    columns = [[lang] * (len(first) + len(some)), [source] * (len(first) + len(some)), first + [t.decode() for t in some], [0] * len(first) + [n[t] for t in some], [0] * len(first) + [df[t] for t in some]]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64()))], names=["lang", "source", "term", "n", "df"])
+                columns = [pa.array([None, *terms], pa.binary()).cast(pa.string()), pa.array([0, *n.values()], pa.int64()), pa.array([0, *map(df.__getitem__, terms)], pa.int64())]  # first the group itself
+                size = len(terms) + 1
+                yield pa.RecordBatch.from_arrays([pa.repeat(lang, size), pa.repeat(source, size), *columns], names=["lang", "source", "term", "n", "df"])
 
         for batch in batches:
             langs, sources, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()).to_pylist()
@@ -105,19 +103,26 @@ def skyband(high: np.ndarray, low: np.ndarray, early: np.ndarray, k: int) -> np.
 def _skybands(rows: DataFrame, k: int) -> DataFrame:
     """Of rows (lang, source, term, n, lang_n), those in the skybands of their groups within each partition, as they are dealt."""
 
+    def kept(parts: list[pd.DataFrame]) -> pd.DataFrame:
+        both = pd.concat(parts)
+        early = np.empty(len(both), np.int64)
+        early[np.argsort(both["term"].to_numpy(), kind="stable")] = np.arange(len(both))  # code points order as UTF-8 does
+        return both.iloc[skyband(both["n"].to_numpy(), both["lang_n"].to_numpy(), early, k)]
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[tuple[str, str], pd.DataFrame] = {}
+        held: dict[tuple[str, str], list[pd.DataFrame]] = {}
+        size = 0
         for frame in frames:
             for key, part in frame.groupby(["lang", "source"], sort=False):
-                both = pd.concat([held[key], part]) if key in held else part
-                terms = both["term"].to_numpy()
-                early = np.empty(len(both), np.int64)
-                early[np.argsort(terms, kind="stable")] = np.arange(len(both))  # code points order as UTF-8 does
-                held[key] = both.iloc[skyband(both["n"].to_numpy(), both["lang_n"].to_numpy(), early, k)]
-            if sum(map(len, held.values())) > HELD:
-                yield from held.values()
-                held.clear()
-        yield from held.values()
+                held.setdefault(key, []).append(part)
+            size += len(frame)
+            if size > HELD:
+                held = {key: [kept(parts)] for key, parts in held.items()}
+                size = sum(len(parts[0]) for parts in held.values())
+                if size > HELD // 2:
+                    yield from (parts[0] for parts in held.values())
+                    held, size = {}, 0
+        yield from map(kept, held.values())
 
     return rows.select("lang", "source", "term", "n", "lang_n").mapInPandas(run, "lang string, source string, term string, n long, lang_n long")
 
@@ -192,9 +197,9 @@ def audit(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", t
     own = held.join(scale, ["lang", "source"]).select("lang", "source", "term", share(F.col("n"), F.col("total"), F.col("v")).alias("p"))
     two = materialise(_pairs(own, kept, groups), "source_pairs")
     pairs = two.select("lang", F.col("a").alias("source"), F.col("b").alias("item"), "value").unionByName(two.select("lang", F.col("b").alias("source"), F.col("a").alias("item"), "value"))
-    first = _skybands(held, TOP).repartition("lang", "source", F.pmod(F.xxhash64("term"), F.lit(SALTS)))
-    merged = _skybands(first, TOP).join(scale, ["lang", "source"])
-    merged = merged.withColumns({"p": share(F.col("n"), F.col("total"), F.col("v")), "q": share(F.col("lang_n"), F.col("lang_total"), F.col("v"))}).where("p > q")
+    scaled = lambda rows: rows.join(scale, ["lang", "source"]).withColumns({"p": share(F.col("n"), F.col("total"), F.col("v")), "q": share(F.col("lang_n"), F.col("lang_total"), F.col("v"))}).where("p > q")
+    first = _skybands(scaled(held), TOP).repartition("lang", "source", F.pmod(F.xxhash64("term"), F.lit(SALTS)))
+    merged = scaled(_skybands(first, TOP))
     terms = merged.select("lang", "source", F.col("term").alias("item"), divergence(F.col("p"), F.col("q")).alias("value"))
     rank = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "item")).alias("rank")
     columns = lambda part: ("lang", "source", F.lit(part).alias("part"), "item", "value", rank)

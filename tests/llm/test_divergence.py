@@ -51,7 +51,7 @@ def test_same_rows_as_sql(spark):
 
 
 def test_small_slices_blocks_and_flushes(spark, monkeypatch):
-    for name, value in (("SLICE", 7), ("BLOCK", 2), ("COUNTED", 40), ("HELD", 15)):
+    for name, value in (("SLICE", 7), ("BLOCK", 2), ("COUNTED", 40), ("HELD", 60)):
         monkeypatch.setattr(divergence, name, value)  # tasks get it with the function
     rng = np.random.default_rng(2)
     words = [f"{a}{b}" for a in "abcdé" for b in "vwxyz"]
