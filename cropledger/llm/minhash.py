@@ -21,8 +21,6 @@ TREES, SHALLOW, DEEP = 20, 4, 6
 REGION = 32
 #: Classes in a block of a crowded region, and the largest region that is compared in blocks before it is taken deeper.
 BLOCK, CROWD = 256, 4096
-#: A shingle is common in a region if a COMMON-th of its classes hold it.
-COMMON = 20
 #: Trees at depth DEEP in all for the classes of regions beyond CROWD: the fewest that miss a pair at 0.8 no more often than
 #: TREES at depth SHALLOW do, as (1 - 0.8 ** 6) ** 35 = 2.4e-5. Only these classes get the signatures of the further ones.
 CROWD_TREES = 35
@@ -163,44 +161,45 @@ def _in_order(forest: DataFrame) -> DataFrame:
     return kept.where("not first and not last").select(*names[:5]).unionByName(ends)
 
 
-def _share_lists(rows: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """Crowded regions cut to smaller ones: rows (region, cls, root, size) of the classes that share one of their first shingles.
+def _candidates(items: list[np.ndarray], threshold: int) -> Iterator[tuple[int, int]]:
+    """Places (p, q) of all pairs of sets that can have a similarity of threshold, and some others; sets are in order of size.
 
-    Shingles of a region stand in one order, those in many of its classes last. Of two sets with a similarity of threshold, the first
-    |s| - threshold * |s| + 1 shingles of each in that order have one in common, so no link is lost; classes that only share what the
-    whole region has in common part. A list whose classes are one component already has nothing to show and is left out.
+    Two such sets share one of their first |s| - threshold * |s| + 1 elements, whatever order all elements are put in; here the rarest
+    come first. Sets that share much, as near copies do, would meet in many of these lists: they are paired by size alone.
     """
-    held = materialise(rows.join(sets, "cls"), "region_sets")
-    counts = held.select("region", "size", F.explode("items").alias("item")).groupBy("region", "item").agg(F.count("*").alias("n"), F.first("size").alias("size"))
-    # A set holds at most COMMON times its own share of these, so a region has COMMON times a mean set at most.
-    common = counts.where(F.col("n") * COMMON >= F.col("size")).groupBy("region").agg(F.collect_list("item").alias("common"))
-    known = join_named(held, materialise(common, "common_shingles"), "region")
-    often = F.coalesce("common", F.array().cast("array<bigint>"))
-    order = F.concat(F.array_sort(F.array_except("items", often)), F.array_sort(F.array_intersect("items", often)))
-    n = F.size("items")
-    first = F.slice(order, 1, (n - F.ceil(n * threshold / 100) + 1).cast("int"))
-    listed = known.select(F.explode(first).alias("item"), "region", "cls", "root").select(F.concat_ws(":", F.hex("region"), F.col("item").cast("string")).alias("region"), "cls", "root")
-    listed = materialise(listed, "share_lists")
-    mixed = listed.groupBy("region").agg(F.count("*").alias("size"), F.min("root").alias("lowest"), F.max("root").alias("highest")).where("lowest != highest")
-    return materialise(join_named(listed, materialise(mixed.select("region", "size"), "share_sizes"), "region").where("size is not null"), "shared_regions")
+    sizes = [len(x) for x in items]
+    element, place, count = np.unique(np.concatenate(items), return_inverse=True, return_counts=True)
+    rank = np.empty(len(element), np.int64)
+    rank[np.argsort(count, kind="stable")] = np.arange(len(element))
+    ends = np.cumsum([0, *sizes])
+    firsts = [np.sort(rank[place[ends[i] : ends[i + 1]]])[: n + 1 + (-n * threshold) // 100] for i, n in enumerate(sizes)]
+    held = np.bincount(np.concatenate(firsts), minlength=len(element)).astype(np.int64)
+    if (held * (held - 1)).sum() > len(items) * len(items):
+        for p, n in enumerate(sizes):
+            for q in range(p + 1, len(items)):
+                if n * 100 < threshold * sizes[q]:
+                    break
+                yield p, q
+        return
+    holders: dict[int, list[int]] = {}
+    for q, own in enumerate(firsts):
+        seen: set[int] = set()
+        for x in own[held[own] > 1].tolist():
+            others = holders.setdefault(x, [])
+            seen.update(others)
+            others.append(q)
+        yield from ((p, q) for p in sorted(seen) if sizes[p] * 100 >= threshold * sizes[q])
 
 
 def _crowded_links(rows: DataFrame, docs: DataFrame, classes: DataFrame, width: int, threshold: int) -> DataFrame:
-    """Spanning links of regions that stay crowded: rows (region, cls, root, size), compared exactly list by list and block by block.
+    """Spanning links of regions that stay crowded: rows (region, cls, root, size), compared exactly block by block.
 
-    A region is cut to the lists of _share_lists(). Pairs of short ones are confirmed as they are. In a long one every class
-    goes to as many cells as it has blocks; a cell holds two blocks at most and gives a spanning forest of its links, not the
-    links. All classes are compared, so no link between groups is lost.
+    Every class goes to as many cells as its region has blocks; a cell holds two blocks at most and gives a
+    spanning forest of its links, not the links. All classes are compared, so no link between groups is lost.
     """
-    sets = _sets_of(rows.select("cls").distinct(), docs, classes, width)
-    lists = _share_lists(rows, sets, threshold)
-    few = lists.where(F.col("size") <= REGION)
-    left, right = few.select("region", F.col("cls").alias("a"), F.col("root").alias("ra")), few.select("region", F.col("cls").alias("b"), F.col("root").alias("rb"))
-    pairs = materialise(left.join(right, "region").where("a < b and ra != rb").select("a", "b").distinct(), "share_pairs")
-    both = pairs.join(sets.select(F.col("cls").alias("a"), F.col("items").alias("items_a")), "a").join(sets.select(F.col("cls").alias("b"), F.col("items").alias("items_b")), "b")
-    close = both.where(_linked(threshold)).select("a", "b")
-    counted = lists.where(F.col("size") > REGION).withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+    counted = rows.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
     own = counted.withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    sets = _sets_of(rows.select("cls").distinct(), docs, classes, width)
     dealt = own.join(sets, "cls").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("region", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cls", "root", "items")
 
     def run(pdf):
@@ -219,19 +218,16 @@ def _crowded_links(rows: DataFrame, docs: DataFrame, classes: DataFrame, width:
             return x
 
         sizes = [len(x) for x in items]
-        for p in range(len(cls)):
-            for q in range(p + 1, len(cls)):
-                if sizes[p] * 100 < threshold * sizes[q]:
-                    break  # sets are in order of size
-                if (inside or block[p] != block[q]) and (x := find(p)) != (y := find(q)):
-                    common = len(np.intersect1d(items[p], items[q], assume_unique=True))
-                    if 100 * common >= threshold * (sizes[p] + sizes[q] - common):
-                        root[x] = y
-                        a.append(cls[p])
-                        b.append(cls[q])
+        for p, q in _candidates(items, threshold):
+            if (inside or block[p] != block[q]) and (x := find(p)) != (y := find(q)):
+                common = len(np.intersect1d(items[p], items[q], assume_unique=True))
+                if 100 * common >= threshold * (sizes[p] + sizes[q] - common):
+                    root[x] = y
+                    a.append(cls[p])
+                    b.append(cls[q])
         return pd.DataFrame({"a": a, "b": b})
 
-    return close.unionByName(dealt.groupBy("region", "i", "j").applyInPandas(run, "a binary, b binary"))
+    return dealt.groupBy("region", "i", "j").applyInPandas(run, "a binary, b binary")
 
 
 def _further_trees(crowd: DataFrame, docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
@@ -253,7 +249,7 @@ def _grouped(docs: DataFrame, width: int, threshold: int, id_col: str, text_col:
 
     Rows with equal shingle sets are one class. Signatures of classes are sorted in TREES orders; neighbours with
     a common prefix of SHALLOW or more are confirmed on full sets. Regions (equal prefixes) that still hold several
-    components are then compared whole: their pairs if they are small, else by the lists of shingles that their classes share. Regions beyond CROWD are
+    components are then compared whole: their pairs if they are small, else in blocks. Regions beyond CROWD are
     taken deeper first, and their classes are sorted in CROWD_TREES orders, so that a pair is missed no more often there.
     """
     small_batches(docs.sparkSession)

@@ -4,8 +4,6 @@ import numpy as np
 
 from brute import near_duplicates as plain
 
-from pyspark.sql import functions as F
-
 from cropledger.llm import minhash, queries
 
 SCHEMA = "doc_id long, text string, cls string, root string, path string"
@@ -96,22 +94,16 @@ def test_neighbours_across_tasks(spark):
     assert minhash._in_order(forest.limit(0)).collect() == []
 
 
-def test_a_template_parts_into_short_lists(spark):
-    """Documents that share seven words in ten, and some near copies among them: what is compared grows with the documents, links stay whole."""
+def test_candidates_of_a_block(spark):
+    """Sets that share a template below the threshold are hardly ever paired; every pair at the threshold is, and near copies too."""
     rng = np.random.default_rng(12)
-    template = [f"t{i}" for i in range(140)]
-    own = lambda i: [f"w{i}x{j}" for j in range(60)]
-    docs = [(i, " ".join(template + own(i))) for i in range(300)]
-    docs += [(1000 + i, " ".join(template + own(i)[:-4] + [f"n{i}"])) for i in range(0, 300, 10)]
-    df = spark.createDataFrame(docs, "doc_id long, text string")
-    rows = minhash._sketches(df.select("doc_id", F.xxhash64("text").alias("text_hash"), "text"), 2)
-    sets = minhash._sets(rows.join(df, "doc_id").select("cls", "text"), 2)
-    region = rows.select(F.lit(b"r").alias("region"), "cls", F.col("cls").alias("root"), F.lit(len(docs)).cast("long").alias("size"))
-    lists = minhash._share_lists(region, sets, 80).collect()
-    assert max(r["size"] for r in lists) <= 3 and len(lists) < 60 * len(docs)
-    classes = rows.select("cls", F.struct("doc_id", "text_hash").alias("rep"))
-    prepared = df.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    links = minhash._crowded_links(region, prepared, classes, 2, 80)
-    ids = {bytes(r.cls): r.doc_id for r in rows.collect()}
-    got = {tuple(sorted((ids[bytes(r.a)], ids[bytes(r.b)]))) for r in links.collect()}
-    assert got == {(i, 1000 + i) for i in range(0, 300, 10)}
+    template = rng.integers(0, 2**60, 140)
+    sets = [np.unique(np.concatenate((template, rng.integers(0, 2**60, 60)))) for _ in range(200)]
+    near = [np.unique(np.concatenate((s[:-15], rng.integers(0, 2**60, 4)))) for s in sets[:20]]
+    copies = [np.unique(np.concatenate((sets[0][i:], rng.integers(0, 2**60, i)))) for i in range(60)]
+    for group, most in ((sets + near, 400), (sets[:5] + copies, 10**6)):
+        group = sorted(group, key=len)
+        pairs = list(minhash._candidates(group, 80))
+        assert len(pairs) == len(set(pairs)) <= most
+        close = {(p, q) for q in range(len(group)) for p in range(q) if 100 * (n := len(np.intersect1d(group[p], group[q]))) >= 80 * (len(group[p]) + len(group[q]) - n)}
+        assert close and close <= set(pairs)
