@@ -58,7 +58,10 @@ def summary(df: DataFrame, table: str, names: list[str]) -> DataFrame:
 
 
 def ambiguous(df: DataFrame, name: str, ident: str) -> DataFrame:
-    """(id, name, others): rows of other ids that bear the same name, where there are any."""
+    """(id, name, others): rows of other ids that bear the same name, where there are any.
+
+    Names are summed apart and joined back, so a name with very many ids is no one task's window.
+    """
     by_id = df.groupBy(name, ident).agg(F.count("*").alias("_own"))
-    w = Window.partitionBy(name)
-    return by_id.withColumn("others", F.sum("_own").over(w) - F.col("_own")).where("others > 0").drop("_own")
+    names = by_id.groupBy(F.col(name).alias("_name")).agg(F.sum("_own").alias("_all"), F.count("*").alias("_ids")).where("_ids > 1")
+    return by_id.join(names, F.col(name).eqNullSafe(F.col("_name"))).select(name, ident, (F.col("_all") - F.col("_own")).alias("others"))

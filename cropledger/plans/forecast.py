@@ -293,7 +293,16 @@ def forecast(trained: Trained) -> DataFrame:
     return out.select("ingredient", F.col("week_start").alias("forecast_date"), weeks.alias("horizon_weeks"), F.date_add("week_start", weeks * 7).alias("target_week_start"), "p10", "p50", "p90")
 
 
-def _measures(p: DataFrame, *by, **more) -> DataFrame:
+def quantile_forecast(panel: DataFrame) -> DataFrame:
+    """forecast()'s columns without a model: the last price, moved by the exact percentiles of all ingredients' changes over as many weeks."""
+    moves = written(scores.targets(panel).select("horizon", (F.col("target") / F.col("price_avg_weekly") - 1).alias("move")), "moves")
+    q = selection.percentiles(moves, ["horizon"], "move", [0.1, 0.5, 0.9])
+    last = panel.groupBy("ingredient").agg(F.max("week_start").alias("forecast_date"), F.max_by("price_avg_weekly", "week_start").alias("price"))
+    out = last.join(F.broadcast(q))  # thirteen rows at most
+    return out.select("ingredient", "forecast_date", F.col("horizon").alias("horizon_weeks"), F.date_add("forecast_date", F.col("horizon") * 7).alias("target_week_start"), *((F.col("price") * (1 + F.col("q")[i])).alias(c) for i, c in enumerate(("p10", "p50", "p90"))))
+
+
+def measures(p: DataFrame, *by, **more) -> DataFrame:
     """Errors, share of right directions and skill against the last price of predictions p, by `by`; more are further aggregates."""
     e, price, y = F.col("p50") - F.col("target"), F.col("price_avg_weekly"), F.col("target")
     a = p.groupBy("horizon", *by).agg(
@@ -307,12 +316,12 @@ def errors(trained: Trained) -> DataFrame:
     """By horizon, on the last weeks: errors, share of right directions, skill against the last price, share inside the band."""
     p = with_bands(predict(trained.models, trained.rows.where("fold = -1"), F.lit(FOLDS + 1)), bands(trained.out_of_fold))
     inside = (F.col("target") >= F.col("p10")) & (F.col("target") <= F.col("p90"))
-    return _measures(p, coverage=F.avg(inside.cast("int")))
+    return measures(p, coverage=F.avg(inside.cast("int")))
 
 
 def fold_errors(trained: Trained) -> DataFrame:
     """By horizon and fold, out of fold: errors, share of right directions, skill against the last price."""
-    return _measures(trained.out_of_fold, "fold")
+    return measures(trained.out_of_fold, "fold")
 
 
 def run_summary(by_horizon: DataFrame) -> DataFrame:

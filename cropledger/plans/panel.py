@@ -129,6 +129,12 @@ def _small(mapping: DataFrame) -> DataFrame:
     return F.broadcast(mapping) if mapping.count() <= MAPPING_ROWS else mapping
 
 
+def mapped_index(mapping: DataFrame, index: DataFrame, name: str | None = None) -> DataFrame:
+    """The monthly index of every mapped ingredient of its id, with forward means of each id's months; name keeps ingredients of exactly that name."""
+    joined = index.join(_small(_named(mapping, "ingredient_name", name, None).select(*MAPPED)), "ingredient_id")
+    return W.forward_averages(joined, ["ingredient_id"], "ppi_date", "ppi", MONTHS, "mo").withColumn("ppi", F.col("ppi").cast("double"))
+
+
 def mapped_market(mapping: DataFrame, market: DataFrame, part: str | None = None) -> DataFrame:
     """Market reports of every mapped ingredient of their name, rolled up by day and all the columns of MAPPED and REPORTED.
 

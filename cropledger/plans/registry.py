@@ -669,3 +669,139 @@ def s_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("select p_type as commodity, min(l_shipdate::date) as first_day, max(l_shipdate::date) as last_day, count(*) as n_rows from lineitem join part on p_partkey = l_partkey group by 1")
 def s_report_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return panel.reports(spark, sf_dir).groupBy(F.col("ingredient_group").alias("commodity")).agg(F.min("report_date").alias("first_day"), F.max("report_date").alias("last_day"), F.count("*").alias("n_rows"))
+
+
+@query("""select o_orderkey::varchar as key, o_orderpriority as name, strftime(o_orderdate, '%m/%d/%Y') as day from orders where o_orderkey % 3 < 2""")
+def s3_columns_in_any_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders in one folder of delimited files, some of them with their columns in another order and some of another layout, read by their headers."""
+    k = F.col("o_orderkey")
+    o = tables.parquet(spark, sf_dir, "orders").select(k.cast("string").alias("key"), F.col("o_orderpriority").alias("name"), F.date_format("o_orderdate", "MM/dd/yyyy").alias("day"), (k % 3).alias("part"))
+    path = tables.scratch_path(spark, "arranged")
+    for part, columns in enumerate((["key", "name", "day"], ["day", "key", "name"], ["name", "key"])):
+        tables.write_csv(o.where(F.col("part") == part).select(*columns), f"{path}/part{part}")
+    return tables.delimited(spark, {f"{path}/*/*.csv": ["name", "day", "key"]}, refuse=False)
+
+
+@query("""select p_brand, count(*) as n_rows, 0::bigint as out_of_order, 0::bigint as overlapping from lineitem join part on p_partkey = l_partkey group by 1""")
+def k1_sorted_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports written by brand and day and read back: rows before their predecessor in a file, and files of a brand that reach into the next one."""
+    path = tables.scratch_path(spark, "sorted")
+    rows = panel.reports(spark, sf_dir).select(F.col("ingredient").alias("p_brand"), "report_date", "price")
+    tables.write_parquet(rows, path, "p_brand", ("report_date", "price"), file_rows=500)
+    back = spark.read.parquet(path).select("p_brand", F.struct("report_date", "price").alias("place"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at"))
+    in_file = Window.partitionBy("p_brand", "file").orderBy("at")
+    files = back.withColumn("behind", F.lag("place").over(in_file) > F.col("place")).groupBy("p_brand", "file").agg(F.count("*").alias("n"), F.count_if("behind").alias("behind"), F.min("place").alias("lo"), F.max("place").alias("hi"))
+    late = F.lag("hi").over(Window.partitionBy("p_brand").orderBy("lo", "hi")) > F.col("lo")
+    return files.withColumn("late", late).groupBy("p_brand").agg(F.sum("n").alias("n_rows"), F.sum("behind").alias("out_of_order"), F.count_if("late").alias("overlapping"))
+
+
+@query("select count(distinct p_brand) as ingredients, count(distinct p_type) as series, count(*) as n_rows from lineitem join part on p_partkey = l_partkey")
+def s9_load_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct ingredients and series of the load, and its rows."""
+    return panel.reports(spark, sf_dir).agg(F.count_distinct("ingredient").alias("ingredients"), F.count_distinct("ingredient_group").alias("series"), F.count("*").alias("n_rows"))
+
+
+@query("""select 'part' as table_name, 'unique_name' as check_name, (select count(*) from part where p_name in (select p_name from part group by 1 having count(*) > 1)) as violations,
+  (select count(*) = count(distinct p_name) from part) as passed, (select count(*) = count(distinct p_name) from part) as all_passed""")
+def q9_one_column_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checked = quality.flagged(tables.parquet(spark, sf_dir, "part").select("p_partkey", "p_name"), {}, {"unique_name": ["p_name"]})
+    return quality.summary(checked, "part", ["unique_name"])
+
+
+_c, _p = _forward("joined", "ingredient_id", "ppi_date", "ppi", panel.MONTHS, "mo")
+_N = [f"ppi_fwd_{n}mo" for n in panel.MONTHS]
+
+
+@query(f"""with {REPORTS}, {MONTHLY}, {_MAPPING}, keyed as (select 10000 + 10 * substr(ingredient, 7)::int + 1 as ingredient_id, ppi_date, ppi from monthly),
+  joined as (select {", ".join("m." + c for c in panel.MAPPED)}, ppi_date, ppi from keyed join mapping m using (ingredient_id)), {_c}, p as (select *, {_p} from fwd)
+  select {", ".join(panel.MAPPED)}, ppi_date, ppi::double as ppi, {', '.join(_N + [f'{n}_pct' for n in _N])} from p""")
+def m2_mapped_macro(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mapping joined with the monthly index on ingredient_id; ids of the mapping without an index and the reverse are in no row."""
+    index = panel.monthly_index(panel.daily_sums(spark, sf_dir)).select((10001 + 10 * F.substring("ingredient", 7, 2).cast("int")).alias("ingredient_id"), "ppi_date", "ppi")
+    return panel.mapped_index(_mapping(spark, sf_dir), index)
+
+
+_WEIGHTS = {"supply_risk": 1.0, "cost_risk": 1.0, "logistics_risk": 2.0, "demand_risk": 4.0}
+_RISK_ALERT = ", ".join(f"('{level}', '{colour}', '{action}')" for level, (colour, action) in scores.RISK_ALERTS.items())
+
+
+@query(f"""with {_RISK}, o as (select *, k1 * 0.125e0 + k2 * 0.125e0 + k3 * 0.25e0 + k4 * 0.5e0 as t from k), l as (select *, row_number() over (partition by ingredient order by week_start desc) as back from o),
+  named as (select *, case when t >= 80 then 'CRITICAL' when t >= 60 then 'HIGH' when t >= 40 then 'MODERATE' when t >= 20 then 'LOW' when t is not null then 'MINIMAL' end as level from l where back = 1)
+  select ingredient, week_start, round(t, 4) as composite_risk, level, colour, action, round(k4, 2) as demand, 0.5e0 as demand_weight from named left join (values {_RISK_ALERT}) v(name, colour, action) on name = level""")
+def r5_classified_by_own_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Level, colour and action of the last week's risk under four weights that are divided by their sum."""
+    scored = scores.risk(scores.panel_of(spark, sf_dir), tuple(_WEIGHTS.values()))
+    last = scores.current_risk(scored, _WEIGHTS)
+    demand = F.filter("radar", lambda r: r["dimension"] == "demand_risk")[0]
+    return rounded(last.select("ingredient", "week_start", "composite_risk", "classification.level", "classification.colour", "classification.action", demand["score"].alias("demand"), demand["weight"].alias("demand_weight")))
+
+
+@query(f"""with recursive {_SCHEDULE}, dis as (select ingredient, max(week_start) as as_of, arg_max(s, week_start) as s, count(s) as n from (select *, row_number() over (partition by ingredient order by week_start desc) as back
+      from (select *, s1 * 0.3e0 + s2 * 0.3e0 + s3 * 0.2e0 + s4 * 0.2e0 as s from ({"with " + _DIS + " select * from c"}))) where back <= 12 group by 1),
+  rk as (select ingredient, arg_max(s, week_start) as s from ({"with " + _RISK + " select * from d"}) group by 1),
+  plan as (select ingredient, round(avg(expected_price) * 1e6) as naive_cost, count(*) filter (where expected_price < p25_price and q < 90000) as cheap_weeks from schedule group by 1),
+  seas as (select ingredient, count(*) as seasonal_weeks from stats group by 1)
+  select ingredient, as_of, round(dis.s, 2) as disruption, case when dis.s >= 90 then 'EMERGENCY' when dis.s >= 75 then 'HIGH' when dis.s >= 60 then 'MODERATE' when dis.s is not null then 'LOW' end as alert, n as trend_weeks,
+    0.3e0 as gap_weight, 90 as emergency_from, round(rk.s, 2) as risk, 0.2e0 as demand_weight, naive_cost, cheap_weeks, seasonal_weeks
+  from dis join rk using (ingredient) join plan using (ingredient) join seas using (ingredient)""")
+def s14_published_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested documents of disruption, risk and purchases, published at once, read back as JSON text."""
+    p = scores.panel_of(spark, sf_dir)
+    stats = tables.written(scores.seasonal_stats(scores.seasonal(scores.weekly_grid(p))), "seasonal_stats")
+    plan = tables.written(scores.schedule(scores.price_curve(stats, p)), "schedule")
+    documents = {"disruption": scores.disruption_documents(scores.disruption(p)), "risk": scores.risk_documents(scores.risk(p)), "purchases": scores.purchase_documents(stats, plan, p)}
+    path = tables.scratch_path(spark, "documents")
+    tables.publish({name: tables.snapshots(df, "ingredient") for name, df in documents.items()}, path)
+    back = {name: tables.published(spark, path, name).select("ingredient", F.from_json("document", df.schema).alias(name)) for name, df in documents.items()}
+    t = back["disruption"].join(back["risk"], "ingredient").join(back["purchases"], "ingredient")
+    demand = F.filter("risk.radar", lambda r: r["dimension"] == "demand_risk")[0]["weight"]
+    return t.select(
+        "ingredient", F.col("disruption.as_of").alias("as_of"), F.col("disruption.composite_score").alias("disruption"), F.col("disruption.alert.level").alias("alert"), F.size("disruption.trend_12w").cast("long").alias("trend_weeks"),
+        F.col("disruption.weights.price_gap").alias("gap_weight"), F.col("disruption.thresholds.emergency_action").alias("emergency_from"), F.col("risk.composite_risk").alias("risk"), demand.alias("demand_weight"),
+        F.round("purchases.optimiser_summary.naive_cost").alias("naive_cost"), F.size("purchases.optimiser_summary.opportunistic_buy_weeks").cast("long").alias("cheap_weeks"), F.size("purchases.seasonal_stats").cast("long").alias("seasonal_weeks"),
+    )
+
+
+# A forecast made by SQL as well: the last price, moved by the exact 10th, 50th and 90th percentile of how prices moved over as many weeks.
+_NAIVE = f"""{_TARGETS}, q as (select horizon, quantile_cont(target / price_avg_weekly - 1, 0.1) as q10, quantile_cont(target / price_avg_weekly - 1, 0.5) as q50, quantile_cont(target / price_avg_weekly - 1, 0.9) as q90 from targets group by 1),
+  lastp as (select ingredient, max(week_start) as forecast_date, arg_max(price_avg_weekly, week_start) as price from panel group by 1),
+  fc as (select ingredient, forecast_date, horizon, (forecast_date + 7 * horizon)::date as target_week_start, price * (1 + q10) as p10, price * (1 + q50) as p50, price * (1 + q90) as p90 from lastp cross join q)"""
+
+
+def _naive_forecast(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(panel, forecast)."""
+    p = scores.panel_of(spark, sf_dir)
+    return p, tables.written(forecast.quantile_forecast(p), "naive_forecast")
+
+
+@query(f"with {_NAIVE} select ingredient, forecast_date, horizon as horizon_weeks, target_week_start, {_round_all(['p10', 'p50', 'p90'])} from fc")
+def f13_quantile_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(_naive_forecast(spark, sf_dir)[1])
+
+
+@query(f"""with {_NAIVE}, u as (select ingredient, target_week_start as week_start, horizon as horizon_weeks, unnest(['p10', 'p50', 'p90']) as quantile, unnest([p10, p50, p90]) as price from fc),
+  c as (select *, (200e0 / 6.5e0 * 3.8e0 + 200e0 * 2.5e0) / 1000e0 as transport_cost, 3.5e0 * 0.002e0 as energy_cost, price * 0.0525e0 / 365e0 * 30e0 as carry_cost from u)
+  select ingredient, week_start, horizon_weeks, quantile, round(price, 4) as commodity_price, round(transport_cost, 4) as transport_cost, round(energy_cost, 4) as energy_cost, round(carry_cost, 4) as carry_cost,
+  round(price + transport_cost + energy_cost + carry_cost, 4) as total_landed_cost, round((price + transport_cost + energy_cost + carry_cost) / 0.88e0, 4) as implied_sell_price from c""")
+def c2_cost_of_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(forecast.forecast_cost(_naive_forecast(spark, sf_dir)[1]))
+
+
+@query(f"""with {_NAIVE}, t as (select ingredient, list(price_avg_weekly order by week_start) as xs from (select *, row_number() over (partition by ingredient order by week_start desc) as back from panel) where back <= 12 group by 1),
+  m as (select t.ingredient, xs[-1] as price, list_avg(xs) as mean, sqrt(list_avg(list_transform(xs, lambda x: (x - list_avg(xs)) ** 2))) as sd, xs[1] as first, p10, p50, p90 from t join fc on fc.ingredient = t.ingredient and horizon = 13),
+  r as (select ingredient, price, least(100, floor(sd / mean * 600 + 1e-9))::int as volatility, least(100, floor((p90 - p10) / p50 * 180 + 1e-9))::int as band, least(100, floor(abs((price - first) / first) * 250 + 1e-9))::int as momentum from m),
+  k as (select *, least(100, floor(volatility * 0.4e0 + band * 0.4e0 + momentum * 0.2e0))::int as composite from r) select *, case when composite >= 66 then 'HIGH' when composite >= 33 then 'MODERATE' else 'LOW' end as level from k""")
+def r6_risk_of_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forecast.quick_risk(*_naive_forecast(spark, sf_dir))
+
+
+@query(f"""with {_TARGETS}, e as (select horizon, avg(abs(target - price_avg_weekly)) as mae, count(*) as n_rows from targets group by 1), r as (select *, row_number() over (order by mae desc, horizon) as rank from e)
+  select horizon, n_rows, round(mae, 4) as mae, rank::int as rank, round((select avg(mae) from e), 4) as mean_mae, (select count(*) from e) as horizons from r where rank <= 5""")
+def k3_worst_horizons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five horizons of the largest mean error of the last price, beside the run's summary."""
+    t = scores.targets(scores.panel_of(spark, sf_dir)).withColumns({"p50": F.col("price_avg_weekly")})
+    by_horizon = tables.written(forecast.measures(t), "naive_measures")
+    best = by_horizon.orderBy(F.col("mae").desc(), "horizon").limit(5)
+    rank = F.row_number().over(Window.orderBy(F.col("mae").desc(), "horizon"))  # five rows
+    one = forecast.run_summary(by_horizon).select("mean_mae", "horizons")
+    return rounded(best.join(F.broadcast(one)).select("horizon", "n_rows", "mae", rank.alias("rank"), "mean_mae", "horizons"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -148,7 +147,7 @@ def risk(panel: DataFrame, weights: tuple[float, ...] = (0.3, 0.3, 0.2, 0.2), pl
         "r4": F.round(-F.col("half") * (1 - clip(F.col("vol"), 0, 0.1) / 0.1), places),
     })
     names = ["supply_risk", "cost_risk", "logistics_risk", "demand_risk"]
-    t = t.withColumns({n: W.expanding_rank(f"r{i}", weeks()) for i, n in enumerate(names, 1)})
+    t = W.expanding_ranks(t, "ingredient", "week_start", {n: f"r{i}" for i, n in enumerate(names, 1)})
     whole = sum(weights)
     total = sum((F.col(n) * (w / whole) for n, w in zip(names[1:], weights[1:])), F.col(names[0]) * (weights[0] / whole))
     t = t.withColumn("composite_risk", clip(total, 0, 100)).withColumn("level", classify(F.col("composite_risk"), RISKS, "MINIMAL"))
@@ -192,6 +191,69 @@ def radar(scored: DataFrame, weights: dict[str, float] = RISK_WEIGHTS, day: str
     return last.unpivot(["ingredient", "week_start"], list(weights), "dimension", "score").withColumn("weight", share[F.col("dimension")])
 
 
+#: Colour and action of each level of risk.
+RISK_ALERTS = {
+    "CRITICAL": ("#b71c1c", "Immediate escalation required"), "HIGH": ("#d32f2f", "Senior procurement review"), "MODERATE": ("#f57c00", "Active monitoring"),
+    "LOW": ("#fbc02d", "Routine monitoring"), "MINIMAL": ("#388e3c", "No action required"),
+}
+#: Weights of the components of disruption and the thresholds of its alerts, as its document states them.
+COMPONENT_WEIGHTS = {"supply_deviation": 0.3, "price_gap": 0.3, "price_momentum": 0.2, "volatility_spike": 0.2}
+THRESHOLDS = {"informational": 60, "procurement_review": 75, "emergency_action": 90}
+
+
+def _alert(alerts: dict[str, tuple[str, str]], level: Column, **more: Column) -> Column:
+    """struct<level, colour, action, ...> of a level."""
+    of = lambda i: F.create_map(*(F.lit(x) for name, told in alerts.items() for x in (name, told[i])))[level]
+    return F.struct(level.alias("level"), of(0).alias("colour"), of(1).alias("action"), *(c.alias(n) for n, c in more.items()))
+
+
+def current_risk(scored: DataFrame, weights: dict[str, float] = RISK_WEIGHTS, day: str | None = None) -> DataFrame:
+    """The last row of risk() of each ingredient, at or before day: its dimensions, classification (level, colour, action, score), the last 12 composites and the radar."""
+    w = weeks().rowsBetween(-11, 0)
+    t = as_of(scored, day).withColumn("trend", F.collect_list("composite_risk").over(w))
+    last = t.groupBy("ingredient").agg(F.max_by(F.struct("week_start", "composite_risk", *weights, "level", "trend"), "week_start").alias("s")).select("ingredient", "s.*")
+    whole = sum(weights.values())
+    shares = F.array(*(F.struct(F.lit(k).alias("dimension"), F.round(k, 2).alias("score"), F.lit(v / whole).alias("weight")) for k, v in weights.items()))
+    return last.withColumns({"classification": _alert(RISK_ALERTS, F.col("level"), score=F.round("composite_risk", 1)), "radar": shares}).drop("level")
+
+
+def _struct_of(values: dict) -> Column:
+    return F.struct(*(F.lit(v).alias(k) for k, v in values.items()))
+
+
+def _rounded_trend() -> Column:
+    return F.transform("trend", lambda x: F.round(x, 2))
+
+
+def disruption_documents(scored: DataFrame, day: str | None = None) -> DataFrame:
+    """A nested row per ingredient: its score, alert, components, their weights, the alerts' thresholds and the last 12 scores."""
+    parts = F.struct(*(F.round(f"score_{c}", 2).alias(c) for c in COMPONENT_WEIGHTS))
+    return current_alert(scored, day).select(
+        "ingredient", F.col("week_start").alias("as_of"), F.round("disruption_score", 2).alias("composite_score"), "alert", parts.alias("components"),
+        _struct_of(COMPONENT_WEIGHTS).alias("weights"), _struct_of(THRESHOLDS).alias("thresholds"), _rounded_trend().alias("trend_12w"),
+    )
+
+
+def risk_documents(scored: DataFrame, weights: dict[str, float] = RISK_WEIGHTS, day: str | None = None) -> DataFrame:
+    """A nested row per ingredient: its risk, classification, dimensions, weights as shares, the last 12 composites and the radar."""
+    whole = sum(weights.values())
+    return current_risk(scored, weights, day).select(
+        "ingredient", F.col("week_start").alias("as_of"), F.round("composite_risk", 2).alias("composite_risk"), "classification", F.struct(*(F.round(k, 2).alias(k) for k in weights)).alias("dimensions"),
+        _struct_of({k: v / whole for k, v in weights.items()}).alias("weights"), _rounded_trend().alias("trend_12w"), "radar",
+    )
+
+
+def purchase_documents(stats: DataFrame, plan: DataFrame, panel: DataFrame, volume: float = 1_000_000.0) -> DataFrame:
+    """A nested row per ingredient: its price, seasonal statistics by week, and the summary of its schedule with the weeks flagged as cheap."""
+    now = panel.groupBy("ingredient").agg(F.max_by("price_avg_weekly", "week_start").alias("current_price"))
+    weekly = stats.groupBy("ingredient").agg(F.array_sort(F.collect_list(F.struct("week_of_year", "p25", "median", "p75", "mean", "seasonal_factor"))).alias("seasonal_stats"))
+    flagged = plan.where("opportunistic_flag").groupBy("ingredient").agg(F.array_sort(F.collect_list("week_index")).alias("weeks"))
+    total = schedule_totals(plan, volume).join(flagged, "ingredient", "left")
+    none = F.array().cast("array<int>")
+    summary = F.struct(F.lit(volume).alias("annual_volume"), F.round("optimised_cost", 2).alias("total_cost"), F.round("flat_cost", 2).alias("naive_cost"), F.round("saving_pct", 2).alias("saving_pct"), F.coalesce("weeks", none).alias("opportunistic_buy_weeks"))
+    return total.select("ingredient", summary.alias("optimiser_summary")).join(now, "ingredient").join(weekly, "ingredient")
+
+
 def weekly_grid(panel: DataFrame) -> DataFrame:
     """A row for every week between the first and last of an ingredient, the price carried forward, numbered from 0."""
     ends = panel.groupBy("ingredient").agg(F.min("week_start").alias("a"), F.max("week_start").alias("b"))
@@ -238,30 +300,37 @@ def price_curve(stats: DataFrame, panel: DataFrame) -> DataFrame:
 
 
 def schedule(curve: DataFrame, volume: float = 1_000_000.0, least: float = 0.005, most: float = 0.10, ahead: float = 0.2) -> DataFrame:
-    """Cheapest purchases of each ingredient's 52 weeks within weekly bounds and prefix limits; an ingredient is one task's group.
+    """Cheapest purchases of each ingredient's 52 weeks within weekly bounds and prefix limits: a fold over an ingredient's 52 weeks in one row.
 
     Every week takes the lower bound; then, by rising price, as much as its bound and the slack of all later prefixes
     allow, which is optimal for nested limits. If that falls short of the volume it is split evenly.
     """
 
-    def plan(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("week_index").reset_index(drop=True)
-        n, lo, hi = len(pdf), volume * least, volume * most
-        q = [lo] * n
-        slack = [volume * min((k + 1) / n * (1 + ahead), 1.0) - lo * (k + 1) for k in range(n)]
-        for i in pdf["expected_price"].argsort(kind="stable"):
-            add = max(0.0, min(hi - lo, min(slack[i:]), volume - sum(q)))
-            q[i] += add
-            for k in range(i, n):
-                slack[k] -= add
-        if min(slack) < -1e-6 or abs(sum(q) - volume) > 1e-6 * volume:
-            even = [min(max(volume / n, lo), hi)] * n
-            q = [x / sum(even) * volume for x in even]
-        pdf["recommended_purchase"] = q
-        return pdf
-
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in curve.schema)
-    t = curve.groupBy("ingredient").applyInPandas(plan, f"{kinds}, recommended_purchase double")
+    lo, hi = volume * least, volume * most
+    others = [c for c in curve.columns if c != "ingredient"]
+    rows = curve.groupBy("ingredient").agg(F.array_sort(F.collect_list(F.struct("week_index", *(c for c in others if c != "week_index")))).alias("weeks"))
+    rows = rows.withColumns({"n": F.size("weeks"), "cheapest": F.array_sort(F.transform("weeks", lambda w, i: F.struct(w["expected_price"].alias("price"), i.alias("i"))))})
+    # State: what each week buys, the slack of each prefix, and what is bought in all.
+    limit = lambda k: F.least((k + 1) / F.col("n") * (1 + ahead), F.lit(1.0)) * volume
+    start = F.struct(
+        F.transform("weeks", lambda _: F.lit(lo)).alias("q"), F.transform("weeks", lambda _, k: limit(k) - (k + 1) * lo).alias("slack"), (F.col("n") * lo).alias("sum"),
+    )
+
+    def buy(state: Column, week: Column) -> Column:
+        at = week["i"]
+        most_more = F.greatest(F.lit(0.0), F.least(F.lit(hi - lo), F.array_min(F.slice(state["slack"], at + 1, F.col("n"))), volume - state["sum"]))
+        after = lambda more: F.struct(
+            F.transform(state["q"], lambda x, k: F.when(k == at, x + more).otherwise(x)).alias("q"),
+            F.transform(state["slack"], lambda x, k: F.when(k >= at, x - more).otherwise(x)).alias("slack"), (state["sum"] + more).alias("sum"),
+        )
+        return F.element_at(F.transform(F.array(most_more), after), 1)
+
+    rows = rows.withColumn("state", F.aggregate("cheapest", start, buy))
+    short = (F.array_min("state.slack") < -1e-6) | (F.abs(F.col("state.sum") - volume) > 1e-6 * volume)
+    even = F.least(F.greatest(volume / F.col("n"), F.lit(lo)), F.lit(hi))
+    bought = F.transform("state.q", lambda x: F.when(short, even / (even * F.col("n")) * volume).otherwise(x))
+    t = rows.select("ingredient", F.explode(F.arrays_zip("weeks", bought.alias("bought"))).alias("z"))
+    t = t.select("ingredient", *(F.col(f"z.weeks.{c}").alias(c) for c in others), F.col("z.bought").alias("recommended_purchase")).select(*curve.columns, "recommended_purchase")
     w = Window.partitionBy("ingredient").orderBy("week_index").rowsBetween(Window.unboundedPreceding, 0)
     t = t.withColumn("total_cost", F.col("recommended_purchase") * F.col("expected_price"))
     t = t.withColumns({"cumulative_purchase": F.sum("recommended_purchase").over(w), "cumulative_cost": F.sum("total_cost").over(w)})

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import csv
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,16 +21,62 @@ def parquet(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def delimited(spark: SparkSession, layouts: dict[str, list[str]], sep: str = ",") -> DataFrame:
-    """Rows of delimited files with a header, all columns text. layouts: glob to header names, one per header layout.
+def headers(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """(path, header): the names in the first line of each file that path (a glob) holds; files without a line have no row.
 
-    Schemas are declared, so nothing is read twice; layouts are matched by name and missing columns are null.
-    Empty text and a lone full stop are null.
+    Each task reads the start of one stretch of one file and stops: for a later stretch at once, for a file's first one after its first line.
     """
-    parts = []
-    for path, names in layouts.items():
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        parts.append(spark.read.schema(schema).option("header", True).option("sep", sep).option("quote", '"').option("escape", '"').csv(path))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                line, file, at = (batch.column(i)[0].as_py() for i in range(3))
+                if at == 0:
+                    names = [x.strip() for x in next(csv.reader([line.removeprefix("\ufeff")], delimiter=sep), [])]
+                    yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([names], pa.list_(pa.string()))], names=["path", "header"])
+                return
+
+    conf, key = spark.conf, "spark.sql.files.openCostInBytes"
+    before = conf.get(key)
+    conf.set(key, str(1 << 40))  # no two stretches share a task
+    try:
+        first = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+        return written(first.mapInArrow(run, "path string, header array<string>"), "headers")
+    finally:
+        conf.set(key, before)
+
+
+def misfits(spark: SparkSession, layouts: dict[str, list[str]], sep: str = ",") -> DataFrame:
+    """(path, header, expected) of the files whose header is no arrangement of the names of their layout."""
+    return _by_header(spark, layouts, sep).where(~_fits()).select("path", "header", "expected")
+
+
+def _fits() -> Column:
+    return F.array_sort("header") == F.array_sort("expected")
+
+
+def _by_header(spark: SparkSession, layouts: dict[str, list[str]], sep: str) -> DataFrame:
+    parts = [headers(spark, path, sep).withColumn("expected", F.array(*map(F.lit, names))) for path, names in layouts.items()]
+    return reduce(DataFrame.unionAll, parts)
+
+
+def delimited(spark: SparkSession, layouts: dict[str, list[str]], sep: str = ",", refuse: bool = True) -> DataFrame:
+    """Rows of delimited files with a header, all columns text. layouts: glob to the header names of its files, in any order.
+
+    The first line of each file tells how its columns stand; files of one arrangement are read together under it, and Spark compares it
+    with the header once more. A file whose header is no arrangement of its layout's names is refused with an error, or with
+    refuse = False left to misfits(). Columns that a layout has not got are null, and so are empty text and a lone full stop.
+    """
+    found = _by_header(spark, layouts, sep).groupBy("header", "expected").agg(_fits().alias("fits"), F.sort_array(F.collect_list("path")).alias("paths")).collect()  # paths, as every listing of files has them
+    wrong = [r for r in found if not r.fits]
+    if wrong and refuse:
+        raise ValueError("files with unexpected headers: " + "; ".join(f"{r.paths[0]} and {len(r.paths) - 1} more: {list(r.header)} for {list(r.expected)}" for r in wrong))
+    names = list(dict.fromkeys(n for ns in layouts.values() for n in ns))
+    parts = [spark.createDataFrame([], T.StructType([T.StructField(n, T.StringType()) for n in names]))]
+    for r in (r for r in found if r.fits):
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in r.header])
+        read = spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("sep", sep).option("quote", '"').option("escape", '"')
+        parts.append(read.csv(list(r.paths)))
     every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return every.select(*(text.null_tokens(F.col(f"`{c}`")).alias(c) for c in every.columns))
 
@@ -79,12 +128,37 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_parquet(df: DataFrame, path: str, key: str | None = None, order: tuple[str, ...] = ()) -> None:
-    """Overwrite path, one folder per key so that readers of one ingredient skip the others; rows of a file follow order."""
-    if key and order:
-        df = df.repartition(key)
-    out = (df.sortWithinPartitions(*([key] if key else []), *order) if order else df).write.mode("overwrite")
-    (out.partitionBy(key) if key else out).parquet(path)
+#: Most rows of a file that write_parquet() writes in order.
+FILE_ROWS = 2_000_000
+#: Most cuts of hot keys that are broadcast; more are joined by a shuffle.
+BROADCAST_CUTS = 200_000
+
+
+def write_parquet(df: DataFrame, path: str, key: str | None = None, order: tuple[str, ...] = (), file_rows: int = FILE_ROWS) -> None:
+    """Overwrite path, one folder per key so that readers of one ingredient skip the others; rows follow order, in a file and from file to file.
+
+    A key of up to file_rows rows is one task's and one file's. A larger one is cut at values of the first column of order into pieces of
+    about that many rows, which don't overlap; ranges of (key, piece) are then dealt to tasks, so its pieces spread over them.
+    """
+    if not (key and order):
+        out = (df.sortWithinPartitions(*order) if order else df).write.mode("overwrite")
+        (out.partitionBy(key) if key else out).parquet(path)
+        return
+    hot = df.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > file_rows).select(F.col(key).alias("_key"))
+    hot = written(hot, "hot_keys")
+    piece = F.lit(0).cast("long")
+    if not hot.isEmpty():
+        from cropledger.operators import selection
+
+        first = order[0]
+        of_hot = df.join(F.broadcast(hot) if hot.count() <= BROADCAST_CUTS else hot, F.col(key) == F.col("_key"), "left_semi")
+        cuts = selection.ranked(of_hot, [key], first).select(key, first, F.floor(F.col("_before") / file_rows).alias("_piece"))
+        starts = written(cuts.groupBy(key, "_piece").agg(F.min(first).alias("_from")).groupBy(F.col(key).alias("_key")).agg(F.sort_array(F.collect_list("_from")).alias("_cuts")), "cuts")
+        df = df.join(F.broadcast(starts) if starts.count() <= BROADCAST_CUTS else starts, F.col(key) == F.col("_key"), "left")
+        piece = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= F.col(first))), F.lit(0)).cast("long")
+    df = df.withColumn("_piece", piece)
+    ranged = df.repartitionByRange(key, "_piece").sortWithinPartitions(key, *order).drop("_piece", "_key", "_cuts")
+    ranged.write.mode("overwrite").option("maxRecordsPerFile", file_rows).partitionBy(key).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -100,3 +174,33 @@ def snapshots(df: DataFrame, key: str) -> DataFrame:
 def write_snapshots(df: DataFrame, path: str, key: str) -> None:
     """Overwrite path by one JSON document per line, in a folder per key."""
     snapshots(df, key).write.mode("overwrite").partitionBy(key).text(path)
+
+
+def publish(tables: dict[str, DataFrame], path: str) -> str:
+    """Write all tables under path and make them the current ones at once; the folder that holds them.
+
+    They are written into a folder of their own, aside from what readers see. Then one small file, CURRENT, that names the folder is swapped
+    by a rename, which a store does as a whole or not at all: a reader finds either all the old tables or all the new ones.
+    """
+    version = f"{path.rstrip('/')}/versions/{uuid.uuid4().hex}"
+    for name, df in tables.items():
+        df.write.parquet(f"{version}/{name}")
+    jvm, spark = next(iter(tables.values())).sparkSession._jvm, next(iter(tables.values())).sparkSession
+    hadoop = jvm.org.apache.hadoop.fs
+    files = hadoop.FileContext.getFileContext(hadoop.Path(path).toUri(), spark._jsc.hadoopConfiguration())
+    aside = hadoop.Path(f"{path.rstrip('/')}/CURRENT-{uuid.uuid4().hex}")
+    create = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$CreateOpts"), 0)
+    out = files.create(aside, jvm.java.util.EnumSet.of(hadoop.CreateFlag.CREATE), create)
+    out.write(bytearray(version.encode()))
+    out.close()
+    rename = getattr(hadoop, "Options$Rename")
+    swap = spark.sparkContext._gateway.new_array(rename, 1)
+    swap[0] = rename.OVERWRITE
+    files.rename(aside, hadoop.Path(f"{path.rstrip('/')}/CURRENT"), swap)
+    return version
+
+
+def published(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """A table of what publish() made current."""
+    version = spark.read.text(f"{path.rstrip('/')}/CURRENT").first()[0]
+    return spark.read.parquet(f"{version}/{name}")
