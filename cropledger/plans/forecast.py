@@ -73,6 +73,14 @@ def numeric_columns(df: DataFrame, drop: tuple[str, ...] = ()) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType) and f.name not in drop]
 
 
+def usable_rows(feat: DataFrame, weekly: DataFrame) -> DataFrame:
+    """(horizon, feature, n_rows): the features by schema that lag_safe() leaves a horizon, and the rows with a target there."""
+    names = numeric_columns(feat, ("price_avg_weekly",))
+    safe = F.create_map(*(x for h in range(1, scores.HORIZONS + 1) for x in (F.lit(h), F.array(*map(F.lit, lag_safe(names, h))))))
+    t = scores.targets(weekly.select("ingredient", "week_start", "price_avg_weekly")).join(feat.select("ingredient", "week_start"), ["ingredient", "week_start"])
+    return t.groupBy("horizon").agg(F.count("*").alias("n_rows")).select("horizon", F.explode(safe[F.col("horizon")]).alias("feature"), "n_rows")
+
+
 def safe_at_horizon(t: DataFrame) -> DataFrame:
     """t with every feature that lag_safe() drops at a row's horizon blanked: 1, the ratio that tells nothing."""
     safe = {h: lag_safe(LEVELS, h) for h in range(1, scores.HORIZONS + 1)}

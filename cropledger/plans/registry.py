@@ -805,3 +805,36 @@ def k3_worst_horizons(spark: SparkSession, sf_dir: str) -> DataFrame:
     rank = F.row_number().over(Window.orderBy(F.col("mae").desc(), "horizon"))  # five rows
     one = forecast.run_summary(by_horizon).select("mean_mae", "horizons")
     return rounded(best.join(F.broadcast(one)).select("horizon", "n_rows", "mae", rank.alias("rank"), "mean_mae", "horizons"))
+
+
+_RATIOS = ", ".join(f"{c} / price_avg_weekly as {c}" for c in forecast.LEVELS)
+_FEATURES = f"""{WEEKLY}, joined as (select f.*, di_ppi, macro_ppi from featured f left join di using (week_start) left join macro m on m.ingredient = f.ingredient and m.week_start = f.week_start),
+  carried as (select * exclude (di_ppi, macro_ppi), last_value(di_ppi ignore nulls) over w as di_ppi, last_value(macro_ppi ignore nulls) over w as macro_ppi from joined
+    window w as (partition by ingredient order by week_start rows between unbounded preceding and current row)),
+  changed as (select ingredient, week_start, price_avg_weekly, {_RATIOS}, {_chg('di_ppi', 12)} as di_change, coalesce({_chg('macro_ppi', 12)}, 0) as macro_change, extract(week from week_start)::double as week_of_year from carried),
+  feats as (select * from changed where {" and ".join(f"{c} is not null and isfinite({c})" for c in forecast.FEATURES)} and price_avg_weekly > 0)"""
+
+
+@query(f"with {_FEATURES} select ingredient, week_start, price_avg_weekly, {_round_all(forecast.FEATURES, 6)} from feats")
+def p8_features_without_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(forecast.features(panel.weekly_training(spark, sf_dir)), 6)
+
+
+_NAMES = ", ".join(f"('{c}')" for c in forecast.FEATURES)
+
+
+@query(f"""with {_FEATURES}, wide as (select *, {", ".join(f"lead(price_avg_weekly, {h}) over w as h{h}" for h in range(1, 14))} from weekly window w as (partition by ingredient order by week_start)),
+  ahead as ({" union all ".join(f"select ingredient, week_start, {h} as horizon from wide where h{h} is not null" for h in range(1, 14))})
+  select horizon, name as feature, count(*) as n_rows from ahead join feats using (ingredient, week_start) cross join (values {_NAMES}) v(name)
+  where coalesce(try_cast(nullif(regexp_extract(name, '_([0-9]+)w$', 1), '') as int) >= horizon, true) group by 1, 2""")
+def p10_features_of_a_horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weekly = tables.written(panel.weekly_training(spark, sf_dir), "weekly")
+    return forecast.usable_rows(forecast.features(weekly), weekly)
+
+
+@query(f"""with m as ({ORACLE_SQL["b2_naive_backtest"]}) select ingredient as feature, {", ".join(f"coalesce(max(mae) filter (where horizon = {h}), 0) as h{h}" for h in range(1, 14))}, round(sum(mae) / 13, 3) as mean_rise from m group by 1""")
+def a10_wide_by_horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors of the last price by ingredient, a column for each horizon, and their mean."""
+    long = rounded(scores.naive_backtest(scores.panel_of(spark, sf_dir))).select(F.col("ingredient").alias("feature"), "horizon", F.col("mae").alias("rise"))
+    wide = forecast.importance_summary(long)
+    return wide.withColumn("mean_rise", F.round("mean_rise", 3))

@@ -117,8 +117,19 @@ def _own_scratch() -> str:
     return "file://" + tempfile.mkdtemp(prefix="cropledger-")
 
 
+def _application_dir(spark: SparkSession) -> str:
+    return f"{scratch_dir(spark)}/cropledger-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new folder for a table; drop_scratch() removes it with all others of this application."""
+    return f"{_application_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove every table that written() and the queries here have left in the scratch folder; frames that read them can't be used any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_application_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

@@ -270,3 +270,12 @@ def test_risk_classification_and_documents(spark):
     assert [(x.dimension, x.score, x.weight) for x in r.radar][0] == ("supply_risk", 13.0, 0.25) and r.dimensions.cost_risk == 2.0
     early = scores.current_risk(scored, day="2024-02-10").collect()[0]
     assert early.week_start == weeks[5] and early.classification.level == "HIGH" and len(early.trend) == 6
+
+
+def test_scratch_tables_are_dropped_together(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "scratch_dir", lambda _: f"file://{tmp_path}/shared")
+    assert tables.written(spark.range(3), "a").count() == 3 and tables.written(spark.range(4), "b").count() == 4
+    (folder,) = (tmp_path / "shared").iterdir()
+    assert len([x for x in folder.iterdir() if not x.name.startswith(".")]) == 2
+    tables.drop_scratch(spark)
+    assert not folder.exists()
