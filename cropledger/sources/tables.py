@@ -63,8 +63,8 @@ def _by_header(spark: SparkSession, layouts: dict[str, list[str]], sep: str) ->
 def delimited(spark: SparkSession, layouts: dict[str, list[str]], sep: str = ",", refuse: bool = True) -> DataFrame:
     """Rows of delimited files with a header, all columns text. layouts: glob to the header names of its files, in any order.
 
-    The first line of each file tells how its columns stand; files of one arrangement are read together under it, and Spark compares it
-    with the header once more. A file whose header is no arrangement of its layout's names is refused with an error, or with
+    The first line of each file tells how its columns stand; files of one arrangement are read together under it. Blanks around a name
+    and a byte order mark don't count. A file whose header is no arrangement of its layout's names is refused with an error, or with
     refuse = False left to misfits(). Columns that a layout has not got are null, and so are empty text and a lone full stop.
     """
     found = _by_header(spark, layouts, sep).groupBy("header", "expected").agg(_fits().alias("fits"), F.sort_array(F.collect_list("path")).alias("paths")).collect()  # paths, as every listing of files has them
@@ -75,7 +75,7 @@ def delimited(spark: SparkSession, layouts: dict[str, list[str]], sep: str = ","
     parts = [spark.createDataFrame([], T.StructType([T.StructField(n, T.StringType()) for n in names]))]
     for r in (r for r in found if r.fits):
         schema = T.StructType([T.StructField(n, T.StringType()) for n in r.header])
-        read = spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("sep", sep).option("quote", '"').option("escape", '"')
+        read = spark.read.schema(schema).option("header", True).option("sep", sep).option("quote", '"').option("escape", '"')
         parts.append(read.csv(list(r.paths)))
     every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return every.select(*(text.null_tokens(F.col(f"`{c}`")).alias(c) for c in every.columns))
