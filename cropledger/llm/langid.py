@@ -240,7 +240,7 @@ def identify(docs: DataFrame, held_out: int = 3) -> DataFrame:
 
     Learns from a sample of runs of words of labelled documents that are not held out, see training_runs(); a language
     with a single labelled document is learned too. Rows without doc_id are not learned from and not held out; repeated rows
-    are labelled alike; null and wordless texts are und; texts of any length are labelled whole; an empty table gives no
+    are labelled alike; of languages that tie the first by name is told; null and wordless texts are und; texts of any length are labelled whole; an empty table gives no
     rows, and one without labelled documents und for all. Extra columns are not read, whatever their names.
     """
     small_batches(docs.sparkSession)

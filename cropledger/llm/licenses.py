@@ -131,7 +131,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     places: array of (word, label, base) in text order of their ends; expressions: array of (expression, labels,
     freedom). score is the freedom of the strictest thing found: a phrase's label or a tagged expression; 0
-    without any. A null text is an empty one. Rows are independent; repeated rows give repeated results.
+    without any. A null text is an empty one. Rows are independent; repeated rows give repeated results, an empty table gives none, and texts
+    of any length are read whole. Phrases that overlap or tie in place are each a place. Further columns are not read, whatever their names.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
     place = pa.struct([("word", pa.int64()), ("label", pa.string()), ("base", pa.bool_())])
