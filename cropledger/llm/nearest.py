@@ -14,6 +14,8 @@ from .embeddings import _unit, _valid
 
 #: Vectors in a shard, in a leaf of its tree, and queries in a block that is sent to all shards (8 MB at 64 dimensions).
 SHARD, LEAF, QUERIES = 16_384, 64, 16_384
+#: Most numbers in a shard: fewer of long vectors make one.
+VALUES = 1 << 24
 #: Share of the exact reach in which subtrees are entered: 1 is exact search, less is faster and may miss neighbours.
 FACTOR = 0.9
 #: Cosines that differ by less are compared again, pair by pair, before ids break the tie.
@@ -95,7 +97,7 @@ def search_tree(points: np.ndarray, nodes: np.ndarray, queries: np.ndarray, k: i
     within factor times the distance of its k-th best: |q v| - |p v| <= |q p| for every p.
     """
     best = _Best(len(queries), k)
-    best.kept[:, 0] = floor
+    best.kept[:] = floor[:, None]
 
     def walk(at: int, q: np.ndarray) -> None:
         first, end, inner, outer = (int(x) for x in nodes[at, :4])
@@ -137,7 +139,7 @@ def build(vectors: DataFrame, k: int, id_col: str = "vec_id", vector_col: str =
     """
     kind = np.float32 if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else np.float64
 
-    def shard(d: int, held: list[tuple[int | None, list]]) -> dict:
+    def shard(d: int, held: list[tuple[int | None, np.ndarray]]) -> dict:
         raw = np.array([v for _, v in held], kind)
         _, first, cls = np.unique(raw.view(np.dtype((np.void, raw.itemsize * d))).ravel(), return_index=True, return_inverse=True)
         ids: list[list] = [[] for _ in first]
@@ -155,12 +157,13 @@ def build(vectors: DataFrame, k: int, id_col: str = "vec_id", vector_col: str =
         held: dict[int, list] = {}
         told = lambda d: pa.RecordBatch.from_pylist([shard(d, held.pop(d))], pa.schema(names.items()))
         for batch in batches:
-            for i, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                held.setdefault(len(v), []).append((i, v))
-                if len(held[len(v)]) == SHARD:
-                    yield told(len(v))
-            while sum(map(len, held.values())) > 2 * SHARD:  # many lengths: the largest goes first
-                yield told(max(held, key=lambda d: len(held[d])))
+            ends, values = batch.column(1).offsets.to_numpy(), batch.column(1).values.to_numpy(zero_copy_only=False)
+            for i, a, b in zip(batch.column(0).to_pylist(), ends[:-1].tolist(), ends[1:].tolist()):
+                held.setdefault(b - a, []).append((i, values[a:b].astype(kind)))
+                if len(held[b - a]) == max(1, min(SHARD, VALUES // (b - a))):
+                    yield told(b - a)
+            while sum(map(len, held.values())) > 2 * SHARD or sum(d * len(x) for d, x in held.items()) > 2 * VALUES:  # many lengths: the largest goes first
+                yield told(max(held, key=lambda d: d * len(held[d])))
         for d in list(held):
             yield told(d)
 

@@ -82,6 +82,19 @@ def test_small_blocks_of_queries(spark, monkeypatch):
     same(results(nearest.nearest(frame(spark, rows), F.col("vec_id") % 10 == 0, 3, factor=1.0)), plain(rows, 3, lambda i: i % 10 == 0))
 
 
+def test_long_vectors_make_smaller_shards(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "VALUES", 2000)
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=(3, 40, 900)[i % 3]).tolist()) for i in range(150)]
+    df = frame(spark, rows, "float").coalesce(1)
+    rows = [(i, np.float32(v).astype(float).tolist()) for i, v in rows]
+    same(results(nearest.nearest(df, F.col("vec_id") % 10 == 0, 4, factor=1.0)), plain(rows, 4, lambda i: i % 10 == 0))
+    sizes = {}
+    for r in nearest.build(df, 4).collect():
+        sizes.setdefault(r.d, []).append(r.n)
+    assert all(d * max(n) <= 2000 and sum(n) == 50 for d, n in sizes.items()) and len(sizes[900]) == 25
+
+
 def test_ties_repeats_and_bad_vectors(spark):
     inf = float("inf")
     rows = [(i, [1.0, 0.0]) for i in range(60)] + [(100, [0.0, 1.0]), (7, [1.0, 0.0]), (None, [1.0, 0.0]), (None, [0.0, 2.0])]
