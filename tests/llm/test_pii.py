@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import re
+import time
 
 from cropledger.llm import pii
 
@@ -95,7 +96,7 @@ def test_words_near_an_entity_have_their_places(spark):
     texts = ["é, Ab cd  ef gh-ij x@y.zz; Kl 😀 mn op qr st", "x@y.zz", "a x@y.zz b"]
     df = spark.createDataFrame([(i, t, None, None) for i, t in enumerate(texts)], SCHEMA)
     at = lambda t: t.index("x@y.zz")
-    rows = pii.find(df).select("doc_id", pii._near(pii.F.col("text"), pii.F.col("email")[0]["start"], pii.F.col("email")[0]["end"]).alias("near")).collect()
+    rows = pii.find(df).select("doc_id", pii._near(pii._pieces(pii.F.col("text")), pii.F.col("email")[0]["start"], pii.F.col("email")[0]["end"]).alias("near")).collect()
     for r in rows:
         t = texts[r.doc_id]
         words = [(m.start(), m[0].lower()) for m in re.finditer(r"[^\W_]+", t)]
@@ -157,6 +158,48 @@ def test_terms_by_brute_force(spark):
     assert {(r.entity, r.term) for r in pii.disclosing_terms(pii.find(df)).collect()} == want
 
 
+def test_very_many_spans_in_one_text(spark):
+    """100,000 spans in a text; ten times the spans take about ten times as long at most, as no step costs what the whole text does."""
+    head = [f"Zebulon wrote {w} from zeb@farm.org" for w in ("late", "soon")]
+    many = lambda n: " ".join(f"p{i}@f{i}.org é{i % 97} 10.0.{i % 256}.{i % 199}" for i in range(n))
+    took = {}
+    for n in (5000, 50000):
+        docs = list(enumerate([f"{h}; {many(n)}" for h in head] + [f"nothing else {i}" for i in range(40)]))
+        began = time.time()
+        out = pii.sanitise(spark.createDataFrame(docs, "doc_id long, text string"))
+        rows = {r.doc_id: r for r in out.select("doc_id", pii.F.size("email").alias("n_email"), pii.F.size("ip").alias("n_ip"), "clean_text").collect()}
+        took[n] = time.time() - began
+        for i, h in enumerate(head):
+            assert (rows[i].n_email, rows[i].n_ip) == (n + 1, n)
+            assert rows[i].clean_text.count("<EMAIL>") == n + 1 and rows[i].clean_text.count("<IP>") == n and not re.search("@|10[.]0|Zeb", rows[i].clean_text)
+        assert all(rows[i].clean_text == docs[i][1] for i in range(2, 42))
+    assert took[50000] < 20 * took[5000]
+
+
+def test_terms_apart_from_spans(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(300):
+        cuts = sorted(rng.sample(range(60), 2 * rng.randint(0, 6)))
+        own = list(zip(cuts[::2], cuts[1::2]))
+        taken = [(a, a + rng.randint(1, 9)) for a in (rng.randrange(60) for _ in range(rng.randint(0, 6)))]
+        rows.append((i, [(a, b, "v") for a, b in own], [(a, b, "e") for a, b in taken]))
+    span = "array<struct<start:int,end:int,value:string>>"
+    got = spark.createDataFrame(rows, f"i int, own {span}, taken {span}").select("i", "own", "taken", pii._apart(pii.F.col("own"), pii.F.col("taken")).alias("left")).collect()
+    for r in got:
+        assert [tuple(s) for s in r.left] == [tuple(s) for s in r.own if not any(s.start < e.end and e.start < s.end for e in r.taken)]
+
+
+def test_cuts_of_pieces(spark):
+    rng = random.Random(7)
+    rows = []
+    for n in (0, 1, 1023, 1024, 1025, 2048, 5000):
+        t = "".join(rng.choice("aé😀\n") for _ in range(n))
+        rows += [(t, a, b) for a, b in [(0, 0), (0, n), (n, n), (n, n + 3000), (0, n + 3000)] + [tuple(sorted(rng.choices(range(n + 1), k=2))) for _ in range(30)]]
+    for r in spark.createDataFrame(rows, "t string, a int, b int").select("t", "a", "b", pii._let(pii._pieces(pii.F.col("t")), lambda ps: pii._cut(ps, pii.F.col("a"), pii.F.col("b"))).alias("c")).collect():
+        assert r.c == r.t[r.a : r.b]
+
+
 def test_clashing_columns(spark):
     df = spark.createDataFrame([(1, "a@b.cd x", 5, "q", "w", 7), (None, None, None, None, None, None)], "doc_id long, text string, copy int, `a.b` string, whole string, all_spans int")
     rows = {r.doc_id: r for r in pii.sanitise(df).collect()}
