@@ -108,10 +108,8 @@ def rows(feat: DataFrame, weekly: DataFrame) -> DataFrame:
     target's week; fold is the one that predicts the row out of fold (0: none) and follows its own week. Rows of the last
     weeks have fold -1 and are for errors. Ranks are within an ingredient.
     """
-    t = scores.targets(weekly.select("ingredient", "week_start", "price_avg_weekly")).drop("price_avg_weekly").join(feat, ["ingredient", "week_start"])
-    ends = feat.groupBy("ingredient").agg(F.count("*").alias("n"))
-    at = feat.select("ingredient", "week_start", F.row_number().over(scores.weeks()).alias("i"))
-    t = t.join(at, ["ingredient", "week_start"]).join(ends, "ingredient")
+    placed = feat.withColumns({"i": F.row_number().over(scores.weeks()), "n": F.count("*").over(Window.partitionBy("ingredient"))})
+    t = scores.targets(weekly.select("ingredient", "week_start", "price_avg_weekly")).drop("price_avg_weekly").join(placed, ["ingredient", "week_start"])
     stretch = F.col("n") * FITTED / (FOLDS + 1)
     since = F.ceil((F.col("i") + F.col("horizon")) / stretch).cast("int")
     inside = since <= FOLDS + 1
