@@ -141,34 +141,26 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 #: Most rows of a file that write_parquet() writes in order.
 FILE_ROWS = 2_000_000
-#: Most cuts of hot keys that are broadcast; more are joined by a shuffle.
-BROADCAST_CUTS = 200_000
+#: Most hot keys that are broadcast (some 50 bytes each); more are joined by a shuffle.
+BROADCAST_KEYS = 200_000
 
 
 def write_parquet(df: DataFrame, path: str, key: str | None = None, order: tuple[str, ...] = (), file_rows: int = FILE_ROWS) -> None:
     """Overwrite path, one folder per key so that readers of one ingredient skip the others; rows follow order, in a file and from file to file.
 
-    A key of up to file_rows rows is one task's and one file's. A larger one is cut at values of the first column of order into pieces of
-    about that many rows, which don't overlap; ranges of (key, piece) are then dealt to tasks, so its pieces spread over them.
+    A key of up to file_rows rows is one task's and one file's. A larger one is dealt to tasks by ranges of all of order, so its files don't
+    overlap: a row costs a sort, however many files its key has. Only rows that agree in key and order must be one task's.
     """
     if not (key and order):
         out = (df.sortWithinPartitions(*order) if order else df).write.mode("overwrite")
         (out.partitionBy(key) if key else out).parquet(path)
         return
-    hot = df.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > file_rows).select(F.col(key).alias("_key"))
-    hot = written(hot, "hot_keys")
-    piece = F.lit(0).cast("long")
-    if not hot.isEmpty():
-        from cropledger.operators import selection
-
-        first = order[0]
-        of_hot = df.join(F.broadcast(hot) if hot.count() <= BROADCAST_CUTS else hot, F.col(key) == F.col("_key"), "left_semi")
-        cuts = selection.ranked(of_hot, [key], first).select(key, first, F.floor(F.col("_before") / file_rows).alias("_piece"))
-        starts = written(cuts.groupBy(key, "_piece").agg(F.min(first).alias("_from")).groupBy(F.col(key).alias("_key")).agg(F.sort_array(F.collect_list("_from")).alias("_cuts")), "cuts")
-        df = df.join(F.broadcast(starts) if starts.count() <= BROADCAST_CUTS else starts, F.col(key) == F.col("_key"), "left")
-        piece = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= F.col(first))), F.lit(0)).cast("long")
-    df = df.withColumn("_piece", piece)
-    ranged = df.repartitionByRange(key, "_piece").sortWithinPartitions(key, *order).drop("_piece", "_key", "_cuts")
+    hot = written(df.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > file_rows).select(F.col(key).alias("_key"), F.lit(True).alias("_hot")), "hot_keys")
+    n_hot, spread = hot.count(), []
+    if n_hot:
+        df = df.join(F.broadcast(hot) if n_hot <= BROADCAST_KEYS else hot, F.col(key).eqNullSafe(F.col("_key")), "left")
+        spread = [F.when(F.col("_hot"), F.col(c)) for c in order]
+    ranged = df.repartitionByRange(key, *spread).sortWithinPartitions(key, *order).drop("_key", "_hot")
     ranged.write.mode("overwrite").option("maxRecordsPerFile", file_rows).partitionBy(key).parquet(path)
 
 

@@ -234,6 +234,30 @@ def test_a_hot_key_is_several_files_in_order(spark, tmp_path):
     assert len(hot) >= 8 and all(a[-1] <= b[0] for a, b in zip(hot, hot[1:])) and len(files) == len(hot) + 50
 
 
+def test_what_a_sorted_sink_holds_and_how_it_deals_a_key_do_not_hang_on_files(spark, tmp_path, monkeypatch):
+    rows = [("hot", 7, i) for i in range(6000)] + [(None, i % 900, i) for i in range(3000)] + [(f"k{i}", 1, i) for i in range(20)]
+    df = spark.createDataFrame(rows, "k string, n int, v int").repartition(5)
+    kept, write = [], tables.written
+    monkeypatch.setattr(tables, "written", lambda t, label: kept.append(write(t, label)) or kept[-1])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tables.write_parquet(df, f"{tmp_path}/s", "k", ("n", "v"), file_rows=250)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(t.count() for t in kept) == 2  # hot keys, and nothing for each value or file
+    back = spark.read.parquet(f"{tmp_path}/s").select("k", "n", "v", F.col("_metadata.file_name").alias("f"), F.col("_metadata.row_index").alias("at")).collect()
+    assert sorted((r.k or "", r.n, r.v) for r in back) == sorted((k or "", n, v) for k, n, v in rows)
+    for key in ("hot", None):
+        files = {}
+        for r in sorted((r for r in back if r.k == key), key=lambda r: r["at"]):
+            files.setdefault(r.f, []).append((r.n, r.v))
+        spans = sorted(files.values())
+        assert all(x == sorted(x) and len(x) <= 250 for x in spans) and all(a[-1] <= b[0] for a, b in zip(spans, spans[1:]))
+        tasks = {f.split("-")[1] for f in files}
+        assert len(tasks) > 1  # also where all rows agree in the first column of order, and where the key is null
+    assert len({r.f for r in back if r.k and r.k != "hot"}) <= 20 and all(len({r.f for r in back if r.k == f"k{i}"}) == 1 for i in range(20))
+
+
 def test_tables_are_published_at_once(spark, tmp_path):
     path = f"file://{tmp_path}/docs"
     one, two = spark.range(3).withColumn("x", F.lit("old")), spark.range(5).withColumn("x", F.lit("new"))
